@@ -1,0 +1,6 @@
+"""Nothing here: every step of this workload is a batch recomputation.
+
+The monthly and yearly tables are rebuilt whole for each edition, so there is no
+stream source, watermark or state to express.  The package is kept so that the
+layout has a place for one if the workload ever gains it.
+"""
