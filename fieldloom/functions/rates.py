@@ -16,17 +16,17 @@ def ratio(part: Column, whole: Column, strict: bool = False) -> Column:
 
 
 def exact_sum(value: Column) -> Column:
-    """Sum at twelve decimals, whatever the order of the rows.
+    """Sum as a decimal of twelve places, the same whatever the order of the rows.
 
-    Means that are rounded for a comparison must not differ in the last bit
-    between two runs, so they are built on this.
+    Means that are rounded for a comparison must not differ in their last bit
+    between two runs, nor fall below a tie.
     """
-    return F.sum(value.cast("decimal(28,12)")).cast("double")
+    return F.sum(value.cast("decimal(28,12)"))
 
 
 def exact_mean(value: Column) -> Column:
-    """Average on top of ``exact_sum``."""
-    return F.try_divide(exact_sum(value), F.count(value))
+    """Average of the values as decimals of twelve places."""
+    return F.avg(value.cast("decimal(28,12)")).cast("double")
 
 
 def mean_where(value: Column, condition: Column) -> Column:

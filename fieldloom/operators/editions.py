@@ -101,7 +101,7 @@ def _summary(rows: DataFrame, survey_type: str, value: str, sums: dict[str, str]
         for column, label in sums.items():
             spread.append(F.sum(F.when(of_type, F.col(column))).alias(f"{label}_{plot}_sites{suffix}"))
         total = exact_sum(F.when(of_type, F.col("value_sum")))
-        mean = F.try_divide(total, F.sum(F.when(of_type, F.col("value_count"))))
+        mean = F.try_divide(total, F.sum(F.when(of_type, F.col("value_count")))).cast("double")
         spread.append(F.round(mean, VALUE_DECIMALS).alias(f"mean_monthly_rr_{plot}_sites{suffix}"))
     return per_site.groupBy("taxon_id").agg(*spread)
 
@@ -398,9 +398,9 @@ def aggregated_deltas(
         F.sum("pn").alias("prior_surveys"),
         (F.sum("n") - F.sum("pn")).alias("surveys_delta"),
         F.sum("s").alias("sightings"),
-        (new / rows).alias("mean_rr"),
-        (old / rows).alias("prior_mean_rr"),
-        ((new - old) / rows).alias("mean_rr_delta"),
+        (new / rows).cast("double").alias("mean_rr"),
+        (old / rows).cast("double").alias("prior_mean_rr"),
+        ((new - old) / rows).cast("double").alias("mean_rr_delta"),
     )
 
 
