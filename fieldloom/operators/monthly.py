@@ -45,15 +45,15 @@ def sites_at_places(survey_point: DataFrame, sites: DataFrame, site_vertex: Data
 def surveys_by_month(
     survey: DataFrame,
     survey_point: DataFrame,
-    sites: DataFrame,
-    site_vertex: DataFrame,
+    places: DataFrame,
     sites_in_ranges: DataFrame,
     scope: SurveyScope = SurveyScope(survey_types=None),
 ) -> DataFrame:
     """Surveys per year, month, site, taxon and range class.
 
-    A survey counts for each site of its own type that its point lies in, and
-    there for each taxon and range the site lies in.
+    A survey counts for each site of its own type that its point lies in
+    (``places``, from ``sites_at_places``), and there for each taxon and range the
+    site lies in.
     """
     points = survey_point.select(F.col("id").alias("survey_point_id"), "x", "y")
     when = [F.year("start_date").alias("year"), F.month("start_date").alias("month")]
@@ -66,23 +66,21 @@ def surveys_by_month(
         .agg(F.sum("n").alias("n"))
     )
     per_site = (
-        per_place.join(sites_at_places(survey_point, sites, site_vertex), ["x", "y", "site_type"])
+        per_place.join(places, ["x", "y", "site_type"])
         .groupBy("site_id", "site_type", "year", "month")
         .agg(F.sum("n").alias("num_surveys"))
     )
     return per_site.join(sites_in_ranges, ["site_id", "site_type"]).select(*MONTH_KEYS, "num_surveys")
 
 
-def _survey_sites(
-    survey: DataFrame, survey_point: DataFrame, sites: DataFrame, site_vertex: DataFrame, scope: SurveyScope
-) -> DataFrame:
+def _survey_sites(survey: DataFrame, survey_point: DataFrame, places: DataFrame, scope: SurveyScope) -> DataFrame:
     """Sites of the survey's type that its point lies in: survey_id, start_date, site_id, site_type.
 
     Points, far fewer than surveys, meet the sites first; a survey is then shuffled once.
     """
     point_sites = (
         survey_point.select(F.col("id").alias("survey_point_id"), "x", "y")
-        .join(sites_at_places(survey_point, sites, site_vertex), ["x", "y"])
+        .join(places, ["x", "y"])
         .select("survey_point_id", "site_id", "site_type")
     )
     return (
@@ -103,8 +101,7 @@ def sightings_in_sites(
     survey: DataFrame,
     sighting: DataFrame,
     survey_point: DataFrame,
-    sites: DataFrame,
-    site_vertex: DataFrame,
+    places: DataFrame,
     sites_in_ranges: DataFrame,
     species: DataFrame,
     scope: SurveyScope = SurveyScope(),
@@ -116,7 +113,7 @@ def sightings_in_sites(
     sighting stays (semi join on site, type and species); joined in full they would
     repeat it for every taxon of the site.
     """
-    located = _survey_sites(survey, survey_point, sites, site_vertex, scope)
+    located = _survey_sites(survey, survey_point, places, scope)
     return (
         _focal_sightings(sighting, species)
         .join(located, "survey_id")
@@ -137,8 +134,7 @@ def sightings_by_month(
     survey: DataFrame,
     sighting: DataFrame,
     survey_point: DataFrame,
-    sites: DataFrame,
-    site_vertex: DataFrame,
+    places: DataFrame,
     sites_in_ranges: DataFrame,
     species: DataFrame,
     ranges: DataFrame,
@@ -150,7 +146,7 @@ def sightings_by_month(
     ``sum_of_count`` are over those with one.  All taxa of a species share its
     counts, so these are taken per species and attached to the taxa at the end.
     """
-    located = _survey_sites(survey, survey_point, sites, site_vertex, scope)
+    located = _survey_sites(survey, survey_point, places, scope)
     per_species = (
         _focal_sightings(sighting, species)
         .select("survey_id", "sp_id", "individual_count")

@@ -1,14 +1,15 @@
 """The three workflows end to end, as lazily built stages.
 
-A stage is a property and is planned once.  ``keep`` decides what happens to
-stages that several others read: by default they are checkpointed where the
-session names a shared folder; ``stored_under`` writes every one as a table.
+A stage is a property and is planned once.  Where one result reads a stage more
+than once, ``keep`` decides what happens to it: by default it is checkpointed if
+the session names a shared folder; ``stored_under`` writes it as a table.  A stage
+asked for on its own is never kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -62,40 +63,53 @@ class SeriesBuild:
 
     @cached_property
     def sites_in_ranges(self) -> DataFrame:
-        return self.keep("sites_in_ranges", taxa.sites_in_ranges(self.centroids, self.ranges))
+        return taxa.sites_in_ranges(self.centroids, self.ranges)
 
     @cached_property
-    def surveys_by_month(self) -> DataFrame:
+    def places(self) -> DataFrame:
+        return monthly.sites_at_places(self.inputs.survey_point, self.inputs.site, self.inputs.site_vertex)
+
+    def _surveys(self, places: DataFrame, located: DataFrame) -> DataFrame:
+        scope = replace(self.scope, survey_types=None)
+        return monthly.surveys_by_month(self.inputs.survey, self.inputs.survey_point, places, located, scope)
+
+    def _sightings(self, places: DataFrame, located: DataFrame) -> DataFrame:
         i = self.inputs
-        scope = SurveyScope(self.scope.start, self.scope.end, self.scope.excluded_sources, None)
-        return monthly.surveys_by_month(i.survey, i.survey_point, i.site, i.site_vertex, self.sites_in_ranges, scope)
+        return monthly.sightings_by_month(
+            i.survey, i.sighting, i.survey_point, places, located, self.focal_species, self.ranges, self.scope
+        )
+
+    @cached_property
+    def surveys_by_month(self) -> DataFrame:
+        return self._surveys(self.places, self.sites_in_ranges)
 
     def sightings_in_sites(self, sighting_id: str = "id") -> DataFrame:
         i = self.inputs
         return monthly.sightings_in_sites(
-            i.survey, i.sighting, i.survey_point, i.site, i.site_vertex, self.sites_in_ranges, self.focal_species,
-            self.scope, sighting_id,
+            i.survey, i.sighting, i.survey_point, self.places, self.sites_in_ranges, self.focal_species, self.scope,
+            sighting_id,
         )
 
     @cached_property
     def sightings_by_month(self) -> DataFrame:
-        i = self.inputs
-        return monthly.sightings_by_month(
-            i.survey, i.sighting, i.survey_point, i.site, i.site_vertex, self.sites_in_ranges, self.focal_species,
-            self.ranges, self.scope,
-        )
+        return self._sightings(self.places, self.sites_in_ranges)
 
     @cached_property
     def data_by_month(self) -> DataFrame:
-        return monthly.data_by_month(self.surveys_by_month, self.sightings_by_month, self.inputs.site)
+        places = self.keep("sites_at_places", self.places)
+        located = self.keep("sites_in_ranges", self.sites_in_ranges)
+        return monthly.data_by_month(
+            self._surveys(places, located), self._sightings(places, located), self.inputs.site
+        )
 
     @cached_property
     def data_by_year(self) -> DataFrame:
-        return self.keep("data_by_year", yearly.data_by_year(self.data_by_month))
+        return yearly.data_by_year(self.data_by_month)
 
     def flagged(self, processing_method: DataFrame) -> DataFrame:
         """Yearly series with response variable and all-zero flag."""
-        assigned = yearly.assign_response_variable(self.data_by_year, processing_method)
+        series = self.keep("data_by_year", self.data_by_year)
+        assigned = yearly.assign_response_variable(series, processing_method)
         return yearly.flag_all_zero(assigned, "mean_monthly_rr")
 
 
@@ -111,20 +125,31 @@ class WideBuild:
 
     @cached_property
     def site_region(self) -> DataFrame:
-        return self.keep("site_region", regions.site_region(self.centroids, self.region, self.region_vertex))
+        return regions.site_region(self.centroids, self.region, self.region_vertex)
 
     @cached_property
     def nearest(self) -> DataFrame:
-        return regions.nearest_region(self.centroids, self.site_region, self.region, self.region_vertex)
+        return self._nearest(self.site_region)
 
-    def wide(self, value: str = "mean_monthly_rr") -> DataFrame:
+    def _nearest(self, located: DataFrame) -> DataFrame:
+        return regions.nearest_region(self.centroids, located, self.region, self.region_vertex)
+
+    def _wide(self, value: str, located: DataFrame) -> DataFrame:
         return regions.wide_by_year(
-            self.series, self.site, self.survey_type, self.taxonomy, self.site_region, value, self.years
+            self.series, self.site, self.survey_type, self.taxonomy, located, value, self.years
         )
 
+    def wide(self, value: str = "mean_monthly_rr") -> DataFrame:
+        return self._wide(value, self.site_region)
+
     def filled(self, value: str = "mean_monthly_rr", nearest: DataFrame | None = None) -> DataFrame:
-        found = self.nearest if nearest is None else nearest
-        return regions.fill_nearest_region(self.wide(value), found, self.region, self.region_vertex)
+        """The wide table with a region on every row, the nearest one computed or as given."""
+        if nearest is not None:
+            return regions.fill_nearest_region(self.wide(value), nearest, self.region, self.region_vertex)
+        located = self.keep("site_region", self.site_region)
+        return regions.fill_nearest_region(
+            self._wide(value, located), self._nearest(located), self.region, self.region_vertex
+        )
 
 
 class EditionComparison:
@@ -140,8 +165,7 @@ class EditionComparison:
     @cached_property
     def prior(self) -> DataFrame:
         loaded = editions.load_prior_edition(self.prior_raw, self.prior_source)
-        attributed = editions.back_attribute_sites(loaded, self.site, self.site_vertex)
-        return self.keep("prior_edition", attributed)
+        return editions.back_attribute_sites(loaded, self.site, self.site_vertex)
 
     @cached_property
     def prior_flagged(self) -> DataFrame:
@@ -166,27 +190,26 @@ class EditionComparison:
 
     @cached_property
     def current_series(self) -> DataFrame:
-        return self.keep(
-            "current_series_summary",
-            editions.current_series_summary(self.series, self.site, self.survey_type, self.before),
-        )
+        return editions.current_series_summary(self.series, self.site, self.survey_type, self.before)
 
     @cached_property
     def prior_series(self) -> DataFrame:
-        return self.keep(
-            "prior_series_summary",
-            editions.prior_series_summary(self.prior, self.site, self.survey_type, self.before),
+        return editions.prior_series_summary(self.prior, self.site, self.survey_type, self.before)
+
+    @cached_property
+    def _kept_series(self) -> tuple[DataFrame, DataFrame]:
+        return (
+            self.keep("current_series_summary", self.current_series),
+            self.keep("prior_series_summary", self.prior_series),
         )
 
     @cached_property
     def non_matching(self) -> DataFrame:
-        return editions.non_matching_series(self.current_series, self.prior_series, self.taxonomy)
+        return editions.non_matching_series(*self._kept_series, self.taxonomy)
 
     @cached_property
     def qualifying_statistics(self) -> DataFrame:
-        return editions.qualifying_series_statistics(
-            self.current_series, self.prior_series, self.non_matching, self.taxonomy
-        )
+        return editions.qualifying_series_statistics(*self._kept_series, self.non_matching, self.taxonomy)
 
     @cached_property
     def pairs(self) -> DataFrame:
