@@ -1,8 +1,8 @@
 """Planar geometry as column expressions.
 
-An edge is a struct or a set of columns x1, y1, x2, y2.  Tests use the cross
-product of the edge with the point, so no division can fail in ANSI mode and the
-"on the edge" and "left of the edge" answers agree with each other.
+An edge is a struct x1, y1, x2, y2.  Tests use the cross product of the edge with
+the point, so no division can fail in ANSI mode and the "on the edge" and "left of
+the edge" answers agree with each other.
 """
 
 from __future__ import annotations
@@ -10,34 +10,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# {x} and {y} stand for the point, e for the edge
+_SIDE = "((e.x2 - e.x1) * ({y} - e.y1) - ({x} - e.x1) * (e.y2 - e.y1))"
+_ON_EDGE = (
+    "{x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2) "
+    f"AND {_SIDE} = 0"
+)
+# the ray from the point towards +x, half-open in y
+_CROSSES = f"((e.y1 <= {{y}} AND e.y2 > {{y}} AND {_SIDE} > 0) OR (e.y2 <= {{y}} AND e.y1 > {{y}} AND {_SIDE} < 0))"
 
-def _cross(edge: Column, x: Column, y: Column) -> Column:
-    return (edge["x2"] - edge["x1"]) * (y - edge["y1"]) - (x - edge["x1"]) * (edge["y2"] - edge["y1"])
 
-
-def on_edge(edge: Column, x: Column, y: Column) -> Column:
-    """The point lies on the closed edge."""
-    return (
-        x.between(F.least(edge["x1"], edge["x2"]), F.greatest(edge["x1"], edge["x2"]))
-        & y.between(F.least(edge["y1"], edge["y2"]), F.greatest(edge["y1"], edge["y2"]))
-        & (_cross(edge, x, y) == 0)
-    )
-
-
-def ray_crosses(edge: Column, x: Column, y: Column) -> Column:
-    """The ray from the point towards +x crosses the edge (half-open in y)."""
-    side = _cross(edge, x, y)
-    return ((edge["y1"] <= y) & (edge["y2"] > y) & (side > 0)) | ((edge["y2"] <= y) & (edge["y1"] > y) & (side < 0))
-
-
-def covers(edges: Column, x: Column, y: Column) -> Column:
+def covers(edges: str, x: str, y: str) -> Column:
     """Closed membership: on an edge, or an odd number of ray crossings.
 
-    ``edges`` may leave out edges that neither touch the point nor lie on its ray.
-    Holes need no care: their edges flip the parity back.
+    ``edges`` names an array of edges and may leave out ones that neither touch
+    the point nor lie on its ray; ``x`` and ``y`` are SQL expressions.  Holes need
+    no care: their edges flip the parity back.
     """
-    crossings = F.size(F.filter(edges, lambda e: ray_crosses(e, x, y)))
-    return (crossings % 2 == 1) | F.exists(edges, lambda e: on_edge(e, x, y))
+    odd = f"size(filter({edges}, e -> {_CROSSES})) % 2 = 1"
+    return F.expr(f"({odd} OR exists({edges}, e -> {_ON_EDGE}))".format(x=f"({x})", y=f"({y})"))
 
 
 def distance_to_edge(x1: Column, y1: Column, x2: Column, y2: Column, x: Column, y: Column) -> Column:

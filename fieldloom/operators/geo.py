@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from fieldloom.functions import geometry as g
 
 _FINEST, _COARSEST = -20, 20
+_PYRAMID_BASE, _PYRAMID_TOP = -6, 12
 
 
 def edges(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -37,21 +38,24 @@ def edges(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     return start.join(end, ring).drop("seq")
 
 
-def _cell_side(level: Column) -> Column:
-    return F.pow(F.lit(4.0), level)
+# side of a cell: a power of four, so exact; a part's level makes it 4 to 16 cells across
+_SIDE = "pow(4.0D, level)"
 
 
-def _cell(value: Column, side: Column) -> Column:
-    return F.floor(value / side)
+def _cell(value: str) -> Column:
+    return F.expr(f"floor(({value}) / {_SIDE})")
+
+
+def _cells(low: str, high: str) -> Column:
+    """The numbers of all cells between two values, one row each."""
+    return F.explode(F.sequence(_cell(low), _cell(high)))
 
 
 def _part_levels(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The grid level of every part, from its extent."""
-    across = F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y"))
-    level = F.ceil(F.log2(F.greatest(across, F.lit(1e-30)) / 16) / 2).cast("int")
-    return vertices.groupBy(*keys, "part").agg(
-        F.greatest(F.lit(_FINEST), F.least(F.lit(_COARSEST), level)).alias("level")
-    )
+    extent = "greatest(max(x) - min(x), max(y) - min(y), 1e-30D)"
+    level = f"CAST(greatest({_FINEST}, least({_COARSEST}, ceil(log2({extent} / 16) / 2))) AS INT)"
+    return vertices.groupBy(*keys, "part").agg(F.expr(level).alias("level"))
 
 
 def polygon_cells(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -61,34 +65,26 @@ def polygon_cells(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     row of cells that do not end left of it.  A cell that no edge enters is either
     dropped or marked ``whole``, and then carries none.
     """
-    levels = _part_levels(vertices, keys)
-    side = _cell_side(F.col("level"))
     rows = (
         edges(vertices, keys)
-        .join(levels, [*keys, "part"])
-        .withColumn(
-            "cy",
-            F.explode(F.sequence(_cell(F.least("y1", "y2"), side), _cell(F.greatest("y1", "y2"), side))),
-        )
+        .join(_part_levels(vertices, keys), [*keys, "part"])
+        .withColumn("cy", _cells("least(y1, y2)", "greatest(y1, y2)"))
         .groupBy(*keys, "part", "level", "cy")
         .agg(
             F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("row_segs"),
-            F.min(F.least("x1", "x2")).alias("left"),
-            F.max(F.greatest("x1", "x2")).alias("right"),
+            F.expr("min(least(x1, x2))").alias("left"),
+            F.expr("max(greatest(x1, x2))").alias("right"),
         )
     )
-    x0 = F.col("cx") * side
-
-    def enters(e: Column) -> Column:
-        return (F.greatest(e["x1"], e["x2"]) >= x0) & (F.least(e["x1"], e["x2"]) <= x0 + side)
-
+    reaches = f"greatest(e.x1, e.x2) >= cx * {_SIDE}"
+    enters = f"exists(row_segs, e -> {reaches} AND least(e.x1, e.x2) <= (cx + 1) * {_SIDE})"
     return (
-        rows.withColumn("cx", F.explode(F.sequence(_cell(F.col("left"), side), _cell(F.col("right"), side))))
-        .withColumn("whole", ~F.exists("row_segs", enters))
-        .where(~F.col("whole") | g.covers(F.col("row_segs"), x0 + side / 2, (F.col("cy") + 0.5) * side))
+        rows.withColumn("cx", _cells("left", "right"))
+        .withColumn("whole", F.expr(f"NOT {enters}"))
+        .where(~F.col("whole") | g.covers("row_segs", f"(cx + 0.5D) * {_SIDE}", f"(cy + 0.5D) * {_SIDE}"))
         .select(
             *keys, "part", "level", "cx", "cy", "whole",
-            F.filter("row_segs", lambda e: ~F.col("whole") & (F.greatest(e["x1"], e["x2"]) >= x0)).alias("segs"),
+            F.expr(f"filter(row_segs, e -> NOT whole AND {reaches})").alias("segs"),
         )
     )
 
@@ -102,15 +98,12 @@ def points_in_polygons(points: DataFrame, vertices: DataFrame, keys: Sequence[st
     level the layer uses, which a scalar subquery over the part extents lists.
     """
     used = _part_levels(vertices, keys).agg(F.collect_set("level")).scalar()
-    side = _cell_side(F.col("level"))
     placed = (
-        points.withColumn("level", F.explode(used))
-        .withColumn("cx", _cell(F.col("x"), side))
-        .withColumn("cy", _cell(F.col("y"), side))
+        points.withColumn("level", F.explode(used)).withColumn("cx", _cell("x")).withColumn("cy", _cell("y"))
     )
     return (
         placed.join(polygon_cells(vertices, keys), ["level", "cx", "cy"])
-        .where(F.col("whole") | g.covers(F.col("segs"), F.col("x"), F.col("y")))
+        .where(F.col("whole") | g.covers("segs", "x", "y"))
         .select(*points.columns, *keys)
     )
 
@@ -167,45 +160,55 @@ def nearest_polygon(points: DataFrame, vertices: DataFrame, point_key: str, poly
        taken by partial aggregation, so the candidates are never kept.
     """
     x, y = F.col("x"), F.col("y")
-    around = F.sequence(F.lit(-1), F.lit(1))
-    spans = F.array(*[F.lit(k) for k in range(-6, 13)])
+    around = F.expr("explode(sequence(-1, 1))")
+    pyramid = F.expr(f"explode(sequence({_PYRAMID_BASE}, {_PYRAMID_TOP}))")
     lines = edges(vertices, [polygon_key]).select(polygon_key, "x1", "y1", "x2", "y2")
-    side = _cell_side(F.col("level"))
 
-    start = [F.col("level"), _cell(F.col("x1"), side).alias("cx"), _cell(F.col("y1"), side).alias("cy")]
     representatives = (
-        lines.select("x1", "y1", F.explode(spans).alias("level"))
-        .groupBy(*start)
+        lines.select("x1", "y1", pyramid.alias("level"))
+        .groupBy("level", _cell("x1").alias("cx"), _cell("y1").alias("cy"))
         .agg(F.min(F.struct("x1", "y1")).alias("rep"))
     )
     top = lines.agg(F.min(F.struct("x1", "y1"))).scalar()
     bound = (
-        points.select(point_key, "x", "y", F.explode(spans).alias("level"))
-        .withColumn("dx", F.explode(around))
-        .withColumn("dy", F.explode(around))
-        .select(point_key, "x", "y", "level",
-                (_cell(x, side) + F.col("dx")).alias("cx"), (_cell(y, side) + F.col("dy")).alias("cy"))
+        points.select(point_key, "x", "y", pyramid.alias("level"))
+        .withColumn("dx", around)
+        .withColumn("dy", around)
+        .select(point_key, "x", "y", "level", (_cell("x") + F.col("dx")).alias("cx"),
+                (_cell("y") + F.col("dy")).alias("cy"))
         .join(representatives, ["level", "cx", "cy"], "left")
         .groupBy(point_key, "x", "y")
         .agg(F.min(F.hypot(x - F.col("rep.x1"), y - F.col("rep.y1"))).alias("found"))
-        .withColumn("reach", F.coalesce("found", F.hypot(x - top["x1"], y - top["y1"])))
+        .withColumn("bound", F.coalesce("found", F.hypot(x - top["x1"], y - top["y1"])))
     )
 
-    # the level whose cell is as wide as the bound, so that a point looks at 4 x 4 cells at most
-    level = F.ceil(F.log2(F.greatest(F.col("reach"), F.lit(1e-12))) / 2).cast("int")
-    # a hair wider than the bound, against rounding at a cell's border
-    wide = F.col("reach") * (1 + 1e-9)
-    reaching = bound.withColumn("level", level)
+    # the level whose cell is as wide as the bound, so that a point looks at 3 x 3 cells at most, but
+    # none so fine that an edge crosses more than 256 rows of it; the reach is a hair wider than the
+    # bound, against rounding at a cell's border
+    longest = F.expr("max(greatest(abs(x2 - x1), abs(y2 - y1), 1e-12D))")
+    finest = lines.agg(F.ceil(F.log2(longest / 256) / 2).cast("int")).scalar()
+    reaching = bound.select(
+        point_key, "x", "y",
+        F.greatest(F.expr("CAST(ceil(log2(greatest(bound, 1e-12D)) / 2) AS INT)"), finest).alias("level"),
+        (F.col("bound") * (1 + 1e-9)).alias("reach"),
+    )
     used = reaching.agg(F.collect_set("level")).scalar()
     looked = (
-        reaching.withColumn("cx", F.explode(F.sequence(_cell(x - wide, side), _cell(x + wide, side))))
-        .withColumn("cy", F.explode(F.sequence(_cell(y - wide, side), _cell(y + wide, side))))
+        reaching.withColumn("cx", _cells("x - reach", "x + reach"))
+        .withColumn("cy", _cells("y - reach", "y + reach"))
         .select(point_key, "x", "y", "level", "cx", "cy")
     )
+    # an edge is entered in the rows it crosses, in each at the cells under its piece there and one
+    # more to either side
     celled = (
         lines.withColumn("level", F.explode(used))
-        .withColumn("cx", F.explode(F.sequence(_cell(F.least("x1", "x2"), side), _cell(F.greatest("x1", "x2"), side))))
-        .withColumn("cy", F.explode(F.sequence(_cell(F.least("y1", "y2"), side), _cell(F.greatest("y1", "y2"), side))))
+        .withColumn("cy", _cells("least(y1, y2)", "greatest(y1, y2)"))
+        .withColumn("from", F.expr(f"least(1D, greatest(0D, coalesce(try_divide(cy * {_SIDE} - y1, y2 - y1), 0D)))"))
+        .withColumn("to", F.expr(f"least(1D, greatest(0D, coalesce(try_divide((cy + 1) * {_SIDE} - y1, y2 - y1), 1D)))"))
+        .withColumn("xa", F.expr("x1 + `from` * (x2 - x1)"))
+        .withColumn("xb", F.expr("x1 + `to` * (x2 - x1)"))
+        .withColumn("cx", _cells(f"least(xa, xb) - {_SIDE}", f"greatest(xa, xb) + {_SIDE}"))
+        .select(polygon_key, "x1", "y1", "x2", "y2", "level", "cx", "cy")
     )
     distance = g.distance_to_edge(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), x, y)
     return (

@@ -10,6 +10,7 @@ from __future__ import annotations
 from string import Formatter
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -264,6 +265,9 @@ def dependencies(template: str) -> list[str]:
 class StarTables:
     """Lazy access by name: a base Parquet table or one of ``VIEWS`` over them."""
 
+    # the schema of a file is read from its footer once, not by a job per query
+    _schemas: dict[str, StructType] = {}
+
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory.rstrip("/")
@@ -275,7 +279,10 @@ class StarTables:
                 needed = {dep: self[dep] for dep in dependencies(VIEWS[name])}
                 self._made[name] = self.spark.sql(VIEWS[name], **needed)
             else:
-                self._made[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+                path = f"{self.directory}/{name}.parquet"
+                if path not in self._schemas:
+                    self._schemas[path] = self.spark.read.parquet(path).schema
+                self._made[name] = self.spark.read.schema(self._schemas[path]).parquet(path)
         return self._made[name]
 
     __getattr__ = __getitem__
