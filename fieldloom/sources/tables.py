@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 FOCAL_LIST = T.StructType(
@@ -26,8 +30,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def missing_values(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows with NULL in a column that ``schema`` declares as not NULL (files cannot enforce it)."""
-    required = [f.name for f in schema.fields if not f.nullable]
-    return df.exceptAll(df.dropna(subset=required)) if required else df.limit(0)
+    required = [F.col(f.name).isNull() for f in schema.fields if not f.nullable]
+    return df.where(reduce(or_, required, F.lit(False)))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
