@@ -12,7 +12,15 @@ from pyspark.sql import types as T
 from fieldloom.constants import SurveyScope
 from fieldloom.operators import editions, export, geo, methods, monthly, quality, regions, taxa, yearly
 from fieldloom.operators.simplify import simplify_rings
-from fieldloom.plans.pipelines import EditionComparison, SeriesBuild, SurveyInputs, WideBuild, method_table
+from fieldloom.plans.pipelines import (
+    EditionComparison,
+    Keep,
+    SeriesBuild,
+    SurveyInputs,
+    WideBuild,
+    checkpointed,
+    method_table,
+)
 from fieldloom.sources.star import StarTables
 
 # parameters that fit the years and codes of the test tables
@@ -39,8 +47,9 @@ def published(df: DataFrame) -> DataFrame:
 class Workload:
     """All stages over one directory of test tables."""
 
-    def __init__(self, spark: SparkSession, directory: str):
+    def __init__(self, spark: SparkSession, directory: str, keep: Keep = checkpointed):
         self.t = StarTables(spark, directory)
+        self.keep = keep
 
     @cached_property
     def series(self) -> SeriesBuild:
@@ -48,7 +57,7 @@ class Workload:
         inputs = SurveyInputs(
             t.survey, t.survey_point, t.sighting, t.site, t.site_vertex, t.taxonomy, t.taxon_range_link, t.range_vertex
         )
-        return SeriesBuild(inputs, SCOPE)
+        return SeriesBuild(inputs, SCOPE, self.keep)
 
     @cached_property
     def flagged(self) -> DataFrame:
@@ -58,13 +67,14 @@ class Workload:
     def comparison(self) -> EditionComparison:
         t = self.t
         return EditionComparison(
-            t.edition_cur, t.edition_prev, t.site, t.site_vertex, t.taxonomy, t.survey_type, CUT_YEAR, PRIOR_AFTER
+            t.edition_cur, t.edition_prev, t.site, t.site_vertex, t.taxonomy, t.survey_type, CUT_YEAR, PRIOR_AFTER,
+            keep=self.keep,
         )
 
     def wide(self, series: DataFrame) -> WideBuild:
         t = self.t
         return WideBuild(
-            series, t.site, t.site_vertex, t.survey_type, t.taxonomy, t.subregion, t.subregion_vertex, YEARS
+            series, t.site, t.site_vertex, t.survey_type, t.taxonomy, t.subregion, t.subregion_vertex, YEARS, self.keep
         )
 
     @cached_property
@@ -94,7 +104,7 @@ class Workload:
     @cached_property
     def method_table(self) -> DataFrame:
         return method_table(
-            self.direct_profile, self.linked_profile, self.t.processing_method, self.t.taxon, COUNT_SOURCES
+            self.direct_profile, self.linked_profile, self.t.processing_method, self.t.taxon, COUNT_SOURCES, self.keep
         )
 
     @cached_property

@@ -37,9 +37,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     is returned as it is: it is then recomputed, not kept on one machine.
     """
     spark = df.sparkSession
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if not folder:
-        return df
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get(CHECKPOINT_DIR, None)
+        if not folder:
+            return df
+        context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -13,8 +13,7 @@ def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", **conf)
     session.sparkContext.setLogLevel("ERROR")
     if not session.conf.get("spark.checkpoint.dir", None):
-        folder = str(tmp_path_factory.mktemp("checkpoints"))
-        session.conf.set("spark.checkpoint.dir", folder)
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 

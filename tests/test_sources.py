@@ -51,10 +51,7 @@ def test_stages_stored_as_tables_give_the_same_series(spark, tables_dir, tmp_pat
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_lineage_is_cut_only_where_the_session_names_a_folder(spark):
-    df = spark.range(10)
-    folder = spark.conf.get(session.CHECKPOINT_DIR, None)
-    assert folder
-    cut = session.cut_lineage(df)
+def test_lineage_is_cut_in_the_shared_folder(spark):
+    cut = session.cut_lineage(spark.range(10))
     assert cut.count() == 10
     assert "Scan ExistingRDD" in cut._jdf.queryExecution().executedPlan().toString()
