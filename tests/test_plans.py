@@ -15,13 +15,12 @@ OFF = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBro
 class StoredTables(StarTables):
     """The same tables, every one read from its own Parquet file."""
 
-    def __init__(self, spark, directory, stored):
-        super().__init__(spark, directory)
-        for name in VIEWS:
-            self._made[name] = spark.read.parquet(f"{stored}/{name}")
+    def __getitem__(self, name):
+        if name not in self._made:
+            self._made[name] = self.spark.read.parquet(f"{self.directory}/{name}")
+        return self._made[name]
 
-    def __getattr__(self, name):
-        return self[name]
+    __getattr__ = __getitem__
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +29,7 @@ def stored(spark, tables_dir, tmp_path_factory):
     tables = StarTables(spark, tables_dir)
     for name in VIEWS:
         tables[name].coalesce(1).write.parquet(f"{folder}/{name}")
-    return folder
+    return StoredTables(spark, folder)
 
 
 @pytest.fixture()
@@ -45,7 +44,7 @@ def no_broadcast(spark):
 
 def workload(spark, tables_dir, stored) -> Workload:
     w = Workload(spark, tables_dir, keep=lambda _name, df: df)
-    w.t = StoredTables(spark, tables_dir, stored)
+    w.t = stored
     return w
 
 
