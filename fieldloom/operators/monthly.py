@@ -137,33 +137,53 @@ def sightings_by_month(
     places: DataFrame,
     sites_in_ranges: DataFrame,
     species: DataFrame,
-    ranges: DataFrame,
+    ranges: DataFrame | None,
     scope: SurveyScope = SurveyScope(),
 ) -> DataFrame:
     """Sightings per year, month, site, taxon and range class.
 
     ``num_po_sightings`` are those without a count; ``mean_of_count`` and
     ``sum_of_count`` are over those with one.  All taxa of a species share its
-    counts, so these are taken per species and attached to the taxa at the end.
+    counts, so these are taken per place and species, then per site and species,
+    and attached to the taxa at the end.
+
+    A sighting goes to every taxon and range class of its species (``ranges``).
+    With ``ranges=None`` it goes only to those that the site lies in, the rows
+    that a monthly survey count can meet.
     """
-    located = _survey_sites(survey, survey_point, places, scope)
-    per_species = (
+    points = survey_point.select(F.col("id").alias("survey_point_id"), "x", "y")
+    placed = (
+        valid_surveys(survey, scope)
+        .select(
+            F.col("id").alias("survey_id"), "survey_point_id", F.col("survey_type_id").alias("site_type"),
+            F.year("start_date").alias("year"), F.month("start_date").alias("month"),
+        )
+        .join(points, "survey_point_id")
+    )
+    counts = ["num_sightings", "num_po_sightings", "sum_of_count"]
+    per_site = (
         _focal_sightings(sighting, species)
         .select("survey_id", "sp_id", "individual_count")
-        .join(located, "survey_id")
-        .groupBy(
-            F.year("start_date").alias("year"), F.month("start_date").alias("month"), "site_id", "site_type", "sp_id"
-        )
+        .join(placed, "survey_id")
+        .groupBy("x", "y", "site_type", "year", "month", "sp_id")
         .agg(
             F.count("*").alias("num_sightings"),
             F.count(F.when(F.col("individual_count").isNull(), 1)).alias("num_po_sightings"),
-            F.avg("individual_count").alias("mean_of_count"),
             F.sum("individual_count").alias("sum_of_count"),
         )
-        .join(sites_in_ranges.select("site_id", "site_type", "sp_id"), ["site_id", "site_type", "sp_id"], "left_semi")
+        .join(places, ["x", "y", "site_type"])
+        .groupBy("year", "month", "site_id", "site_type", "sp_id")
+        .agg(*[F.sum(c).alias(c) for c in counts])
     )
-    return taxon_sightings(per_species, ranges).select(
-        *MONTH_KEYS, "num_sightings", "num_po_sightings", "mean_of_count", "sum_of_count"
+    on_site = ["site_id", "site_type", "sp_id"]
+    if ranges is None:
+        per_taxon = per_site.join(sites_in_ranges, on_site)
+    else:
+        per_taxon = taxon_sightings(per_site.join(sites_in_ranges.select(*on_site), on_site, "left_semi"), ranges)
+    counted = F.col("num_sightings") - F.col("num_po_sightings")
+    return per_taxon.select(
+        *MONTH_KEYS, "num_sightings", "num_po_sightings",
+        ratio(F.col("sum_of_count"), counted).alias("mean_of_count"), "sum_of_count",
     )
 
 

@@ -59,6 +59,10 @@ class Workload:
         )
         return SeriesBuild(inputs, SCOPE, self.keep)
 
+    @cached_property
+    def assigned(self) -> DataFrame:
+        return yearly.assign_response_variable(self.series.data_by_year, self.t.processing_method)
+
     @cached_property
     def flagged(self) -> DataFrame:
         return self.series.flagged(self.t.processing_method)
@@ -227,9 +231,9 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "distinct_taxa": lambda w: taxa.distinct_taxa(w.series.data_by_month),
     # yearly series
     "data_by_year": lambda w: w.series.data_by_year,
-    "response_variable": lambda w: yearly.assign_response_variable(w.series.data_by_year, w.t.processing_method),
+    "response_variable": lambda w: w.assigned,
     "all_zero_series": lambda w: w.flagged,
-    "site_count_summary": lambda w: yearly.site_count_summary(w.flagged, w.t.taxonomy, w.t.survey_type),
+    "site_count_summary": lambda w: yearly.site_count_summary(w.assigned, w.t.taxonomy, w.t.survey_type),
     "rate_and_abundance_length": lambda w: editions.rate_and_abundance_length(w.series.data_by_year),
     # edition comparison
     "prior_edition": lambda w: editions.load_prior_edition(w.t.edition_prev),
@@ -263,8 +267,8 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
         w.series.centroids, w.t.subregion, w.t.subregion_vertex, pick="min"
     ),
     "nearest_region": lambda w: w.wide(w.t.edition_cur).nearest,
-    "wide_reporting_rate": lambda w: w.wide(w.flagged).wide(),
-    "wide_mean_abundance": lambda w: w.wide(w.flagged).wide("monthly_mean_abundance"),
+    "wide_reporting_rate": lambda w: w.wide(w.assigned).wide(),
+    "wide_mean_abundance": lambda w: w.wide(w.assigned).wide("monthly_mean_abundance"),
     "wide_reporting_rate_filled": lambda w: w.wide(w.t.edition_cur).filled(),
     "wide_filled_from_table": _filled_from_table,
     # export

@@ -73,10 +73,10 @@ class SeriesBuild:
         scope = replace(self.scope, survey_types=None)
         return monthly.surveys_by_month(self.inputs.survey, self.inputs.survey_point, places, located, scope)
 
-    def _sightings(self, places: DataFrame, located: DataFrame) -> DataFrame:
+    def _sightings(self, places: DataFrame, located: DataFrame, ranges: DataFrame | None) -> DataFrame:
         i = self.inputs
         return monthly.sightings_by_month(
-            i.survey, i.sighting, i.survey_point, places, located, self.focal_species, self.ranges, self.scope
+            i.survey, i.sighting, i.survey_point, places, located, self.focal_species, ranges, self.scope
         )
 
     @cached_property
@@ -92,14 +92,15 @@ class SeriesBuild:
 
     @cached_property
     def sightings_by_month(self) -> DataFrame:
-        return self._sightings(self.places, self.sites_in_ranges)
+        return self._sightings(self.places, self.sites_in_ranges, self.ranges)
 
     @cached_property
     def data_by_month(self) -> DataFrame:
         places = self.keep("sites_at_places", self.places)
         located = self.keep("sites_in_ranges", self.sites_in_ranges)
+        # sightings of taxa off their range would meet no survey row, so they are not made
         return monthly.data_by_month(
-            self._surveys(places, located), self._sightings(places, located), self.inputs.site
+            self._surveys(places, located), self._sightings(places, located, None), self.inputs.site
         )
 
     @cached_property
