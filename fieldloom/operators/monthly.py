@@ -8,10 +8,12 @@ third of all surveys is by then a handful of rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.constants import SurveyScope
+from fieldloom.constants import FOCAL_SPECIES, SurveyScope
 from fieldloom.functions.rates import ratio
 from fieldloom.operators import geo
 from fieldloom.operators.taxa import RANGE_KEYS
@@ -92,9 +94,12 @@ def _survey_sites(survey: DataFrame, survey_point: DataFrame, places: DataFrame,
     )
 
 
-def _focal_sightings(sighting: DataFrame, species: DataFrame) -> DataFrame:
-    wanted = species.select(F.col("sp_id").cast("int").alias("sp_id")).distinct()
-    return sighting.withColumnRenamed("species_id", "sp_id").join(wanted, "sp_id", "left_semi")
+def _focal_sightings(sighting: DataFrame, species: DataFrame | Iterable[int]) -> DataFrame:
+    """Sightings of the given species: a table with ``sp_id``, or ids, which reach the scan as a filter."""
+    if not isinstance(species, DataFrame):
+        return sighting.where(F.col("species_id").isin(*species)).withColumnRenamed("species_id", "sp_id")
+    wanted = species.select(F.col("sp_id").alias("species_id")).distinct()
+    return sighting.join(wanted, "species_id", "left_semi").withColumnRenamed("species_id", "sp_id")
 
 
 def sightings_in_sites(
@@ -103,13 +108,13 @@ def sightings_in_sites(
     survey_point: DataFrame,
     places: DataFrame,
     sites_in_ranges: DataFrame,
-    species: DataFrame,
+    species: DataFrame | Iterable[int] = FOCAL_SPECIES,
     scope: SurveyScope = SurveyScope(),
     sighting_id: str = "id",
 ) -> DataFrame:
     """Sightings of focal species in sites that lie in a range of the species.
 
-    ``species`` lists the focal ``sp_id``.  The site's ranges only decide whether a
+    ``species`` lists the focal ``sp_id``, as a table or as ids.  The site's ranges only decide whether a
     sighting stays (semi join on site, type and species); joined in full they would
     repeat it for every taxon of the site.
     """
@@ -136,8 +141,8 @@ def sightings_by_month(
     survey_point: DataFrame,
     places: DataFrame,
     sites_in_ranges: DataFrame,
-    species: DataFrame,
-    ranges: DataFrame | None,
+    species: DataFrame | Iterable[int] = FOCAL_SPECIES,
+    ranges: DataFrame | None = None,
     scope: SurveyScope = SurveyScope(),
 ) -> DataFrame:
     """Sightings per year, month, site, taxon and range class.
@@ -148,8 +153,8 @@ def sightings_by_month(
     and attached to the taxa at the end.
 
     A sighting goes to every taxon and range class of its species (``ranges``).
-    With ``ranges=None`` it goes only to those that the site lies in, the rows
-    that a monthly survey count can meet.
+    Without ``ranges`` it goes only to those that the site lies in, the rows that a
+    monthly survey count can meet.
     """
     points = survey_point.select(F.col("id").alias("survey_point_id"), "x", "y")
     placed = (

@@ -125,12 +125,6 @@ class Workload:
         return self.t.edition_cur.withColumnRenamed("mean_monthly_rr", "rr")
 
 
-def _unmatched(w: Workload) -> DataFrame:
-    # whole editions share their sites, so the year before the cut is set against the years after it
-    new = w.t.edition_cur.where((F.col("year") >= CUT_YEAR) & (F.col("num_sightings") > 0))
-    return editions.unmatched_sites(new, w.comparison.prior)
-
-
 def _included(w: Workload) -> DataFrame:
     flagged = export.flag_include_in_analysis(w.t.agg, w.t.data_source, w.qualifying, YEARS[0], YEARS[-1])
     return flagged.select("time_series_id", "start_date_y", "include_in_analysis")
@@ -253,7 +247,7 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "rate_delta": lambda w: editions.with_rate_delta(w.pairs),
     "aggregated_deltas": lambda w: editions.aggregated_deltas(w.pairs),
     "mean_yearly_rate": lambda w: editions.mean_yearly_rate(w.pairs, CUT_YEAR),
-    "unmatched_sites": _unmatched,
+    "unmatched_sites": lambda w: editions.unmatched_sites(w.series.data_by_year, w.comparison.prior),
     "differing_months": lambda w: editions.differing_months(w.comparison.current, w.series.data_by_month),
     "rate_by_search_type_and_year": lambda w: editions.rate_by_factor(w.pairs, ["search_type_id", "year"]),
     "rate_by_factor_cube": lambda w: editions.rate_by_factor(w.pairs, ["search_type_id", "prior_source"], cube=True),

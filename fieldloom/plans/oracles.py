@@ -405,7 +405,7 @@ ORACLES: dict[str, str] = {
         SELECT year, CAST(sum(CAST(prior_value AS DECIMAL(28,12))) AS DOUBLE) / NULLIF(count(prior_value), 0) AS mean_prior_value, CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) / NULLIF(count(value), 0) AS mean_current_value FROM {o_pairs}
         WHERE year < 2001 AND site_permutation = 'original' GROUP BY year ORDER BY year""",
     "unmatched_sites": """
-        WITH now AS (SELECT DISTINCT site_id FROM {edition_cur} WHERE year >= 2001 AND num_sightings > 0)
+        WITH now AS (SELECT DISTINCT site_id FROM {o_data_by_year})
         SELECT 'current' AS edition, site_id FROM now
         WHERE site_id NOT IN (SELECT site_id_current FROM {o_prior} WHERE site_id_current IS NOT NULL)
         UNION ALL

@@ -61,9 +61,13 @@ class SeriesBuild:
     def centroids(self) -> DataFrame:
         return taxa.site_centroids(self.inputs.site, self.inputs.site_vertex)
 
+    @cached_property
+    def _kept_ranges(self) -> DataFrame:
+        return self.keep("taxon_ranges", self.ranges)
+
     @cached_property
     def sites_in_ranges(self) -> DataFrame:
-        return taxa.sites_in_ranges(self.centroids, self.ranges)
+        return taxa.sites_in_ranges(self.centroids, self._kept_ranges)
 
     @cached_property
     def places(self) -> DataFrame:
@@ -92,7 +96,7 @@ class SeriesBuild:
 
     @cached_property
     def sightings_by_month(self) -> DataFrame:
-        return self._sightings(self.places, self.sites_in_ranges, self.ranges)
+        return self._sightings(self.places, self.sites_in_ranges, self._kept_ranges)
 
     @cached_property
     def data_by_month(self) -> DataFrame:

@@ -49,6 +49,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return df.sparkSession.read.parquet(path)
 
 
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
+    """Store a catalog table bucketed and sorted by a join key.
+
+    Sightings kept this way by survey id are joined to their surveys where they
+    lie: only the much smaller survey side is shuffled, in every later run.
+    """
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A typed table without rows."""
     return spark.createDataFrame([], schema)

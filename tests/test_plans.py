@@ -8,6 +8,7 @@ from fieldloom.operators import monthly
 from fieldloom.plans import catalog
 from fieldloom.plans.catalog import Workload, published
 from fieldloom.sources.star import VIEWS, StarTables
+from fieldloom.sources.tables import save_bucketed
 
 OFF = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
@@ -70,6 +71,23 @@ def test_results_hold_without_broadcasts(spark, tables_dir, stored, no_broadcast
     assert sorted(map(str, large)) == sorted(map(str, small))
 
 
+def test_bucketed_sightings_are_not_shuffled(spark, tables_dir, stored, no_broadcast, tmp_path):
+    w = workload(spark, tables_dir, stored)
+    sighting = save_bucketed(w.t.sighting, "bucketed_sighting", "survey_id", 8, str(tmp_path / "s"))
+    places = w.t.survey_point.selectExpr("x", "y", "id AS site_id", "1 AS site_type").distinct()
+    located = places.selectExpr("site_id", "site_type", "1 AS sp_id", "'a' AS taxon_id", "1 AS range_id").distinct()
+
+    def plan(table):
+        return plan_of(
+            monthly.sightings_by_month(w.t.survey, table, w.t.survey_point, places, located, [1, 2, 3], scope=catalog.SCOPE)
+        )
+
+    by_survey = "Exchange hashpartitioning(survey_id"
+    assert plan(w.t.sighting).count(by_survey) == 2
+    assert plan(sighting).count(by_survey) == 1
+    spark.sql("DROP TABLE bucketed_sighting")
+
+
 def test_filters_and_columns_reach_the_scan(spark, tables_dir, stored):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     w = workload(spark, tables_dir, stored)
