@@ -20,15 +20,20 @@ _ON_EDGE = (
 _CROSSES = f"((e.y1 <= {{y}} AND e.y2 > {{y}} AND {_SIDE} > 0) OR (e.y2 <= {{y}} AND e.y1 > {{y}} AND {_SIDE} < 0))"
 
 
-def covers(edges: str, x: str, y: str) -> Column:
-    """Closed membership: on an edge, or an odd number of ray crossings.
+def surrounds(edges: str, x: str, y: str) -> Column:
+    """An odd number of ray crossings: membership of a point that lies on no edge.
 
-    ``edges`` names an array of edges and may leave out ones that neither touch
-    the point nor lie on its ray; ``x`` and ``y`` are SQL expressions.  Holes need
-    no care: their edges flip the parity back.
+    ``edges`` names an array of edges and may leave out ones that the point's ray
+    does not meet; ``x`` and ``y`` are SQL expressions.  Holes need no care: their
+    edges flip the parity back.
     """
-    odd = f"size(filter({edges}, e -> {_CROSSES})) % 2 = 1"
-    return F.expr(f"({odd} OR exists({edges}, e -> {_ON_EDGE}))".format(x=f"({x})", y=f"({y})"))
+    return F.expr(f"size(filter({edges}, e -> {_CROSSES})) % 2 = 1".format(x=f"({x})", y=f"({y})"))
+
+
+def covers(edges: str, x: str, y: str) -> Column:
+    """Closed membership: surrounded, or on an edge; ``edges`` may not leave out one under the point."""
+    on_some = F.expr(f"exists({edges}, e -> {_ON_EDGE})".format(x=f"({x})", y=f"({y})"))
+    return surrounds(edges, x, y) | on_some
 
 
 def distance_to_edge(x1: Column, y1: Column, x2: Column, y2: Column, x: Column, y: Column) -> Column:

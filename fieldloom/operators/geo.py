@@ -6,9 +6,9 @@ are holes; rings are closed (last vertex = first) and ``seq`` counts up by one.
 Keys are not NULL.
 
 The joins work on square cells whose side is a power of four, chosen per part so
-that a part is about 4 to 16 cells across.  Small sites and wide ranges can then
-share one equi join on (level, cell), with no limit on the cells of a part and no
-cell size to guess.
+that a part is about 4 to 16 cells across, more if it has many vertices.  Small
+sites and wide ranges can then share one equi join on (level, cell), with no limit
+on the cells of a part and no cell size to guess.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def edges(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     return start.join(end, ring).drop("seq")
 
 
-# side of a cell: a power of four, so exact; a part's level makes it 4 to 16 cells across
+# side of a cell: a power of four, so exact
 _SIDE = "pow(4.0D, level)"
 
 
@@ -52,9 +52,15 @@ def _cells(low: str, high: str) -> Column:
 
 
 def _part_levels(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The grid level of every part, from its extent."""
+    """The grid level of every part, from its extent and its number of vertices n.
+
+    A part is at most 16, or a quarter of root n, cells across.  So its cells do not
+    outnumber its vertices (or 256), and a row of cells holds a few root n edges: no
+    task ever gathers a whole outline.
+    """
     extent = "greatest(max(x) - min(x), max(y) - min(y), 1e-30D)"
-    level = f"CAST(greatest({_FINEST}, least({_COARSEST}, ceil(log2({extent} / 16) / 2))) AS INT)"
+    across = "greatest(16D, sqrt(count(x)) / 4)"
+    level = f"CAST(greatest({_FINEST}, least({_COARSEST}, ceil(log2({extent} / {across}) / 2))) AS INT)"
     return vertices.groupBy(*keys, "part").agg(F.expr(level).alias("level"))
 
 
@@ -81,7 +87,7 @@ def polygon_cells(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
         rows.withColumn("cx", _cells("left", "right"))
         .withColumn("whole", F.expr(f"NOT {enters}"))
-        .where(~F.col("whole") | g.covers("row_segs", f"(cx + 0.5D) * {_SIDE}", f"(cy + 0.5D) * {_SIDE}"))
+        .where(~F.col("whole") | g.surrounds("row_segs", f"(cx + 0.5D) * {_SIDE}", f"(cy + 0.5D) * {_SIDE}"))
         .select(
             *keys, "part", "level", "cx", "cy", "whole",
             F.expr(f"filter(row_segs, e -> NOT whole AND {reaches})").alias("segs"),

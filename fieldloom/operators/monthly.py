@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.constants import FOCAL_SPECIES, SurveyScope
@@ -44,19 +44,10 @@ def sites_at_places(survey_point: DataFrame, sites: DataFrame, site_vertex: Data
     return inside.join(sites.select("site_id", "site_type"), "site_id")
 
 
-def surveys_by_month(
-    survey: DataFrame,
-    survey_point: DataFrame,
-    places: DataFrame,
-    sites_in_ranges: DataFrame,
-    scope: SurveyScope = SurveyScope(survey_types=None),
+def surveys_per_site(
+    survey: DataFrame, survey_point: DataFrame, places: DataFrame, scope: SurveyScope = SurveyScope(survey_types=None)
 ) -> DataFrame:
-    """Surveys per year, month, site, taxon and range class.
-
-    A survey counts for each site of its own type that its point lies in
-    (``places``, from ``sites_at_places``), and there for each taxon and range the
-    site lies in.
-    """
+    """Surveys per site, year and month; a survey counts for each site of its own type that its point lies in."""
     points = survey_point.select(F.col("id").alias("survey_point_id"), "x", "y")
     when = [F.year("start_date").alias("year"), F.month("start_date").alias("month")]
     per_place = (
@@ -67,11 +58,27 @@ def surveys_by_month(
         .groupBy("x", "y", "site_type", "year", "month")
         .agg(F.sum("n").alias("n"))
     )
-    per_site = (
+    return (
         per_place.join(places, ["x", "y", "site_type"])
         .groupBy("site_id", "site_type", "year", "month")
         .agg(F.sum("n").alias("num_surveys"))
     )
+
+
+def surveys_by_month(
+    survey: DataFrame,
+    survey_point: DataFrame,
+    places: DataFrame,
+    sites_in_ranges: DataFrame,
+    scope: SurveyScope = SurveyScope(survey_types=None),
+) -> DataFrame:
+    """Surveys per year, month, site, taxon and range class.
+
+    A survey counts for each site of its own type that its point lies in
+    (``places``, from ``sites_at_places``), and there for each taxon and range the
+    site lies in.
+    """
+    per_site = surveys_per_site(survey, survey_point, places, scope)
     return per_site.join(sites_in_ranges, ["site_id", "site_type"]).select(*MONTH_KEYS, "num_surveys")
 
 
@@ -135,26 +142,17 @@ def taxon_sightings(sightings: DataFrame, ranges: DataFrame) -> DataFrame:
     return sightings.join(ranges.select(*RANGE_KEYS).distinct(), "sp_id")
 
 
-def sightings_by_month(
+def sightings_per_site(
     survey: DataFrame,
     sighting: DataFrame,
     survey_point: DataFrame,
     places: DataFrame,
-    sites_in_ranges: DataFrame,
     species: DataFrame | Iterable[int] = FOCAL_SPECIES,
-    ranges: DataFrame | None = None,
     scope: SurveyScope = SurveyScope(),
 ) -> DataFrame:
-    """Sightings per year, month, site, taxon and range class.
+    """Sightings per site, species, year and month, with their presence-only number and their counts summed.
 
-    ``num_po_sightings`` are those without a count; ``mean_of_count`` and
-    ``sum_of_count`` are over those with one.  All taxa of a species share its
-    counts, so these are taken per place and species, then per site and species,
-    and attached to the taxa at the end.
-
-    A sighting goes to every taxon and range class of its species (``ranges``).
-    Without ``ranges`` it goes only to those that the site lies in, the rows that a
-    monthly survey count can meet.
+    Sightings meet their survey once and shrink per place before they meet the sites.
     """
     points = survey_point.select(F.col("id").alias("survey_point_id"), "x", "y")
     placed = (
@@ -166,7 +164,7 @@ def sightings_by_month(
         .join(points, "survey_point_id")
     )
     counts = ["num_sightings", "num_po_sightings", "sum_of_count"]
-    per_site = (
+    return (
         _focal_sightings(sighting, species)
         .select("survey_id", "sp_id", "individual_count")
         .join(placed, "survey_id")
@@ -180,18 +178,50 @@ def sightings_by_month(
         .groupBy("year", "month", "site_id", "site_type", "sp_id")
         .agg(*[F.sum(c).alias(c) for c in counts])
     )
+
+
+def sightings_by_month(
+    survey: DataFrame,
+    sighting: DataFrame,
+    survey_point: DataFrame,
+    places: DataFrame,
+    sites_in_ranges: DataFrame,
+    species: DataFrame | Iterable[int] = FOCAL_SPECIES,
+    ranges: DataFrame | None = None,
+    scope: SurveyScope = SurveyScope(),
+) -> DataFrame:
+    """Sightings per year, month, site, taxon and range class.
+
+    ``num_po_sightings`` are those without a count; ``mean_of_count`` and
+    ``sum_of_count`` are over those with one.  All taxa of a species share its
+    counts, so these are taken per site and species and attached to the taxa at
+    the end.
+
+    A sighting goes to every taxon and range class of its species (``ranges``).
+    Without ``ranges`` it goes only to those that the site lies in, the rows that a
+    monthly survey count can meet.
+    """
+    per_site = sightings_per_site(survey, sighting, survey_point, places, species, scope)
     on_site = ["site_id", "site_type", "sp_id"]
     if ranges is None:
         per_taxon = per_site.join(sites_in_ranges, on_site)
     else:
         per_taxon = taxon_sightings(per_site.join(sites_in_ranges.select(*on_site), on_site, "left_semi"), ranges)
-    counted = F.col("num_sightings") - F.col("num_po_sightings")
     return per_taxon.select(
-        *MONTH_KEYS, "num_sightings", "num_po_sightings",
-        ratio(F.col("sum_of_count"), counted).alias("mean_of_count"), "sum_of_count",
+        *MONTH_KEYS, "num_sightings", "num_po_sightings", mean_of_count().alias("mean_of_count"), "sum_of_count"
     )
 
 
+def mean_of_count() -> Column:
+    """Individuals per counted sighting."""
+    return ratio(F.col("sum_of_count"), F.col("num_sightings") - F.col("num_po_sightings"))
+
+
+def mean_abundance(strict: bool = False) -> Column:
+    """Individuals per survey that could have counted them; see ``data_by_month``."""
+    return ratio(F.col("sum_of_count"), F.col("num_surveys") - F.col("num_po_sightings"), strict)
+
+
 def data_by_month(
     surveys_by_month: DataFrame, sightings_by_month: DataFrame, sites: DataFrame, strict: bool = False
 ) -> DataFrame:
@@ -212,7 +242,6 @@ def data_by_month(
     attributes = sites.select("site_id", F.col("site_type").alias("survey_type_id"), "site_permutation")
     seen = F.coalesce(F.col("num_sightings"), F.lit(0))
     counting = F.col("num_surveys") - F.col("num_po_sightings")
-    abundance = ratio(F.col("sum_of_count"), counting, strict)
     return (
         surveys_by_month.join(sightings, MONTH_KEYS, "left")
         .join(attributes, "site_id")
@@ -221,7 +250,7 @@ def data_by_month(
             seen.alias("num_sightings"),
             ratio(seen, F.col("num_surveys")).alias("rr"),
             F.coalesce("mean_of_count", F.lit(0.0)).alias("mean_of_count"),
-            F.coalesce(abundance, F.lit(0.0)).alias("mean_abundance"),
+            F.coalesce(mean_abundance(strict), F.lit(0.0)).alias("mean_abundance"),
             F.coalesce(counting, F.col("num_surveys")).alias("abundance_surveys"),
         )
     )

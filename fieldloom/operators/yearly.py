@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom.constants import CLASSIFIED_UNIT_TYPE, REPORTING_RATE
+from fieldloom.functions.rates import ratio
+from fieldloom.operators import monthly
 
 SERIES_KEYS = ["taxon_id", "site_id", "survey_type_id"]
 
@@ -28,6 +30,42 @@ def data_by_year(data_by_month: DataFrame) -> DataFrame:
     )
 
 
+def data_by_year_from_counts(surveys_per_site: DataFrame, sightings_per_site: DataFrame, sites_in_ranges: DataFrame,
+                             sites: DataFrame) -> DataFrame:
+    """The same table straight from the monthly counts per site and per species.
+
+    All taxa and ranges of a species share its monthly values at a site, and a
+    surveyed month without sightings adds 0 to each sum.  So the months are summed
+    per site and per species, and only whole years meet the taxa: the monthly table
+    per taxon, by far the largest of all, is never made.
+    """
+    site = ["site_id", "site_type"]
+    years = surveys_per_site.groupBy(*site, "year").agg(
+        F.sum("num_surveys").alias("num_surveys"), F.count("*").alias("months")
+    )
+    sums = {
+        "mean_monthly_rr": ratio(F.col("num_sightings"), F.col("num_surveys")),
+        "monthly_mean_of_mean_of_count": monthly.mean_of_count(),
+        "monthly_mean_abundance": monthly.mean_abundance(),
+    }
+    seen = (
+        sightings_per_site.join(surveys_per_site, [*site, "year", "month"])
+        .groupBy(*site, "year", "sp_id")
+        .agg(F.sum("num_sightings").alias("num_sightings"), *[F.sum(v).alias(name) for name, v in sums.items()])
+    )
+    attributes = sites.select("site_id", F.col("site_type").alias("survey_type_id"), "site_permutation")
+    return (
+        years.join(sites_in_ranges, site)
+        .join(seen, [*site, "year", "sp_id"], "left")
+        .join(attributes, "site_id")
+        .select(
+            "site_id", "survey_type_id", "site_permutation", "year", "taxon_id", "range_id", "num_surveys",
+            F.coalesce("num_sightings", F.lit(0)).alias("num_sightings"),
+            *[(F.coalesce(name, F.lit(0.0)) / F.col("months")).alias(name) for name in sums],
+        )
+    )
+
+
 def assign_response_variable(
     series: DataFrame,
     processing_method: DataFrame,

@@ -225,6 +225,7 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "distinct_taxa": lambda w: taxa.distinct_taxa(w.series.data_by_month),
     # yearly series
     "data_by_year": lambda w: w.series.data_by_year,
+    "data_by_year_from_months": lambda w: yearly.data_by_year(w.series.data_by_month),
     "response_variable": lambda w: w.assigned,
     "all_zero_series": lambda w: w.flagged,
     "site_count_summary": lambda w: yearly.site_count_summary(w.assigned, w.t.taxonomy, w.t.survey_type),

@@ -338,6 +338,7 @@ ORACLES: dict[str, str] = {
     "coverage_taxa": "SELECT taxon_id, count(*) AS n FROM {o_sightings_by_month} GROUP BY taxon_id",
     "distinct_taxa": "SELECT DISTINCT taxon_id FROM {o_data_by_month} ORDER BY taxon_id",
     "data_by_year": "SELECT * FROM {o_data_by_year}",
+    "data_by_year_from_months": "SELECT * FROM {o_data_by_year}",
     "response_variable": "SELECT * FROM {o_assigned}",
     "all_zero_series": "SELECT * FROM {o_flagged}",
     "site_count_summary": """
@@ -561,6 +562,7 @@ DOUBLES: dict[str, str] = {
     "sightings_by_month": "mean_of_count",
     "data_by_month": "rr mean_of_count mean_abundance",
     "data_by_year": "mean_monthly_rr monthly_mean_of_mean_of_count monthly_mean_abundance",
+    "data_by_year_from_months": "mean_monthly_rr monthly_mean_of_mean_of_count monthly_mean_abundance",
     "response_variable": "mean_monthly_rr monthly_mean_of_mean_of_count monthly_mean_abundance",
     "all_zero_series": "mean_monthly_rr monthly_mean_of_mean_of_count monthly_mean_abundance",
     "prior_edition": "value lat lon",

@@ -109,7 +109,15 @@ class SeriesBuild:
 
     @cached_property
     def data_by_year(self) -> DataFrame:
-        return yearly.data_by_year(self.data_by_month)
+        """Yearly series from monthly counts; ``yearly.data_by_year(self.data_by_month)`` gives the same."""
+        i = self.inputs
+        places = self.keep("sites_at_places", self.places)
+        surveys = monthly.surveys_per_site(i.survey, i.survey_point, places, replace(self.scope, survey_types=None))
+        sightings = monthly.sightings_per_site(
+            i.survey, i.sighting, i.survey_point, places, self.focal_species, self.scope
+        )
+        counted = self.keep("surveys_per_site", surveys)
+        return yearly.data_by_year_from_counts(counted, sightings, self.sites_in_ranges, i.site)
 
     def flagged(self, processing_method: DataFrame) -> DataFrame:
         """Yearly series with response variable and all-zero flag."""

@@ -44,10 +44,12 @@ def inside(rings, x, y) -> bool:
     return odd
 
 
+def found_in(spark, vertices, coordinates):
+    return [(r.p, r.id) for r in geo.points_in_polygons(points(spark, coordinates), vertices, ["id"]).collect()]
+
+
 def found(spark, polygons, coordinates):
-    rows = geo.points_in_polygons(points(spark, coordinates), layer(spark, polygons), ["id"]).collect()
-    pairs = [(r.p, r.id) for r in rows]
-    return pairs
+    return found_in(spark, layer(spark, polygons), coordinates)
 
 
 SQUARE = [(0, 0), (4, 0), (4, 4), (0, 4)]
@@ -94,6 +96,30 @@ def star(rng, corners, radius, cx, cy):
     ]
 
 
+def test_an_outline_of_many_vertices(spark):
+    """Most vertices of the layer in one wavy ring: finer cells, the same answer."""
+    n = 8000
+    wave = [
+        ((1000 + 40 * math.sin(37 * a)) * math.cos(a), (1000 + 40 * math.sin(37 * a)) * math.sin(a))
+        for a in (2 * math.pi * i / n for i in range(n))
+    ]
+    shapes = layer(spark, {1: [[wave]], 2: [[SQUARE]]})
+    cells = geo.polygon_cells(shapes, ["id"]).where("id = 1")
+    assert cells.count() <= n
+    assert cells.selectExpr("max(size(segs))").first()[0] < n / 8
+    rng = random.Random(3)
+    places = [(rng.uniform(-1100, 1100), rng.uniform(-1100, 1100)) for _ in range(400)]
+    got = {p for p, key in found_in(spark, shapes, places) if key == 1}
+    want = set()
+    for p, (x, y) in enumerate(places):
+        a, r = math.atan2(y, x), math.hypot(x, y)
+        edge = 1000 + 40 * math.sin(37 * a)
+        assert abs(r - edge) > 1e-3
+        if r < edge:
+            want.add(p)
+    assert got == want
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_equals_brute_force_on_mixed_sizes(spark, seed):
     """Tiny, middle and very wide shapes in one layer; points on corners, edges and anywhere."""

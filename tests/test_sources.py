@@ -47,7 +47,7 @@ def test_stages_stored_as_tables_give_the_same_series(spark, tables_dir, tmp_pat
     kept = SeriesBuild(w.series.inputs, catalog.SCOPE, stored_under(str(tmp_path)))
     a = catalog.published(kept.flagged(w.t.processing_method))
     b = catalog.published(w.flagged)
-    assert {p.name for p in tmp_path.iterdir()} == {"taxon_ranges", "sites_at_places", "sites_in_ranges", "data_by_year"}
+    assert {p.name for p in tmp_path.iterdir()} == {"taxon_ranges", "sites_at_places", "surveys_per_site", "data_by_year"}
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
