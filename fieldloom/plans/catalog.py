@@ -45,10 +45,10 @@ def published(df: DataFrame) -> DataFrame:
 
 
 class Workload:
-    """All stages over one directory of test tables."""
+    """All stages over one set of tables."""
 
-    def __init__(self, spark: SparkSession, directory: str, keep: Keep = checkpointed):
-        self.t = StarTables(spark, directory)
+    def __init__(self, tables: StarTables, keep: Keep = checkpointed):
+        self.t = tables
         self.keep = keep
 
     @cached_property
@@ -292,5 +292,10 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
 }
 
 
+def run_on(name: str, tables: StarTables) -> DataFrame:
+    return published(QUERIES[name](Workload(tables)))
+
+
 def run(name: str, spark: SparkSession, directory: str) -> DataFrame:
-    return published(QUERIES[name](Workload(spark, directory)))
+    """A query over the given tables, with the survey tables derived on the way."""
+    return run_on(name, StarTables(spark, directory))

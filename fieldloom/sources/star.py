@@ -273,16 +273,38 @@ class StarTables:
         self.directory = directory.rstrip("/")
         self._made: dict[str, DataFrame] = {}
 
+    def _read(self, path: str) -> DataFrame:
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
+
+    def _make(self, name: str) -> DataFrame:
+        if name in VIEWS:
+            needed = {dep: self[dep] for dep in dependencies(VIEWS[name])}
+            return self.spark.sql(VIEWS[name], **needed)
+        return self._read(f"{self.directory}/{name}.parquet")
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
-            if name in VIEWS:
-                needed = {dep: self[dep] for dep in dependencies(VIEWS[name])}
-                self._made[name] = self.spark.sql(VIEWS[name], **needed)
-            else:
-                path = f"{self.directory}/{name}.parquet"
-                if path not in self._schemas:
-                    self._schemas[path] = self.spark.read.parquet(path).schema
-                self._made[name] = self.spark.read.schema(self._schemas[path]).parquet(path)
+            self._made[name] = self._make(name)
         return self._made[name]
 
-    __getattr__ = __getitem__
+    def __getattr__(self, name: str) -> DataFrame:
+        return self[name]
+
+
+class StoredTables(StarTables):
+    """The same views, each read from its own Parquet table under ``folder``."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        super().__init__(spark, folder)
+
+    def _make(self, name: str) -> DataFrame:
+        return self._read(f"{self.directory}/{name}")
+
+
+def store_views(tables: StarTables, folder: str) -> StoredTables:
+    """Write every view as a Parquet table, once, as a deployment would hold them."""
+    for name in VIEWS:
+        tables[name].write.parquet(f"{folder}/{name}")
+    return StoredTables(tables.spark, folder)

@@ -7,30 +7,15 @@ import pytest
 from fieldloom.operators import monthly
 from fieldloom.plans import catalog
 from fieldloom.plans.catalog import Workload, published
-from fieldloom.sources.star import VIEWS, StarTables
+from fieldloom.sources.star import StarTables, store_views
 from fieldloom.sources.tables import save_bucketed
 
 OFF = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
 
 
-class StoredTables(StarTables):
-    """The same tables, every one read from its own Parquet file."""
-
-    def __getitem__(self, name):
-        if name not in self._made:
-            self._made[name] = self.spark.read.parquet(f"{self.directory}/{name}")
-        return self._made[name]
-
-    __getattr__ = __getitem__
-
-
 @pytest.fixture(scope="module")
 def stored(spark, tables_dir, tmp_path_factory):
-    folder = str(tmp_path_factory.mktemp("domain"))
-    tables = StarTables(spark, tables_dir)
-    for name in VIEWS:
-        tables[name].coalesce(1).write.parquet(f"{folder}/{name}")
-    return StoredTables(spark, folder)
+    return store_views(StarTables(spark, tables_dir), str(tmp_path_factory.mktemp("domain") / "tables"))
 
 
 @pytest.fixture()
@@ -43,10 +28,8 @@ def no_broadcast(spark):
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def workload(spark, tables_dir, stored) -> Workload:
-    w = Workload(spark, tables_dir, keep=lambda _name, df: df)
-    w.t = stored
-    return w
+def workload(stored) -> Workload:
+    return Workload(stored, keep=lambda _name, df: df)
 
 
 def plan_of(df) -> str:
@@ -55,7 +38,7 @@ def plan_of(df) -> str:
 
 @pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_no_query_needs_a_cross_join_or_a_python_row_loop(spark, tables_dir, stored, no_broadcast, name):
-    plan = plan_of(catalog.QUERIES[name](workload(spark, tables_dir, stored)))
+    plan = plan_of(catalog.QUERIES[name](workload(stored)))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "BroadcastHashJoin"):
         assert operator not in plan, operator
 
@@ -64,7 +47,7 @@ def test_no_query_needs_a_cross_join_or_a_python_row_loop(spark, tables_dir, sto
     "name", ["data_by_year", "value_differs", "wide_reporting_rate_filled", "method_report", "time_series_export"]
 )
 def test_results_hold_without_broadcasts(spark, tables_dir, stored, no_broadcast, name):
-    large = published(catalog.QUERIES[name](workload(spark, tables_dir, stored))).collect()
+    large = published(catalog.QUERIES[name](workload(stored))).collect()
     for key in OFF:
         spark.conf.unset(key)
     small = catalog.run(name, spark, tables_dir).collect()
@@ -72,7 +55,7 @@ def test_results_hold_without_broadcasts(spark, tables_dir, stored, no_broadcast
 
 
 def test_bucketed_sightings_are_not_shuffled(spark, tables_dir, stored, no_broadcast, tmp_path):
-    w = workload(spark, tables_dir, stored)
+    w = workload(stored)
     sighting = save_bucketed(w.t.sighting, "bucketed_sighting", "survey_id", 8, str(tmp_path / "s"))
     places = w.t.survey_point.selectExpr("x", "y", "id AS site_id", "1 AS site_type").distinct()
     located = places.selectExpr("site_id", "site_type", "1 AS sp_id", "'a' AS taxon_id", "1 AS range_id").distinct()
@@ -90,7 +73,7 @@ def test_bucketed_sightings_are_not_shuffled(spark, tables_dir, stored, no_broad
 
 def test_filters_and_columns_reach_the_scan(spark, tables_dir, stored):
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
-    w = workload(spark, tables_dir, stored)
+    w = workload(stored)
     plan = plan_of(monthly.valid_surveys(w.t.survey, catalog.SCOPE).select("id"))
     for filtered in ("GreaterThanOrEqual(start_date", "LessThanOrEqual(start_date", "In(survey_type_id", "Not(In(source_id"):
         assert filtered in plan, filtered

@@ -381,8 +381,9 @@ def test_site_labels_and_shares(spark):
 
 def test_export_of_one_taxon_with_a_condition(spark, tables_dir):
     from fieldloom.plans.catalog import Workload
+    from fieldloom.sources.star import StarTables
 
-    w = Workload(spark, tables_dir)
+    w = Workload(StarTables(spark, tables_dir))
     all_rows = export.time_series_export(w.t.agg_export, w.dims, 1996, 1999)
     taxon = all_rows.first().taxon_id
     one = export.time_series_export(

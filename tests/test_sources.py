@@ -11,6 +11,7 @@ from fieldloom.plans import catalog
 from fieldloom.plans.catalog import Workload
 from fieldloom.plans.pipelines import SeriesBuild, stored_under
 from fieldloom.sources import tables
+from fieldloom.sources.star import StarTables
 
 
 def test_csv_is_typed(spark, tmp_path):
@@ -43,7 +44,7 @@ def test_tables_are_written_and_not_replaced_by_mistake(spark, tmp_path):
 
 
 def test_stages_stored_as_tables_give_the_same_series(spark, tables_dir, tmp_path):
-    w = Workload(spark, tables_dir)
+    w = Workload(StarTables(spark, tables_dir))
     kept = SeriesBuild(w.series.inputs, catalog.SCOPE, stored_under(str(tmp_path)))
     a = catalog.published(kept.flagged(w.t.processing_method))
     b = catalog.published(w.flagged)
