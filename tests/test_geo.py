@@ -106,7 +106,7 @@ def test_an_outline_of_many_vertices(spark):
     shapes = layer(spark, {1: [[wave]], 2: [[SQUARE]]})
     cells = geo.polygon_cells(shapes, ["id"]).where("id = 1")
     assert cells.count() <= n
-    assert cells.selectExpr("max(size(segs))").first()[0] < n / 8
+    assert cells.selectExpr("max(size(segs))").first()[0] < n / 4
     rng = random.Random(3)
     places = [(rng.uniform(-1100, 1100), rng.uniform(-1100, 1100)) for _ in range(400)]
     got = {p for p, key in found_in(spark, shapes, places) if key == 1}
