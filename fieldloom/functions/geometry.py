@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 # {x} and {y} stand for the point, e for the edge
 _SIDE = "((e.x2 - e.x1) * ({y} - e.y1) - ({x} - e.x1) * (e.y2 - e.y1))"
 _ON_EDGE = (
-    "{x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2) "
+    "{y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2) AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) "
     f"AND {_SIDE} = 0"
 )
 # the ray from the point towards +x, half-open in y

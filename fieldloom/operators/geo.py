@@ -55,8 +55,8 @@ def _part_levels(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The grid level of every part, from its extent and its number of vertices n.
 
     A part is at most 16, or a quarter of root n, cells across.  So its cells do not
-    outnumber its vertices (or 256), and a row of cells holds edges in the order of root n: no
-    task ever gathers a whole outline.
+    outnumber its vertices (or 256), and a row of cells holds edges in the order of
+    root n: no task ever gathers a whole outline.
     """
     extent = "greatest(max(x) - min(x), max(y) - min(y), 1e-30D)"
     across = "greatest(16D, sqrt(count(x)) / 4)"

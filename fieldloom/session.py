@@ -13,6 +13,7 @@ def build_session(app: str = "fieldloom", master: str | None = None, **conf: str
     AQE sizes shuffle partitions, splits skewed ones and turns a join into a
     broadcast once a side has been measured below the threshold.  No operator
     hints a broadcast, so that measured threshold is the only way to one.
+    Checkpoints are removed once nothing refers to them any more.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -22,6 +23,7 @@ def build_session(app: str = "fieldloom", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.enabled": "false",
         **conf,
     }

@@ -14,6 +14,7 @@ from pyspark.sql.types import StructType
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
+# constant outlines; joined to a row they turn it into its five ring vertices
 _DIAMOND = "(SELECT * FROM (VALUES (1, 0, -1), (2, 1, 0), (3, 0, 1), (4, -1, 0), (5, 0, -1)) AS t(seq, dx, dy))"
 _SQUARE = "(SELECT * FROM (VALUES (1, 0, 0), (2, 1, 0), (3, 1, 1), (4, 0, 1), (5, 0, 0)) AS t(seq, dx, dy))"
 
@@ -203,6 +204,7 @@ VIEWS: dict[str, str] = {
                CAST(site_id * 3 % 20 AS DOUBLE) + CAST(start_date_y % 4 AS DOUBLE) / 4 AS centroid_x,
                CAST(site_id * 11 % 19 AS DOUBLE) AS centroid_y, CAST(site_id % 6 * 100 AS DOUBLE) AS positional_accuracy_in_m
         FROM {agg}""",
+    # every taxon of the taxonomy with every source: two lists of names, not facts
     "data_source": """
         SELECT w.taxon_id, k.source_id,
                CASE WHEN k.source_id % 4 = 0 THEN NULL ELSE 1996 END AS start_year,
