@@ -44,11 +44,17 @@ def sites_at_places(survey_point: DataFrame, sites: DataFrame, site_vertex: Data
     return inside.join(sites.select("site_id", "site_type"), "site_id")
 
 
+def _points_on_sites(survey_point: DataFrame, places: DataFrame) -> DataFrame:
+    """Survey points that lie in some site: the others, with all their surveys, leave at the first join."""
+    points = survey_point.select(F.col("id").alias("survey_point_id"), "x", "y")
+    return points.join(places.select("x", "y"), ["x", "y"], "left_semi")
+
+
 def surveys_per_site(
     survey: DataFrame, survey_point: DataFrame, places: DataFrame, scope: SurveyScope = SurveyScope(survey_types=None)
 ) -> DataFrame:
     """Surveys per site, year and month; a survey counts for each site of its own type that its point lies in."""
-    points = survey_point.select(F.col("id").alias("survey_point_id"), "x", "y")
+    points = _points_on_sites(survey_point, places)
     when = [F.year("start_date").alias("year"), F.month("start_date").alias("month")]
     per_place = (
         valid_surveys(survey, scope)
@@ -154,7 +160,7 @@ def sightings_per_site(
 
     Sightings meet their survey once and shrink per place before they meet the sites.
     """
-    points = survey_point.select(F.col("id").alias("survey_point_id"), "x", "y")
+    points = _points_on_sites(survey_point, places)
     placed = (
         valid_surveys(survey, scope)
         .select(
