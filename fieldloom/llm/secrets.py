@@ -1,0 +1,251 @@
+"""Secrets in texts, also under nested encodings: a decoding worklist run to its fixpoint."""
+
+from __future__ import annotations
+
+import base64
+import binascii
+import hashlib
+import re
+import zlib
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from fieldloom.llm.common import LOWER, by_rows, texts
+
+KINDS = ("assign", "access", "hex")
+ASSIGN = re.compile(
+    rb"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
+HEX = re.compile(rb"[0-9a-f]+")
+_KEYWORDS = re.compile(rb"(?=passw|secret|token|api)")  # may overlap
+_KEYWORD_PARTS = (b"passw", b"secret", b"token", b"api")
+LEAST = {"assign": 6, "access": 20, "hex": 24}
+
+#: Characters of base64 in either alphabet; a run of them also holds every access key and hex string.
+_RUN = bytes(b in b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-" for b in range(256))
+_SHORTEST_RUN = 16
+_URL = re.compile(rb"(?:%[0-9A-Fa-f]{2})+")
+_UNICODE = re.compile(rb"(?:\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\x[0-9a-fA-F]{2})+")
+_ONE_UNICODE = re.compile(rb"\\u([0-9a-fA-F]{4})|\\U([0-9a-fA-F]{8})|\\x([0-9a-fA-F]{2})")
+_PADDING = re.compile(rb"={0,2}")
+
+SCHEMA = "doc_id long, findings array<struct<kind:string,start:long,end:long,depth:int,layers:string>>"
+
+
+def _runs(body: bytes) -> list[tuple[int, int]]:
+    """Where at least 16 characters of base64 stand in a row."""
+    marks = np.frombuffer(body.translate(_RUN), dtype=np.uint8)
+    stops = np.concatenate(([-1], np.flatnonzero(marks == 0), [len(marks)]))
+    at = np.flatnonzero(np.diff(stops) > _SHORTEST_RUN)
+    return list(zip((stops[at] + 1).tolist(), stops[at + 1].tolist(), strict=True))
+
+
+def scan(body: bytes, runs: list[tuple[int, int]]) -> list[tuple[str, int, int]]:
+    """The base kinds in one layer as (kind, start, end) in bytes: leftmost, not overlapping per kind."""
+    found = []
+    lower = body.translate(LOWER)
+    if any(part in lower for part in _KEYWORD_PARTS):
+        free = 0
+        for hit in _KEYWORDS.finditer(lower):
+            if hit.start() >= free and (match := ASSIGN.match(body, hit.start())):
+                free = match.end()
+                if match.end(2) - match.start(2) >= LEAST["assign"]:
+                    found.append(("assign", match.start(), match.end()))
+    for start, end in runs:
+        for kind, pattern in (("access", ACCESS), ("hex", HEX)):
+            if end - start >= LEAST[kind]:
+                for match in pattern.finditer(body, start, end):
+                    if match.end() - match.start() >= LEAST[kind]:
+                        found.append((kind, match.start(), match.end()))
+    return found
+
+
+def _inflated(data: bytes) -> tuple[bytes, int]:
+    """Compressed layers taken off until none is left or one repeats; how many there were."""
+    seen, layers = set(), 0
+    while data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0):
+        mark = hashlib.sha256(data).digest()
+        if mark in seen:
+            break
+        seen.add(mark)
+        try:
+            data = zlib.decompress(data, 47)
+        except zlib.error:
+            break
+        layers += 1
+    return data, layers
+
+
+def _is_text(data: bytes) -> bool:
+    try:
+        text = data.decode("utf-8")
+    except UnicodeDecodeError:
+        return False
+    return sum(c.isprintable() or c.isspace() for c in text) >= 0.9 * len(text) > 0
+
+
+def _replaced(body: bytes, starts, ends, pattern, decode):
+    """The layer with all escapes decoded, and for each byte the span it comes from."""
+    parts, froms, tos, at = [], [], [], 0
+    for match in pattern.finditer(body):
+        parts.append(body[at : match.start()])
+        froms.append(starts[at : match.start()])
+        tos.append(ends[at : match.start()])
+        for piece, a, b in decode(match):
+            parts.append(piece)
+            froms.append(np.full(len(piece), starts[a]))
+            tos.append(np.full(len(piece), ends[b - 1]))
+        at = match.end()
+    parts.append(body[at:])
+    froms.append(starts[at:])
+    tos.append(ends[at:])
+    return b"".join(parts), np.concatenate(froms), np.concatenate(tos)
+
+
+def _url_pieces(match):
+    for a in range(match.start(), match.end(), 3):
+        yield bytes([int(match.string[a + 1 : a + 3], 16)]), a, a + 3
+
+
+def _unicode_pieces(match):
+    high = None
+    for one in _ONE_UNICODE.finditer(match.string, match.start(), match.end()):
+        code = int(next(g for g in one.groups() if g), 16)
+        if high is not None and 0xDC00 <= code < 0xE000:
+            yield chr(0x10000 + (high[0] - 0xD800 << 10) + code - 0xDC00).encode(), high[1], one.end()
+            high = None
+            continue
+        high = (code, one.start()) if 0xD800 <= code < 0xDC00 else None
+        if high is None and code < 0x110000 and not 0xD800 <= code < 0xE000:
+            yield chr(code).encode(), one.start(), one.end()
+
+
+def _unwrapped(body: bytes, starts, ends, runs):
+    """The layers directly under one: (name, bytes, starts, ends)."""
+    if b"%" in body and _URL.search(body):
+        yield "url", *_replaced(body, starts, ends, _URL, _url_pieces)
+    if b"\\" in body and _UNICODE.search(body):
+        yield "unicode", *_replaced(body, starts, ends, _UNICODE, _unicode_pieces)
+    data, layers = _inflated(body)
+    if layers:
+        yield "compressed", data, np.full(len(data), starts[0]), np.full(len(data), ends[-1])
+    for a, b in runs:
+        run = body[a:b].translate(bytes.maketrans(b"-_", b"+/"))
+        if len(run) % 4 == 1:
+            continue
+        try:
+            data = base64.b64decode(run + b"=" * (-len(run) % 4))
+        except (binascii.Error, ValueError):
+            continue
+        data, layers = _inflated(data)
+        if layers or _is_text(data):
+            b = _PADDING.match(body, b).end()
+            yield "base64" + "+compressed" * layers, data, np.full(len(data), starts[a]), np.full(len(data), ends[b - 1])
+
+
+def find_secrets(body: bytes) -> list[tuple[str, int, int, int, str]]:
+    """All findings of one text: (kind, start, end, depth, layers), in code points of the text.
+
+    Each layer is scanned for the base kinds.  What its URL escapes, Unicode escapes,
+    base64 runs and compressed streams hold goes on the worklist as a layer of its own,
+    until no layer gives a new one; a layer seen before at the same place is not
+    entered again, so cycles end.  A finding in a layer has the span of the text that
+    it was decoded from; one that repeats a span of its kind is listed once, with the
+    least depth.
+    """
+    runs = _runs(body)
+    found = {(k, a, b): (0, "") for k, a, b in scan(body, runs)}
+    if b"%" in body or b"\\" in body or runs or body[:2] in (b"\x1f\x8b",):
+        here = np.arange(len(body) + 1)
+        work, seen = [(0, "", body, here[:-1], here[1:], runs)], set()
+        while work:
+            depth, path, layer, starts, ends, runs = work.pop()
+            if depth:
+                for kind, a, b in scan(layer, runs):
+                    found.setdefault((kind, int(starts[a]), int(ends[b - 1])), (depth, path))
+            for name, data, froms, tos in _unwrapped(layer, starts, ends, runs):
+                if not len(data):
+                    continue
+                mark = hashlib.sha256(data).digest() + int(froms[0]).to_bytes(8, "big") + int(tos[-1]).to_bytes(8, "big")
+                if data != layer and mark not in seen:
+                    seen.add(mark)
+                    work.append((depth + 1, f"{path}/{name}", data, froms, tos, _runs(data)))
+    if not found:
+        return []
+    heads = np.cumsum((np.frombuffer(body, dtype=np.uint8) & 0xC0) != 0x80)
+    point = lambda at: int(heads[at - 1]) if at else 0
+    rows = [(k, point(a), point(b), depth, path[1:]) for (k, a, b), (depth, path) in found.items()]
+    return sorted(rows, key=lambda r: (r[1], KINDS.index(r[0]), r[2]))
+
+
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, findings): the findings of every row, an empty list where there are none.
+
+    Null and empty texts have no findings; a row that repeats is scanned again and
+    listed again; an empty table gives none; other columns are not read.  Each text is
+    scanned whole in the task that reads it, so nothing is shuffled.  ``findings`` has
+    kind, start, end (code points, end exclusive), depth (0: the text itself) and the
+    layers that were taken off, outermost first.
+    """
+
+    def process(key, body):
+        yield key, [dict(zip(("kind", "start", "end", "depth", "layers"), r, strict=True)) for r in find_secrets(body)]
+
+    return texts(docs, id_col, text_col).mapInArrow(by_rows(process, SCHEMA), SCHEMA)
+
+
+def listed(findings: Column) -> Column:
+    """kind:start:end, comma-joined."""
+    return F.array_join(
+        F.transform(findings, lambda f: F.concat_ws(":", f["kind"], f["start"].cast("string"), f["end"].cast("string"))), ","
+    )
+
+
+def secret_digest(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_decoded) from the findings of every text."""
+    base = F.filter("findings", lambda f: f["depth"] == 0)
+    count = lambda kind: F.size(F.filter("findings", lambda f: (f["depth"] == 0) & (f["kind"] == kind))).cast("long")
+    return scan_secrets(docs).select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("findings")).alias("spans"),
+        (F.size("findings") - F.size(base)).cast("long").alias("n_decoded"),
+    )
+
+
+def redact(docs: DataFrame, mark: str = "[{kind}]") -> DataFrame:
+    """The documents with every finding replaced by a mark of its kind; overlapping spans become one.
+
+    Columns, rows and their types stay; ``n_chars`` follows the new text where there is
+    such a column.  Null texts stay null.
+    """
+    fields = docs.columns
+    marks = {k: mark.format(kind=k.upper()).encode() for k in KINDS}
+
+    def cleaned(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            out = []
+            for text in batch.column(at).to_pylist():
+                spans = find_secrets(text.encode()) if text else []
+                if spans:
+                    parts, free = [], 0
+                    for kind, a, b, _, _ in spans:
+                        if a >= free:
+                            parts += [text[free:a], marks[kind].decode()]
+                        free = max(free, b)
+                    text = "".join([*parts, text[free:]])
+                out.append(text)
+            columns = [pa.array(out, type=batch.schema.field(at).type) if i == at else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    result = docs.mapInArrow(cleaned, docs.schema)
+    if "n_chars" in fields:
+        result = result.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return result.select(*[f"`{c}`" for c in fields])
