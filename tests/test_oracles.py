@@ -15,8 +15,9 @@ def connection(tables_dir):
     return connect(tables_dir)
 
 
-def test_each_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql()) == set(catalog.QUERIES) == set(ORACLES)
+def test_each_catalog_query_has_its_sql():
+    assert set(catalog.QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", list(catalog.QUERIES))
