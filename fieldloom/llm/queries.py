@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.llm import embeddings, exact_dedup, licenses, packing, secrets, sharding, toxicity
+from fieldloom.llm import embeddings, exact_dedup, jaccard, licenses, packing, secret_scan, sharding, toxicity
 from fieldloom.llm.common import documents
 
 
@@ -16,12 +16,16 @@ def op2_shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_texts(documents(spark, sf_dir))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licence_digest(documents(spark, sf_dir))
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.secret_digest(documents(spark, sf_dir))
+    return secret_scan.secret_digest(documents(spark, sf_dir))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
