@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.llm import embeddings, exact_dedup, jaccard, licenses, packing, secret_scan, sharding, toxicity
+from fieldloom.llm import embeddings, exact_dedup, jaccard, licenses, packing, secret_scan, sharding, suffix_dedup, toxicity
 from fieldloom.llm.common import documents
 
 
@@ -20,6 +20,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_texts(documents(spark, sf_dir))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(documents(spark, sf_dir)).drop("spans")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licence_digest(documents(spark, sf_dir))
 
