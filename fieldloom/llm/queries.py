@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.llm import embeddings, exact_dedup, jaccard, licenses, packing, secret_scan, sharding, suffix_dedup, toxicity
+from fieldloom.llm import embeddings, exact_dedup, jaccard, licenses, packing, pieces, secret_scan, sharding, suffix_dedup, toxicity
 from fieldloom.llm.common import documents
 
 
@@ -32,6 +32,10 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(documents(spark, sf_dir))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trips(documents(spark, sf_dir))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir)).drop("ids", "width")
 
