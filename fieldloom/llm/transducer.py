@@ -94,6 +94,7 @@ class Transducer:
         self.fits: dict[tuple[str, str], bool] = {}
         self.costs = {p: -model.scores[i] for p, i in self.ids.items()}
         self.histories: dict[str, tuple] = {}
+        self.output = [self._output(i) for i in range(len(model.pieces))]
         self.parts: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
@@ -228,20 +229,19 @@ class Transducer:
 
     def decode(self, ids: bytes) -> str:
         """The text of ids: bytes joined, invalid ones as U+FFFD, space marks as blanks, without the first."""
-        parts: list[bytes] = []
-        first = True
-        for i in np.frombuffer(ids, dtype="<i4").tolist():
-            kind, piece = self.model.kinds[i], self.model.pieces[i]
-            if kind == BYTE:
-                parts.append(bytes([int(piece[3:5], 16)]))
-            elif kind == UNKNOWN:
-                parts.append(" ⁇ ".encode())
-            elif kind != CONTROL:
-                if first and self.model.prefix and piece.startswith(SPACE):
-                    piece = piece[1:]
-                parts.append(piece.replace(SPACE, " ").encode())
-            first = False
-        return b"".join(parts).decode("utf-8", "replace")
+        numbers = np.frombuffer(ids, dtype="<i4").tolist()
+        out = b"".join([self.output[i] for i in numbers])
+        if numbers and self.model.prefix and self.model.pieces[numbers[0]].startswith(SPACE):
+            out = out[1:]
+        return out.decode("utf-8", "replace")
+
+    def _output(self, number: int) -> bytes:
+        kind, piece = self.model.kinds[number], self.model.pieces[number]
+        if kind == BYTE:
+            return bytes([int(piece[3:5], 16)])
+        if kind == CONTROL:
+            return b""
+        return " ⁇ ".encode() if kind == UNKNOWN else piece.replace(SPACE, " ").encode()
 
 
 _TRANSDUCERS: dict[str, Transducer] = {}
