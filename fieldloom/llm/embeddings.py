@@ -128,10 +128,10 @@ def _linked(cosine: float):
     def block(rows):
         reps = [r["rep"] for r in rows]
         units = _unit([r["embedding"] for r in rows])
-        sides = np.array([r["block"] == r["hi"] and r["lo"] != r["hi"] for r in rows])
+        sides = np.array([r["block"] == r["hi"] for r in rows])
         close = units @ units.T >= cosine
         np.fill_diagonal(close, False)
-        if sides.any():
+        if rows[0]["lo"] != rows[0]["hi"]:
             close &= sides[:, None] != sides[None, :]  # pairs inside one side belong to its own block
         parent = list(range(len(rows)))
 
@@ -142,7 +142,7 @@ def _linked(cosine: float):
             return i
 
         counts = [0] * len(rows)
-        codes = [r["codes"] for r in rows]
+        codes = [set(r["codes"]) for r in rows]
         bucket = rows[0]["bucket"]
         for i, j in zip(*np.nonzero(np.triu(close)), strict=True):
             x, y = root(int(i)), root(int(j))
@@ -150,7 +150,7 @@ def _linked(cosine: float):
                 low, high = (x, y) if reps[x] < reps[y] else (y, x)
                 parent[high] = low
             # a pair that meets in several buckets counts in the first of them
-            if bucket == min(set(codes[i]) & set(codes[j])):
+            if bucket == min(codes[i] & codes[j]):
                 counts[i] += rows[j]["n"]
                 counts[j] += rows[i]["n"]
         for i, r in enumerate(rows):

@@ -15,11 +15,14 @@ BUCKET_ROWS = 20_000
 _FINE = 256
 
 
-def _moves(nodes: DataFrame, links: DataFrame, shards: int, target: list[int]) -> DataFrame:
+def _moves(nodes: DataFrame, links: DataFrame, shards: int, target: list[int], turn: int) -> DataFrame:
     """One round: (nid, shard) after the accepted moves.
 
     A node's neighbours are the nodes that share a key with it.  Its wish is the shard
-    where most of them and it are (ties: an order of shards drawn from its key).
+    where most of them are.  Ties of a node with one key go by an order of shards
+    drawn from the key, which all of its nodes share; a node with several keys then stays
+    where it is, and only every other one of these, drawn anew each round, may move.  So
+    neighbours do not change places for ever.
     Wishes for a shard are accepted by size of the key's group, large ones first, up to
     what the shard's target leaves beside the linked nodes that stay there.
     """
@@ -31,23 +34,25 @@ def _moves(nodes: DataFrame, links: DataFrame, shards: int, target: list[int]) -
     score = F.array(*[F.sum(F.col("around")[s]) for s in range(shards)])
     wished = (
         met.groupBy("nid")
-        .agg(score.alias("score"), F.max(F.struct("group", "key")).alias("largest"))
+        .agg(score.alias("score"), F.max(F.struct("group", "key")).alias("largest"), F.count("*").alias("keys"))
         .join(nodes, "nid")
         .withColumn("group", F.col("largest.group"))
         .withColumn("key", F.col("largest.key"))
     )
-    # equal counts: the key's own order, which all of its nodes share, so that they do not change places for ever
     options = F.array(
         *[
             F.struct(
-                F.col("score")[s].alias("n"),
+                # a node with several keys does not count itself
+                (F.col("score")[s] - F.when((F.col("shard") == s) & (F.col("keys") > 1), F.col("keys")).otherwise(0)).alias("n"),
+                ((F.col("shard") == s) & (F.col("keys") > 1)).alias("own"),
                 F.pmod(F.xxhash64("key", F.lit(s)), F.lit(1 << 31)).alias("draw"),
                 F.lit(s).alias("to"),
             )
             for s in range(shards)
         ]
     )
-    wished = wished.withColumn("to", F.array_max(options)["to"])
+    may_move = (F.col("keys") == 1) | (F.pmod(F.xxhash64("nid", F.lit(turn)), F.lit(2)) == 0)
+    wished = wished.withColumn("to", F.when(may_move, F.array_max(options)["to"]).otherwise(F.col("shard")))
     linked = stage(
         wished.select(
             "nid", "shard", "to", "group",
@@ -89,8 +94,8 @@ def balanced_propagation(nodes: DataFrame, links: DataFrame, shards: int = SHARD
     shared = links.join(links.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1").select("key"), "key").select("nid", "key")
     shared = stage(shared, "links")
     placed = nodes.select("nid", F.pmod(F.xxhash64("nid"), F.lit(shards)).cast("int").alias("shard"))
-    for _ in range(rounds):
-        placed = stage(_moves(placed, shared, shards, target), "shards")
+    for turn in range(rounds):
+        placed = stage(_moves(placed, shared, shards, target, turn), "shards")
     linked = shared.select("nid").distinct().withColumn("linked", F.lit(1))
     held = placed.join(linked, "nid", "left").select("nid", "shard", F.coalesce("linked", F.lit(0)).alias("linked"))
     order = ranked(held, ["shard", "linked"], [F.col("nid")], F.xxhash64("nid"), buckets)

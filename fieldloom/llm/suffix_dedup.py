@@ -231,7 +231,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         marked.withColumn("places", F.count("*").over(by_anchor)).filter("places > 1")
         .select("doc_id", "u", "h", (F.col("at") - F.col("back")).alias("lo"), (F.col("more") + length).cast("int").alias("size"))
     )
-    listed = stage(repeated.groupBy("doc_id", "u").agg(F.collect_list(F.struct("h", "lo", "size")).alias("spans")), "anchors")
+    listed = stage(repeated.groupBy("doc_id", "u").agg(F.collect_set(F.struct("h", "lo", "size")).alias("spans")), "anchors")
     bodies = stage(
         fresh.dropDuplicates(["doc_id", "u"]).join(listed, same(fresh, listed)).select(fresh.doc_id, fresh.u, "body", "spans"), "anchored-texts"
     )

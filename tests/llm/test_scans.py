@@ -1,0 +1,146 @@
+"""Secrets, licences, toxicity."""
+
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import random
+import urllib.parse
+import zlib
+
+import numpy as np
+import pytest
+
+from fieldloom.llm import licenses, secret_scan, toxicity
+from tests.llm import brute
+
+KEY = "AKIA" + "ABCDEFGH12345678"
+
+
+def test_secret_digest(odd_docs, odd_rows, table, table_rows, no_docs):
+    for docs, rows in ((odd_docs, odd_rows), (table, table_rows)):
+        got = sorted((r.base_sha256, r.n_assign, r.n_access, r.n_hex, r.spans) for r in secret_scan.secret_digest(docs).collect())
+        want = []
+        for _, text in rows:
+            found = brute.secrets(text)
+            listed = ",".join(f"{k}:{a}:{b}" for k, a, b in found)
+            want.append((hashlib.sha256(listed.encode()).hexdigest(), *(sum(k == kind for k, _, _ in found) for kind in secret_scan.KINDS), listed))
+        assert got == sorted(want)
+    assert secret_scan.secret_digest(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("text", [
+    "é secret: token:abcdefgh x", "secretoken = 'abcdef'", "api_key=abc.def PASSWD:xyzzyx", f"a{KEY}b {KEY}", "passwordpassword=aaaaaa",
+    "0123456789abcdef01234567 " * 2, "ToKeN\" = \"====== x", "token=abcde token=abcdef", "toKen=abcdefgh", "secret=api_key=abcdefg",
+])
+def test_base_kinds(text):
+    got = [(k, a, b) for k, a, b, depth, _ in secret_scan.find_secrets(text.encode()) if not depth]
+    assert got == brute.secrets(text)
+
+
+def test_nested_layers_are_unwrapped():
+    secret = 'password = "hunter2hunter2"'
+    url = urllib.parse.quote(secret)
+    escaped = "".join(f"\\u{ord(c):04x}" for c in secret)
+    packed = base64.b64encode(gzip.compress(base64.b64encode(zlib.compress(url.encode())))).decode()
+    for layer, path in ((url, "url"), (escaped, "unicode"), (packed, "base64+compressed/base64+compressed/url"), (urllib.parse.quote(urllib.parse.quote(secret)), "url/url")):
+        text = f"äö before {layer} after"
+        found = [f for f in secret_scan.find_secrets(text.encode()) if f[0] == "assign" and f[3]]
+        assert found and found[-1][4].replace("base64/compressed", "base64+compressed") == path
+        start, end = found[-1][1], found[-1][2]
+        assert text.index(layer) <= start < end <= text.index(layer) + len(layer)
+
+
+def test_a_layer_that_holds_itself_ends():
+    text = "%2525252541KIA" + "A" * 20 + "%25"
+    assert secret_scan.find_secrets(text.encode()) is not None
+    assert secret_scan._inflated(b"x\x9c")[1] == 0
+
+
+def test_redaction(spark, odd_docs):
+    docs = spark.createDataFrame([(1, f"a token = abcdefgh z {KEY}", 5), (2, None, None), (3, "clean", 5)], "doc_id long, text string, n_chars long")
+    rows = {r.doc_id: r for r in secret_scan.redact(docs).collect()}
+    assert rows[1].text == "a [ASSIGN] z [ACCESS]" and rows[1].n_chars == len(rows[1].text)
+    assert rows[2].text is None and rows[3].text == "clean"
+    assert secret_scan.redact(odd_docs).columns == odd_docs.columns
+
+
+def test_licence_digest(spark, odd_docs, odd_rows, table, table_rows, no_docs):
+    own = [(i, t) for i, t in enumerate([
+        "Under the MIT-License under the mit license, CC BY-NC 4.0 / cc_by_nc", "apache license, version 2.0 apache license version 22",
+        "under the\x00mit license", "éunder the mit license", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+    ])]
+    extra = spark.createDataFrame(own, "doc_id long, text string")
+    for docs, rows in ((odd_docs, odd_rows), (table, table_rows), (extra, own)):
+        got = sorted(tuple(r)[1:] for r in licenses.licence_digest(docs).select("doc_id", "n_words", "n_base", "base_labels").collect())
+        want = []
+        for _, text in rows:
+            n, places = brute.licence_places(text)
+            want.append((n, len(places), ",".join(sorted({label for _, label in places}))))
+        assert got == sorted(want)
+        for r in licenses.licence_digest(docs).collect():
+            assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+            assert (r.first_word is None) == (r.n_base == 0)
+    found = {r.doc_id: r for r in licenses.licence_digest(extra).collect()}
+    assert found[0].first_word == 0 and found[0].last_word == 13 and found[1].first_word == 0 and 0.1 < found[4].score < 1
+    assert licenses.licence_digest(no_docs).count() == 0
+
+
+def test_whole_templates_get_their_label():
+    scanner = licenses.LicenceScanner()
+    for label, text in licenses.TEMPLATES:
+        words = text.split()
+        broken = " ".join([*words[: len(words) // 2], "inserted", *words[len(words) // 2 :]])
+        spans = scanner.scan(f"some words {broken} and more".encode())[2]
+        assert label in {s[0] for s in spans if s[4] >= licenses.COVERED} or len(words) < 9
+
+
+def test_matching_statistics():
+    rng = random.Random(1)
+    for _ in range(100):
+        templates = [[rng.randrange(3) for _ in range(rng.randint(1, 12))] for _ in range(3)]
+        machine = licenses.SuffixAutomaton(templates)
+        has = lambda s: any(t[i : i + len(s)] == s for t in templates for i in range(len(t)))  # noqa: B023, E731
+        text = [rng.randrange(4) for _ in range(30)]
+        for at, (state, length) in enumerate(machine.statistics(text), 1):
+            want = max((n for n in range(at + 1) if n and has(text[at - n : at])), default=0)
+            assert length == want
+            for template, end in machine.places[state] if length else ():
+                assert templates[template][end - length : end] == text[at - length : at]
+
+
+def test_nearest_examples_are_exact():
+    rng = np.random.default_rng(4)
+    index = toxicity.BlockMaxIndex(30, rng.uniform(1, 5, 30), list(range(300)), rng.integers(0, 2, 300), 0.5)
+    rows = [{int(t): int(rng.integers(1, 5)) for t in rng.choice(30, rng.integers(0, 8), replace=False)} for _ in range(300)]
+    index.build(rows)
+    dense = np.zeros((300, 30))
+    for i, counts in enumerate(rows):
+        for t, w in index.weights(counts).items():
+            dense[i, t] = w
+    for i in range(0, 300, 7):
+        near = index.nearest(index.weights(rows[i]), 10, i)
+        cosine = dense @ dense[i]
+        cosine[i] = 0
+        want = sorted((-c for c in cosine if c > 0))[:10]
+        assert np.allclose([-c for c, _ in near], want) and all(abs(cosine[j] - c) < 1e-9 for c, j in near)
+
+
+def test_toxicity_held_out(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    held = [r for r in rows if r.held_out]
+    hit = sum(r.predicted and r.toxic for r in held)
+    assert hit >= 0.8 * sum(r.toxic for r in held) and hit >= 0.9 * sum(r.predicted for r in held)
+
+
+def test_toxicity_edges(spark, odd_docs, odd_rows, no_docs):
+    labels = spark.createDataFrame([(7, 1, 1), (3, 0, 1), (None, 1, 1), (9, 1, None), (14, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = toxicity.toxicity(odd_docs, labels).collect()
+    assert len(rows) == len(odd_rows) and all(r.score is not None for r in rows)
+    none = labels.limit(0)
+    assert {r.predicted for r in toxicity.toxicity(odd_docs, none).collect()} == {0}
+    assert toxicity.toxicity(no_docs, labels).count() == 0
