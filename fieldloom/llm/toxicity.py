@@ -102,7 +102,7 @@ class BlockMaxIndex:
             np.maximum.at(self.tops[t], at // self.block, weight)
             self.postings.append((at, weight, np.searchsorted(at, np.arange(blocks + 1) * self.block)))
 
-    def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
+    def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
         """The ``k`` examples of largest cosine over 0, ties by position: exact.
 
         Blocks come in the order of their bounds; the search ends when the next bound is
@@ -122,7 +122,7 @@ class BlockMaxIndex:
                 at, weight, starts = self.postings[t]
                 lo, hi = starts[b], starts[b + 1]
                 scores[at[lo:hi] - b * self.block] += query[t] * weight[lo:hi]
-            found = [(float(scores[i]), b * self.block + int(i)) for i in np.flatnonzero(scores) if b * self.block + i != without]
+            found = [(float(scores[i]), b * self.block + int(i)) for i in np.flatnonzero(scores)]
             best = sorted([*best, *found], key=lambda r: (-r[0], r[1]))[:k]
         return best
 
@@ -221,12 +221,15 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary
     index = BlockMaxIndex(len(terms), idf, [r["doc_id"] for r in rows], labels_, float(labels_.mean()) if rows else 0.0)
     index.build([dict(zip(r["terms"], r["counts"], strict=True)) for r in rows])
     if rows and 0 < labels_.sum() < len(rows):
-        index.calibrate(
-            np.array([
-                index.vote(index.nearest(index.weights(dict(zip(r["terms"], r["counts"], strict=True))), NEIGHBOURS, i))
-                for i, r in enumerate(rows)
-            ])
-        )
+        # examples with the same features have the same neighbours; each then leaves itself out
+        memo: dict[tuple, list] = {}
+        votes = []
+        for i, r in enumerate(rows):
+            mark = (*r["terms"], *r["counts"])
+            if mark not in memo:
+                memo[mark] = index.nearest(index.weights(dict(zip(r["terms"], r["counts"], strict=True))), NEIGHBOURS + 1)
+            votes.append(index.vote([n for n in memo[mark] if n[1] != i][:NEIGHBOURS]))
+        index.calibrate(np.array(votes))
     return index, counts
 
 
