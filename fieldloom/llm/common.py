@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from fieldloom.session import CHECKPOINT_DIR
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 #: White space between words: space and the five control characters from tab to carriage return.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Lower case A-Z; every other ASCII character but letters and digits becomes a space.
@@ -38,9 +40,19 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it again: it survives lost executors."""
+    """Write ``df`` as Parquet in the shared folder and read it again: it survives lost executors.
+
+    The shuffle files behind it are of no more use then; Spark is told to remove them
+    when the write ends instead of when the driver next collects its garbage.
+    """
+    conf = df.sparkSession.conf
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = conf.get(_CLEAN_UP, None)
+    conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(_CLEAN_UP, before) if before is not None else conf.unset(_CLEAN_UP)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
