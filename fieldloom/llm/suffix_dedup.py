@@ -232,10 +232,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .select("doc_id", "u", "h", (F.col("at") - F.col("back")).alias("lo"), (F.col("more") + length).cast("int").alias("size"))
     )
     listed = stage(repeated.groupBy("doc_id", "u").agg(F.collect_set(F.struct("h", "lo", "size")).alias("spans")), "anchors")
-    bodies = stage(
-        fresh.dropDuplicates(["doc_id", "u"]).join(listed, same(fresh, listed)).select(fresh.doc_id, fresh.u, "body", "spans"), "anchored-texts"
-    )
-    contexts = bodies.mapInArrow(_digested, CONTEXTS)
+    # rows that repeat a document would meet themselves
+    twice = sizes.groupBy("doc_id", "u").agg(F.count("*").alias("rows")).filter("rows > 1")
+    single = keyed if twice.isEmpty() else keyed.dropDuplicates(["doc_id", "u"])
+
+    def with_texts(spans: DataFrame, name: str) -> DataFrame:
+        return single.join(spans, same(single, spans)).select(single.doc_id, single.u, "body", F.col(name).alias("spans"))
+
+    contexts = with_texts(listed, "spans").mapInArrow(_digested, CONTEXTS)
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "lo", "u")
     same_context = W.partitionBy("h", "c")
     ranked = contexts.withColumn("first", F.min(place).over(same_context)).withColumn("is_first", F.col("first").eqNullSafe(place))
@@ -244,10 +248,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copied = ranked.filter(~F.col("is_first")).select("doc_id", "u", "lo", (F.col("lo") + F.col("size")).alias("hi"))
 
     open_ = ranked.filter(F.col("is_first") & (F.col("crowd") > 1)).groupBy("doc_id", "u").agg(F.collect_list(F.struct("h", "lo", "size", "crowd")).alias("open"))
-    cut = (
-        bodies.join(open_, same(bodies, open_)).select(bodies.doc_id, bodies.u, "body", F.col("open").alias("spans"))
-        .mapInArrow(_cut, "doc_id long, u long, h long, lo long, crowd long, context binary")
-    )
+    cut = with_texts(open_, "open").mapInArrow(_cut, "doc_id long, u long, h long, lo long, crowd long, context binary")
     cut = stage(cut, "open-contexts")
     in_order = [F.col("h"), F.col("doc_id").asc_nulls_last(), F.col("lo")]
     from_blocks = (
