@@ -1,12 +1,16 @@
 """Time the headline queries: one JSON line on stdout.
 
-``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local threads,
-``BENCH_QUERIES`` (comma list) replaces the headline set.
+``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the local threads, ``BENCH_QUERIES``
+(comma list) replaces the headline set, ``BENCH_STORE`` the folder for stored tables
+(``spark.checkpoint.dir``, else ``spark-warehouse`` beside this file).
 
 The survey tables are derived from the given tables once and stored as Parquet,
 as a deployment would hold them; that step is timed as ``load_tables`` and counts
 in the total.  Each query then runs whole, from the stored tables into a sink that
-discards its rows.
+discards its rows.  Where a sibling folder holds a tenth of the data, it is run first
+and listed under ``smaller``: one scale factor says nothing about growth.  It also
+warms the code up, so its own figures include compilation.  The stored tables are
+removed at the end.
 """
 
 from __future__ import annotations
@@ -14,9 +18,11 @@ from __future__ import annotations
 import json
 import os
 import re
-import tempfile
 import time
 import uuid
+from pathlib import Path
+
+from pyspark.sql import SparkSession
 
 from fieldloom.plans import catalog
 from fieldloom.session import CHECKPOINT_DIR, build_session
@@ -31,6 +37,32 @@ HEADLINE = [
 ]
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def timed(spark: SparkSession, directory: str, names: list[str], store: str) -> dict[str, float]:
+    """Seconds by query over one directory of tables."""
+    folder = f"{store}/bench-{uuid.uuid4().hex}"
+    try:
+        start = time.perf_counter()
+        tables = store_views(StarTables(spark, directory), folder)
+        times = {"load_tables": round(time.perf_counter() - start, 3)}
+        for name in names:
+            start = time.perf_counter()
+            catalog.run_on(name, tables).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - start, 3)
+    finally:
+        _remove(spark, folder)
+    return times
+
+
+def _scale(directory: str) -> float | None:
+    found = re.search(r"sf([\d.]+)/?$", directory)
+    return float(found.group(1)) if found else None
+
+
 def main() -> None:
     directory = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -39,27 +71,19 @@ def main() -> None:
         "bench", f"local[{cpus}]", **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
-    shared = spark.conf.get(CHECKPOINT_DIR, None) or tempfile.mkdtemp(prefix="bench-")
+    beside = Path(__file__).resolve().parent / "spark-warehouse"
+    store = os.environ.get("BENCH_STORE") or spark.conf.get(CHECKPOINT_DIR, None) or beside.as_uri()
 
-    start = time.perf_counter()
-    tables = store_views(StarTables(spark, directory), f"{shared}/bench-{uuid.uuid4().hex}")
-    times = {"load_tables": round(time.perf_counter() - start, 3)}
-    for name in names:
-        start = time.perf_counter()
-        catalog.run_on(name, tables).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - start, 3)
-    scale = re.search(r"sf([\d.]+)", directory)
-    print(
-        json.dumps(
-            {
-                "metric": "headline_queries_total",
-                "value": round(sum(times.values()), 3),
-                "unit": "sec",
-                "queries": times,
-                "sf": float(scale.group(1)) if scale else None,
-            }
-        )
-    )
+    smaller = None
+    if scale := _scale(directory):
+        sibling = re.sub(r"sf[\d.]+/?$", f"sf{scale / 10:g}", directory)
+        if Path(sibling).is_dir():
+            smaller = {"sf": scale / 10, "queries": timed(spark, sibling, names, store)}
+    times = timed(spark, directory, names, store)
+    result = {
+        "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times, "sf": scale,
+    }
+    print(json.dumps(result | ({"smaller": smaller} if smaller else {})))
     spark.stop()
 
 

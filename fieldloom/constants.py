@@ -39,6 +39,8 @@ FAILING_CONSISTENCY = (0, 1)
 CLASS_OF_GROUP = {"Birds": "Aves", "Mammals": "Mammalia"}
 NO_MANAGEMENT = "No known management"
 NO_MANAGEMENT_CATEGORY = "Unknown"
+# stands for an unknown value in a packed series
+UNKNOWN_VALUE = "NA"
 # ----------------------------------------------------------------------------------
 
 

@@ -59,19 +59,30 @@ def with_descriptions(df: DataFrame, lookups: dict[str, tuple[DataFrame, str, st
     return df
 
 
+def _place_key(df: DataFrame) -> Column:
+    """``site_id`` as a join key: rows without a site get keys that no site has, dealt over many tasks.
+
+    Site ids are not negative; joined as NULL, such rows would all meet in one task.
+    """
+    spread = [c for c in ("grid_cell_id", "taxon_id", "source_id") if c in df.columns]
+    return F.coalesce(F.col("site_id").cast("long"), -1 - F.pmod(F.xxhash64(*spread), F.lit(1 << 20)))
+
+
 def with_site_names(agg: DataFrame, t1_site: DataFrame, t2_site: DataFrame) -> DataFrame:
     """Add ``site_or_cell_id`` and ``site_name``; each site table names the sites of its own data type."""
-    first = t1_site.select(F.col("id").alias("site_id"), F.lit(1).alias("data_type"), F.col("name").alias("_first"))
-    second = t2_site.select(F.col("id").alias("site_id"), F.lit(2).alias("data_type"), F.col("name").alias("_second"))
-    name = labels.site_name(
-        F.col("_first"), F.col("_second"), F.col("data_type"), F.col("site_id"), F.col("grid_cell_id")
-    )
+    def named(sites: DataFrame, data_type: int) -> DataFrame:
+        key = F.col("id").cast("long").alias("_place")
+        return sites.select(key, F.lit(data_type).alias("data_type"), F.col("name").alias("_name"))
+
+    sites = named(t1_site, 1).unionByName(named(t2_site, 2))
+    first, second = (F.when(F.col("data_type") == n, F.col("_name")) for n in (1, 2))
+    name = labels.site_name(first, second, F.col("data_type"), F.col("site_id"), F.col("grid_cell_id"))
     return (
-        agg.join(first, ["site_id", "data_type"], "left")
-        .join(second, ["site_id", "data_type"], "left")
+        agg.withColumn("_place", _place_key(agg))
+        .join(sites, ["_place", "data_type"], "left")
         .withColumn("site_or_cell_id", F.coalesce("site_id", "grid_cell_id"))
         .withColumn("site_name", name)
-        .drop("_first", "_second")
+        .select(*agg.columns, "site_or_cell_id", "site_name")
     )
 
 
@@ -109,7 +120,8 @@ def time_series_export(
 
     All taxa at once, or one ``taxon_id``.  ``where`` filters the yearly rows,
     ``having`` the finished series.  ``values_by_year`` is the map year -> value,
-    ``value_series`` the same as text ``year=value,…`` in order of year.
+    ``value_series`` the same as text ``year=value,…`` in order of year, an unknown
+    value as ``NA``, so the text has an entry for each year.
 
     The facts are grouped by their own ids first, by year and then by series, so a
     packed list holds no more entries than there are years (a year with several
@@ -177,7 +189,7 @@ def time_series_export(
         F.col("id").alias("search_type_id"), F.col("id").alias("_known"), F.col("description").alias("search_type_desc")
     )
     site = with_descriptions(
-        dims.t1_site.select(F.col("id").alias("site_id"), F.lit(1).alias("data_type"), "management_id",
+        dims.t1_site.select(F.col("id").cast("long").alias("_place"), F.lit(1).alias("data_type"), "management_id",
                             F.col("management_comments").alias("management_category_comments")),
         {
             "management": (dims.management, "management_id", "type"),
@@ -191,7 +203,7 @@ def time_series_export(
         F.col("consistency_of_monitoring_id").alias("consistency_of_monitoring"),
         F.col("data_agreement_id").alias("data_agreement"), "suppress_aggregated_data", "citation",
     )
-    named = with_site_names(series, dims.t1_site, dims.t2_site)
+    named = with_site_names(series, dims.t1_site, dims.t2_site).withColumn("_place", _place_key(series))
     named = with_spatial_representativeness(named, dims.taxon, dims.hull)
     named = with_descriptions(
         named,
@@ -200,7 +212,8 @@ def time_series_export(
             "response_variable_type": (dims.response_variable_type, "response_variable_type_id", "description"),
         },
     )
-    as_text = F.transform("packed", lambda p: F.concat(p["year"].cast("string"), F.lit("="), p["value"].cast("string")))
+    shown = lambda v: F.coalesce(v.cast("string"), F.lit(c.UNKNOWN_VALUE))
+    as_text = F.transform("packed", lambda p: F.concat(p["year"].cast("string"), F.lit("="), shown(p["value"])))
     return (
         named.join(taxon, "taxon_id")
         .join(source, "source_id")
@@ -208,7 +221,7 @@ def time_series_export(
         .join(search, "search_type_id", "left")
         .join(region, "region_id", "left")
         .join(centroid, "region_id", "left")
-        .join(site, ["site_id", "data_type"], "left")
+        .join(site, ["_place", "data_type"], "left")
         .join(quality, ["taxon_id", "source_id"], "left")
         .orderBy("taxon_id", *EXPORT_KEYS)
         .select(
@@ -313,9 +326,14 @@ def flag_include_in_analysis(
 ) -> DataFrame:
     """Set ``include_in_analysis`` on every row: the series qualifies and the year is within its source's bounds.
 
-    A row without series id has an unknown answer (NULL) unless its year is out.
+    A row without series id has an unknown answer (NULL) unless its year is out.  Rows
+    are never multiplied: where a source has several rows for a taxon, their widest
+    bounds hold, an open one above all.
     """
-    bounds = data_source.select("taxon_id", "source_id", "start_year", "end_year")
+    open_start, open_end = (F.bool_or(F.col(y).isNull()) for y in ("start_year", "end_year"))
+    bounds = data_source.groupBy("taxon_id", "source_id").agg(
+        F.when(~open_start, F.min("start_year")).alias("start_year"), F.when(~open_end, F.max("end_year")).alias("end_year")
+    )
     chosen = qualifying.select("time_series_id").distinct().withColumn("_chosen", F.lit(True))
     member = F.when(F.col("time_series_id").isNotNull(), F.col("_chosen").isNotNull())
     return (

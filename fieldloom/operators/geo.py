@@ -5,27 +5,31 @@ A polygon layer is a long table of ring vertices: the layer's key columns plus
 are holes; rings are closed (last vertex = first) and ``seq`` counts up by one.
 Keys are not NULL.
 
-The joins work on square cells whose side is a power of four, chosen per part so
+The joins work on cells whose sides are powers of four, chosen per part and axis so
 that a part is about 4 to 16 cells across, more if it has many vertices.  Small
-sites and wide ranges can then share one equi join on (level, cell), with no limit
+sites and wide ranges can then share one equi join on (levels, cell), with no limit
 on the cells of a part and no cell size to guess.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from fieldloom.functions import geometry as g
 
+# a part of any extent has a level: beyond these it merely has more cells, or fewer, across
 _FINEST, _COARSEST = -20, 20
-_PYRAMID_BASE, _PYRAMID_TOP = -6, 12
+# cells of a row that one task gathers edges for
+_BLOCK = 16
 
 
 def edges(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per ring edge: keys, part, ring, x1, y1, x2, y2.
+    """One row per ring edge: keys, part, ring, seq, x1, y1, x2, y2.
 
     The successor is found by an equi join on the vertex number, which spreads a
     huge ring over all tasks where a window would sort it in one.
@@ -35,62 +39,97 @@ def edges(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     end = vertices.select(
         *keys, "part", "ring", (F.col("seq") - 1).alias("seq"), F.col("x").alias("x2"), F.col("y").alias("y2")
     )
-    return start.join(end, ring).drop("seq")
+    return start.join(end, ring)
 
 
-# side of a cell: a power of four, so exact
+# sides of a cell: powers of four, so exact
 _SIDE = "pow(4.0D, level)"
+_RISE = "pow(4.0D, rise)"
 
 
-def _cell(value: str) -> Column:
-    return F.expr(f"floor(({value}) / {_SIDE})")
+def _cell(value: str, side: str = _SIDE) -> Column:
+    return F.expr(f"floor(({value}) / {side})")
 
 
-def _cells(low: str, high: str) -> Column:
+def _cells(low: str, high: str, side: str = _SIDE) -> Column:
     """The numbers of all cells between two values, one row each."""
-    return F.explode(F.sequence(_cell(low), _cell(high)))
+    return F.explode(F.sequence(_cell(low, side), _cell(high, side)))
 
 
 def _part_levels(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The grid level of every part, from its extent and its number of vertices n.
+    """The grid levels of every part, ``level`` along x and ``rise`` along y, and its first block of cells.
 
-    A part is at most 16, or a quarter of root n, cells across.  So its cells do not
-    outnumber its vertices (or 256), and a row of cells holds edges in the order of
-    root n: no task ever gathers a whole outline.
+    Each comes from the extent along its axis and the number of vertices n.  A part is
+    at most 16, or a quarter of root n, cells across.  So its cells do not outnumber its
+    vertices (or 256), and a flat outline has as many rows as a tall one.
     """
-    extent = "greatest(max(x) - min(x), max(y) - min(y), 1e-30D)"
     across = "greatest(16D, sqrt(count(x)) / 4)"
-    level = f"CAST(greatest({_FINEST}, least({_COARSEST}, ceil(log2({extent} / {across}) / 2))) AS INT)"
-    return vertices.groupBy(*keys, "part").agg(F.expr(level).alias("level"))
+
+    def level(axis: str) -> Column:
+        extent = f"greatest(max({axis}) - min({axis}), 1e-30D)"
+        return F.expr(f"CAST(greatest({_FINEST}, least({_COARSEST}, ceil(log2({extent} / {across}) / 2))) AS INT)")
+
+    levels = vertices.groupBy(*keys, "part").agg(level("x").alias("level"), level("y").alias("rise"), F.min("x").alias("left"))
+    return levels.select(*keys, "part", "level", "rise", F.expr(f"floor(left / {_SIDE} / {_BLOCK})").alias("left_block"))
 
 
 def polygon_cells(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Cells that a polygon part reaches: keys, part, level, cx, cy, whole, segs.
+    """Cells that a polygon part reaches: keys, part, level, rise, cx, cy, whole, crossed, segs.
 
-    ``segs`` holds the edges that can decide a point of that cell, the ones in its
-    row of cells that do not end left of it.  A cell that no edge enters is either
+    ``segs`` holds the edges that enter the cell and, of those right of it, the ones
+    with an end inside its row of cells: whether a point's ray crosses these hangs on
+    the point.  Edges right of the cell that pass through the whole row are crossed in
+    any case and only counted, in ``crossed``.  A cell that no edge enters is either
     dropped or marked ``whole``, and then carries none.
+
+    Edges are gathered per block of cells of a row, dealt over the tasks by row and
+    block, not by outline.
     """
-    rows = (
+    part = [*keys, "part", "level", "rise"]
+    row = [*part, "cy"]
+    entered = (
         edges(vertices, keys)
         .join(_part_levels(vertices, keys), [*keys, "part"])
-        .withColumn("cy", _cells("least(y1, y2)", "greatest(y1, y2)"))
-        .groupBy(*keys, "part", "level", "cy")
-        .agg(
-            F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("row_segs"),
-            F.expr("min(least(x1, x2))").alias("left"),
-            F.expr("max(greatest(x1, x2))").alias("right"),
-        )
+        .withColumn("cy", _cells("least(y1, y2)", "greatest(y1, y2)", _RISE))
+        .withColumn("first", _cell("least(x1, x2)"))
+        .withColumn("last", _cell("greatest(x1, x2)"))
+        .withColumn("through", F.expr(f"least(y1, y2) <= cy * {_RISE} AND greatest(y1, y2) >= (cy + 1) * {_RISE}"))
+        # the half-open ray misses level edges and edges that end at the foot of the row
+        .withColumn("partly", F.expr(f"NOT through AND y1 <> y2 AND greatest(y1, y2) > cy * {_RISE}"))
     )
-    reaches = f"greatest(e.x1, e.x2) >= cx * {_SIDE}"
-    enters = f"exists(row_segs, e -> {reaches} AND least(e.x1, e.x2) <= (cx + 1) * {_SIDE})"
+    block = f"floor(%s / {_BLOCK})"
+    held = (
+        entered.withColumn("to", F.expr(block % "last"))
+        .withColumn("from", F.when(F.col("partly"), F.least("left_block", "to")).otherwise(F.expr(block % "first")))
+        .withColumn("block", F.explode(F.sequence("from", "to")))
+        .select(*row, "block", F.struct("x1", "y1", "x2", "y2", "through", "partly").alias("e"))
+        .repartition(*row, "block")
+        .groupBy(*row, "block")
+        .agg(F.collect_list("e").alias("row_segs"))
+    )
+    passing = entered.where("through").groupBy(*row, F.expr(block % "first").alias("block")).agg(F.count("*").alias("n"))
+    bounds = entered.groupBy(*row).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    blocks = bounds.withColumn("block", F.explode(F.sequence(F.expr(block % "first"), F.expr(block % "last"))))
+    further = W.partitionBy(*row).orderBy("block").rowsBetween(1, W.unboundedFollowing)
+    rows = (
+        blocks.join(passing, [*row, "block"], "left")
+        .withColumn("beyond", F.coalesce(F.sum("n").over(further), F.lit(0)))
+        .join(held, [*row, "block"], "left")
+        .withColumn("row_segs", F.coalesce("row_segs", F.array().cast(held.schema["row_segs"].dataType)))
+    )
+    enters = f"(greatest(e.x1, e.x2) >= cx * {_SIDE} AND least(e.x1, e.x2) <= (cx + 1) * {_SIDE})"
+    right = f"least(e.x1, e.x2) > (cx + 1) * {_SIDE}"
     return (
-        rows.withColumn("cx", _cells("left", "right"))
-        .withColumn("whole", F.expr(f"NOT {enters}"))
-        .where(~F.col("whole") | g.surrounds("row_segs", f"(cx + 0.5D) * {_SIDE}", f"(cy + 0.5D) * {_SIDE}"))
+        rows.withColumn("cx", F.explode(F.expr(f"sequence(greatest(first, block * {_BLOCK}), least(last, block * {_BLOCK} + {_BLOCK - 1}))")))
+        .withColumn("whole", F.expr(f"NOT exists(row_segs, e -> {enters})"))
+        .where(~F.col("whole") | g.surrounds("row_segs", f"(cx + 0.5D) * {_SIDE}", f"(cy + 0.5D) * {_RISE}", "beyond"))
         .select(
-            *keys, "part", "level", "cx", "cy", "whole",
-            F.expr(f"filter(row_segs, e -> NOT whole AND {reaches})").alias("segs"),
+            *part, "cx", "cy", "whole",
+            F.expr(f"beyond + size(filter(row_segs, e -> e.through AND {right}))").alias("crossed"),
+            F.expr(
+                f"transform(filter(row_segs, e -> NOT whole AND ({enters} OR (e.partly AND {right}))), "
+                "e -> struct(e.x1 AS x1, e.y1 AS y1, e.x2 AS x2, e.y2 AS y2))"
+            ).alias("segs"),
         )
     )
 
@@ -100,16 +139,20 @@ def points_in_polygons(points: DataFrame, vertices: DataFrame, keys: Sequence[st
 
     Adds the layer's ``keys`` to the point columns.  A polygon with overlapping
     parts yields one row per part; callers that want a union drop duplicates.
-    A point lies in one cell per level, so it goes into the join once for each
-    level the layer uses, which a scalar subquery over the part extents lists.
+    A point lies in one cell per pair of levels, so it goes into the join once for
+    each pair the layer uses, which a scalar subquery over the part extents lists.
     """
-    used = _part_levels(vertices, keys).agg(F.collect_set("level")).scalar()
+    used = _part_levels(vertices, keys).agg(F.collect_set(F.struct("level", "rise"))).scalar()
     placed = (
-        points.withColumn("level", F.explode(used)).withColumn("cx", _cell("x")).withColumn("cy", _cell("y"))
+        points.withColumn("_used", F.explode(used))
+        .withColumn("level", F.col("_used.level"))
+        .withColumn("rise", F.col("_used.rise"))
+        .withColumn("cx", _cell("x"))
+        .withColumn("cy", _cell("y", _RISE))
     )
     return (
-        placed.join(polygon_cells(vertices, keys), ["level", "cx", "cy"])
-        .where(F.col("whole") | g.covers("segs", "x", "y"))
+        placed.join(polygon_cells(vertices, keys), ["level", "rise", "cx", "cy"])
+        .where(F.col("whole") | g.covers("segs", "x", "y", "crossed"))
         .select(*points.columns, *keys)
     )
 
@@ -127,13 +170,15 @@ def centroids(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
         edges(vertices, keys)
         .join(origin, list(keys))
         .select(
-            *keys, "part", "ring", "ox", "oy",
+            *keys, "part", "ring", "ox", "oy", F.expr("seq div 1000").alias("stretch"),
             *[(F.col(c) - F.col("o" + c[0])).alias(c) for c in ("x1", "y1", "x2", "y2")],
         )
     )
     cross = F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")
     length = F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))
-    rings = rel.groupBy(*keys, "part", "ring", "ox", "oy").agg(
+    sums = ["a", "ax", "ay", "l", "lx", "ly"]
+    # edges are summed by stretches of a ring before the ring, so no task takes a huge outline whole
+    stretches = rel.repartition(*keys, "part", "ring", "stretch").groupBy(*keys, "part", "ring", "ox", "oy", "stretch").agg(
         F.sum(cross).alias("a"),
         F.sum((F.col("x1") + F.col("x2")) * cross).alias("ax"),
         F.sum((F.col("y1") + F.col("y2")) * cross).alias("ay"),
@@ -141,6 +186,7 @@ def centroids(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.sum((F.col("x1") + F.col("x2")) * length).alias("lx"),
         F.sum((F.col("y1") + F.col("y2")) * length).alias("ly"),
     )
+    rings = stretches.groupBy(*keys, "part", "ring", "ox", "oy").agg(*[F.sum(c).alias(c) for c in sums])
     # signum(a) makes the ring's area positive; a hole then takes it away again
     sign = F.signum("a") * F.when(F.col("ring") == 1, 1).otherwise(-1)
 
@@ -152,73 +198,79 @@ def centroids(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rings.groupBy(*keys, "ox", "oy").agg(centre("x"), centre("y")).select(*keys, "x", "y")
 
 
-def nearest_polygon(points: DataFrame, vertices: DataFrame, point_key: str, polygon_key: str) -> DataFrame:
-    """The polygon nearest to each point outside all of them: point_key, polygon_key, distance.
-
-    Ties go to the lowest polygon key.  Exact at any distance, in two equi joins:
-
-    1. every cell of a pyramid keeps one edge end as its representative; a point
-       looks at its 3 x 3 cells on each level, and the closest representative
-       bounds its distance from above.  The pyramid's top is a single cell, so
-       each point finds one;
-    2. the point looks at all cells within that bound, on a level where these are
-       few, and takes the least distance to the edges found there.  The least is
-       taken by partial aggregation, so the candidates are never kept.
-    """
-    x, y = F.col("x"), F.col("y")
-    around = F.expr("explode(sequence(-1, 1))")
-    pyramid = F.expr(f"explode(sequence({_PYRAMID_BASE}, {_PYRAMID_TOP}))")
-    lines = edges(vertices, [polygon_key]).select(polygon_key, "x1", "y1", "x2", "y2")
-
-    representatives = (
-        lines.select("x1", "y1", pyramid.alias("level"))
-        .groupBy("level", _cell("x1").alias("cx"), _cell("y1").alias("cy"))
-        .agg(F.min(F.struct("x1", "y1")).alias("rep"))
-    )
-    top = lines.agg(F.min(F.struct("x1", "y1"))).scalar()
-    bound = (
-        points.select(point_key, "x", "y", pyramid.alias("level"))
-        .withColumn("dx", around)
-        .withColumn("dy", around)
-        .select(point_key, "x", "y", "level", (_cell("x") + F.col("dx")).alias("cx"),
-                (_cell("y") + F.col("dy")).alias("cy"))
-        .join(representatives, ["level", "cx", "cy"], "left")
-        .groupBy(point_key, "x", "y")
-        .agg(F.min(F.hypot(x - F.col("rep.x1"), y - F.col("rep.y1"))).alias("found"))
-        .withColumn("bound", F.coalesce("found", F.hypot(x - top["x1"], y - top["y1"])))
-    )
-
-    # the level whose cell is as wide as the bound, so that a point looks at 3 x 3 cells at most, but
-    # none so fine that an edge crosses more than 256 rows of it; the reach is a hair wider than the
-    # bound, against rounding at a cell's border
-    longest = F.expr("max(greatest(abs(x2 - x1), abs(y2 - y1), 1e-12D))")
-    finest = lines.agg(F.ceil(F.log2(longest / 256) / 2).cast("int")).scalar()
-    reaching = bound.select(
-        point_key, "x", "y",
-        F.greatest(F.expr("CAST(ceil(log2(greatest(bound, 1e-12D)) / 2) AS INT)"), finest).alias("level"),
-        (F.col("bound") * (1 + 1e-9)).alias("reach"),
-    )
-    used = reaching.agg(F.collect_set("level")).scalar()
-    looked = (
-        reaching.withColumn("cx", _cells("x - reach", "x + reach"))
-        .withColumn("cy", _cells("y - reach", "y + reach"))
-        .select(point_key, "x", "y", "level", "cx", "cy")
-    )
-    # an edge is entered in the rows it crosses, in each at the cells under its piece there and one
-    # more to either side
-    celled = (
-        lines.withColumn("level", F.explode(used))
-        .withColumn("cy", _cells("least(y1, y2)", "greatest(y1, y2)"))
+def _entered(lines: DataFrame, level: int) -> DataFrame:
+    """Each edge in the cells of one level that it passes: in each row at the cells under its piece there
+    and one more to either side, so that rounding leaves none out."""
+    at = lines.withColumn("level", F.lit(level))
+    return (
+        at.withColumn("cy", _cells("least(y1, y2)", "greatest(y1, y2)"))
         .withColumn("from", F.expr(f"least(1D, greatest(0D, coalesce(try_divide(cy * {_SIDE} - y1, y2 - y1), 0D)))"))
         .withColumn("to", F.expr(f"least(1D, greatest(0D, coalesce(try_divide((cy + 1) * {_SIDE} - y1, y2 - y1), 1D)))"))
         .withColumn("xa", F.expr("x1 + `from` * (x2 - x1)"))
         .withColumn("xb", F.expr("x1 + `to` * (x2 - x1)"))
         .withColumn("cx", _cells(f"least(xa, xb) - {_SIDE}", f"greatest(xa, xb) + {_SIDE}"))
-        .select(polygon_key, "x1", "y1", "x2", "y2", "level", "cx", "cy")
+        .drop("level", "from", "to", "xa", "xb")
+    )
+
+
+def _reach(side: float, cx: str, cy: str) -> tuple[str, str]:
+    """SQL for the least distance of (x, y) to a cell, and for one within which it has some edge."""
+    near = [f"greatest({c} * {side!r}D - {v}, {v} - ({c} + 1) * {side!r}D, 0D)" for c, v in ((cx, "x"), (cy, "y"))]
+    # the edge may lie one cell beside
+    far = [f"greatest({v} - ({c} - 1) * {side!r}D, ({c} + 2) * {side!r}D - {v})" for c, v in ((cx, "x"), (cy, "y"))]
+    return f"hypot({near[0]}, {near[1]})", f"hypot({far[0]}, {far[1]})"
+
+
+def nearest_polygon(points: DataFrame, vertices: DataFrame, point_key: str, polygon_key: str) -> DataFrame:
+    """The polygon nearest to each point outside all of them: point_key, polygon_key, distance.
+
+    Ties go to the lowest polygon key.  Exact at any distance, by going down a pyramid of
+    cells that edges pass.  Its levels follow from the extent of the layer and the number
+    of its edges; a long edge is entered in each cell that it passes.  The top level, at
+    most some 20 x 20 cells, is looked through in one expression; each level below is one
+    equi join of the cells kept with their children.  A cell is kept if its least distance
+    is not above the best distance that another one warrants, so a point keeps few cells
+    on each level, wherever it lies.
+    """
+    lines = edges(vertices, [polygon_key]).select(polygon_key, "x1", "y1", "x2", "y2")
+    low, high = (F.least, F.min), (F.greatest, F.max)
+    spans = [high[1](high[0](f"{v}1", f"{v}2")) - low[1](low[0](f"{v}1", f"{v}2")) for v in "xy"]
+    shape = lines.agg(F.greatest(*spans).alias("extent"), F.count("*").alias("n")).first()
+    extent = max(shape["extent"] or 0.0, 1e-12)
+    top = math.ceil(math.log(extent / 16, 4))
+    finest = min(top, math.ceil(math.log(extent / math.sqrt(max(shape["n"], 1)), 4)))
+
+    celled = _entered(lines, finest)
+    occupied = {finest: celled.select("cx", "cy").distinct()}
+    for level in range(finest + 1, top + 1):
+        below = occupied[level - 1]
+        occupied[level] = below.select(F.floor(F.col("cx") / 4).alias("cx"), F.floor(F.col("cy") / 4).alias("cy")).distinct()
+    # bounded by the choice of the top level
+    start = [(r["cx"], r["cy"]) for r in occupied[top].collect()]
+    cells = F.array(*[F.struct(F.lit(cx).cast("long").alias("cx"), F.lit(cy).cast("long").alias("cy")) for cx, cy in start])
+    cells = cells.cast("array<struct<cx:bigint,cy:bigint>>")
+
+    least, enough = _reach(4.0**top, "c.cx", "c.cy")
+    kept = (
+        points.select(point_key, "x", "y").withColumn("cells", cells)
+        .withColumn("best", F.expr(f"array_min(transform(cells, c -> {enough})) * (1 + 1e-9D)"))
+        .select(point_key, "x", "y", F.explode(F.expr(f"filter(cells, c -> {least} <= best)")).alias("c"))
+        .select(point_key, "x", "y", "c.cx", "c.cy")
     )
-    distance = g.distance_to_edge(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), x, y)
+    for level in range(top - 1, finest - 1, -1):
+        children = occupied[level].select(
+            F.floor(F.col("cx") / 4).alias("cx"), F.floor(F.col("cy") / 4).alias("cy"), F.struct("cx", "cy").alias("child")
+        )
+        least, enough = _reach(4.0**level, "cx", "cy")
+        kept = (
+            kept.join(children, ["cx", "cy"]).select(point_key, "x", "y", "child.cx", "child.cy")
+            .withColumn("best", F.min(F.expr(f"{enough} * (1 + 1e-9D)")).over(W.partitionBy(point_key)))
+            .where(F.expr(f"{least} <= best"))
+            .drop("best")
+        )
+    distance = g.distance_to_edge(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), F.col("x"), F.col("y"))
     return (
-        looked.join(celled, ["level", "cx", "cy"])
+        kept.join(celled, ["cx", "cy"])
         .groupBy(point_key)
         .agg(F.min(F.struct(distance.alias("distance"), F.col(polygon_key))).alias("best"))
         .select(point_key, F.col(f"best.{polygon_key}").alias(polygon_key), F.col("best.distance").alias("distance"))

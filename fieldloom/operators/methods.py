@@ -46,22 +46,35 @@ METHOD_KEYS = ["taxon_id", "unit_id", "source_id", "search_type_id"]
 def _profile(rows: DataFrame, taxon: DataFrame, data_type: int) -> DataFrame:
     """Counts and extremes per combination.
 
-    Distinct values are counted by (combination, value), so a combination with a
-    third of all rows still spreads over the tasks.  An unknown month counts as
-    month 0 of its year, an unknown year not at all.
+    Site, month and year belong to the survey, so the rows shrink to one per combination
+    and survey, and to one per combination and count, before anything is counted: raw
+    rows are never multiplied.  A combination with a third of all rows spreads over the
+    tasks by its surveys and counts.  An unknown month counts as month 0 of its year, an
+    unknown year not at all.
     """
+    combination = ["taxon_id", "unit_id", "unit_type_id", "source_id", "search_type_id"]
     month = F.col("start_date_y") * 100 + F.coalesce(F.col("start_date_m"), F.lit(0))
+    surveys = (
+        rows.groupBy(*combination, "survey_id").agg(F.max("site_id").alias("site"), F.max("start_date_y").alias("year"), F.max(month).alias("month"))
+        .groupBy(*combination)
+        .agg(
+            F.count("survey_id").alias("survey_id_count"),
+            F.countDistinct("site").alias("site_id_count"),
+            F.countDistinct("month").alias("n_months"),
+            F.countDistinct("year").alias("n_years"),
+        )
+    )
+    counts = (
+        rows.groupBy(*combination, "count").agg(F.lit(1).alias("_"))
+        .groupBy(*combination)
+        .agg(F.count("count").alias("n_count_values"), F.min("count").alias("min_count"), F.max("count").alias("max_count"))
+        .select(*[F.col(k).alias(f"_{k}") for k in combination], "n_count_values", "min_count", "max_count")
+    )
+    both = surveys.join(counts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in combination])
     statuses = taxon.select(F.col("id").alias("taxon_id"), "max_status_id")
     return (
-        rows.groupBy("taxon_id", "unit_id", "unit_type_id", "source_id", "search_type_id")
-        .agg(
-            F.countDistinct("survey_id").alias("survey_id_count"),
-            F.countDistinct("site_id").alias("site_id_count"),
-            F.countDistinct("count").alias("n_count_values"),
-            F.min("count").alias("min_count"),
-            F.max("count").alias("max_count"),
-            F.countDistinct(month).alias("n_months"),
-            F.countDistinct("start_date_y").alias("n_years"),
+        both.select(
+            *combination, "survey_id_count", "site_id_count", "n_count_values", "min_count", "max_count", "n_months", "n_years"
         )
         .join(statuses, "taxon_id")
         .withColumn("data_type", F.lit(data_type))

@@ -107,12 +107,24 @@ def _survey_sites(survey: DataFrame, survey_point: DataFrame, places: DataFrame,
     )
 
 
+#: Species that go into a scan's filter at most.
+FEW_SPECIES = 4096
+
+
 def _focal_sightings(sighting: DataFrame, species: DataFrame | Iterable[int]) -> DataFrame:
-    """Sightings of the given species: a table with ``sp_id``, or ids, which reach the scan as a filter."""
-    if not isinstance(species, DataFrame):
-        return sighting.where(F.col("species_id").isin(*species)).withColumnRenamed("species_id", "sp_id")
-    wanted = species.select(F.col("sp_id").alias("species_id")).distinct()
-    return sighting.join(wanted, "species_id", "left_semi").withColumnRenamed("species_id", "sp_id")
+    """Sightings of the given species: a table with ``sp_id``, or ids.
+
+    Focal species are a short list, so a table of at most FEW_SPECIES is read as ids when
+    the plan is made, and the ids reach the scan as a filter: raw sightings are not
+    shuffled by species.  A longer table is joined.
+    """
+    if isinstance(species, DataFrame):
+        wanted = species.select(F.col("sp_id").alias("species_id")).distinct()
+        listed = [r["species_id"] for r in wanted.limit(FEW_SPECIES + 1).collect()]
+        if len(listed) > FEW_SPECIES:
+            return sighting.join(wanted, "species_id", "left_semi").withColumnRenamed("species_id", "sp_id")
+        species = [i for i in listed if i is not None]
+    return sighting.where(F.col("species_id").isin(*species)).withColumnRenamed("species_id", "sp_id")
 
 
 def sightings_in_sites(

@@ -53,7 +53,8 @@ def fill_nearest_region(
 ) -> DataFrame:
     """Give rows without a region the region named for their site in ``nearest`` (site_id, region_code).
 
-    ``nearest`` may come from ``nearest_region`` or from outside.
+    ``nearest`` may come from ``nearest_region`` or from outside.  Rows are never
+    multiplied: of several offers for a site, or centroids for a code, the least stands.
     """
     located = region_centroids(regions, region_vertex).select(
         "region_code",
@@ -62,7 +63,11 @@ def fill_nearest_region(
             F.col("y").alias("region_centroid_latitude"),
         ).alias("near"),
     )
-    offers = nearest.select("site_id", "region_code").join(located, "region_code").select("site_id", "near")
+    offers = (
+        nearest.select("site_id", "region_code").join(located, "region_code")
+        .groupBy("site_id").agg(F.min(F.struct("region_code", "near")).alias("offer"))
+        .select("site_id", F.col("offer.near").alias("near"))
+    )
     empty = F.col("region_name").isNull()
     filled = {c: F.when(empty, F.col(f"near.{c}")).otherwise(F.col(c)) for c in _REGION_COLUMNS}
     return wide.join(offers, "site_id", "left").select(*[filled.get(c, F.col(f"`{c}`")).alias(c) for c in wide.columns])

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldloom.constants import SIMPLIFY_TOLERANCE
-from fieldloom.functions.geometry import distance_to_edge
+from fieldloom.functions.geometry import squared_distance_to_edge
 from fieldloom.session import cut_lineage
 
 LONGEST_SEGMENT = 200_000
@@ -38,9 +38,11 @@ def _kept(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
         dx, dy = x[b] - x[a], y[b] - y[a]
         length2 = dx * dx + dy * dy
         t = np.clip(((px - x[a]) * dx + (py - y[a]) * dy) / length2, 0.0, 1.0) if length2 else np.zeros(len(px))
-        distance = np.hypot(px - (x[a] + t * dx), py - (y[a] + t * dy))
-        far = int(distance.argmax())
-        if distance[far] > tolerance:
+        off_x, off_y = px - (x[a] + t * dx), py - (y[a] + t * dy)
+        # squares, in the order that _split_long_segments takes them: both judge every vertex alike
+        distance2 = off_x * off_x + off_y * off_y
+        far = int(distance2.argmax())
+        if distance2[far] > tolerance * tolerance:
             middle = a + 1 + far
             keep[middle] = True
             todo += [(a, middle), (middle, b)]
@@ -65,13 +67,13 @@ def _split_long_segments(points: DataFrame, ring: list[str], tolerance: float, l
             *[F.max(F.when(F.col("seq") == F.col(e), F.col(v))).alias(f"{v}{e}") for e in "ab" for v in "xy"]
         )
         inner = points.join(corners, segment).where((F.col("seq") > F.col("a")) & (F.col("seq") < F.col("b")))
-        distance = distance_to_edge(F.col("xa"), F.col("ya"), F.col("xb"), F.col("yb"), F.col("x"), F.col("y"))
+        distance2 = squared_distance_to_edge(F.col("xa"), F.col("ya"), F.col("xb"), F.col("yb"), F.col("x"), F.col("y"))
         # farthest first, then the lowest vertex number
         farthest = inner.groupBy(*segment).agg(
-            F.max(F.struct(distance.alias("d"), (-F.col("seq")).alias("s"), "x", "y")).alias("far")
+            F.max(F.struct(distance2.alias("d"), (-F.col("seq")).alias("s"), "x", "y")).alias("far")
         )
         cut = farthest.select(
-            *segment, F.when(F.col("far.d") > tolerance, -F.col("far.s")).alias("m"), F.lit(True).alias("long")
+            *segment, F.when(F.col("far.d") > tolerance * tolerance, -F.col("far.s")).alias("m"), F.lit(True).alias("long")
         )
         seen = points.join(cut, segment, "left")
         flat = F.col("long").isNotNull() & F.col("m").isNull()
@@ -114,7 +116,8 @@ def simplify_rings(
             kept = kept.iloc[:-1]  # the next segment starts with it
         return kept.assign(position=np.arange(len(kept), dtype=np.int32))[kinds.names]
 
-    left = points.groupBy(*ring, "a", "b").applyInPandas(finish, kinds)
+    # dealt by segment: the segments of a huge ring are finished in many tasks
+    left = points.repartition(*ring, "a", "b").groupBy(*ring, "a", "b").applyInPandas(finish, kinds)
     # vertex numbers run on from segment to segment; a ring has few of these
     whole = Window.partitionBy(*ring)
     before = F.sum("n").over(whole.orderBy("a").rowsBetween(Window.unboundedPreceding, -1))

@@ -13,8 +13,12 @@ RANGE_KEYS = ["sp_id", "taxon_id", "range_id"]
 
 
 def flag_focal_taxa(taxonomy: DataFrame, focal_list: DataFrame) -> DataFrame:
-    """Taxonomy with ``focal`` taken afresh from the list; unlisted taxa get NULL."""
-    listed = focal_list.select("taxon_id", F.col("focal").cast("short").alias("focal"))
+    """Taxonomy with ``focal`` taken afresh from the list; unlisted taxa get NULL.
+
+    A taxon listed twice keeps one row, with the largest flag; ``read_csv`` with
+    ``unique`` refuses such a list on load.
+    """
+    listed = focal_list.groupBy("taxon_id").agg(F.max(F.col("focal").cast("short")).alias("focal"))
     return taxonomy.drop("focal").join(listed, "taxon_id", "left")
 
 

@@ -27,17 +27,20 @@ def data_by_year(data_by_month: DataFrame) -> DataFrame:
         F.avg("rr").alias("mean_monthly_rr"),
         F.avg("mean_of_count").alias("monthly_mean_of_mean_of_count"),
         F.avg("mean_abundance").alias("monthly_mean_abundance"),
+        F.sum("abundance_surveys").alias("abundance_surveys"),
     )
 
 
 def data_by_year_from_counts(surveys_per_site: DataFrame, sightings_per_site: DataFrame, sites_in_ranges: DataFrame,
-                             sites: DataFrame) -> DataFrame:
+                             sites: DataFrame, strict: bool = False) -> DataFrame:
     """The same table straight from the monthly counts per site and per species.
 
     All taxa and ranges of a species share its monthly values at a site, and a
     surveyed month without sightings adds 0 to each sum.  So the months are summed
     per site and per species, and only whole years meet the taxa: the monthly table
-    per taxon, by far the largest of all, is never made.
+    per taxon, by far the largest of all, is never made.  ``strict`` and
+    ``abundance_surveys`` are those of ``monthly.data_by_month``, the latter summed: a
+    year with as few of them as 0 rests on sightings without a count.
     """
     site = ["site_id", "site_type"]
     years = surveys_per_site.groupBy(*site, "year").agg(
@@ -46,12 +49,15 @@ def data_by_year_from_counts(surveys_per_site: DataFrame, sightings_per_site: Da
     sums = {
         "mean_monthly_rr": ratio(F.col("num_sightings"), F.col("num_surveys")),
         "monthly_mean_of_mean_of_count": monthly.mean_of_count(),
-        "monthly_mean_abundance": monthly.mean_abundance(),
+        "monthly_mean_abundance": monthly.mean_abundance(strict),
     }
     seen = (
         sightings_per_site.join(surveys_per_site, [*site, "year", "month"])
         .groupBy(*site, "year", "sp_id")
-        .agg(F.sum("num_sightings").alias("num_sightings"), *[F.sum(v).alias(name) for name, v in sums.items()])
+        .agg(
+            F.sum("num_sightings").alias("num_sightings"), F.sum("num_po_sightings").alias("num_po_sightings"),
+            *[F.sum(v).alias(name) for name, v in sums.items()],
+        )
     )
     attributes = sites.select("site_id", F.col("site_type").alias("survey_type_id"), "site_permutation")
     return (
@@ -62,6 +68,7 @@ def data_by_year_from_counts(surveys_per_site: DataFrame, sightings_per_site: Da
             "site_id", "survey_type_id", "site_permutation", "year", "taxon_id", "range_id", "num_surveys",
             F.coalesce("num_sightings", F.lit(0)).alias("num_sightings"),
             *[(F.coalesce(name, F.lit(0.0)) / F.col("months")).alias(name) for name in sums],
+            (F.col("num_surveys") - F.coalesce("num_po_sightings", F.lit(0))).alias("abundance_surveys"),
         )
     )
 

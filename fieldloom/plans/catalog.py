@@ -130,8 +130,38 @@ def _included(w: Workload) -> DataFrame:
     return flagged.select("time_series_id", "start_date_y", "include_in_analysis")
 
 
+def _included_two_rows(w: Workload) -> DataFrame:
+    second = w.t.data_source.withColumn("start_year", F.when(F.col("source_id") % 3 != 1, F.lit(1997))).withColumn(
+        "end_year", F.lit(1999)
+    )
+    twice = w.t.data_source.unionByName(second)
+    flagged = export.flag_include_in_analysis(w.t.agg, twice, w.qualifying, YEARS[0], YEARS[-1])
+    return flagged.select("time_series_id", "start_date_y", "include_in_analysis")
+
+
+def _listed_twice(w: Workload) -> DataFrame:
+    again = w.t.focal_list.join(w.t.taxonomy.select("taxon_id", "sp_id"), "taxon_id").select(
+        "taxon_id", (F.col("sp_id") % 3).cast("int").alias("focal")
+    )
+    return taxa.flag_focal_taxa(w.t.taxonomy, w.t.focal_list.unionByName(again))
+
+
+def _exported(w: Workload) -> DataFrame:
+    return export.time_series_export(w.t.agg_export, w.dims, YEARS[0], YEARS[-1])
+
+
 def _export(w: Workload) -> DataFrame:
-    return export.time_series_export(w.t.agg_export, w.dims, YEARS[0], YEARS[-1]).drop("values_by_year")
+    return _exported(w).drop("values_by_year")
+
+
+def _values_by_year(w: Workload) -> DataFrame:
+    return _exported(w).select("time_series_id", "data_type", F.explode("values_by_year").alias("year", "value"))
+
+
+def _filled_two_offers(w: Workload) -> DataFrame:
+    wide = w.wide(w.t.edition_cur)
+    given = wide.nearest.select("site_id", F.explode(F.array("region_code", F.lit("R12"))).alias("region_code"))
+    return wide.filled("mean_monthly_rr", given)
 
 
 def _absences(w: Workload) -> DataFrame:
@@ -188,6 +218,7 @@ def _filled_from_table(w: Workload) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     # taxa, ranges, sites
+    "focal_taxa_listed_twice": _listed_twice,
     "focal_taxa": lambda w: taxa.flag_focal_taxa(w.t.taxonomy, w.t.focal_list),
     "taxon_ranges": lambda w: w.series.ranges,
     "simplified_ranges": _simplified,
@@ -266,8 +297,10 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "wide_mean_abundance": lambda w: w.wide(w.assigned).wide("monthly_mean_abundance"),
     "wide_reporting_rate_filled": lambda w: w.wide(w.t.edition_cur).filled(),
     "wide_filled_from_table": _filled_from_table,
+    "wide_filled_two_offers": _filled_two_offers,
     # export
     "time_series_export": _export,
+    "export_values_by_year": _values_by_year,
     "functional_groups": lambda w: export.functional_groups(w.t.taxon_group),
     "described_series": _described_series,
     "site_names": _named_sites,
@@ -278,6 +311,7 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "implied_absences": _absences,
     "qualifying_time_series": lambda w: w.qualifying,
     "include_in_analysis": _included,
+    "include_in_analysis_two_rows": _included_two_rows,
     # processing methods
     "method_profile_direct": lambda w: w.direct_profile,
     "method_profile_linked": lambda w: w.linked_profile,

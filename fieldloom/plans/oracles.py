@@ -70,7 +70,7 @@ STEPS: dict[str, str] = {
         SELECT site_id, survey_type_id, site_permutation, year, taxon_id, range_id,
                CAST(sum(num_surveys) AS BIGINT) AS num_surveys, CAST(sum(num_sightings) AS BIGINT) AS num_sightings,
                avg(rr) AS mean_monthly_rr, avg(mean_of_count) AS monthly_mean_of_mean_of_count,
-               avg(mean_abundance) AS monthly_mean_abundance
+               avg(mean_abundance) AS monthly_mean_abundance, CAST(sum(abundance_surveys) AS BIGINT) AS abundance_surveys
         FROM {o_data_by_month} GROUP BY ALL""",
     "o_assigned": """
         SELECT y.*, CASE WHEN EXISTS (SELECT 1 FROM {processing_method} m WHERE m.taxon_id = y.taxon_id
@@ -92,29 +92,42 @@ STEPS: dict[str, str] = {
         SELECT p.*, CASE WHEN sum(value) OVER (PARTITION BY taxon_id, site_id, search_type_id) = 0
                THEN CAST(1 AS SMALLINT) END AS all0_values
         FROM {o_prior} p""",
+    # both editions in one shape: a row per series and year
+    "o_rates": """
+        SELECT 'current' AS edition, taxon_id, site_id, survey_type_id AS type_id, year AS y, num_surveys AS surveys,
+               num_sightings AS sightings, mean_monthly_rr AS rate, range_id, site_permutation AS form,
+               response_variable_type_id AS variable
+        FROM {edition_cur}
+        UNION ALL BY NAME
+        SELECT 'prior' AS edition, taxon_id, site_id_current AS site_id, site_id AS own_site_id, search_type_id AS type_id,
+               CAST(start_date_y AS INT) AS y, survey_count AS surveys, value AS rate, response_variable_type_id AS variable
+        FROM {o_prior}""",
+    "o_type_totals": """
+        SELECT edition, taxon_id, type_id, len(list_distinct(list(COALESCE(own_site_id, site_id)))) AS sites,
+               CAST(sum(surveys) AS BIGINT) AS surveys, CAST(sum(sightings) AS BIGINT) AS sightings,
+               CAST(round(CAST(CAST(sum(CAST(rate AS DECIMAL(28,12))) AS DOUBLE) / NULLIF(count(rate), 0) AS DECIMAL(38,14)), 4) AS DOUBLE) AS rate
+        FROM (SELECT * FROM {o_rates} WHERE edition = 'prior' AND variable = 3
+              UNION ALL
+              SELECT * FROM {o_rates} WHERE edition = 'current' AND variable IS NOT NULL AND y < 2001 AND range_id = 1
+                                       AND form = 'original')
+        GROUP BY ALL""",
     "o_prior_summary": """
-        SELECT p.taxon_id, t.taxon_name,
-               count(DISTINCT site_id) FILTER (WHERE search_type_id = 1) AS num_2ha_sites_prior,
-               CAST(sum(survey_count) FILTER (WHERE search_type_id = 1) AS BIGINT) AS num_surveys_2ha_sites_prior,
-               CAST(round(CAST(CAST(sum(CAST(value AS DECIMAL(28,12))) FILTER (WHERE search_type_id = 1) AS DOUBLE) / NULLIF(count(value) FILTER (WHERE search_type_id = 1), 0) AS DECIMAL(38,14)), 4) AS DOUBLE) AS mean_monthly_rr_2ha_sites_prior,
-               count(DISTINCT site_id) FILTER (WHERE search_type_id = 2) AS num_500m_sites_prior,
-               CAST(sum(survey_count) FILTER (WHERE search_type_id = 2) AS BIGINT) AS num_surveys_500m_sites_prior,
-               CAST(round(CAST(CAST(sum(CAST(value AS DECIMAL(28,12))) FILTER (WHERE search_type_id = 2) AS DOUBLE) / NULLIF(count(value) FILTER (WHERE search_type_id = 2), 0) AS DECIMAL(38,14)), 4) AS DOUBLE) AS mean_monthly_rr_500m_sites_prior
-        FROM {o_prior} p LEFT JOIN {taxonomy} t ON p.taxon_id = t.taxon_id
-        WHERE response_variable_type_id = 3 GROUP BY p.taxon_id, t.taxon_name""",
+        SELECT e.taxon_id, (SELECT n.taxon_name FROM {taxonomy} n WHERE n.taxon_id = e.taxon_id) AS taxon_name,
+               COALESCE(small.sites, 0) AS num_2ha_sites_prior, small.surveys AS num_surveys_2ha_sites_prior,
+               small.rate AS mean_monthly_rr_2ha_sites_prior, COALESCE(wide.sites, 0) AS num_500m_sites_prior,
+               wide.surveys AS num_surveys_500m_sites_prior, wide.rate AS mean_monthly_rr_500m_sites_prior
+        FROM (SELECT DISTINCT taxon_id FROM {o_type_totals} WHERE edition = 'prior') e
+        LEFT JOIN (FROM {o_type_totals} WHERE edition = 'prior' AND type_id = 1) small USING (taxon_id)
+        LEFT JOIN (FROM {o_type_totals} WHERE edition = 'prior' AND type_id = 2) wide USING (taxon_id)""",
     "o_current_summary": """
-        SELECT c.taxon_id, t.taxon_name,
-               count(DISTINCT site_id) FILTER (WHERE survey_type_id = 1) AS num_2ha_sites_current,
-               CAST(sum(num_surveys) FILTER (WHERE survey_type_id = 1) AS BIGINT) AS num_surveys_2ha_sites_current,
-               CAST(sum(num_sightings) FILTER (WHERE survey_type_id = 1) AS BIGINT) AS num_sightings_2ha_sites_current,
-               CAST(round(CAST(CAST(sum(CAST(mean_monthly_rr AS DECIMAL(28,12))) FILTER (WHERE survey_type_id = 1) AS DOUBLE) / NULLIF(count(mean_monthly_rr) FILTER (WHERE survey_type_id = 1), 0) AS DECIMAL(38,14)), 4) AS DOUBLE) AS mean_monthly_rr_2ha_sites_current,
-               count(DISTINCT site_id) FILTER (WHERE survey_type_id = 2) AS num_500m_sites_current,
-               CAST(sum(num_surveys) FILTER (WHERE survey_type_id = 2) AS BIGINT) AS num_surveys_500m_sites_current,
-               CAST(sum(num_sightings) FILTER (WHERE survey_type_id = 2) AS BIGINT) AS num_sightings_500m_sites_current,
-               CAST(round(CAST(CAST(sum(CAST(mean_monthly_rr AS DECIMAL(28,12))) FILTER (WHERE survey_type_id = 2) AS DOUBLE) / NULLIF(count(mean_monthly_rr) FILTER (WHERE survey_type_id = 2), 0) AS DECIMAL(38,14)), 4) AS DOUBLE) AS mean_monthly_rr_500m_sites_current
-        FROM {edition_cur} c LEFT JOIN {taxonomy} t ON c.taxon_id = t.taxon_id
-        WHERE response_variable_type_id IS NOT NULL AND year < 2001 AND range_id = 1 AND site_permutation = 'original'
-        GROUP BY c.taxon_id, t.taxon_name""",
+        SELECT e.taxon_id, (SELECT n.taxon_name FROM {taxonomy} n WHERE n.taxon_id = e.taxon_id) AS taxon_name,
+               COALESCE(small.sites, 0) AS num_2ha_sites_current, small.surveys AS num_surveys_2ha_sites_current,
+               small.sightings AS num_sightings_2ha_sites_current, small.rate AS mean_monthly_rr_2ha_sites_current,
+               COALESCE(wide.sites, 0) AS num_500m_sites_current, wide.surveys AS num_surveys_500m_sites_current,
+               wide.sightings AS num_sightings_500m_sites_current, wide.rate AS mean_monthly_rr_500m_sites_current
+        FROM (SELECT DISTINCT taxon_id FROM {o_type_totals} WHERE edition = 'current') e
+        LEFT JOIN (FROM {o_type_totals} WHERE edition = 'current' AND type_id = 1) small USING (taxon_id)
+        LEFT JOIN (FROM {o_type_totals} WHERE edition = 'current' AND type_id = 2) wide USING (taxon_id)""",
     "o_joined_editions": """
         SELECT c.*, p.start_date_y, p.value AS old_value, p.unit_id, p.response_variable_type_id AS old_variable,
                p.source_id, p.survey_count
@@ -135,27 +148,25 @@ STEPS: dict[str, str] = {
         FROM {o_joined_editions}
         WHERE old_variable = 3 AND start_date_y > 1995 AND range_id = 1
           AND year < (SELECT max(start_date_y) FROM {o_prior})""",
+    # length, gaps and level of every series of original sites, whatever its edition
+    "o_series": """
+        SELECT *, ts_end_year - ts_start_year + 1 AS ts_length,
+               CAST(ts_sample_years // (ts_end_year - ts_start_year + 1) * 100 AS BIGINT) AS ts_completeness,
+               100.0::DOUBLE * ts_sample_years / (ts_end_year - ts_start_year + 1) AS ts_completeness_exact
+        FROM (SELECT edition, taxon_id, site_id, type_id, CAST(sum(surveys) AS BIGINT) AS ts_surveys,
+                     CAST(sum(sightings) AS BIGINT) AS num_sightings, CAST(sum(CASE WHEN rate = 0 THEN 1 ELSE 0 END) AS BIGINT) AS num_0s,
+                     CAST(sum(CAST(rate AS DECIMAL(28,12))) AS DOUBLE) / NULLIF(count(rate), 0) AS mean_rr,
+                     list_min(list(y)) AS ts_start_year, list_max(list(y)) AS ts_end_year, len(list(y)) AS ts_sample_years
+              FROM {o_rates}
+              WHERE variable = 3 AND y < 2001 AND COALESCE(range_id, 1) = 1
+                AND site_id IN (SELECT site_id FROM {site} WHERE site_permutation = 'original')
+              GROUP BY ALL)""",
     "o_current_series": """
-        SELECT c.taxon_id, c.site_id, s.site_permutation, t.name, CAST(sum(num_surveys) AS BIGINT) AS ts_surveys,
-               CAST(sum(num_sightings) AS BIGINT) AS num_sightings, count(year) FILTER (WHERE mean_monthly_rr = 0) AS num_0s,
-               CAST(sum(CAST(mean_monthly_rr AS DECIMAL(28,12))) AS DOUBLE) / NULLIF(count(mean_monthly_rr), 0) AS mean_rr, min(year) AS ts_start_year, max(year) AS ts_end_year,
-               count(year) AS ts_sample_years, max(year) - min(year) + 1 AS ts_length,
-               CAST(count(year) // (max(year) - min(year) + 1) * 100 AS BIGINT) AS ts_completeness,
-               100.0::DOUBLE * count(year) / (max(year) - min(year) + 1) AS ts_completeness_exact
-        FROM {edition_cur} c JOIN {survey_type} t ON c.survey_type_id = t.id JOIN {site} s ON c.site_id = s.site_id
-        WHERE s.site_permutation = 'original' AND response_variable_type_id = 3 AND year < 2001 AND range_id = 1
-        GROUP BY c.taxon_id, c.site_id, s.site_permutation, t.name""",
+        SELECT * EXCLUDE (edition, type_id, id), 'original' AS site_permutation
+        FROM {o_series} JOIN {survey_type} ON id = type_id WHERE edition = 'current'""",
     "o_prior_series": """
-        SELECT p.taxon_id, p.site_id_current AS site_id, s.site_permutation, t.name,
-               CAST(sum(survey_count) AS BIGINT) AS ts_surveys, count(*) FILTER (WHERE value = 0) AS num_0s,
-               CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) / NULLIF(count(value), 0) AS mean_rr, CAST(min(start_date_y) AS INT) AS ts_start_year,
-               CAST(max(start_date_y) AS INT) AS ts_end_year, count(start_date_y) AS ts_sample_years,
-               CAST(max(start_date_y) - min(start_date_y) + 1 AS INT) AS ts_length,
-               CAST(count(start_date_y) // (max(start_date_y) - min(start_date_y) + 1) * 100 AS BIGINT) AS ts_completeness,
-               100.0::DOUBLE * count(start_date_y) / (max(start_date_y) - min(start_date_y) + 1) AS ts_completeness_exact
-        FROM {o_prior} p JOIN {survey_type} t ON p.search_type_id = t.id JOIN {site} s ON p.site_id_current = s.site_id
-        WHERE s.site_permutation = 'original' AND response_variable_type_id = 3 AND start_date_y < 2001
-        GROUP BY p.taxon_id, p.site_id_current, s.site_permutation, t.name""",
+        SELECT * EXCLUDE (edition, type_id, id, num_sightings), 'original' AS site_permutation
+        FROM {o_series} JOIN {survey_type} ON id = type_id WHERE edition = 'prior'""",
     "o_non_matching": """
         SELECT a.taxon_id, t.taxon_name, a.total_ts, COALESCE(b.n, 0) AS num_unequal_ts,
                round(COALESCE(b.n, 0) * 100.0::DOUBLE / a.total_ts, 2) AS percentage_unequal_ts
@@ -186,40 +197,58 @@ STEPS: dict[str, str] = {
           WHERE s.site_id NOT IN (SELECT site_id FROM {o_site_region}))
         QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY distance, region_id) = 1""",
     # --- export ---
+    # series years left when those that break a rule are taken away
+    "o_years_left": """
+        SELECT time_series_id, start_date_y FROM {agg}
+        EXCEPT SELECT time_series_id, start_date_y FROM {agg}
+               WHERE region_id IS NULL OR experimental_design_type_id IS DISTINCT FROM 1 OR search_type_id = 6
+        EXCEPT SELECT time_series_id, start_date_y FROM {agg}
+               WHERE taxon_id NOT IN (SELECT id FROM {taxon} WHERE max_status_id IS NOT NULL AND max_status_id NOT IN (0, 1, 7))
+        EXCEPT SELECT time_series_id, start_date_y FROM {agg} y
+               WHERE NOT EXISTS (FROM {data_source} d
+                                 WHERE (d.taxon_id, d.source_id) = (y.taxon_id, y.source_id) AND d.exclude_from_analysis = false
+                                   AND y.start_date_y BETWEEN COALESCE(d.start_year, 1995) AND COALESCE(d.end_year, 2001)
+                                   AND d.data_agreement_id IS DISTINCT FROM 0
+                                   AND NOT list_contains([0, 1], COALESCE(d.standardisation_of_method_effort_id, -1))
+                                   AND NOT list_contains([0, 1], COALESCE(d.consistency_of_monitoring_id, -1)))""",
     "o_qualifying": """
-        SELECT a.time_series_id
-        FROM {agg} a JOIN {taxon} t ON a.taxon_id = t.id
-        LEFT JOIN {data_source} d ON d.taxon_id = a.taxon_id AND d.source_id = a.source_id
-        WHERE a.start_date_y <= COALESCE(d.end_year, 2001) AND a.start_date_y >= COALESCE(d.start_year, 1995)
-          AND NOT d.exclude_from_analysis AND COALESCE(a.search_type_id, 0) <> 6
-          AND COALESCE(t.max_status_id, 0) NOT IN (0, 1, 7) AND a.region_id IS NOT NULL
-          AND COALESCE(d.data_agreement_id, -1) <> 0
-          AND COALESCE(d.standardisation_of_method_effort_id, -1) NOT IN (0, 1)
-          AND COALESCE(d.consistency_of_monitoring_id, -1) NOT IN (0, 1) AND a.experimental_design_type_id = 1
-        GROUP BY a.time_series_id HAVING max(a.value) > 0 AND count(DISTINCT a.start_date_y) >= 3""",
+        SELECT time_series_id FROM {agg} SEMI JOIN {o_years_left} USING (time_series_id, start_date_y)
+        GROUP BY time_series_id HAVING bool_or(value > 0) AND len(list_distinct(list(start_date_y))) > 2""",
     "o_groups": """
         SELECT taxon_id, string_agg(group_name || COALESCE(':' || subgroup_name, ''), ','
                  ORDER BY group_name || COALESCE(':' || subgroup_name, '')) AS functional_group
         FROM {taxon_group} GROUP BY taxon_id""",
     # --- methods ---
+    # a row per sighting and taxon with what its survey says; the profile then reads sets off lists
+    "o_direct_rows": """
+        SELECT g.taxon_id, g.unit_id, g.unit_type_id, g.n, w.* FROM (SELECT *, count AS n FROM {t1_sighting}) g
+        JOIN (SELECT id AS survey, source_id, start_date_y AS y, start_date_m AS m, site_id AS place,
+                     (SELECT p.search_type_id FROM {t1_site} p WHERE p.id = site_id) AS search_type_id
+              FROM {t1_survey}
+              WHERE source_id IN (SELECT id FROM {source}) AND site_id IN (SELECT id FROM {t1_site})) w ON g.survey_id = w.survey""",
     "o_direct": """
-        SELECT g.taxon_id, g.unit_id, g.unit_type_id, v.source_id, s.search_type_id,
-               count(DISTINCT v.id) AS survey_id_count, count(DISTINCT s.id) AS site_id_count,
-               count(DISTINCT g.count) AS n_count_values, min(g.count) AS min_count, max(g.count) AS max_count,
-               count(DISTINCT CAST(COALESCE(v.start_date_m, 0) AS VARCHAR) || CAST(v.start_date_y AS VARCHAR)) AS n_months,
-               count(DISTINCT v.start_date_y) AS n_years, t.max_status_id, 1 AS data_type
-        FROM {source} c JOIN {t1_survey} v ON c.id = v.source_id JOIN {t1_sighting} g ON v.id = g.survey_id
-        JOIN {t1_site} s ON v.site_id = s.id JOIN {taxon} t ON g.taxon_id = t.id
-        GROUP BY g.taxon_id, g.unit_id, g.unit_type_id, v.source_id, s.search_type_id, t.max_status_id""",
+        SELECT taxon_id, unit_id, unit_type_id, source_id, search_type_id, len(list_distinct(surveys)) AS survey_id_count,
+               len(list_distinct(sites)) AS site_id_count, len(list_distinct(counts)) AS n_count_values,
+               list_min(counts) AS min_count, list_max(counts) AS max_count, len(list_distinct(months)) AS n_months,
+               len(list_distinct(years)) AS n_years, max_status_id, 1 AS data_type
+        FROM (SELECT taxon_id, unit_id, unit_type_id, source_id, search_type_id, list(survey) AS surveys, list(place) AS sites,
+                     list(n) AS counts, list(y * 100 + COALESCE(m, 0)) AS months, list(y) AS years
+              FROM {o_direct_rows} GROUP BY ALL)
+        JOIN (SELECT id AS taxon_id, max_status_id FROM {taxon}) USING (taxon_id)""",
+    "o_linked_rows": """
+        WITH told AS (SELECT id AS survey, source_id, search_type_id, site_id AS place, start_date_y AS y, start_date_m AS m
+                      FROM {t2_survey} WHERE source_id IN (SELECT id FROM {source})),
+             seen AS (SELECT id AS sighting_id, survey_id AS survey, unit_id, unit_type_id, count AS n FROM {t2_sighting})
+        SELECT * FROM seen JOIN told USING (survey) JOIN (SELECT sighting_id, taxon_id FROM {t2_taxon_sighting}) USING (sighting_id)""",
     "o_linked": """
-        SELECT l.taxon_id, g.unit_id, g.unit_type_id, v.source_id, v.search_type_id,
-               count(DISTINCT v.id) AS survey_id_count, count(DISTINCT v.site_id) AS site_id_count,
-               count(DISTINCT g.count) AS n_count_values, min(g.count) AS min_count, max(g.count) AS max_count,
-               count(DISTINCT CAST(COALESCE(v.start_date_m, 0) AS VARCHAR) || CAST(v.start_date_y AS VARCHAR)) AS n_months,
-               count(DISTINCT v.start_date_y) AS n_years, t.max_status_id, 2 AS data_type
-        FROM {source} c, {t2_survey} v, {t2_sighting} g, {t2_taxon_sighting} l, {taxon} t
-        WHERE c.id = v.source_id AND v.id = g.survey_id AND g.id = l.sighting_id AND t.id = l.taxon_id
-        GROUP BY l.taxon_id, g.unit_id, g.unit_type_id, v.source_id, v.search_type_id, t.max_status_id""",
+        SELECT taxon_id, unit_id, unit_type_id, source_id, search_type_id, len(list_distinct(surveys)) AS survey_id_count,
+               len(list_distinct(sites)) AS site_id_count, len(list_distinct(counts)) AS n_count_values,
+               list_min(counts) AS min_count, list_max(counts) AS max_count, len(list_distinct(months)) AS n_months,
+               len(list_distinct(years)) AS n_years, max_status_id, 2 AS data_type
+        FROM (SELECT taxon_id, unit_id, unit_type_id, source_id, search_type_id, list(survey) AS surveys, list(place) AS sites,
+                     list(n) AS counts, list(y * 100 + COALESCE(m, 0)) AS months, list(y) AS years
+              FROM {o_linked_rows} GROUP BY ALL)
+        JOIN (SELECT id AS taxon_id, max_status_id FROM {taxon}) USING (taxon_id)""",
     "o_appended": """
         SELECT taxon_id, unit_id, unit_type_id, source_id, search_type_id, survey_id_count, site_id_count, data_type,
                1 AS experimental_design_type_id, 0 AS response_variable_type_id, 0 AS response_variable_type_id_previous,
@@ -292,14 +321,14 @@ def _violations(table: str, keys: str) -> str:
     return f"SELECT {keys}, count(*) AS n FROM {{{table}}} GROUP BY ALL HAVING count(*) > 1 OR {some_null}"
 
 
-def _status(column: str) -> str:
-    return f"(SELECT s.description FROM {{taxon_status}} s WHERE s.id = t.{column})"
-
-
 ORACLES: dict[str, str] = {
     "focal_taxa": """
         SELECT t.taxon_id, t.sp_id, t.taxon_name, t.taxon_scientific_name, CAST(f.focal AS SMALLINT) AS focal
         FROM {taxonomy} t LEFT JOIN {focal_list} f ON t.taxon_id = f.taxon_id""",
+    "focal_taxa_listed_twice": """
+        SELECT taxon_id, sp_id, taxon_name, taxon_scientific_name, CAST(CASE WHEN taxon_id IN (SELECT taxon_id FROM {focal_list})
+                 THEN greatest((SELECT max(f.focal) FROM {focal_list} f WHERE f.taxon_id = t.taxon_id), sp_id % 3) END AS SMALLINT) AS focal
+        FROM {taxonomy} t""",
     "taxon_ranges": """
         SELECT DISTINCT t.sp_id, l.taxon_id, v.range_id, CAST(v.range_taxon_id AS VARCHAR) || '/' || CAST(v.part AS VARCHAR) AS part,
                v.ring, v.seq, v.x, v.y
@@ -342,10 +371,12 @@ ORACLES: dict[str, str] = {
     "response_variable": "SELECT * FROM {o_assigned}",
     "all_zero_series": "SELECT * FROM {o_flagged}",
     "site_count_summary": """
-        SELECT y.taxon_id, t.taxon_name, y.response_variable_type_id, y.survey_type_id, k.name,
-               count(DISTINCT y.site_id) AS num_sites
-        FROM {o_flagged} y JOIN {taxonomy} t ON y.taxon_id = t.taxon_id JOIN {survey_type} k ON y.survey_type_id = k.id
-        WHERE y.response_variable_type_id IS NOT NULL GROUP BY ALL""",
+        SELECT taxon_id, (SELECT n.taxon_name FROM {taxonomy} n WHERE n.taxon_id = p.taxon_id) AS taxon_name,
+               response_variable_type_id, survey_type_id, (SELECT k.name FROM {survey_type} k WHERE k.id = p.survey_type_id) AS name,
+               count(*) AS num_sites
+        FROM (SELECT DISTINCT taxon_id, response_variable_type_id, survey_type_id, site_id FROM {o_flagged}
+              WHERE response_variable_type_id IS NOT NULL) p
+        WHERE taxon_id IN (SELECT taxon_id FROM {taxonomy}) AND survey_type_id IN (SELECT id FROM {survey_type}) GROUP BY ALL""",
     "rate_and_abundance_length": """
         SELECT taxon_id, site_id, survey_type_id,
                max(year) FILTER (WHERE mean_monthly_rr > 0) - min(year) FILTER (WHERE mean_monthly_rr > 0) + 1 AS rr_length,
@@ -366,30 +397,39 @@ ORACLES: dict[str, str] = {
         FROM {o_current_summary} c LEFT JOIN {o_prior_summary} p ON c.taxon_id = p.taxon_id""",
     "value_differs": "SELECT * FROM {o_differs}",
     "value_difference_counts": """
-        SELECT d.taxon_id, t.taxon_name, k.name,
-               count(*) FILTER (WHERE value_differs AND all0_values IS NULL) AS num_qualifying_ts_differ,
-               count(*) FILTER (WHERE value_differs AND all0_values = 1) AS num_all0_ts_differ,
-               count(*) FILTER (WHERE NOT value_differs AND all0_values IS NULL) AS num_qualifying_ts_match,
-               count(*) FILTER (WHERE NOT value_differs AND all0_values = 1) AS num_all0_ts_match,
-               count(*) FILTER (WHERE value_differs IS NULL AND all0_values IS NULL) AS num_qualifying_ts_match_null,
-               count(*) FILTER (WHERE value_differs IS NULL AND all0_values = 1) AS num_all0_ts_match_null
-        FROM {o_differs} d LEFT JOIN {taxonomy} t ON d.taxon_id = t.taxon_id JOIN {survey_type} k ON d.survey_type_id = k.id
-        WHERE site_permutation = 'original' AND response_variable_type_id = 3 AND year < 2001 GROUP BY ALL""",
+        WITH told AS (
+          SELECT taxon_id, survey_type_id AS id, histogram(
+                   CASE all0_values WHEN 1 THEN 'zero ' ELSE 'some ' END
+                   || CASE value_differs WHEN true THEN 'differ' WHEN false THEN 'match' ELSE 'none' END) AS h
+          FROM {o_differs} WHERE site_permutation = 'original' AND response_variable_type_id = 3 AND year < 2001
+          GROUP BY taxon_id, survey_type_id)
+        SELECT taxon_id, (SELECT n.taxon_name FROM {taxonomy} n WHERE n.taxon_id = told.taxon_id) AS taxon_name, name,
+               COALESCE(CAST(h['some differ'] AS BIGINT), 0) AS num_qualifying_ts_differ, COALESCE(CAST(h['zero differ'] AS BIGINT), 0) AS num_all0_ts_differ,
+               COALESCE(CAST(h['some match'] AS BIGINT), 0) AS num_qualifying_ts_match, COALESCE(CAST(h['zero match'] AS BIGINT), 0) AS num_all0_ts_match,
+               COALESCE(CAST(h['some none'] AS BIGINT), 0) AS num_qualifying_ts_match_null, COALESCE(CAST(h['zero none'] AS BIGINT), 0) AS num_all0_ts_match_null
+        FROM told JOIN {survey_type} USING (id)""",
     "current_series_summary": "SELECT * FROM {o_current_series}",
     "prior_series_summary": "SELECT * FROM {o_prior_series}",
     "non_matching_series": "SELECT * FROM {o_non_matching}",
+    # each edition described for itself, over the series of the current one that have sightings; a series of
+    # the prior edition counts once for each series of the current one at its site
     "qualifying_series_statistics": """
-        SELECT t.taxon_id, t.taxon_name, n.total_ts, n.num_unequal_ts, n.percentage_unequal_ts, s.* EXCLUDE (taxon_id)
-        FROM (SELECT c.taxon_id, count(p.site_id) AS num_qualifying_ts_prior, count(c.site_id) AS num_qualifying_ts_current,
-                     CAST(round(CAST(CAST(sum(CAST(p.mean_rr AS DECIMAL(28,12))) AS DOUBLE) / NULLIF(count(p.mean_rr), 0) AS DECIMAL(38,14)), 4) AS DOUBLE) AS mean_rr_prior, CAST(round(CAST(CAST(sum(CAST(c.mean_rr AS DECIMAL(28,12))) AS DOUBLE) / NULLIF(count(c.mean_rr), 0) AS DECIMAL(38,14)), 4) AS DOUBLE) AS mean_rr_current,
-                     round(avg(p.ts_start_year), 0) AS mean_ts_start_year_prior,
-                     round(avg(c.ts_start_year), 0) AS mean_ts_start_year_current,
-                     round(avg(p.ts_sample_years), 2) AS mean_ts_sample_years_prior,
-                     round(avg(c.ts_sample_years), 2) AS mean_ts_sample_years_current,
-                     round(avg(p.ts_length), 2) AS mean_ts_length_prior, round(avg(c.ts_length), 2) AS mean_ts_length_current
-              FROM {o_current_series} c LEFT JOIN {o_prior_series} p ON c.site_id = p.site_id AND c.taxon_id = p.taxon_id
-              WHERE c.num_sightings > 0 GROUP BY c.taxon_id) s
-        JOIN {taxonomy} t ON s.taxon_id = t.taxon_id JOIN {o_non_matching} n ON t.taxon_id = n.taxon_id""",
+        WITH now AS (SELECT * FROM {o_current_series} WHERE num_sightings > 0),
+        met AS (SELECT now.taxon_id, now.site_id, now.name AS type, earlier.mean_rr, earlier.ts_start_year, earlier.ts_sample_years, earlier.ts_length,
+                       now.mean_rr AS now_rr, now.ts_start_year AS now_start, now.ts_sample_years AS now_years, now.ts_length AS now_length,
+                       earlier.site_id IS NOT NULL AS known
+                FROM now LEFT JOIN {o_prior_series} earlier ON (earlier.taxon_id, earlier.site_id) = (now.taxon_id, now.site_id)),
+        here AS (SELECT taxon_id, count(*) AS num_qualifying_ts_current, CAST(round(CAST(CAST(sum(CAST(now_rr AS DECIMAL(28,12))) AS DOUBLE) / NULLIF(count(now_rr), 0) AS DECIMAL(38,14)), 4) AS DOUBLE) AS mean_rr_current,
+                        round(avg(now_start), 0) AS mean_ts_start_year_current, round(avg(now_years), 2) AS mean_ts_sample_years_current,
+                        round(avg(now_length), 2) AS mean_ts_length_current
+                 FROM met GROUP BY taxon_id),
+        there AS (SELECT taxon_id, count(*) AS n, CAST(round(CAST(CAST(sum(CAST(mean_rr AS DECIMAL(28,12))) AS DOUBLE) / NULLIF(count(mean_rr), 0) AS DECIMAL(38,14)), 4) AS DOUBLE) AS mean_rr_prior,
+                         round(avg(ts_start_year), 0) AS mean_ts_start_year_prior, round(avg(ts_sample_years), 2) AS mean_ts_sample_years_prior,
+                         round(avg(ts_length), 2) AS mean_ts_length_prior
+                  FROM met WHERE known GROUP BY taxon_id)
+        SELECT taxon_id, taxon_name, total_ts, num_unequal_ts, percentage_unequal_ts, COALESCE(n, 0) AS num_qualifying_ts_prior,
+               here.* EXCLUDE (taxon_id), there.* EXCLUDE (taxon_id, n)
+        FROM {o_non_matching} JOIN here USING (taxon_id) LEFT JOIN there USING (taxon_id)""",
     "edition_pairs": "SELECT * FROM {o_pairs}",
     "rate_delta": "SELECT *, value - prior_value AS rr_delta FROM {o_pairs}",
     "aggregated_deltas": """
@@ -445,49 +485,58 @@ ORACLES: dict[str, str] = {
     "wide_mean_abundance": "SELECT * FROM {o_wide_abundance}",
     "wide_reporting_rate_filled": _filled("o_wide_cur_rr"),
     "wide_filled_from_table": _filled("o_wide_cur_abundance"),
-    "time_series_export": f"""
-        SELECT a.time_series_id, t.spno, t.id AS taxon_id, t.common_name, t.taxon_order,
-               t.scientific_name, t.family_scientific_name AS family, t.family_common_name, g.functional_group,
-               t.taxonomic_group,
-               CASE t.taxonomic_group WHEN 'Birds' THEN 'Aves' WHEN 'Mammals' THEN 'Mammalia' ELSE '' END AS taxonomic_class,
-               t.national_priority AS national_priority_taxa, {_status("epbc_status_id")} AS epbc_status,
-               {_status("iucn_status_id")} AS iucn_status, {_status("state_status_id")} AS state_plant_status,
-               {_status("bird_action_plan_status_id")} AS bird_action_plan_status, {_status("max_status_id")} AS max_status,
-               k.id AS search_type_id, k.description AS search_type_desc, COALESCE(a.site_id, a.grid_cell_id) AS site_id,
-               COALESCE(s1.name, s2.name, 'site_' || a.data_type || '_' || a.site_id, 'grid_' || a.grid_cell_id) AS site_name,
-               COALESCE((SELECT m.type FROM {{management}} m WHERE m.id = s1.management_id), 'No known management') AS management,
-               COALESCE((SELECT m.description FROM {{management}} m WHERE m.id = s1.management_id), 'Unknown') AS management_category,
-               s1.management_comments AS management_category_comments, c.id AS source_id, c.description AS source_desc,
-               (SELECT p.description FROM {{monitoring_program}} p WHERE p.id = c.monitoring_program_id) AS monitoring_program,
-               u.id AS unit_id, u.description AS unit, r.name AS region, r.state,
-               rc.x AS region_centroid_longitude, rc.y AS region_centroid_latitude,
-               r.positional_accuracy_in_m AS region_centroid_accuracy,
-               a.value_series, a.value_count, a.data_type,
-               (SELECT e.description FROM {{experimental_design_type}} e WHERE e.id = a.experimental_design_type_id) AS experimental_design_type,
-               (SELECT e.description FROM {{response_variable_type}} e WHERE e.id = a.response_variable_type_id) AS response_variable_type,
-               CASE WHEN t.suppress_spatial_representativeness AND h.core_range_area_in_m2 <> 0 THEN NULL
-                    ELSE round(h.alpha_hull_area_in_m2 / NULLIF(h.core_range_area_in_m2, 0), 4) END AS spatial_representativeness,
-               d.absences_recorded, d.standardisation_of_method_effort_id AS standardisation_of_method_effort,
-               d.objective_of_monitoring_id AS objective_of_monitoring,
-               d.consistency_of_monitoring_id AS consistency_of_monitoring, d.data_agreement_id AS data_agreement,
-               d.suppress_aggregated_data, a.cx AS surveys_centroid_longitude, a.cy AS surveys_centroid_latitude,
-               a.accuracy AS surveys_spatial_accuracy, a.survey_count, d.citation
-        FROM (SELECT taxon_id, source_id, search_type_id, site_id, grid_cell_id, experimental_design_type_id,
-                     response_variable_type_id, region_id, unit_id, data_type, min(time_series_id) AS time_series_id,
-                     string_agg(start_date_y || '=' || value, ',' ORDER BY start_date_y) AS value_series,
-                     count(*) AS value_count, max(centroid_x) AS cx, max(centroid_y) AS cy,
-                     max(positional_accuracy_in_m) AS accuracy, CAST(sum(survey_count) AS BIGINT) AS survey_count
-              FROM {{agg_export}} WHERE start_date_y BETWEEN 1995 AND 2001
-              GROUP BY taxon_id, source_id, search_type_id, site_id, grid_cell_id, experimental_design_type_id,
-                       response_variable_type_id, region_id, unit_id, data_type) a
-        JOIN {{taxon}} t ON t.id = a.taxon_id LEFT JOIN {{o_groups}} g ON g.taxon_id = t.id
-        LEFT JOIN {{search_type}} k ON k.id = a.search_type_id JOIN {{source}} c ON c.id = a.source_id
-        JOIN {{unit}} u ON u.id = a.unit_id LEFT JOIN {{export_region}} r ON r.id = a.region_id
-        LEFT JOIN (SELECT id, min(x) AS x, min(y) AS y FROM {{region_centroid}} GROUP BY id) rc ON rc.id = a.region_id
-        LEFT JOIN {{taxon_source_hull}} h ON h.taxon_id = a.taxon_id AND h.source_id = a.source_id AND h.data_type = a.data_type
-        LEFT JOIN {{data_source}} d ON d.taxon_id = a.taxon_id AND d.source_id = a.source_id
-        LEFT JOIN {{t1_site}} s1 ON a.site_id = s1.id AND a.data_type = 1
-        LEFT JOIN {{t2_site}} s2 ON a.site_id = s2.id AND a.data_type = 2""",
+    # each site is offered R12 as well: the lower code stands
+    "wide_filled_two_offers": _filled("o_wide_cur_rr").replace("{o_nearest} n", "(SELECT site_id, least(region_code, 'R12') AS region_code FROM {o_nearest}) n"),
+    # one small table per question - values, taxon, place, source, region - joined by the series' own ids
+    "time_series_export": """
+        WITH yearly AS (SELECT * EXCLUDE (start_date_y), start_date_y AS y FROM {agg_export} WHERE start_date_y IN (1995, 1996, 1997, 1998, 1999, 2000, 2001)),
+        series AS (
+          SELECT taxon_id, source_id, search_type_id AS wanted_type, site_id AS place_id, grid_cell_id, experimental_design_type_id AS design,
+                 response_variable_type_id AS variable, region_id, unit_id, data_type, list_min(list(time_series_id)) AS time_series_id,
+                 array_to_string(list(concat(y, '=', COALESCE(CAST(value AS VARCHAR), 'NA')) ORDER BY y), ',') AS value_series, len(list(y)) AS value_count,
+                 list_max(list(centroid_x)) AS surveys_centroid_longitude, list_max(list(centroid_y)) AS surveys_centroid_latitude,
+                 list_max(list(positional_accuracy_in_m)) AS surveys_spatial_accuracy, CAST(sum(survey_count) AS BIGINT) AS survey_count
+          FROM yearly GROUP BY ALL),
+        status AS (SELECT map_from_entries(list((id, description))) AS says FROM {taxon_status}),
+        species AS (
+          SELECT id AS taxon_id, spno, common_name, taxon_order, scientific_name, family_scientific_name AS family, family_common_name,
+                 taxonomic_group, COALESCE(map(['Birds', 'Mammals'], ['Aves', 'Mammalia'])[taxonomic_group], '') AS taxonomic_class,
+                 national_priority AS national_priority_taxa, says[epbc_status_id] AS epbc_status, says[iucn_status_id] AS iucn_status,
+                 says[state_status_id] AS state_plant_status, says[bird_action_plan_status_id] AS bird_action_plan_status,
+                 says[max_status_id] AS max_status, suppress_spatial_representativeness AS hidden
+          FROM {taxon} CROSS JOIN status),
+        place AS (
+          SELECT 1 AS data_type, id AS place_id, name, management_comments AS management_category_comments, type AS management, m.description AS category
+          FROM {t1_site} LEFT JOIN (SELECT id AS management_id, type, description FROM {management}) m USING (management_id)
+          UNION ALL BY NAME SELECT 2 AS data_type, id AS place_id, name FROM {t2_site}),
+        origin AS (
+          SELECT o.id AS source_id, o.description AS source_desc, (SELECT g.description FROM {monitoring_program} g WHERE g.id = o.monitoring_program_id) AS monitoring_program
+          FROM {source} o),
+        area AS (
+          SELECT id AS region_id, name AS region, state, positional_accuracy_in_m AS region_centroid_accuracy, low.x AS region_centroid_longitude, low.y AS region_centroid_latitude
+          FROM {export_region} LEFT JOIN (SELECT id, min(x) AS x, min(y) AS y FROM {region_centroid} GROUP BY id) low USING (id)),
+        hull AS (SELECT taxon_id, source_id, data_type, core_range_area_in_m2 AS core, round(alpha_hull_area_in_m2 / NULLIF(core_range_area_in_m2, 0), 4) AS share FROM {taxon_source_hull}),
+        quality AS (
+          SELECT taxon_id, source_id, absences_recorded, standardisation_of_method_effort_id AS standardisation_of_method_effort,
+                 objective_of_monitoring_id AS objective_of_monitoring, consistency_of_monitoring_id AS consistency_of_monitoring,
+                 data_agreement_id AS data_agreement, suppress_aggregated_data, citation FROM {data_source})
+        SELECT * EXCLUDE (wanted_type, place_id, grid_cell_id, design, variable, region_id, hidden, name, category, core, share, management),
+               COALESCE(place_id, grid_cell_id) AS site_id,
+               CASE WHEN name IS NOT NULL THEN name WHEN place_id IS NOT NULL THEN 'site_' || data_type || '_' || place_id ELSE 'grid_' || grid_cell_id END AS site_name,
+               COALESCE(management, 'No known management') AS management, COALESCE(category, 'Unknown') AS management_category,
+               (SELECT e.description FROM {experimental_design_type} e WHERE e.id = design) AS experimental_design_type,
+               (SELECT e.description FROM {response_variable_type} e WHERE e.id = variable) AS response_variable_type,
+               CASE WHEN hidden AND core <> 0 THEN NULL ELSE share END AS spatial_representativeness
+        FROM series JOIN species USING (taxon_id) JOIN origin USING (source_id)
+        JOIN (SELECT id AS unit_id, description AS unit FROM {unit}) USING (unit_id)
+        LEFT JOIN (SELECT taxon_id, functional_group FROM {o_groups}) USING (taxon_id)
+        LEFT JOIN (SELECT id AS search_type_id, description AS search_type_desc FROM {search_type}) ON search_type_id = wanted_type
+        LEFT JOIN place USING (data_type, place_id) LEFT JOIN area USING (region_id)
+        LEFT JOIN hull USING (taxon_id, source_id, data_type) LEFT JOIN quality USING (taxon_id, source_id)""",
+    "export_values_by_year": """
+        SELECT time_series_id, data_type, start_date_y AS year, value FROM {agg_export}
+        WHERE start_date_y BETWEEN 1995 AND 2001 AND taxon_id IN (SELECT id FROM {taxon})
+          AND source_id IN (SELECT id FROM {source}) AND unit_id IN (SELECT id FROM {unit})""",
     "functional_groups": "SELECT * FROM {o_groups}",
     "described_series": """
         SELECT a.time_series_id, a.start_date_y,
@@ -511,12 +560,11 @@ ORACLES: dict[str, str] = {
                CASE taxonomic_group WHEN 'Birds' THEN 'Aves' WHEN 'Mammals' THEN 'Mammalia' ELSE '' END AS taxonomic_class
         FROM {taxon}""",
     "implied_absences": """
-        SELECT p.id AS processed_survey_id, e.taxon_id
-        FROM {t2_survey} v JOIN {t2_survey_site} s ON v.id = s.survey_id
-        JOIN {t2_processed_survey} p ON v.id = p.raw_survey_id AND p.experimental_design_type_id = 1
-        JOIN {taxon_site} e ON s.site_id = e.site_id
-        LEFT JOIN {t2_processed_sighting} g ON g.survey_id = p.id AND g.taxon_id = e.taxon_id
-        WHERE g.id IS NULL""",
+        WITH expected AS (SELECT p.id AS processed_survey_id, taxon_id
+                          FROM {t2_processed_survey} p, (SELECT survey_id, taxon_id FROM {t2_survey_site} JOIN {taxon_site} USING (site_id)) w
+                          WHERE p.experimental_design_type_id = 1 AND w.survey_id = p.raw_survey_id
+                            AND p.raw_survey_id IN (SELECT id FROM {t2_survey}))
+        FROM expected SEMI JOIN (SELECT * FROM expected EXCEPT SELECT survey_id, taxon_id FROM {t2_processed_sighting}) USING (processed_survey_id, taxon_id)""",
     "qualifying_time_series": "SELECT * FROM {o_qualifying}",
     "include_in_analysis": """
         SELECT a.time_series_id, a.start_date_y,
@@ -524,6 +572,15 @@ ORACLES: dict[str, str] = {
                AND a.start_date_y <= COALESCE(d.end_year, 2001) AND a.start_date_y >= COALESCE(d.start_year, 1995)
                  AS include_in_analysis
         FROM {agg} a LEFT JOIN {data_source} d ON d.taxon_id = a.taxon_id AND d.source_id = a.source_id""",
+    # every source has a second row for its taxa, open below for some and up to 1999
+    "include_in_analysis_two_rows": """
+        SELECT time_series_id, start_date_y,
+               list_contains((SELECT list(time_series_id) FROM {o_qualifying}), time_series_id)
+               AND start_date_y BETWEEN COALESCE(low, 1995) AND COALESCE(high, 2001) AS include_in_analysis
+        FROM {agg} LEFT JOIN (
+          SELECT taxon_id, source_id, CASE WHEN source_id % 3 <> 1 THEN least(start_year, 1997) END AS low,
+                 CASE WHEN end_year IS NOT NULL THEN greatest(end_year, 1999) END AS high
+          FROM {data_source}) USING (taxon_id, source_id)""",
     "method_profile_direct": "SELECT * FROM {o_direct}",
     "method_profile_linked": "SELECT * FROM {o_linked}",
     "method_profiles_appended": "SELECT * FROM {o_appended}",
@@ -539,17 +596,21 @@ ORACLES: dict[str, str] = {
                             AND c.search_type_id IS NOT DISTINCT FROM p.search_type_id)""",
     "previous_method": "SELECT * FROM {o_method_table}",
     "method_report": """
-        SELECT CAST(m.source_id AS VARCHAR) || '_' || m.taxon_id || '_' || m.search_type_id || '_' || m.unit_type_id || '_' || m.unit_id AS ts_id,
-               CAST(m.source_id AS VARCHAR) || '_' || m.taxon_id AS data_id, m.taxon_defunct, t.taxonomic_group, m.taxon_id,
-               t.common_name, t.scientific_name, x.description AS max_taxon_status, m.unit_type_id,
-               ut.description AS unit_type_description, m.unit_id, u.description AS unit_description, m.source_id,
-               c.description AS source_description, m.search_type_id, k.description AS search_type_description, m.data_type,
-               m.experimental_design_type_id, m.response_variable_type_id, m.response_variable_type_id_previous,
-               m.matches_previous, m.is_orphan, m.survey_id_count, m.site_id_count, m.n_count_values, m.min_count,
-               m.max_count, m.n_months, m.n_years, m.positional_accuracy_threshold_in_m
-        FROM {o_method_table} m LEFT JOIN {taxon} t ON m.taxon_id = t.id LEFT JOIN {search_type} k ON m.search_type_id = k.id
-        LEFT JOIN {unit} u ON m.unit_id = u.id LEFT JOIN {unit_type} ut ON m.unit_type_id = ut.id
-        LEFT JOIN {source} c ON m.source_id = c.id LEFT JOIN {taxon_status} x ON m.max_status_id = x.id""",
+        WITH word AS (SELECT 'search' AS list, id, description FROM {search_type} UNION ALL SELECT 'unit', id, description FROM {unit}
+                      UNION ALL SELECT 'unit type', id, description FROM {unit_type} UNION ALL SELECT 'source', id, description FROM {source}
+                      UNION ALL SELECT 'status', id, description FROM {taxon_status}),
+        book AS (SELECT map_from_entries(list((list || ' ' || id, description))) AS say FROM word)
+        SELECT concat_ws('_', CAST(source_id AS VARCHAR), taxon_id, CAST(search_type_id AS VARCHAR), CAST(unit_type_id AS VARCHAR), CAST(unit_id AS VARCHAR))
+                 || CASE WHEN source_id + search_type_id + unit_type_id + unit_id IS NULL OR taxon_id IS NULL THEN NULL ELSE '' END AS ts_id,
+               CAST(source_id AS VARCHAR) || '_' || taxon_id AS data_id, taxon_defunct, taxonomic_group, taxon_id, common_name,
+               scientific_name, say['status ' || m.max_status_id] AS max_taxon_status, unit_type_id,
+               say['unit type ' || unit_type_id] AS unit_type_description, unit_id, say['unit ' || unit_id] AS unit_description,
+               source_id, say['source ' || source_id] AS source_description, search_type_id,
+               say['search ' || search_type_id] AS search_type_description, m.data_type, experimental_design_type_id,
+               response_variable_type_id, response_variable_type_id_previous, matches_previous, is_orphan, survey_id_count,
+               site_id_count, n_count_values, min_count, max_count, n_months, n_years, positional_accuracy_threshold_in_m
+        FROM {o_method_table} m LEFT JOIN (SELECT id AS taxon_id, taxonomic_group, common_name, scientific_name FROM {taxon}) USING (taxon_id)
+        CROSS JOIN book""",
 }
 
 
@@ -597,6 +658,8 @@ DOUBLES: dict[str, str] = {
     "wide_reporting_rate": "region_centroid_longitude region_centroid_latitude 1995 1996 1997 1998 1999 2000 2001",
     "wide_mean_abundance": "region_centroid_longitude region_centroid_latitude 1995 1996 1997 1998 1999 2000 2001",
     "wide_reporting_rate_filled": "region_centroid_longitude region_centroid_latitude 1995 1996 1997 1998 1999 2000 2001",
+    "wide_filled_two_offers": "region_centroid_longitude region_centroid_latitude 1995 1996 1997 1998 1999 2000 2001",
+    "export_values_by_year": "value",
     "wide_filled_from_table": "region_centroid_longitude region_centroid_latitude 1995 1996 1997 1998 1999 2000 2001",
     "time_series_export": "region_centroid_longitude region_centroid_latitude region_centroid_accuracy "
     "spatial_representativeness surveys_centroid_longitude surveys_centroid_latitude "

@@ -1,8 +1,8 @@
 """The three workflows end to end, as lazily built stages.
 
 A stage is a property and is planned once.  Where one result reads a stage more
-than once, ``keep`` decides what happens to it: by default it is checkpointed if
-the session names a shared folder; ``stored_under`` writes it as a table.  A stage
+than once, ``keep`` decides what happens to it: by default it is checkpointed in the
+shared folder that the session names; ``stored_under`` writes it as a table.  A stage
 asked for on its own is never kept.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 
 from fieldloom.constants import CUT_YEAR, PRIOR_SOURCE, PRIOR_YEAR_AFTER, WIDE_YEARS, SurveyScope
 from fieldloom.operators import editions, methods, monthly, regions, taxa, yearly
+from fieldloom.operators.simplify import simplify_rings
 from fieldloom.session import cut_lineage
 from fieldloom.sources.tables import write_table
 
@@ -44,14 +45,21 @@ class SurveyInputs:
 
 
 class SeriesBuild:
-    """Raw surveys and sightings to yearly series per site, taxon and range."""
+    """Raw surveys and sightings to yearly series per site, taxon and range.
 
-    def __init__(self, inputs: SurveyInputs, scope: SurveyScope = SurveyScope(), keep: Keep = checkpointed):
+    With a ``tolerance`` above 0 the outlines that sites meet are simplified: each part of
+    a range for itself, as the parts are never merged.  ``strict`` is that of the rates.
+    """
+
+    def __init__(self, inputs: SurveyInputs, scope: SurveyScope = SurveyScope(), keep: Keep = checkpointed,
+                 tolerance: float = 0, strict: bool = False):
         self.inputs, self.scope, self.keep = inputs, scope, keep
+        self.tolerance, self.strict = tolerance, strict
 
     @cached_property
     def ranges(self) -> DataFrame:
-        return taxa.dissolve_ranges(self.inputs.range_vertex, self.inputs.taxon_range_link, self.inputs.taxonomy)
+        dissolved = taxa.dissolve_ranges(self.inputs.range_vertex, self.inputs.taxon_range_link, self.inputs.taxonomy)
+        return simplify_rings(dissolved, taxa.RANGE_KEYS, self.tolerance)
 
     @cached_property
     def focal_species(self) -> DataFrame:
@@ -104,7 +112,7 @@ class SeriesBuild:
         located = self.keep("sites_in_ranges", self.sites_in_ranges)
         # sightings of taxa off their range would meet no survey row, so they are not made
         return monthly.data_by_month(
-            self._surveys(places, located), self._sightings(places, located, None), self.inputs.site
+            self._surveys(places, located), self._sightings(places, located, None), self.inputs.site, self.strict
         )
 
     @cached_property
@@ -117,7 +125,7 @@ class SeriesBuild:
             i.survey, i.sighting, i.survey_point, places, self.focal_species, self.scope
         )
         counted = self.keep("surveys_per_site", surveys)
-        return yearly.data_by_year_from_counts(counted, sightings, self.sites_in_ranges, i.site)
+        return yearly.data_by_year_from_counts(counted, sightings, self.sites_in_ranges, i.site, self.strict)
 
     def flagged(self, processing_method: DataFrame) -> DataFrame:
         """Yearly series with response variable and all-zero flag."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -32,17 +34,29 @@ def build_session(app: str = "fieldloom", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def _checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names; a local session without one gets a folder of its own.
+
+    Off local mode a folder must be named, and a ``file:`` one is refused: each machine
+    would see its own.
+    """
+    context = spark.sparkContext
+    local = context.master.startswith("local")
+    folder = context.getCheckpointDir() or spark.conf.get(CHECKPOINT_DIR, None)
+    if folder is None and local:
+        folder = tempfile.mkdtemp(prefix="checkpoints-")
+    if folder is None or (folder.startswith("file:") and not local):
+        raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all machines share, not {folder}")
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint a stage with several consumers in the shared folder the session names.
 
-    A checkpoint outlives the executors that wrote it.  Without a folder the plan
-    is returned as it is: it is then recomputed, not kept on one machine.
+    A checkpoint outlives the executors that wrote it.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
+    folder = _checkpoint_folder(df.sparkSession)
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get(CHECKPOINT_DIR, None)
-        if not folder:
-            return df
         context.setCheckpointDir(folder)
     return df.checkpoint()

@@ -200,7 +200,8 @@ VIEWS: dict[str, str] = {
                CASE WHEN site_id % 15 = 14 THEN NULL ELSE site_id END AS site_id,
                CASE WHEN site_id % 15 = 14 THEN site_id * 100 ELSE NULL END AS grid_cell_id,
                CASE WHEN site_id % 5 = 3 THEN 2 ELSE 1 END AS data_type,
-               experimental_design_type_id, response_variable_type_id, start_date_y, value, survey_count,
+               experimental_design_type_id, response_variable_type_id, start_date_y,
+               CASE WHEN site_id % 7 = 3 AND start_date_y % 3 = 1 THEN NULL ELSE value END AS value, survey_count,
                CAST(site_id * 3 % 20 AS DOUBLE) + CAST(start_date_y % 4 AS DOUBLE) / 4 AS centroid_x,
                CAST(site_id * 11 % 19 AS DOUBLE) AS centroid_y, CAST(site_id % 6 * 100 AS DOUBLE) AS positional_accuracy_in_m
         FROM {agg}""",

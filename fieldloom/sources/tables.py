@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -23,9 +24,17 @@ PROCESSING_METHOD = T.StructType(
 )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A CSV file with a header, typed by ``schema``; a malformed row stops the read."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, unique: Sequence[str] = ()) -> DataFrame:
+    """A CSV file with a header, typed by ``schema``; a malformed row stops the read.
+
+    ``unique`` names the columns of a key: a file that repeats one is refused on load.
+    """
+    table = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    if unique:
+        repeated = table.groupBy(*unique).agg(F.count("*").alias("n")).where("n > 1").drop("n").first()
+        if repeated:
+            raise ValueError(f"{path} repeats the key {repeated.asDict()}")
+    return table
 
 
 def missing_values(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -6,6 +6,7 @@ import math
 import random
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from fieldloom.operators import geo, regions, taxa
@@ -247,3 +248,79 @@ def test_simplify(spark, longest):
 def test_simplify_off(spark):
     shapes = layer(spark, {1: [[SQUARE]]})
     assert simplify_rings(shapes, ["id"], 0).count() == 5
+
+
+@pytest.mark.parametrize("longest", [3, 10, 57])
+def test_long_and_short_segments_agree_on_random_doubles(spark, longest):
+    """Both ways of judging a vertex use the same arithmetic: ties and bits do not hang on the size of a segment."""
+    rng = np.random.default_rng(longest)
+    shapes = []
+    for key in range(4):
+        n = 120
+        turn = np.sort(rng.uniform(0, 2 * np.pi, n))
+        radius = np.where(rng.uniform(size=n) < 0.5, 10.0, rng.uniform(8, 12, n))
+        ring = [(float(r * np.cos(t)), float(r * np.sin(t))) for r, t in zip(radius, turn, strict=True)]
+        shapes += [(key, 0, 1, i, x, y) for i, (x, y) in enumerate([*ring, ring[0]])]
+    vertices = spark.createDataFrame(shapes, "id long, part int, ring int, seq int, x double, y double")
+    whole = {tuple(r) for r in simplify_rings(vertices, ["id"], 0.7, 10**6).collect()}
+    assert {tuple(r) for r in simplify_rings(vertices, ["id"], 0.7, longest).collect()} == whole
+    assert 16 < len(whole) < len(shapes)
+
+
+def test_a_flat_zigzag_does_not_gather_its_edges(spark):
+    """1000 wide, 1 high: rows of cells as fine as the height, and no cell carries all edges to its right."""
+    n = 2000
+    up = [(i * 0.5, float(i % 2)) for i in range(n)]
+    ring = [*up, (1000.0, 2.0), (-1.0, 2.0), up[0]]
+    vertices = spark.createDataFrame(
+        [(1, 0, 1, i, float(x), float(y)) for i, (x, y) in enumerate(ring)], "id int, part int, ring int, seq int, x double, y double"
+    )
+    cells = geo.polygon_cells(vertices, ["id"])
+    assert cells.selectExpr("max(size(segs))").first()[0] < n / 4
+    points = [(i, 0.2501 + 3.7 * i, 0.137 + (i % 19) / 10) for i in range(260)]
+    got = {r.pid for r in geo.points_in_polygons(spark.createDataFrame(points, "pid int, x double, y double"), vertices, ["id"]).collect()}
+
+    def inside(x, y):
+        crossed = sum(((y1 <= y) != (y2 <= y)) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1) for (x1, y1), (x2, y2) in zip(ring, ring[1:], strict=False))
+        return crossed % 2 == 1
+
+    assert got == {i for i, x, y in points if inside(x, y)}
+
+
+def test_outlines_are_dealt_by_row_and_block(spark):
+    vertices = spark.createDataFrame([(1, 0, 1, 0, 0.0, 0.0)], "id int, part int, ring int, seq int, x double, y double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = geo.polygon_cells(vertices, ["id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert any("hashpartitioning" in line and "cy#" in line and "block#" in line for line in plan.splitlines())
+
+
+def test_nearest_far_points_and_a_long_edge(spark):
+    """Points far outside the layer, beside one edge of forty degrees and many short ones."""
+    rng = np.random.default_rng(3)
+    shapes = [(0, [(0.0, 0.0), (40.0, 0.0), (40.0, 0.5), (0.0, 0.5)])]
+    for key in range(1, 40):
+        x, y = rng.uniform(0, 40), rng.uniform(5, 20)
+        shapes.append((key, [(x, y), (x + 0.1, y), (x + 0.1, y + 0.1), (x, y + 0.1)]))
+    rows, lines = [], []
+    for key, ring in shapes:
+        closed = [*ring, ring[0]]
+        rows += [(key, 0, 1, i, float(x), float(y)) for i, (x, y) in enumerate(closed)]
+        lines += [(key, a, b) for a, b in zip(closed, closed[1:], strict=False)]
+    vertices = spark.createDataFrame(rows, "region_id int, part int, ring int, seq int, x double, y double")
+    points = [(i, float(rng.uniform(-500, 500)), float(rng.uniform(-500, 500))) for i in range(60)]
+    points += [(60 + i, float(x), float(rng.uniform(1, 4))) for i, x in enumerate(rng.uniform(0, 40, 40))]
+
+    def distance(p, a, b):
+        p, a, b = np.array(p), np.array(a), np.array(b)
+        t = np.clip((p - a) @ (b - a) / ((b - a) @ (b - a)), 0, 1)
+        return float(np.hypot(*(p - a - t * (b - a))))
+
+    found = geo.nearest_polygon(spark.createDataFrame(points, "pid int, x double, y double"), vertices, "pid", "region_id").collect()
+    assert len(found) == len(points)
+    for r in found:
+        _, x, y = points[r.pid]
+        best = min((distance((x, y), a, b), key) for key, a, b in lines)
+        assert abs(r.distance - best[0]) < 1e-9 and r.region_id == best[1]
