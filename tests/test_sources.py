@@ -56,3 +56,11 @@ def test_lineage_is_cut_in_the_shared_folder(spark):
     cut = session.cut_lineage(spark.range(10))
     assert cut.count() == 10
     assert "Scan ExistingRDD" in cut._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_repeated_key_is_refused_on_load(spark, tmp_path):
+    path = tmp_path / "focal.csv"
+    path.write_text("taxon_id,focal\nu1,1\nu1,2\n")
+    with pytest.raises(ValueError, match="u1"):
+        tables.read_csv(spark, str(path), tables.FOCAL_LIST, unique=["taxon_id"])
+    assert tables.read_csv(spark, str(path), tables.FOCAL_LIST).count() == 2
