@@ -17,7 +17,7 @@ def op2_shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_texts(documents(spark, sf_dir))
+    return jaccard.linked_texts(documents(spark, sf_dir))[0]
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

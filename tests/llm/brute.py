@@ -44,6 +44,21 @@ def similar(rows, words, num, den):
     return {k: len(s) for k, s in sets.items()}, components(sets, links)
 
 
+def linked(rows, words, num, den):
+    """(links by row number, pairs of different sets): every row against every other one."""
+    sets = [frozenset(shingles(text, words)) for _, text in rows]
+    count, pairs = [0] * len(rows), set()
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and den * len(a & b) >= num * len(a | b):
+                count[i] += 1
+                count[j] += 1
+                if a != b:
+                    pairs.add(frozenset((a, b)))
+    return count, pairs
+
+
 def without_repeats(rows, length):
     """(n_bytes, n_removed, n_spans, kept_sha256) by doc_id; distinct ids."""
     seen, out = set(), {}

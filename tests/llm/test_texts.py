@@ -67,6 +67,41 @@ def test_similar_texts_in_rounds(spark, monkeypatch):
     assert 3 < len(set(component.values())) < len(rows)
 
 
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 7])
+def test_every_link_is_listed(spark, monkeypatch, block):
+    """Near copies of one text, most pairs linked, copies among them, and a small block so that many meet."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "COLUMNS", 16)
+    rng = random.Random(9)
+    rows = [(None, "other words alone here"), (500, ""), (501, None)]
+    for family in range(2):
+        base = [f"f{family}x{i}" for i in range(60)]
+        for member in range(60):
+            text = list(base)
+            for _ in range(rng.randint(0, 6)):
+                text[rng.randrange(60)] = f"m{rng.randrange(9)}"
+            rows += [(len(rows), " ".join(text))] * rng.choice((1, 1, 2))
+    count, pairs = brute.linked(rows, 2, 75, 100)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got, links = jaccard.linked_texts(docs, 2, 75, 100)
+    none = lambda k: -1 if k is None else k
+    got = got.collect()
+    assert sorted((none(r.doc_id), r.n_links) for r in got) == sorted((none(k), n) for (k, _), n in zip(rows, count, strict=True))
+    text = dict(rows)
+    listed = [frozenset(frozenset(brute.shingles(text[k], 2)) for k in (r.doc_a, r.doc_b)) for r in links.collect()]
+    assert len(listed) == len(set(listed)) and set(listed) == pairs
+    assert len(pairs) > 400
+    assert len({r.class_id for r in got if r.n_shingles}) == len({frozenset(brute.shingles(t, 2)) for _, t in rows if t})
+
+
+def test_links_on_odd_rows(odd_docs, odd_rows, no_docs):
+    count, _ = brute.linked(odd_rows, 4, 85, 100)
+    got = jaccard.linked_texts(odd_docs)[0].collect()
+    none = lambda k: -1 if k is None else k
+    assert sorted((none(r.doc_id), r.n_links) for r in got) == sorted((none(k), n) for (k, _), n in zip(odd_rows, count, strict=True))
+    assert jaccard.linked_texts(no_docs)[0].count() == 0
+
+
 def test_repeats_on_odd_rows(odd_docs, odd_rows):
     distinct = {k: t for k, t in odd_rows if k is not None}
     # rows with a null id come last; one of them is empty
