@@ -172,6 +172,29 @@ def test_a_group_beyond_a_shard_is_cut_at_the_quota(spark):
     _law(rows, 8)
 
 
+def test_groups_stay_whole_where_a_shard_has_room(spark):
+    """16 groups of 60 in 16 shards of 100, all whole; a group of a third of all rows cut as little as can be."""
+    docs = spark.createDataFrame([(i, f"group {i % 16}" if i < 960 else f"own {i}") for i in range(1600)], "doc_id long, text string")
+    rows = sharding.shard_documents(docs).collect()
+    _law(rows, 16)
+    assert all(len({r.shard for r in rows if r.doc_id < 960 and r.doc_id % 16 == g}) == 1 for g in range(16))
+    docs = spark.createDataFrame([(i, "same" if i < 533 else f"pair {i // 2}") for i in range(1600)], "doc_id long, text string")
+    rows = sharding.shard_documents(docs).collect()
+    _law(rows, 16)
+    spread = sorted([sum(r.shard == s for r in rows if r.doc_id < 533) for s in range(16)], reverse=True)
+    assert spread[:7] == [100, 100, 100, 100, 100, 33, 0]
+    pairs = {}
+    for r in rows:
+        if r.doc_id >= 534:
+            pairs.setdefault(r.doc_id // 2, set()).add(r.shard)
+    assert sum(len(s) > 1 for s in pairs.values()) <= 16
+
+
+def test_units_are_cut_last():
+    parts, room = sharding._fitted([("a", 6, 0), ("b", 6, 0), ("c", 5, 0), ("d", 3, 1)], [10, 10])
+    assert {u for u, *_ in parts if sum(p[0] == u for p in parts) == 1} == {"a", "b", "d"} and room == [0, 0]
+
+
 def test_chains_of_links_are_drawn_together(spark):
     """Nodes 0-9 of a chain share a key with the next one each."""
     nodes = spark.range(80).withColumnRenamed("id", "nid")
