@@ -7,6 +7,7 @@ import binascii
 import hashlib
 import re
 import zlib
+from itertools import accumulate, chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,15 @@ _URL = re.compile(rb"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(rb"(?:\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\x[0-9a-fA-F]{2})+")
 _ONE_UNICODE = re.compile(rb"\\u([0-9a-fA-F]{4})|\\U([0-9a-fA-F]{8})|\\x([0-9a-fA-F]{2})")
 _PADDING = re.compile(rb"={0,2}")
+_STANDARD = bytes.maketrans(b"-_", b"+/")
+#: Runs that go on over line breaks, and the places in them where an encoding may start.
+_WRAPPED = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[\x20\t]*+\r?\n[\x20\t]*+[A-Za-z0-9+/_-]++)+")
+#: A layer without any of these holds no finding and no layer.
+_WORTH = re.compile(rb"(?i:passw|secret|token|api)|[%\\\n]|[A-Za-z0-9+/_-]{16}|(?:[\t\r\x20-\x7e]\x00){6}|(?:\x00[\t\r\x20-\x7e]){6}")
+_BREAK = re.compile(rb"[\x20\t]*\r?\n[\x20\t]*")
+_SEPARATOR = re.compile(rb"[+/_-]")
+#: ASCII in UTF-16 of either byte order.
+_WIDE = (re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){6,}"), re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){6,}"))
 
 SCHEMA = "doc_id long, findings array<struct<kind:string,start:long,end:long,depth:int,layers:string>>"
 
@@ -63,18 +73,39 @@ def scan(body: bytes, runs: list[tuple[int, int]]) -> list[tuple[str, int, int]]
     return found
 
 
+def _packed(data: bytes) -> bool:
+    return data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0)
+
+
+def _streams(data: bytes) -> bytes:
+    """What the compressed streams at the start of ``data`` hold, one after another, as far as they are sound."""
+    out = []
+    while _packed(data):
+        stream, fed = zlib.decompressobj(47), 0
+        try:
+            while fed < len(data) and not stream.eof:
+                out.append(stream.decompress(data[fed : fed + 4096]))
+                fed += 4096
+        except zlib.error:
+            break
+        if not stream.eof:
+            break
+        data = stream.unused_data + data[fed:]
+    return b"".join(out)
+
+
 def _inflated(data: bytes) -> tuple[bytes, int]:
     """Compressed layers taken off until none is left or one repeats; how many there were."""
     seen, layers = set(), 0
-    while data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0):
+    while _packed(data):
         mark = hashlib.sha256(data).digest()
         if mark in seen:
             break
         seen.add(mark)
-        try:
-            data = zlib.decompress(data, 47)
-        except zlib.error:
+        inner = _streams(data)
+        if not inner:
             break
+        data = inner
         layers += 1
     return data, layers
 
@@ -133,32 +164,84 @@ def _unwrapped(body: bytes, starts, ends, runs):
     if layers:
         yield "compressed", data, np.full(len(data), starts[0]), np.full(len(data), ends[-1])
     for a, b in runs:
-        run = body[a:b].translate(bytes.maketrans(b"-_", b"+/"))
-        if len(run) % 4 == 1:
+        yield from _decoded(body, a, b, starts, ends)
+    if b"\n" in body:
+        for match in _WRAPPED.finditer(body):
+            if match.end() - match.start() > _SHORTEST_RUN:
+                yield from _decoded(body, *match.span(), starts, ends)
+
+
+def _decoded(body: bytes, a: int, b: int, starts, ends):
+    """The layers that the base64 characters from ``a`` to ``b`` hold in each of the four alignments.
+
+    A text or a compressed stream that fills them has their whole span; otherwise each
+    byte has that of its own characters, and a stream within, behind a separator or a line
+    break, that from there to the end.
+    """
+    breaks = [m.span() for m in _BREAK.finditer(body, a, b)]
+    pieces = list(zip([a, *(e for _, e in breaks)], [*(s for s, _ in breaks), b], strict=True))
+    run = b"".join([body[x:y] for x, y in pieces])
+    if len(run) < _SHORTEST_RUN:
+        return
+    padded = _PADDING.match(body, b).end()
+    lines = list(accumulate(y - x for x, y in pieces[:-1]))
+    marks = [0, *(m.end() for m in _SEPARATOR.finditer(run)), *lines]
+    run, places = run.translate(_STANDARD), None
+    for shift in range(4):
+        part = run[shift:]
+        part = part[: len(part) - (len(part) % 4 == 1)]
+        if not part:
             continue
         try:
-            data = base64.b64decode(run + b"=" * (-len(run) % 4))
+            data = base64.b64decode(part + b"=" * (-len(part) % 4))
         except (binascii.Error, ValueError):
             continue
-        data, layers = _inflated(data)
-        if layers or _is_text(data):
-            b = _PADDING.match(body, b).end()
-            yield "base64" + "+compressed" * layers, data, np.full(len(data), starts[a]), np.full(len(data), ends[b - 1])
+        if not shift:
+            inner, layers = _inflated(data)
+            if layers or _is_text(inner):
+                yield "base64" + "+compressed" * layers, inner, np.full(len(inner), starts[a]), np.full(len(inner), ends[padded - 1])
+                if not layers:
+                    continue
+        inside = {(m - shift) // 4 * 3 for m in marks if m > shift and (m - shift) % 4 == 0}
+        inside |= {m.start() for m in re.finditer(rb"\x1f\x8b\x08", data)} | ({0} if shift else set())
+        packed = [first for first in sorted(inside) if _packed(data[first : first + 3])]
+        worth = _WORTH.search(data)
+        if not worth and not packed:
+            continue
+        if places is None:
+            places = np.concatenate([np.arange(x, y) for x, y in pieces])
+        at = np.arange(len(data))
+        head = shift + at // 3 * 4 + at % 3
+        if worth:
+            yield "base64", data, starts[places[head]], ends[places[np.minimum(head + 1, len(run) - 1)]]
+        for first in packed:
+            inner, layers = _inflated(data[first:])
+            if layers:
+                yield "base64" + "+compressed" * layers, inner, np.full(len(inner), starts[places[head[first]]]), np.full(len(inner), ends[padded - 1])
+
+
+def _narrowed(body: bytes, starts, ends):
+    """The stretches of UTF-16 in a decoded layer, as ASCII."""
+    for order, pattern in enumerate(_WIDE):
+        for match in pattern.finditer(body):
+            a, b = match.span()
+            yield "utf-16", body[a + order : b : 2], starts[a:b:2], ends[a + 1 : b : 2]
 
 
 def find_secrets(body: bytes) -> list[tuple[str, int, int, int, str]]:
     """All findings of one text: (kind, start, end, depth, layers), in code points of the text.
 
     Each layer is scanned for the base kinds.  What its URL escapes, Unicode escapes,
-    base64 runs and compressed streams hold goes on the worklist as a layer of its own,
-    until no layer gives a new one; a layer seen before at the same place is not
-    entered again, so cycles end.  A finding in a layer has the span of the text that
+    base64 runs - also over line breaks, and in all four alignments - and compressed
+    streams hold goes on the worklist, text or not, and the UTF-16 in it too, as a layer
+    of its own, until no layer gives a new one; a layer seen before at the same place is
+    not entered again, so cycles end.  A finding in a layer has the span of the text that
     it was decoded from; one that repeats a span of its kind is listed once, with the
     least depth.
     """
     runs = _runs(body)
     found = {(k, a, b): (0, "") for k, a, b in scan(body, runs)}
-    if b"%" in body or b"\\" in body or runs or body[:2] in (b"\x1f\x8b",):
+    if b"%" in body or b"\\" in body or runs or b"\n" in body or body[:2] in (b"\x1f\x8b",):
         here = np.arange(len(body) + 1)
         work, seen = [(0, "", body, here[:-1], here[1:], runs)], set()
         while work:
@@ -166,7 +249,8 @@ def find_secrets(body: bytes) -> list[tuple[str, int, int, int, str]]:
             if depth:
                 for kind, a, b in scan(layer, runs):
                     found.setdefault((kind, int(starts[a]), int(ends[b - 1])), (depth, path))
-            for name, data, froms, tos in _unwrapped(layer, starts, ends, runs):
+            inner = _unwrapped(layer, starts, ends, runs)
+            for name, data, froms, tos in chain(inner, _narrowed(layer, starts, ends)) if depth else inner:
                 if not len(data):
                     continue
                 mark = hashlib.sha256(data).digest() + int(froms[0]).to_bytes(8, "big") + int(tos[-1]).to_bytes(8, "big")

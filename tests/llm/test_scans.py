@@ -52,6 +52,26 @@ def test_nested_layers_are_unwrapped():
         assert text.index(layer) <= start < end <= text.index(layer) + len(layer)
 
 
+SECRET = 'password = "hunter2hunter2"'
+FILL = " ".join(f"line{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("data", [
+    f"{FILL} {SECRET} {FILL}".encode(), gzip.compress(f"{FILL} {SECRET} {random.Random(1).random()}".encode()), f"{FILL} {SECRET}".encode("utf-16"),
+    f"{FILL} {SECRET}".encode("utf-16-be"), b"\x00\xff\x80" * 70 + SECRET.encode() + b"\xfe\x01" * 70,
+    gzip.compress(b"first") + gzip.compress(SECRET.encode()), zlib.compress(SECRET.encode()) + b"trailing",
+])
+@pytest.mark.parametrize("wrap", [0, 8, 64, 76])
+@pytest.mark.parametrize("before", ["", "see https://h.example/x/", "a-", "id_", "-----BEGIN CERTIFICATE-----\n", "url/x/yy/"])
+def test_base64_wrapped_shifted_and_binary(data, wrap, before):
+    coded = base64.b64encode(data).decode()
+    if wrap:
+        coded = "\n".join(coded[i : i + wrap] for i in range(0, len(coded), wrap))
+    text = f"é {before}{coded} after"
+    found = [f for f in secret_scan.find_secrets(text.encode()) if f[0] == "assign" and f[3]]
+    assert found and all(0 <= a < b <= len(text) - len(" after") for _, a, b, _, _ in found)
+
+
 def test_a_layer_that_holds_itself_ends():
     text = "%2525252541KIA" + "A" * 20 + "%25"
     assert secret_scan.find_secrets(text.encode()) is not None
