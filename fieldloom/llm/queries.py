@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.llm import embeddings, exact_dedup, jaccard, licenses, packing, pieces, secret_scan, sharding, suffix_dedup, toxicity
+from fieldloom.llm import embeddings, exact_dedup, fill_middle, jaccard, licenses, packing, pieces, secret_scan, sharding, suffix_dedup, toxicity
 from fieldloom.llm.common import documents
 
 
@@ -48,5 +48,9 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.fill_in_middle_digest(documents(spark, sf_dir))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f)}
-ORACLES = {"op9_exact_dedup": exact_dedup.ORACLE}
+ORACLES = {"op9_exact_dedup": exact_dedup.ORACLE, "op11_fill_in_middle": fill_middle.ORACLE}
