@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldloom.llm import embeddings, exact_dedup, fill_middle, jaccard, licenses, packing, pieces, secret_scan, sharding, suffix_dedup, toxicity, vector_codes
+from fieldloom.llm import embeddings, exact_dedup, fill_middle, jaccard, licenses, main_text, packing, pieces, secret_scan, sharding, suffix_dedup, toxicity, vector_codes
 from fieldloom.llm.common import documents
 
 
@@ -52,6 +52,10 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.fill_in_middle_digest(documents(spark, sf_dir))
 
 
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
