@@ -11,6 +11,16 @@ import re
 
 from fieldloom.sources.star import BASE_TABLES, VIEWS, dependencies
 
+def _orphans(keys: str) -> str:
+    """The rows of the earlier methods with one of these keys; the keys are compared as lists, where NULL equals NULL."""
+    key = "[taxon_id, CAST(unit_id AS VARCHAR), CAST(source_id AS VARCHAR), CAST(search_type_id AS VARCHAR)]"
+    return f"""
+        SELECT * EXCLUDE (unit_type_id, response_variable_type_id), response_variable_type_id AS response_variable_type_id_previous, true AS is_orphan,
+               (SELECT max(max_status_id) FROM {{taxon}} WHERE id = taxon_id) AS max_status_id,
+               taxon_id IS NULL OR taxon_id NOT IN (SELECT id FROM {{taxon}}) AS taxon_defunct
+        FROM {{processing_method}} WHERE {key} IN (SELECT {key} FROM ({keys}))"""
+
+
 # named intermediate results; {name} refers to another one, a view or a base table
 STEPS: dict[str, str] = {
     "o_site_centre": """
@@ -259,13 +269,14 @@ STEPS: dict[str, str] = {
         SELECT * REPLACE (CASE WHEN source_id IN (4, 8, 15) THEN 2 WHEN unit_type_id = 3 THEN 3 ELSE 1 END
                           AS response_variable_type_id)
         FROM {o_appended}""",
-    "o_orphans": """
-        SELECT p.taxon_id, p.unit_id, p.source_id, p.search_type_id, p.data_type, p.experimental_design_type_id,
-               p.response_variable_type_id AS response_variable_type_id_previous, true AS is_orphan, t.max_status_id,
-               t.id IS NULL AS taxon_defunct
-        FROM {processing_method} p LEFT JOIN {taxon} t ON p.taxon_id = t.id
-        WHERE NOT EXISTS (SELECT 1 FROM {o_classified} c WHERE c.taxon_id = p.taxon_id AND c.unit_id = p.unit_id
-                            AND c.source_id = p.source_id AND c.search_type_id = p.search_type_id)""",
+    # keys of the earlier table that the current one lacks; a key with an unknown part equals none
+    "o_orphan_keys": """
+        SELECT taxon_id, unit_id, source_id, search_type_id FROM {processing_method}
+        EXCEPT SELECT taxon_id, unit_id, source_id, search_type_id FROM {o_classified}""",
+    "o_orphans": _orphans("""
+          FROM {o_orphan_keys}
+          UNION SELECT taxon_id, unit_id, source_id, search_type_id FROM {processing_method}
+          WHERE source_id + unit_id + search_type_id IS NULL OR taxon_id IS NULL"""),
     "o_all_methods": """
         SELECT * FROM {o_classified}
         UNION ALL BY NAME
@@ -321,6 +332,21 @@ def _violations(table: str, keys: str) -> str:
     return f"SELECT {keys}, count(*) AS n FROM {{{table}}} GROUP BY ALL HAVING count(*) > 1 OR {some_null}"
 
 
+def _included(bounds: str) -> str:
+    """Years allowed, one row each; a series' year stands if it is among them, or its source says nothing."""
+    return f"""
+        WITH bounds AS ({bounds}),
+        widest AS (SELECT taxon_id, source_id, list(COALESCE(start_year, -1)) AS starts, list(COALESCE(end_year, -1)) AS ends FROM bounds GROUP BY ALL),
+        allowed AS (SELECT taxon_id, source_id, unnest(generate_series(
+                      CASE WHEN list_contains(starts, -1) THEN 1995 ELSE list_min(starts) END,
+                      CASE WHEN list_contains(ends, -1) THEN 2001 ELSE list_max(ends) END)) AS start_date_y FROM widest),
+        kept AS (FROM {{agg}} SEMI JOIN {{o_qualifying}} USING (time_series_id)),
+        inside AS (SELECT time_series_id, start_date_y FROM kept SEMI JOIN allowed USING (taxon_id, source_id, start_date_y)
+                   UNION SELECT time_series_id, start_date_y FROM kept ANTI JOIN widest USING (taxon_id, source_id)
+                   WHERE start_date_y BETWEEN 1995 AND 2001)
+        SELECT time_series_id, start_date_y, (time_series_id, start_date_y) IN (FROM inside) AS include_in_analysis FROM {{agg}}"""
+
+
 ORACLES: dict[str, str] = {
     "focal_taxa": """
         SELECT t.taxon_id, t.sp_id, t.taxon_name, t.taxon_scientific_name, CAST(f.focal AS SMALLINT) AS focal
@@ -544,56 +570,46 @@ ORACLES: dict[str, str] = {
                (SELECT e.description FROM {experimental_design_type} e WHERE e.id = a.experimental_design_type_id) AS experimental_design_type,
                (SELECT e.description FROM {response_variable_type} e WHERE e.id = a.response_variable_type_id) AS response_variable_type
         FROM {agg} a""",
+    # a book of names per place, read by the key of the place
     "site_names": """
-        SELECT a.time_series_id, a.start_date_y, a.data_type, COALESCE(a.site_id, a.grid_cell_id) AS site_or_cell_id,
-               COALESCE(s1.name, s2.name, 'site_' || a.data_type || '_' || a.site_id, 'grid_' || a.grid_cell_id) AS site_name
-        FROM {agg_export} a LEFT JOIN {t1_site} s1 ON a.site_id = s1.id AND a.data_type = 1
-        LEFT JOIN {t2_site} s2 ON a.site_id = s2.id AND a.data_type = 2""",
+        WITH book AS (
+          SELECT map_from_entries(list((kind || id, name))) AS names
+          FROM (SELECT 'a' AS kind, id, name FROM {t1_site} UNION ALL SELECT 'b' AS kind, id, name FROM {t2_site}) WHERE name IS NOT NULL)
+        SELECT time_series_id, start_date_y, data_type, ifnull(site_id, grid_cell_id) AS site_or_cell_id,
+               CASE WHEN site_id IS NULL THEN concat('grid_', grid_cell_id)
+                    ELSE ifnull(names[substr('ab', data_type, 1) || site_id], concat_ws('_', 'site', data_type, site_id)) END AS site_name
+        FROM {agg_export} CROSS JOIN book""",
     "spatial_representativeness": """
-        SELECT a.time_series_id, a.start_date_y, a.data_type,
-               CASE WHEN t.suppress_spatial_representativeness AND h.core_range_area_in_m2 <> 0 THEN NULL
-                    ELSE round(h.alpha_hull_area_in_m2 / NULLIF(h.core_range_area_in_m2, 0), 4) END AS spatial_representativeness
-        FROM {agg_export} a JOIN {taxon} t ON t.id = a.taxon_id
-        LEFT JOIN {taxon_source_hull} h ON h.taxon_id = a.taxon_id AND h.source_id = a.source_id AND h.data_type = a.data_type""",
+        WITH share AS (
+          SELECT taxon_id, source_id, data_type, round(alpha_hull_area_in_m2 / core, 4) AS s, core
+          FROM (SELECT *, nullif(core_range_area_in_m2, 0) AS core FROM {taxon_source_hull})),
+        open AS (FROM share SEMI JOIN (SELECT id AS taxon_id FROM {taxon} WHERE NOT suppress_spatial_representativeness) USING (taxon_id)
+                 UNION ALL FROM share WHERE core IS NULL)
+        SELECT time_series_id, start_date_y, data_type,
+               (SELECT max(s) FROM open o WHERE (o.taxon_id, o.source_id, o.data_type) = (a.taxon_id, a.source_id, a.data_type)) AS spatial_representativeness
+        FROM (FROM {agg_export} SEMI JOIN (SELECT id AS taxon_id FROM {taxon}) USING (taxon_id)) a""",
     "taxonomic_class": """
         SELECT id, taxonomic_group,
                CASE taxonomic_group WHEN 'Birds' THEN 'Aves' WHEN 'Mammals' THEN 'Mammalia' ELSE '' END AS taxonomic_class
         FROM {taxon}""",
     "implied_absences": """
-        WITH expected AS (SELECT p.id AS processed_survey_id, taxon_id
-                          FROM {t2_processed_survey} p, (SELECT survey_id, taxon_id FROM {t2_survey_site} JOIN {taxon_site} USING (site_id)) w
-                          WHERE p.experimental_design_type_id = 1 AND w.survey_id = p.raw_survey_id
-                            AND p.raw_survey_id IN (SELECT id FROM {t2_survey}))
-        FROM expected SEMI JOIN (SELECT * FROM expected EXCEPT SELECT survey_id, taxon_id FROM {t2_processed_sighting}) USING (processed_survey_id, taxon_id)""",
+        SELECT processed_survey_id, taxon_id
+        FROM (SELECT id AS processed_survey_id, raw_survey_id AS survey_id FROM {t2_processed_survey} WHERE experimental_design_type_id = 1)
+        SEMI JOIN (SELECT id AS survey_id FROM {t2_survey}) USING (survey_id)
+        JOIN {t2_survey_site} USING (survey_id) JOIN {taxon_site} USING (site_id)
+        ANTI JOIN (SELECT DISTINCT survey_id AS processed_survey_id, taxon_id FROM {t2_processed_sighting}) USING (processed_survey_id, taxon_id)""",
     "qualifying_time_series": "SELECT * FROM {o_qualifying}",
-    "include_in_analysis": """
-        SELECT a.time_series_id, a.start_date_y,
-               a.time_series_id IN (SELECT time_series_id FROM {o_qualifying})
-               AND a.start_date_y <= COALESCE(d.end_year, 2001) AND a.start_date_y >= COALESCE(d.start_year, 1995)
-                 AS include_in_analysis
-        FROM {agg} a LEFT JOIN {data_source} d ON d.taxon_id = a.taxon_id AND d.source_id = a.source_id""",
+    "include_in_analysis": _included("SELECT taxon_id, source_id, start_year, end_year FROM {data_source}"),
     # every source has a second row for its taxa, open below for some and up to 1999
-    "include_in_analysis_two_rows": """
-        SELECT time_series_id, start_date_y,
-               list_contains((SELECT list(time_series_id) FROM {o_qualifying}), time_series_id)
-               AND start_date_y BETWEEN COALESCE(low, 1995) AND COALESCE(high, 2001) AS include_in_analysis
-        FROM {agg} LEFT JOIN (
-          SELECT taxon_id, source_id, CASE WHEN source_id % 3 <> 1 THEN least(start_year, 1997) END AS low,
-                 CASE WHEN end_year IS NOT NULL THEN greatest(end_year, 1999) END AS high
-          FROM {data_source}) USING (taxon_id, source_id)""",
+    "include_in_analysis_two_rows": _included("""
+          SELECT taxon_id, source_id, start_year, end_year FROM {data_source}
+          UNION ALL SELECT taxon_id, source_id, CASE WHEN source_id % 3 <> 1 THEN 1997 END, 1999 FROM {data_source}"""),
     "method_profile_direct": "SELECT * FROM {o_direct}",
     "method_profile_linked": "SELECT * FROM {o_linked}",
     "method_profiles_appended": "SELECT * FROM {o_appended}",
     "response_variable_classified": "SELECT * FROM {o_classified}",
     "orphan_methods": "SELECT * FROM {o_orphans}",
-    "orphan_methods_null_safe": """
-        SELECT p.taxon_id, p.unit_id, p.source_id, p.search_type_id, p.data_type, p.experimental_design_type_id,
-               p.response_variable_type_id AS response_variable_type_id_previous, true AS is_orphan, t.max_status_id,
-               t.id IS NULL AS taxon_defunct
-        FROM {processing_method} p LEFT JOIN {taxon} t ON p.taxon_id = t.id
-        WHERE NOT EXISTS (SELECT 1 FROM {o_classified} c WHERE c.taxon_id IS NOT DISTINCT FROM p.taxon_id
-                            AND c.unit_id IS NOT DISTINCT FROM p.unit_id AND c.source_id IS NOT DISTINCT FROM p.source_id
-                            AND c.search_type_id IS NOT DISTINCT FROM p.search_type_id)""",
+    "orphan_methods_null_safe": _orphans("FROM {o_orphan_keys}"),
     "previous_method": "SELECT * FROM {o_method_table}",
     "method_report": """
         WITH word AS (SELECT 'search' AS list, id, description FROM {search_type} UNION ALL SELECT 'unit', id, description FROM {unit}

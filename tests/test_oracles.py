@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as contract
@@ -26,5 +28,16 @@ def test_query_equals_sql(spark, connection, tables_dir, name):
     assert not problems, "\n".join(problems)
 
 
+# what only shows in the larger tables: open bounds of a source, absences in number
+@pytest.mark.parametrize("name", ["include_in_analysis", "include_in_analysis_two_rows", "implied_absences"])
+def test_query_equals_sql_on_larger_tables(spark, tables_dir, name):
+    larger = Path(tables_dir).parent / "sf0.01"
+    if not larger.exists():
+        pytest.skip("no larger tables")
+    problems, rows = compare(spark, connect(str(larger)), str(larger), name)
+    assert not problems, "\n".join(problems)
+    assert rows > 10_000
+
+
 def test_entry_yields_rows(spark):
     assert contract.entry(spark).count() > 0
