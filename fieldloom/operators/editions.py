@@ -59,24 +59,23 @@ def point_from_lonlat(df: DataFrame, lon: str = "lon", lat: str = "lat") -> Data
     return df.withColumn("x", F.col(lon).cast("double")).withColumn("y", F.col(lat).cast("double"))
 
 
-def back_attribute_sites(prior: DataFrame, sites: DataFrame, site_vertex: DataFrame) -> DataFrame:
+def back_attribute_sites(prior: DataFrame, sites: DataFrame, site_vertex: geo.Layer) -> DataFrame:
     """Add ``site_id_current``: the current site of the same type that covers the prior site's point.
 
     The match uses place and type, the attribution goes by prior site id, and where
     several sites match, the lowest id is taken.
     """
     places = (
-        point_from_lonlat(prior).select("site_id", "search_type_id", "x", "y").where(F.col("site_id").isNotNull())
+        point_from_lonlat(prior).select(F.col("site_id").alias("prior_site_id"), "search_type_id", "x", "y")
+        .where(F.col("prior_site_id").isNotNull())
         .distinct()
     )
-    covering = geo.points_in_polygons(
-        places, site_vertex.withColumnRenamed("site_id", "site_id_current"), ["site_id_current"]
-    )
-    types = sites.select(F.col("site_id").alias("site_id_current"), F.col("site_type").alias("search_type_id"))
+    covering = geo.points_in_polygons(places, site_vertex, ["site_id"])
+    types = sites.select("site_id", F.col("site_type").alias("search_type_id"))
     matched = (
-        covering.join(types, ["site_id_current", "search_type_id"])
-        .groupBy("site_id")
-        .agg(F.min("site_id_current").alias("site_id_current"))
+        covering.join(types, ["site_id", "search_type_id"])
+        .groupBy(F.col("prior_site_id").alias("site_id"))
+        .agg(F.min("site_id").alias("site_id_current"))
     )
     return prior.drop("site_id_current").join(matched, "site_id", "left")
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,15 +32,28 @@ _BLOCK = 16
 def edges(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per ring edge: keys, part, ring, seq, x1, y1, x2, y2.
 
-    The successor is found by an equi join on the vertex number, which spreads a
-    huge ring over all tasks where a window would sort it in one.
+    A vertex is the start of one edge and the end of the one before; both meet in an
+    aggregate by the number of the edge.  So the layer is read once, and a huge ring is
+    spread over all tasks where a window would sort it in one.
     """
-    ring = [*keys, "part", "ring", "seq"]
-    start = vertices.select(*ring, F.col("x").alias("x1"), F.col("y").alias("y1"))
-    end = vertices.select(
-        *keys, "part", "ring", (F.col("seq") - 1).alias("seq"), F.col("x").alias("x2"), F.col("y").alias("y2")
+    of_edge = F.explode(
+        F.array(
+            F.struct(F.col("seq").alias("seq"), F.lit(True).alias("starts")),
+            F.struct((F.col("seq") - 1).alias("seq"), F.lit(False).alias("starts")),
+        )
+    )
+    ends = vertices.select(*keys, "part", "ring", of_edge.alias("e"), "x", "y")
+    return (
+        ends.groupBy(*keys, "part", "ring", F.col("e.seq").alias("seq"))
+        .agg(
+            *[
+                F.max(F.when(F.col("e.starts") if n == 1 else ~F.col("e.starts"), F.col(v))).alias(f"{v}{n}")
+                for n in (1, 2)
+                for v in ("x", "y")
+            ]
+        )
+        .where("x1 IS NOT NULL AND x2 IS NOT NULL")
     )
-    return start.join(end, ring)
 
 
 # sides of a cell: powers of four, so exact
@@ -57,7 +71,7 @@ def _cells(low: str, high: str, side: str = _SIDE) -> Column:
 
 
 def _part_levels(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The grid levels of every part, ``level`` along x and ``rise`` along y, and its first block of cells.
+    """The grid levels of every part, ``level`` along x and ``rise`` along y, and its first cell.
 
     Each comes from the extent along its axis and the number of vertices n.  A part is
     at most 16, or a quarter of root n, cells across.  So its cells do not outnumber its
@@ -70,7 +84,10 @@ def _part_levels(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
         return F.expr(f"CAST(greatest({_FINEST}, least({_COARSEST}, ceil(log2({extent} / {across}) / 2))) AS INT)")
 
     levels = vertices.groupBy(*keys, "part").agg(level("x").alias("level"), level("y").alias("rise"), F.min("x").alias("left"))
-    return levels.select(*keys, "part", "level", "rise", F.expr(f"floor(left / {_SIDE} / {_BLOCK})").alias("left_block"))
+    return levels.select(*keys, "part", "level", "rise", _cell("left").alias("left"))
+
+
+CELL = ["level", "rise", "cx", "cy"]
 
 
 def polygon_cells(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -83,10 +100,13 @@ def polygon_cells(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     dropped or marked ``whole``, and then carries none.
 
     Edges are gathered per block of cells of a row, dealt over the tasks by row and
-    block, not by outline.
+    block, not by outline.  Every edge is told to all blocks of its row from the part's
+    first one on, so a block knows what lies right of it, and a block that nothing was
+    told to lies outside: one aggregate makes the layer.
     """
     part = [*keys, "part", "level", "rise"]
     row = [*part, "cy"]
+    block = f"floor(%s / {_BLOCK})"
     entered = (
         edges(vertices, keys)
         .join(_part_levels(vertices, keys), [*keys, "part"])
@@ -97,30 +117,24 @@ def polygon_cells(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
         # the half-open ray misses level edges and edges that end at the foot of the row
         .withColumn("partly", F.expr(f"NOT through AND y1 <> y2 AND greatest(y1, y2) > cy * {_RISE}"))
     )
-    block = f"floor(%s / {_BLOCK})"
-    held = (
-        entered.withColumn("to", F.expr(block % "last"))
-        .withColumn("from", F.when(F.col("partly"), F.least("left_block", "to")).otherwise(F.expr(block % "first")))
-        .withColumn("block", F.explode(F.sequence("from", "to")))
-        .select(*row, "block", F.struct("x1", "y1", "x2", "y2", "through", "partly").alias("e"))
+    told = (
+        entered.withColumn("own", F.expr(block % "first"))
+        .withColumn("from", F.expr(f"CASE WHEN through OR partly THEN least({block % '`left`'}, own) ELSE own END"))
+        .withColumn("block", F.explode(F.expr(f"sequence(`from`, {block % 'last'})")))
+        .withColumn("e", F.when(F.expr("partly OR block >= own"), F.struct("x1", "y1", "x2", "y2", "through", "partly")))
+        .select(*row, "block", "e", F.expr("IF(e IS NULL, 1, 0)").alias("passes"), "left", "last")
         .repartition(*row, "block")
-        .groupBy(*row, "block")
-        .agg(F.collect_list("e").alias("row_segs"))
     )
-    passing = entered.where("through").groupBy(*row, F.expr(block % "first").alias("block")).agg(F.count("*").alias("n"))
-    bounds = entered.groupBy(*row).agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    blocks = bounds.withColumn("block", F.explode(F.sequence(F.expr(block % "first"), F.expr(block % "last"))))
-    further = W.partitionBy(*row).orderBy("block").rowsBetween(1, W.unboundedFollowing)
-    rows = (
-        blocks.join(passing, [*row, "block"], "left")
-        .withColumn("beyond", F.coalesce(F.sum("n").over(further), F.lit(0)))
-        .join(held, [*row, "block"], "left")
-        .withColumn("row_segs", F.coalesce("row_segs", F.array().cast(held.schema["row_segs"].dataType)))
+    rows = told.groupBy(*row, "block").agg(
+        F.collect_list("e").alias("row_segs"),
+        F.sum("passes").alias("beyond"),
+        F.expr(f"greatest(min(`left`), block * {_BLOCK})").alias("low"),
+        F.expr(f"least(max(last), block * {_BLOCK} + {_BLOCK - 1})").alias("high"),
     )
     enters = f"(greatest(e.x1, e.x2) >= cx * {_SIDE} AND least(e.x1, e.x2) <= (cx + 1) * {_SIDE})"
     right = f"least(e.x1, e.x2) > (cx + 1) * {_SIDE}"
     return (
-        rows.withColumn("cx", F.explode(F.expr(f"sequence(greatest(first, block * {_BLOCK}), least(last, block * {_BLOCK} + {_BLOCK - 1}))")))
+        rows.withColumn("cx", F.explode(F.expr("sequence(low, high)")))
         .withColumn("whole", F.expr(f"NOT exists(row_segs, e -> {enters})"))
         .where(~F.col("whole") | g.surrounds("row_segs", f"(cx + 0.5D) * {_SIDE}", f"(cy + 0.5D) * {_RISE}", "beyond"))
         .select(
@@ -134,30 +148,66 @@ def polygon_cells(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def points_in_polygons(points: DataFrame, vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Points (with x, y) joined to every polygon part that covers them; boundaries count.
+def points_in_cells(
+    points: DataFrame, cells: DataFrame, levels: Column, keys: Sequence[str], same: Sequence[str] = ()
+) -> DataFrame:
+    """Points (with x, y) joined to the polygon parts that cover them, over the cells of the layer.
 
-    Adds the layer's ``keys`` to the point columns.  A polygon with overlapping
-    parts yields one row per part; callers that want a union drop duplicates.
-    A point lies in one cell per pair of levels, so it goes into the join once for
-    each pair the layer uses, which a scalar subquery over the part extents lists.
+    ``cells`` come from :func:`polygon_cells` or from where they were stored.  A point
+    lies in one cell per pair of ``levels`` (an array of structs level, rise), so it goes
+    into the join once for each pair.  Columns in ``same``, of the points and of the
+    layer, must agree as well.
     """
-    used = _part_levels(vertices, keys).agg(F.collect_set(F.struct("level", "rise"))).scalar()
     placed = (
-        points.withColumn("_used", F.explode(used))
+        points.withColumn("_used", F.explode(levels))
         .withColumn("level", F.col("_used.level"))
         .withColumn("rise", F.col("_used.rise"))
         .withColumn("cx", _cell("x"))
         .withColumn("cy", _cell("y", _RISE))
     )
     return (
-        placed.join(polygon_cells(vertices, keys), ["level", "rise", "cx", "cy"])
+        placed.join(cells, [*same, *CELL])
         .where(F.col("whole") | g.covers("segs", "x", "y", "crossed"))
-        .select(*points.columns, *keys)
+        .select(*points.columns, *[k for k in keys if k not in same])
     )
 
 
-def centroids(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
+def used_levels(cells: DataFrame) -> Column:
+    """The pairs of levels in use, by a scalar subquery over the parts, or over stored cells."""
+    return cells.agg(F.collect_set(F.struct("level", "rise"))).scalar()
+
+
+@dataclass(frozen=True)
+class CellLayer:
+    """A polygon layer made ready for the joins and stored: its outlines, cells, levels in use and centroids."""
+
+    vertices: DataFrame
+    cells: DataFrame
+    levels: Column
+    centroids: DataFrame
+
+
+Layer = DataFrame | CellLayer
+
+
+def outlines(layer: Layer) -> DataFrame:
+    return layer.vertices if isinstance(layer, CellLayer) else layer
+
+
+def points_in_polygons(points: DataFrame, vertices: Layer, keys: Sequence[str], same: Sequence[str] = ()) -> DataFrame:
+    """Points (with x, y) joined to every polygon part that covers them; boundaries count.
+
+    Adds the layer's ``keys`` to the point columns.  A polygon with overlapping
+    parts yields one row per part; callers that want a union drop duplicates.  A stored
+    layer is read as it lies, outlines are made into cells first.
+    """
+    if isinstance(vertices, CellLayer):
+        return points_in_cells(points, vertices.cells, vertices.levels, keys, same)
+    layer = [k for k in keys if k != "part"]
+    return points_in_cells(points, polygon_cells(vertices, layer), used_levels(_part_levels(vertices, layer)), keys, same)
+
+
+def centroids(vertices: Layer, keys: Sequence[str]) -> DataFrame:
     """Area centroid per polygon: keys, x, y.
 
     Sums run relative to a corner of the polygon's box, so small sites far from
@@ -165,6 +215,8 @@ def centroids(vertices: DataFrame, keys: Sequence[str]) -> DataFrame:
     whatever way they wind.  A polygon without area falls back to the centroid of
     its outline, and one without length to its only point.
     """
+    if isinstance(vertices, CellLayer):
+        return vertices.centroids
     origin = vertices.groupBy(*keys).agg(F.min("x").alias("ox"), F.min("y").alias("oy"))
     rel = (
         edges(vertices, keys)
@@ -221,7 +273,7 @@ def _reach(side: float, cx: str, cy: str) -> tuple[str, str]:
     return f"hypot({near[0]}, {near[1]})", f"hypot({far[0]}, {far[1]})"
 
 
-def nearest_polygon(points: DataFrame, vertices: DataFrame, point_key: str, polygon_key: str) -> DataFrame:
+def nearest_polygon(points: DataFrame, vertices: Layer, point_key: str, polygon_key: str) -> DataFrame:
     """The polygon nearest to each point outside all of them: point_key, polygon_key, distance.
 
     Ties go to the lowest polygon key.  Exact at any distance, by going down a pyramid of
@@ -232,7 +284,7 @@ def nearest_polygon(points: DataFrame, vertices: DataFrame, point_key: str, poly
     is not above the best distance that another one warrants, so a point keeps few cells
     on each level, wherever it lies.
     """
-    lines = edges(vertices, [polygon_key]).select(polygon_key, "x1", "y1", "x2", "y2")
+    lines = edges(outlines(vertices), [polygon_key]).select(polygon_key, "x1", "y1", "x2", "y2")
     low, high = (F.least, F.min), (F.greatest, F.max)
     spans = [high[1](high[0](f"{v}1", f"{v}2")) - low[1](low[0](f"{v}1", f"{v}2")) for v in "xy"]
     shape = lines.agg(F.greatest(*spans).alias("extent"), F.count("*").alias("n")).first()

@@ -46,35 +46,30 @@ METHOD_KEYS = ["taxon_id", "unit_id", "source_id", "search_type_id"]
 def _profile(rows: DataFrame, taxon: DataFrame, data_type: int) -> DataFrame:
     """Counts and extremes per combination.
 
-    Site, month and year belong to the survey, so the rows shrink to one per combination
-    and survey, and to one per combination and count, before anything is counted: raw
-    rows are never multiplied.  A combination with a third of all rows spreads over the
-    tasks by its surveys and counts.  An unknown month counts as month 0 of its year, an
-    unknown year not at all.
+    Every row tells its survey, site, month, year and count as tagged values; these are
+    made distinct per combination before anything is counted.  So the raw join is read
+    once, repeated values fall away before the shuffle, and a combination with a third
+    of all rows spreads over the tasks by its values.  An unknown month counts as month 0
+    of its year, an unknown year or count not at all.
     """
     combination = ["taxon_id", "unit_id", "unit_type_id", "source_id", "search_type_id"]
-    month = F.col("start_date_y") * 100 + F.coalesce(F.col("start_date_m"), F.lit(0))
-    surveys = (
-        rows.groupBy(*combination, "survey_id").agg(F.max("site_id").alias("site"), F.max("start_date_y").alias("year"), F.max(month).alias("month"))
-        .groupBy(*combination)
-        .agg(
-            F.count("survey_id").alias("survey_id_count"),
-            F.countDistinct("site").alias("site_id_count"),
-            F.countDistinct("month").alias("n_months"),
-            F.countDistinct("year").alias("n_years"),
-        )
-    )
-    counts = (
-        rows.groupBy(*combination, "count").agg(F.lit(1).alias("_"))
-        .groupBy(*combination)
-        .agg(F.count("count").alias("n_count_values"), F.min("count").alias("min_count"), F.max("count").alias("max_count"))
-        .select(*[F.col(k).alias(f"_{k}") for k in combination], "n_count_values", "min_count", "max_count")
-    )
-    both = surveys.join(counts, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in combination])
+    ids = {
+        "survey_id_count": F.col("survey_id"),
+        "site_id_count": F.col("site_id"),
+        "n_months": F.col("start_date_y") * 100 + F.coalesce(F.col("start_date_m"), F.lit(0)),
+        "n_years": F.col("start_date_y"),
+    }
+    told = [F.struct(F.lit(name).alias("tag"), value.cast("long").alias("id"), F.lit(None).cast(rows.schema["count"].dataType).alias("count"))
+            for name, value in ids.items()]
+    told.append(F.struct(F.lit("count").alias("tag"), F.lit(None).cast("long").alias("id"), F.col("count")))
+    values = rows.select(*combination, F.explode(F.array(*told)).alias("v")).select(*combination, "v.*").distinct()
     statuses = taxon.select(F.col("id").alias("taxon_id"), "max_status_id")
     return (
-        both.select(
-            *combination, "survey_id_count", "site_id_count", "n_count_values", "min_count", "max_count", "n_months", "n_years"
+        values.groupBy(*combination)
+        .agg(
+            *[F.count(F.when(F.col("tag") == name, F.col("id"))).alias(name) for name in ("survey_id_count", "site_id_count")],
+            F.count("count").alias("n_count_values"), F.min("count").alias("min_count"), F.max("count").alias("max_count"),
+            *[F.count(F.when(F.col("tag") == name, F.col("id"))).alias(name) for name in ("n_months", "n_years")],
         )
         .join(statuses, "taxon_id")
         .withColumn("data_type", F.lit(data_type))

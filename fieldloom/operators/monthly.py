@@ -34,7 +34,7 @@ def valid_surveys(survey: DataFrame, scope: SurveyScope = SurveyScope()) -> Data
     return survey.where(kept)
 
 
-def sites_at_places(survey_point: DataFrame, sites: DataFrame, site_vertex: DataFrame) -> DataFrame:
+def sites_at_places(survey_point: DataFrame, sites: DataFrame, site_vertex: geo.Layer) -> DataFrame:
     """Sites over each distinct survey place: x, y, site_id, site_type.
 
     Places are deduplicated first: many points share one, and it needs one test.

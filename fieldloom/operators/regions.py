@@ -14,7 +14,7 @@ from fieldloom.operators import geo
 _REGION_COLUMNS = ["region_name", "region_centroid_longitude", "region_centroid_latitude"]
 
 
-def region_centroids(regions: DataFrame, region_vertex: DataFrame) -> DataFrame:
+def region_centroids(regions: DataFrame, region_vertex: geo.Layer) -> DataFrame:
     """Regions (region_id, region_name, region_code) with their centroid x, y."""
     return regions.select("region_id", "region_name", "region_code").join(
         geo.centroids(region_vertex, ["region_id"]), "region_id"
@@ -22,7 +22,7 @@ def region_centroids(regions: DataFrame, region_vertex: DataFrame) -> DataFrame:
 
 
 def site_region(
-    site_centroids: DataFrame, regions: DataFrame, region_vertex: DataFrame, pick: str | None = None
+    site_centroids: DataFrame, regions: DataFrame, region_vertex: geo.Layer, pick: str | None = None
 ) -> DataFrame:
     """The region that covers each site's centroid: site_id, region_id, region_name, x, y of the region.
 
@@ -38,7 +38,7 @@ def site_region(
 
 
 def nearest_region(
-    site_centroids: DataFrame, site_region: DataFrame, regions: DataFrame, region_vertex: DataFrame
+    site_centroids: DataFrame, site_region: DataFrame, regions: DataFrame, region_vertex: geo.Layer
 ) -> DataFrame:
     """The nearest region of every site that lies in none: site_id, region_code, distance."""
     missing = site_centroids.select("site_id", "x", "y").join(site_region, "site_id", "left_anti")
@@ -49,7 +49,7 @@ def nearest_region(
 
 
 def fill_nearest_region(
-    wide: DataFrame, nearest: DataFrame, regions: DataFrame, region_vertex: DataFrame
+    wide: DataFrame, nearest: DataFrame, regions: DataFrame, region_vertex: geo.Layer
 ) -> DataFrame:
     """Give rows without a region the region named for their site in ``nearest`` (site_id, region_code).
 

@@ -36,14 +36,14 @@ def dissolve_ranges(range_vertex: DataFrame, taxon_range_link: DataFrame, taxono
     )
 
 
-def site_centroids(sites: DataFrame, site_vertex: DataFrame) -> DataFrame:
+def site_centroids(sites: DataFrame, site_vertex: geo.Layer) -> DataFrame:
     """Centroid of every site: site_id, site_type, site_permutation, x, y."""
     return sites.select("site_id", "site_type", "site_permutation").join(
         geo.centroids(site_vertex, ["site_id"]), "site_id"
     )
 
 
-def sites_in_ranges(centroids: DataFrame, ranges: DataFrame) -> DataFrame:
+def sites_in_ranges(centroids: DataFrame, ranges: geo.Layer) -> DataFrame:
     """Sites whose centroid lies in a taxon's range, once per range class."""
     return geo.points_in_polygons(centroids.select("site_id", "site_type", "x", "y"), ranges, RANGE_KEYS).select(
         "site_id", "site_type", *RANGE_KEYS
@@ -60,6 +60,6 @@ def distinct_taxa(facts: DataFrame) -> DataFrame:
     return facts.select("taxon_id").distinct().orderBy("taxon_id")
 
 
-def sites_with_geometry(located: DataFrame, site_vertex: DataFrame) -> DataFrame:
+def sites_with_geometry(located: DataFrame, site_vertex: geo.Layer) -> DataFrame:
     """Range membership rows with the outline of their site, for a look on a map."""
-    return located.join(site_vertex, "site_id")
+    return located.join(geo.outlines(site_vertex), "site_id")

@@ -55,7 +55,8 @@ class Workload:
     def series(self) -> SeriesBuild:
         t = self.t
         inputs = SurveyInputs(
-            t.survey, t.survey_point, t.sighting, t.site, t.site_vertex, t.taxonomy, t.taxon_range_link, t.range_vertex
+            t.survey, t.survey_point, t.sighting, t.site, t.layer("site_vertex"), t.taxonomy, t.taxon_range_link, t.range_vertex,
+            t.layer("taxon_range"),
         )
         return SeriesBuild(inputs, SCOPE, self.keep)
 
@@ -71,14 +72,14 @@ class Workload:
     def comparison(self) -> EditionComparison:
         t = self.t
         return EditionComparison(
-            t.edition_cur, t.edition_prev, t.site, t.site_vertex, t.taxonomy, t.survey_type, CUT_YEAR, PRIOR_AFTER,
+            t.edition_cur, t.edition_prev, t.site, t.layer("site_vertex"), t.taxonomy, t.survey_type, CUT_YEAR, PRIOR_AFTER,
             keep=self.keep,
         )
 
     def wide(self, series: DataFrame) -> WideBuild:
         t = self.t
         return WideBuild(
-            series, t.site, t.site_vertex, t.survey_type, t.taxonomy, t.subregion, t.subregion_vertex, YEARS, self.keep
+            series, t.site, t.layer("site_vertex"), t.survey_type, t.taxonomy, t.subregion, t.layer("subregion_vertex"), YEARS, self.keep
         )
 
     @cached_property

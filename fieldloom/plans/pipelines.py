@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 
 from fieldloom.constants import CUT_YEAR, PRIOR_SOURCE, PRIOR_YEAR_AFTER, WIDE_YEARS, SurveyScope
 from fieldloom.operators import editions, methods, monthly, regions, taxa, yearly
+from fieldloom.operators.geo import CellLayer, Layer
 from fieldloom.operators.simplify import simplify_rings
 from fieldloom.session import cut_lineage
 from fieldloom.sources.tables import write_table
@@ -38,10 +39,12 @@ class SurveyInputs:
     survey_point: DataFrame
     sighting: DataFrame
     site: DataFrame
-    site_vertex: DataFrame
+    site_vertex: Layer
     taxonomy: DataFrame
     taxon_range_link: DataFrame
     range_vertex: DataFrame
+    #: the dissolved ranges, where they are stored as a layer
+    range_layer: CellLayer | None = None
 
 
 class SeriesBuild:
@@ -75,12 +78,17 @@ class SeriesBuild:
 
     @cached_property
     def sites_in_ranges(self) -> DataFrame:
-        return taxa.sites_in_ranges(self.centroids, self._kept_ranges)
+        stored = self.inputs.range_layer if self.tolerance == 0 else None
+        return taxa.sites_in_ranges(self.centroids, stored or self._kept_ranges)
 
     @cached_property
     def places(self) -> DataFrame:
         return monthly.sites_at_places(self.inputs.survey_point, self.inputs.site, self.inputs.site_vertex)
 
+    @cached_property
+    def _kept_places(self) -> DataFrame:
+        return self.keep("sites_at_places", self.places)
+
     def _surveys(self, places: DataFrame, located: DataFrame) -> DataFrame:
         scope = replace(self.scope, survey_types=None)
         return monthly.surveys_by_month(self.inputs.survey, self.inputs.survey_point, places, located, scope)
@@ -93,7 +101,7 @@ class SeriesBuild:
 
     @cached_property
     def surveys_by_month(self) -> DataFrame:
-        return self._surveys(self.places, self.sites_in_ranges)
+        return self._surveys(self._kept_places, self.sites_in_ranges)
 
     def sightings_in_sites(self, sighting_id: str = "id") -> DataFrame:
         i = self.inputs
@@ -104,11 +112,11 @@ class SeriesBuild:
 
     @cached_property
     def sightings_by_month(self) -> DataFrame:
-        return self._sightings(self.places, self.sites_in_ranges, self._kept_ranges)
+        return self._sightings(self._kept_places, self.sites_in_ranges, self._kept_ranges)
 
     @cached_property
     def data_by_month(self) -> DataFrame:
-        places = self.keep("sites_at_places", self.places)
+        places = self._kept_places
         located = self.keep("sites_in_ranges", self.sites_in_ranges)
         # sightings of taxa off their range would meet no survey row, so they are not made
         return monthly.data_by_month(
@@ -119,7 +127,7 @@ class SeriesBuild:
     def data_by_year(self) -> DataFrame:
         """Yearly series from monthly counts; ``yearly.data_by_year(self.data_by_month)`` gives the same."""
         i = self.inputs
-        places = self.keep("sites_at_places", self.places)
+        places = self._kept_places
         surveys = monthly.surveys_per_site(i.survey, i.survey_point, places, replace(self.scope, survey_types=None))
         sightings = monthly.sightings_per_site(
             i.survey, i.sighting, i.survey_point, places, self.focal_species, self.scope
@@ -137,8 +145,8 @@ class SeriesBuild:
 class WideBuild:
     """Yearly series to the one-column-per-year table, every site with a region."""
 
-    def __init__(self, series: DataFrame, site: DataFrame, site_vertex: DataFrame, survey_type: DataFrame,
-                 taxonomy: DataFrame, region: DataFrame, region_vertex: DataFrame,
+    def __init__(self, series: DataFrame, site: DataFrame, site_vertex: Layer, survey_type: DataFrame,
+                 taxonomy: DataFrame, region: DataFrame, region_vertex: Layer,
                  years: Iterable[int] = WIDE_YEARS, keep: Keep = checkpointed):
         self.series, self.site, self.survey_type, self.taxonomy = series, site, survey_type, taxonomy
         self.region, self.region_vertex, self.years, self.keep = region, region_vertex, list(years), keep
@@ -176,7 +184,7 @@ class WideBuild:
 class EditionComparison:
     """Current series against the prior edition."""
 
-    def __init__(self, series: DataFrame, prior_raw: DataFrame, site: DataFrame, site_vertex: DataFrame,
+    def __init__(self, series: DataFrame, prior_raw: DataFrame, site: DataFrame, site_vertex: Layer,
                  taxonomy: DataFrame, survey_type: DataFrame, before: int = CUT_YEAR,
                  prior_after: int = PRIOR_YEAR_AFTER, prior_source: int = PRIOR_SOURCE, keep: Keep = checkpointed):
         self.series, self.prior_raw, self.site, self.site_vertex = series, prior_raw, site, site_vertex

@@ -12,6 +12,10 @@ from string import Formatter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from fieldloom.operators.geo import CellLayer, Layer
+from fieldloom.operators.taxa import RANGE_KEYS, dissolve_ranges
+from fieldloom.sources.layers import store_layer
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 # constant outlines; joined to a row they turn it into its five ring vertices
@@ -295,19 +299,41 @@ class StarTables:
     def __getattr__(self, name: str) -> DataFrame:
         return self[name]
 
+    def layer(self, name: str) -> Layer | None:
+        """A polygon layer as the joins take it: here its outlines, if there is a view of that name."""
+        return self[name] if name in VIEWS else None
+
 
 class StoredTables(StarTables):
-    """The same views, each read from its own Parquet table under ``folder``."""
+    """The same views, each read from its own Parquet table under ``folder``, and polygon layers where they are stored."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, layers: dict[str, CellLayer] | None = None):
         super().__init__(spark, folder)
+        self.layers = layers or {}
 
     def _make(self, name: str) -> DataFrame:
         return self._read(f"{self.directory}/{name}")
 
+    def layer(self, name: str) -> Layer | None:
+        return self.layers.get(name) or super().layer(name)
+
 
 def store_views(tables: StarTables, folder: str) -> StoredTables:
     """Write every view as a Parquet table, once, as a deployment would hold them."""
     for name in VIEWS:
         tables[name].write.parquet(f"{folder}/{name}")
     return StoredTables(tables.spark, folder)
+
+
+#: Layers that queries join points to, with their keys.
+LAYERS = {"site_vertex": ["site_id"], "subregion_vertex": ["region_id"]}
+
+
+def store_layers(tables: StoredTables, prefix: str = "layer", buckets: int = 8) -> StoredTables:
+    """The tables with their polygon layers stored as well; ``prefix`` begins the names in the catalog."""
+    layers = {
+        name: store_layer(tables[name], keys, f"{prefix}_{name}", tables.directory, buckets) for name, keys in LAYERS.items()
+    }
+    ranges = dissolve_ranges(tables.range_vertex, tables.taxon_range_link, tables.taxonomy)
+    layers["taxon_range"] = store_layer(ranges, RANGE_KEYS, f"{prefix}_taxon_range", tables.directory, buckets)
+    return StoredTables(tables.spark, tables.directory, layers)

@@ -58,19 +58,36 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     return df.sparkSession.read.parquet(path)
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
-    """Store a catalog table bucketed and sorted by a join key.
+def save_bucketed(df: DataFrame, table: str, key: str | Sequence[str], buckets: int, path: str | None = None) -> DataFrame:
+    """Store a catalog table bucketed and sorted by a join key of one or more columns.
 
     Sightings kept this way by survey id are joined to their surveys where they
-    lie: only the much smaller survey side is shuffled, in every later run.
+    lie: only the much smaller survey side is shuffled, in every later run.  Rows are
+    dealt by the key before they are written, so a bucket is one file, not one per task.
     """
-    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    keys = [key] if isinstance(key, str) else list(key)
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
     return df.sparkSession.table(table)
 
 
+def open_bucketed(
+    spark: SparkSession, table: str, key: str | Sequence[str], buckets: int, path: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """A table of :func:`save_bucketed`, known to this session's catalog again by its folder."""
+    if not spark.catalog.tableExists(table):
+        keys = ", ".join(f"`{k}`" for k in ([key] if isinstance(key, str) else key))
+        fields = (schema or spark.read.parquet(path).schema).fields
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        location = path.replace("'", "\\'")
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS LOCATION '{location}'"
+        )
+    return spark.table(table)
+
+
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A typed table without rows."""
     return spark.createDataFrame([], schema)

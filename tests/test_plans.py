@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import pytest
 
-from fieldloom.operators import monthly
+from fieldloom.operators import geo, monthly
 from fieldloom.plans import catalog
 from fieldloom.plans.catalog import Workload, published
-from fieldloom.sources.star import StarTables, store_views
+from fieldloom.sources.layers import open_layer
+from fieldloom.sources.star import StarTables, store_layers, store_views
 from fieldloom.sources.tables import save_bucketed
 
 OFF = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
@@ -18,6 +19,11 @@ def stored(spark, tables_dir, tmp_path_factory):
     return store_views(StarTables(spark, tables_dir), str(tmp_path_factory.mktemp("domain") / "tables"))
 
 
+@pytest.fixture(scope="module")
+def layered(stored):
+    return store_layers(stored, "plan_layer")
+
+
 @pytest.fixture()
 def no_broadcast(spark):
     before = {key: spark.conf.get(key, None) for key in OFF}
@@ -80,3 +86,57 @@ def test_filters_and_columns_reach_the_scan(spark, tables_dir, stored):
     by_month = plan_of(w.series.sightings_by_month)
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "ReadSchema: struct<survey_id:bigint,species_id:int,individual_count:int>" in by_month
+
+
+def scans(plan: str, table: str) -> int:
+    """How often a plan reads the files of a table (the formatted plan lists each scan once)."""
+    return len([line for line in plan.splitlines() if line.startswith("Location:") and f"/{table}]" in line])
+
+
+def formatted(df) -> str:
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
+def test_outlines_are_read_at_most_three_times(stored, no_broadcast):
+    w = workload(stored)
+    assert 0 < scans(formatted(w.series.places), "site_vertex") <= 3
+    assert 0 < scans(formatted(w.series.sites_in_ranges), "range_vertex") <= 3
+    assert scans(formatted(w.series.centroids), "site_vertex") == 2
+
+
+def test_raw_rows_of_a_profile_are_read_once(stored, no_broadcast):
+    w = workload(stored)
+    plan = formatted(w.linked_profile)
+    assert [scans(plan, t) for t in ("t2_sighting", "t2_taxon_sighting", "t2_survey")] == [1, 1, 1]
+    assert scans(formatted(w.direct_profile), "t1_sighting") == 1 and "Expand" not in plan
+
+
+def test_stored_layers_are_read_where_they_lie(stored, layered, no_broadcast):
+    w = workload(layered)
+    plan = formatted(w.series.surveys_by_month)
+    assert scans(plan, "site_vertex") == scans(plan, "range_vertex") == 0
+    # the sites at places are wanted twice; a workload that keeps stages reads their cells once
+    assert scans(plan, "plan_layer_site_vertex_cells") == 2 and scans(plan, "plan_layer_taxon_range_cells") == 1
+    # only the points are shuffled by cell, not the layer
+    assert plan_of(w.series.places).count("Exchange hashpartitioning(level") == 1
+    assert plan_of(w.series.sites_in_ranges).count("Exchange hashpartitioning(level") == 1
+    assert plan_of(workload(stored).series.places).count("Exchange hashpartitioning(level") == 2
+
+
+@pytest.mark.parametrize(
+    "name", ["sites_in_ranges", "sites_in_ranges_outlines", "surveys_by_month", "all_zero_series", "prior_sites_attributed", "wide_reporting_rate_filled"]
+)
+def test_stored_layers_give_the_same_rows(stored, layered, name):
+    a, b = (sorted(map(str, catalog.run_on(name, tables).collect())) for tables in (stored, layered))
+    assert a == b and a
+
+
+def test_a_stored_layer_is_opened_again(spark, stored, layered, no_broadcast):
+    folder = stored.directory
+    spark.sql("DROP TABLE plan_layer_site_vertex_cells")  # the files stay: the table is external
+    again = open_layer(stored.site_vertex, ["site_id"], "plan_layer_site_vertex", folder, 8)
+    points = stored.survey_point.select("x", "y").distinct()
+    a, b = (sorted(map(tuple, geo.points_in_polygons(points, v, ["site_id"]).collect())) for v in (again, stored.site_vertex))
+    assert a == b
+    assert plan_of(geo.points_in_polygons(points, again, ["site_id"])).count("Exchange hashpartitioning(level") == 1
