@@ -250,21 +250,24 @@ def centroids(vertices: Layer, keys: Sequence[str]) -> DataFrame:
     return rings.groupBy(*keys, "ox", "oy").agg(centre("x"), centre("y")).select(*keys, "x", "y")
 
 
-def _entered(lines: DataFrame, level: int) -> DataFrame:
-    """Each edge in the cells of one level that it passes: in each row at the cells under its piece there
-    and one more to either side, so that rounding leaves none out."""
-    at = lines.withColumn("level", F.lit(level))
+def passed_cells(lines: DataFrame, pad: float = 0.0) -> DataFrame:
+    """Each edge in the cells of its ``level`` that it passes: in each row at the cells under its piece there
+    and one more to either side, so that rounding leaves none out.  ``pad`` widens its rows."""
     return (
-        at.withColumn("cy", _cells("least(y1, y2)", "greatest(y1, y2)"))
+        lines.withColumn("cy", _cells(f"least(y1, y2) - {pad!r}D", f"greatest(y1, y2) + {pad!r}D"))
         .withColumn("from", F.expr(f"least(1D, greatest(0D, coalesce(try_divide(cy * {_SIDE} - y1, y2 - y1), 0D)))"))
         .withColumn("to", F.expr(f"least(1D, greatest(0D, coalesce(try_divide((cy + 1) * {_SIDE} - y1, y2 - y1), 1D)))"))
         .withColumn("xa", F.expr("x1 + `from` * (x2 - x1)"))
         .withColumn("xb", F.expr("x1 + `to` * (x2 - x1)"))
         .withColumn("cx", _cells(f"least(xa, xb) - {_SIDE}", f"greatest(xa, xb) + {_SIDE}"))
-        .drop("level", "from", "to", "xa", "xb")
+        .drop("from", "to", "xa", "xb")
     )
 
 
+def _entered(lines: DataFrame, level: int) -> DataFrame:
+    return passed_cells(lines.withColumn("level", F.lit(level))).drop("level")
+
+
 def _reach(side: float, cx: str, cy: str) -> tuple[str, str]:
     """SQL for the least distance of (x, y) to a cell, and for one within which it has some edge."""
     near = [f"greatest({c} * {side!r}D - {v}, {v} - ({c} + 1) * {side!r}D, 0D)" for c, v in ((cx, "x"), (cy, "y"))]

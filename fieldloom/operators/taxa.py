@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.operators import geo
+from fieldloom.operators import geo, overlay
 
 RANGE_KEYS = ["sp_id", "taxon_id", "range_id"]
 
@@ -26,8 +26,8 @@ def dissolve_ranges(range_vertex: DataFrame, taxon_range_link: DataFrame, taxono
     """Ranges of focal taxa as one multi-part layer keyed by species, taxon and range class.
 
     A taxon may be linked to several source ranges (hybrid zones); they become
-    parts of its range.  Only membership is asked of a range, and a point is in a
-    union exactly when it is in a part, so no overlay is needed.
+    parts of its range.  Membership needs no more, as a point is in a union exactly when
+    it is in a part; ``merged_ranges`` makes the parts one.
     """
     focal = taxonomy.where(F.col("focal").isNotNull()).select("taxon_id", "sp_id")
     links = taxon_range_link.join(focal, "taxon_id").select("sp_id", "taxon_id", "range_taxon_id").distinct()
@@ -36,6 +36,11 @@ def dissolve_ranges(range_vertex: DataFrame, taxon_range_link: DataFrame, taxono
     )
 
 
+def merged_ranges(ranges: DataFrame, precision: int = 9, **options) -> DataFrame:
+    """Ranges with their overlapping parts made one, as outlines; see :func:`overlay.union_outlines`."""
+    return overlay.union_outlines(ranges, RANGE_KEYS, precision, **options)
+
+
 def site_centroids(sites: DataFrame, site_vertex: geo.Layer) -> DataFrame:
     """Centroid of every site: site_id, site_type, site_permutation, x, y."""
     return sites.select("site_id", "site_type", "site_permutation").join(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldloom.constants import SurveyScope
-from fieldloom.operators import editions, export, geo, methods, monthly, quality, regions, taxa, yearly
+from fieldloom.operators import editions, export, geo, methods, monthly, overlay, quality, regions, taxa, yearly
 from fieldloom.operators.simplify import simplify_rings
 from fieldloom.plans.pipelines import (
     EditionComparison,
@@ -60,6 +60,10 @@ class Workload:
         )
         return SeriesBuild(inputs, SCOPE, self.keep)
 
+    @cached_property
+    def merged_ranges(self) -> DataFrame:
+        return taxa.merged_ranges(self.series.ranges)
+
     @cached_property
     def assigned(self) -> DataFrame:
         return yearly.assign_response_variable(self.series.data_by_year, self.t.processing_method)
@@ -222,6 +226,8 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "focal_taxa_listed_twice": _listed_twice,
     "focal_taxa": lambda w: taxa.flag_focal_taxa(w.t.taxonomy, w.t.focal_list),
     "taxon_ranges": lambda w: w.series.ranges,
+    "merged_range_corners": lambda w: w.merged_ranges.select(*taxa.RANGE_KEYS, "x", "y").distinct(),
+    "merged_range_measures": lambda w: overlay.outline_measures(w.merged_ranges, taxa.RANGE_KEYS),
     "simplified_ranges": _simplified,
     "site_centroids": lambda w: w.series.centroids,
     "sites_in_ranges": lambda w: w.series.sites_in_ranges,

@@ -34,6 +34,9 @@ STEPS: dict[str, str] = {
         FROM {taxonomy} t JOIN {taxon_range_link} l ON t.taxon_id = l.taxon_id
         CROSS JOIN (VALUES (1), (2)) AS k(range_id)
         WHERE t.focal IS NOT NULL""",
+    # diamonds are squares in the coordinates x + y and x - y
+    "o_range_square": """
+        SELECT sp_id, taxon_id, range_id, cx + cy - r AS u0, cx + cy + r AS u1, cx - cy - r AS v0, cx - cy + r AS v1 FROM {o_focal_range}""",
     "o_sites_in_ranges": """
         SELECT DISTINCT s.site_id, s.site_type, f.sp_id, f.taxon_id, f.range_id
         FROM {o_site_centre} s JOIN {o_focal_range} f ON abs(s.x - f.cx) + abs(s.y - f.cy) <= f.r""",
@@ -360,6 +363,27 @@ ORACLES: dict[str, str] = {
                v.ring, v.seq, v.x, v.y
         FROM {range_vertex} v JOIN {taxon_range_link} l ON v.range_taxon_id = l.range_taxon_id
         JOIN {taxonomy} t ON l.taxon_id = t.taxon_id WHERE t.focal IS NOT NULL""",
+    # where lines of the squares meet: a corner of the union has one or three covered quarters around it, or two across
+    "merged_range_corners": """
+        WITH us AS (SELECT DISTINCT sp_id, taxon_id, range_id, unnest([u0, u1]) AS u FROM {o_range_square}),
+        vs AS (SELECT DISTINCT sp_id, taxon_id, range_id, unnest([v0, v1]) AS v FROM {o_range_square}),
+        quarters AS (
+          SELECT sp_id, taxon_id, range_id, u, v, du * dv AS turn,
+                 EXISTS (FROM {o_range_square} s WHERE s.taxon_id = us.taxon_id AND s.range_id = us.range_id
+                         AND s.u0 < u + du AND u + du < s.u1 AND s.v0 < v + dv AND v + dv < s.v1) AS covered
+          FROM us JOIN vs USING (sp_id, taxon_id, range_id), (VALUES (0.5), (-0.5)) a(du), (VALUES (0.5), (-0.5)) b(dv))
+        SELECT sp_id, taxon_id, range_id, CAST(u + v AS DOUBLE) / 2 AS x, CAST(u - v AS DOUBLE) / 2 AS y
+        FROM quarters GROUP BY ALL
+        HAVING count(*) FILTER (WHERE covered) IN (1, 3) OR (count(*) FILTER (WHERE covered) = 2 AND abs(sum(turn) FILTER (WHERE covered)) = 0.5)""",
+    # of two squares: both, less what they share
+    "merged_range_measures": """
+        WITH shared AS (
+          SELECT sp_id, taxon_id, range_id, count(*) AS n, sum((u1 - u0) * (v1 - v0)) AS areas, sum(2 * (u1 - u0) + 2 * (v1 - v0)) AS lengths,
+                 CASE WHEN count(*) = 2 AND min(u1) >= max(u0) AND min(v1) >= max(v0) THEN min(u1) - max(u0) END AS iu, min(v1) - max(v0) AS iv
+          FROM {o_range_square} GROUP BY ALL)
+        SELECT sp_id, taxon_id, range_id, CASE WHEN n = 2 AND COALESCE(iu + iv, 0) = 0 THEN 2 ELSE 1 END::BIGINT AS n_parts, n_parts AS n_rings,
+               CAST(areas - COALESCE(iu * iv, 0) AS DOUBLE) / 2 AS area, CAST(lengths - COALESCE(2 * (iu + iv), 0) AS DOUBLE) / sqrt(2) AS outline
+        FROM shared""",
     # the midpoints that the dense outlines add lie on their edges and have to go again
     "simplified_ranges": """
         SELECT DISTINCT t.sp_id, l.taxon_id, v.range_id, CAST(v.range_taxon_id AS VARCHAR) || '/' || CAST(v.part AS VARCHAR) AS part,
@@ -633,6 +657,8 @@ ORACLES: dict[str, str] = {
 # double columns of each answer; both sides publish them at six decimals
 DOUBLES: dict[str, str] = {
     "taxon_ranges": "x y",
+    "merged_range_corners": "x y",
+    "merged_range_measures": "area outline",
     "simplified_ranges": "x y",
     "site_centroids": "x y",
     "sites_in_ranges_outlines": "x y",

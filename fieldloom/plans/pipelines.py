@@ -50,18 +50,21 @@ class SurveyInputs:
 class SeriesBuild:
     """Raw surveys and sightings to yearly series per site, taxon and range.
 
-    With a ``tolerance`` above 0 the outlines that sites meet are simplified: each part of
-    a range for itself, as the parts are never merged.  ``strict`` is that of the rates.
+    With ``merge`` the parts of a range are made one.  With a ``tolerance`` above 0 the
+    outlines that sites meet are simplified, after that; without ``merge`` each part for
+    itself.  ``strict`` is that of the rates.
     """
 
     def __init__(self, inputs: SurveyInputs, scope: SurveyScope = SurveyScope(), keep: Keep = checkpointed,
-                 tolerance: float = 0, strict: bool = False):
+                 tolerance: float = 0, strict: bool = False, merge: bool = False):
         self.inputs, self.scope, self.keep = inputs, scope, keep
-        self.tolerance, self.strict = tolerance, strict
+        self.tolerance, self.strict, self.merge = tolerance, strict, merge
 
     @cached_property
     def ranges(self) -> DataFrame:
         dissolved = taxa.dissolve_ranges(self.inputs.range_vertex, self.inputs.taxon_range_link, self.inputs.taxonomy)
+        if self.merge:
+            dissolved = taxa.merged_ranges(dissolved, keep=self.keep)
         return simplify_rings(dissolved, taxa.RANGE_KEYS, self.tolerance)
 
     @cached_property
@@ -78,7 +81,7 @@ class SeriesBuild:
 
     @cached_property
     def sites_in_ranges(self) -> DataFrame:
-        stored = self.inputs.range_layer if self.tolerance == 0 else None
+        stored = self.inputs.range_layer if self.tolerance == 0 and not self.merge else None
         return taxa.sites_in_ranges(self.centroids, stored or self._kept_ranges)
 
     @cached_property
