@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -21,7 +22,10 @@ from fieldloom.plans.pipelines import (
     checkpointed,
     method_table,
 )
+from fieldloom.session import shared_folder
+from fieldloom.sources import stored
 from fieldloom.sources.star import StarTables
+from fieldloom.sources.tables import save_bucketed, write_table
 
 # parameters that fit the years and codes of the test tables
 SCOPE = SurveyScope("1995-02-01", "2001-06-30", (3, 7, 11), (1, 2))
@@ -198,6 +202,40 @@ def _represented(w: Workload) -> DataFrame:
     return shares.select("time_series_id", "start_date_y", "data_type", "spatial_representativeness")
 
 
+def _place(w: Workload, name: str) -> str:
+    """A new folder for a stored table, where all machines see it."""
+    return f"{shared_folder(w.t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _updated_in_place(w: Workload) -> DataFrame:
+    """The yearly series stored by year, then told which of them are all zero by an update."""
+    path, spark = _place(w, "data_by_year"), w.t.spark
+    keys = ["taxon_id", "site_id", "survey_type_id", "year"]
+    bare = w.assigned.withColumn("all0_values", F.lit(None).cast("smallint"))
+    series = write_table(bare, path, partition_by=["year"]).select(*bare.columns)
+    zeros = yearly.flag_all_zero(series, "mean_monthly_rr").where("all0_values = 1").select(*keys, "all0_values").distinct()
+    stored.update_table(spark, path, ["year"], keys, w.keep("all_zero_keys", zeros))
+    return spark.read.schema(bare.schema).parquet(path).select(*bare.columns)
+
+
+def _appended_to_table(w: Workload) -> DataFrame:
+    """Profiles of the first data type as a keyed table, those of the second appended under its key."""
+    name = f"method_profiles_{uuid.uuid4().hex}"
+    keys = ["taxon_id", "unit_id", "unit_type_id", "source_id", "search_type_id", "data_type"]
+    first, second = (methods.append_profiles(p) for p in (w.direct_profile, w.linked_profile))
+    save_bucketed(first, name, ["taxon_id", "source_id"], 8, _place(w, "method_profiles"))
+    return stored.append_keyed(w.keep("linked_profiles", second), name, keys, 8, allow_null=True)
+
+
+def _replaced_whole(w: Workload) -> DataFrame:
+    """The monthly table put in the place of an earlier one."""
+    folder, months = _place(w, "data_by_month"), w.series.data_by_month
+    stored.replace_table(months.where("year < 1997"), folder)
+    table = stored.replace_table(months, folder)
+    stored.drop_old_versions(w.t.spark, folder)
+    return table
+
+
 def _report(w: Workload) -> DataFrame:
     t = w.t
     return methods.method_report(
@@ -319,6 +357,10 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "qualifying_time_series": lambda w: w.qualifying,
     "include_in_analysis": _included,
     "include_in_analysis_two_rows": _included_two_rows,
+    # stored tables
+    "all_zero_updated_in_place": _updated_in_place,
+    "method_profiles_appended_to_table": _appended_to_table,
+    "data_by_month_replaced": _replaced_whole,
     # processing methods
     "method_profile_direct": lambda w: w.direct_profile,
     "method_profile_linked": lambda w: w.linked_profile,

@@ -628,6 +628,9 @@ ORACLES: dict[str, str] = {
     "include_in_analysis_two_rows": _included("""
           SELECT taxon_id, source_id, start_year, end_year FROM {data_source}
           UNION ALL SELECT taxon_id, source_id, CASE WHEN source_id % 3 <> 1 THEN 1997 END, 1999 FROM {data_source}"""),
+    "all_zero_updated_in_place": "SELECT * FROM {o_flagged}",
+    "method_profiles_appended_to_table": "SELECT * FROM {o_appended}",
+    "data_by_month_replaced": "SELECT * FROM {o_data_by_month}",
     "method_profile_direct": "SELECT * FROM {o_direct}",
     "method_profile_linked": "SELECT * FROM {o_linked}",
     "method_profiles_appended": "SELECT * FROM {o_appended}",
@@ -668,6 +671,9 @@ DOUBLES: dict[str, str] = {
     "data_by_year_from_months": "mean_monthly_rr monthly_mean_of_mean_of_count monthly_mean_abundance",
     "response_variable": "mean_monthly_rr monthly_mean_of_mean_of_count monthly_mean_abundance",
     "all_zero_series": "mean_monthly_rr monthly_mean_of_mean_of_count monthly_mean_abundance",
+    "all_zero_updated_in_place": "mean_monthly_rr monthly_mean_of_mean_of_count monthly_mean_abundance",
+    "method_profiles_appended_to_table": "min_count max_count positional_accuracy_threshold_in_m",
+    "data_by_month_replaced": "rr mean_of_count mean_abundance",
     "prior_edition": "value lat lon",
     "prior_points": "value lat lon x y",
     "prior_sites_attributed": "value lat lon",

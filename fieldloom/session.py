@@ -34,7 +34,7 @@ def build_session(app: str = "fieldloom", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def _checkpoint_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The shared folder that the session names; a local session without one gets a folder of its own.
 
     Off local mode a folder must be named, and a ``file:`` one is refused: each machine
@@ -45,6 +45,7 @@ def _checkpoint_folder(spark: SparkSession) -> str:
     folder = context.getCheckpointDir() or spark.conf.get(CHECKPOINT_DIR, None)
     if folder is None and local:
         folder = tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(folder)
     if folder is None or (folder.startswith("file:") and not local):
         raise ValueError(f"{CHECKPOINT_DIR} must name a folder that all machines share, not {folder}")
     return folder
@@ -56,7 +57,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     A checkpoint outlives the executors that wrote it.
     """
     context = df.sparkSession.sparkContext
-    folder = _checkpoint_folder(df.sparkSession)
+    folder = shared_folder(df.sparkSession)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return df.checkpoint()
