@@ -23,6 +23,7 @@ COUNT_VARIABLE = 2
 OTHER_VARIABLE = 1
 COUNT_SOURCES = (178, 179, 184, 187, 188, 189, 191, 192, 193, 293)
 PRIOR_SOURCE = 23
+POINT_SRID = 4283
 PRIOR_YEAR_AFTER = 1998
 CUT_YEAR = 2018
 MEAN_YEARS_BEFORE = 2019

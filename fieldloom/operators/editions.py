@@ -20,6 +20,7 @@ from fieldloom.constants import (
     MAIN_RANGE,
     MEAN_YEARS_BEFORE,
     ORIGINAL_PERMUTATION,
+    POINT_SRID,
     PRIOR_SOURCE,
     PRIOR_YEAR_AFTER,
     REPORTING_RATE,
@@ -54,9 +55,13 @@ def load_prior_edition(raw: DataFrame, source_id: int = PRIOR_SOURCE) -> DataFra
     return named.where(F.col("source_id") == source_id).select(*[typed[n].alias(n) for n in PRIOR_COLUMNS])
 
 
-def point_from_lonlat(df: DataFrame, lon: str = "lon", lat: str = "lat") -> DataFrame:
-    """Add the point as plain coordinates: x = longitude, y = latitude."""
-    return df.withColumn("x", F.col(lon).cast("double")).withColumn("y", F.col(lat).cast("double"))
+def point_from_lonlat(df: DataFrame, lon: str = "lon", lat: str = "lat", srid: int = POINT_SRID) -> DataFrame:
+    """Add the point: x = longitude, y = latitude, and ``srid``, which x and y tell as metadata too.
+
+    Joins refuse to bring such points together with outlines that tell another system.
+    """
+    points = df.withColumn("x", F.col(lon).cast("double")).withColumn("y", F.col(lat).cast("double"))
+    return geo.with_srid(points, srid).withColumn("srid", F.lit(srid))
 
 
 def back_attribute_sites(prior: DataFrame, sites: DataFrame, site_vertex: geo.Layer) -> DataFrame:
@@ -132,6 +137,20 @@ def current_edition_summary(
     return _named(_summary(rows, "survey_type_id", "mean_monthly_rr", sums, suffix), taxonomy)
 
 
+def distinct_sighting_sums(series: DataFrame, sightings: str = "num_sightings", survey_type: str = "survey_type_id") -> DataFrame:
+    """Per taxon, the sum of the distinct numbers of sightings at sites of either type; NULL without any.
+
+    Numbers are made distinct per taxon and type first, so the sums are plain ones, and a
+    taxon with most rows is spread by its numbers.
+    """
+    numbers = series.select("taxon_id", survey_type, sightings).where(F.col(sightings).isNotNull()).distinct()
+    sums = [
+        F.sum(F.when(F.col(survey_type) == code, F.col(sightings))).alias(f"num_sightings_{plot}_sites") for code, plot in PLOT_NAMES.items()
+    ]
+    taxa = series.select("taxon_id").distinct()
+    return taxa.join(numbers.groupBy("taxon_id").agg(*sums), "taxon_id", "left")
+
+
 def compare_edition_summaries(current: DataFrame, prior: DataFrame) -> DataFrame:
     """Both summaries side by side for every taxon of the current edition."""
     pairs = [

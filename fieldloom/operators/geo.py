@@ -194,6 +194,31 @@ def outlines(layer: Layer) -> DataFrame:
     return layer.vertices if isinstance(layer, CellLayer) else layer
 
 
+class DifferentSrid(ValueError):
+    """Coordinates of different reference systems were to meet."""
+
+
+def with_srid(df: DataFrame, srid: int) -> DataFrame:
+    """``df`` with the reference system told by its columns x and y, as metadata that selections and files keep."""
+    told = {"srid": int(srid)}
+    return df.select(*[F.col(c).alias(c, metadata=told) if c in ("x", "y") else F.col(f"`{c}`") for c in df.columns])
+
+
+def srid_of(df: DataFrame) -> int | None:
+    """The reference system that x and y tell; None where nothing is said."""
+    found = {f.metadata["srid"] for f in df.schema.fields if f.name in ("x", "y") and "srid" in f.metadata}
+    if len(found) > 1:
+        raise DifferentSrid(f"x and y are of different reference systems: {sorted(found)}")
+    return found.pop() if found else None
+
+
+def check_srid(points: DataFrame, layer: Layer) -> None:
+    """Refuse points and outlines of different reference systems; what says nothing meets anything."""
+    told = {srid_of(points), srid_of(outlines(layer))} - {None}
+    if len(told) > 1:
+        raise DifferentSrid(f"points and outlines are of different reference systems: {sorted(told)}")
+
+
 def points_in_polygons(points: DataFrame, vertices: Layer, keys: Sequence[str], same: Sequence[str] = ()) -> DataFrame:
     """Points (with x, y) joined to every polygon part that covers them; boundaries count.
 
@@ -201,6 +226,7 @@ def points_in_polygons(points: DataFrame, vertices: Layer, keys: Sequence[str],
     parts yields one row per part; callers that want a union drop duplicates.  A stored
     layer is read as it lies, outlines are made into cells first.
     """
+    check_srid(points, vertices)
     if isinstance(vertices, CellLayer):
         return points_in_cells(points, vertices.cells, vertices.levels, keys, same)
     layer = [k for k in keys if k != "part"]
@@ -252,11 +278,15 @@ def centroids(vertices: Layer, keys: Sequence[str]) -> DataFrame:
 
 def passed_cells(lines: DataFrame, pad: float = 0.0) -> DataFrame:
     """Each edge in the cells of its ``level`` that it passes: in each row at the cells under its piece there
-    and one more to either side, so that rounding leaves none out.  ``pad`` widens its rows."""
+    and one more to either side, so that rounding leaves none out.
+
+    With a ``pad``, no larger than a cell, in all cells that hold a point so near to the edge.
+    """
+    foot, head = f"cy * {_SIDE} - {pad!r}D", f"(cy + 1) * {_SIDE} + {pad!r}D"
     return (
         lines.withColumn("cy", _cells(f"least(y1, y2) - {pad!r}D", f"greatest(y1, y2) + {pad!r}D"))
-        .withColumn("from", F.expr(f"least(1D, greatest(0D, coalesce(try_divide(cy * {_SIDE} - y1, y2 - y1), 0D)))"))
-        .withColumn("to", F.expr(f"least(1D, greatest(0D, coalesce(try_divide((cy + 1) * {_SIDE} - y1, y2 - y1), 1D)))"))
+        .withColumn("from", F.expr(f"least(1D, greatest(0D, coalesce(try_divide({foot} - y1, y2 - y1), 0D)))"))
+        .withColumn("to", F.expr(f"least(1D, greatest(0D, coalesce(try_divide({head} - y1, y2 - y1), 1D)))"))
         .withColumn("xa", F.expr("x1 + `from` * (x2 - x1)"))
         .withColumn("xb", F.expr("x1 + `to` * (x2 - x1)"))
         .withColumn("cx", _cells(f"least(xa, xb) - {_SIDE}", f"greatest(xa, xb) + {_SIDE}"))
@@ -287,6 +317,7 @@ def nearest_polygon(points: DataFrame, vertices: Layer, point_key: str, polygon_
     is not above the best distance that another one warrants, so a point keeps few cells
     on each level, wherever it lies.
     """
+    check_srid(points, vertices)
     lines = edges(outlines(vertices), [polygon_key]).select(polygon_key, "x1", "y1", "x2", "y2")
     low, high = (F.least, F.min), (F.greatest, F.max)
     spans = [high[1](high[0](f"{v}1", f"{v}2")) - low[1](low[0](f"{v}1", f"{v}2")) for v in "xy"]
@@ -330,3 +361,28 @@ def nearest_polygon(points: DataFrame, vertices: Layer, point_key: str, polygon_
         .agg(F.min(F.struct(distance.alias("distance"), F.col(polygon_key))).alias("best"))
         .select(point_key, F.col(f"best.{polygon_key}").alias(polygon_key), F.col("best.distance").alias("distance"))
     )
+
+
+def polygons_within(points: DataFrame, vertices: Layer, point_key: str, polygon_key: str, distance: float) -> DataFrame:
+    """Polygons at most ``distance`` from each point: point_key, polygon_key, distance (0 inside and on the border).
+
+    Edges are entered in all cells that hold a point so near to them, points in their own
+    one: an equi join, whatever the distance.  Cells are no smaller than the distance, so an
+    edge that is short beside it enters few of them; they grow with the spacing of the
+    edges, not with the extent.  Polygons around a point come from the join of points and
+    polygons.  A negative distance is met by nothing.
+    """
+    check_srid(points, vertices)
+    placed = points.select(point_key, "x", "y")
+    lines = edges(outlines(vertices), [polygon_key]).select(polygon_key, "x1", "y1", "x2", "y2")
+    spans = [F.max(F.greatest(f"{v}1", f"{v}2")) - F.min(F.least(f"{v}1", f"{v}2")) for v in "xy"]
+    shape = lines.agg(F.greatest(*spans).alias("extent"), F.count("*").alias("n")).first()
+    spacing = (shape["extent"] or 0.0) / math.sqrt(max(shape["n"], 1)) / 4
+    level = math.ceil(math.log(max(distance, spacing, 1e-12), 4))
+    celled = passed_cells(lines.withColumn("level", F.lit(level)), max(distance, 0.0))
+    own = placed.withColumn("level", F.lit(level)).withColumn("cx", _cell("x")).withColumn("cy", _cell("y"))
+    away = g.distance_to_edge(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"), F.col("x"), F.col("y"))
+    near = own.join(celled, ["level", "cx", "cy"]).select(point_key, polygon_key, away.alias("distance")).where(F.col("distance") <= distance)
+    around = points_in_polygons(placed, vertices, [polygon_key]).select(point_key, polygon_key, F.lit(0.0).alias("distance"))
+    both = near.unionByName(around.where(F.lit(distance >= 0)))
+    return both.groupBy(point_key, polygon_key).agg(F.min("distance").alias("distance"))

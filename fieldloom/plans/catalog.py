@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldloom.constants import SurveyScope
+from fieldloom.functions import projection
 from fieldloom.operators import editions, export, geo, methods, monthly, overlay, quality, regions, taxa, yearly
 from fieldloom.operators.simplify import simplify_rings
 from fieldloom.plans.pipelines import (
@@ -236,6 +237,13 @@ def _replaced_whole(w: Workload) -> DataFrame:
     return table
 
 
+def _projected(w: Workload) -> DataFrame:
+    """Site centroids in metres, and back in degrees."""
+    there = projection.transform(geo.with_srid(w.series.centroids.select("site_id", "x", "y"), 4283), 3112)
+    back = projection.transform(there.withColumns({"east": F.round("x", 2), "north": F.round("y", 2)}), 4283)
+    return back.select("site_id", "east", "north", F.col("x").alias("lon"), F.col("y").alias("lat"))
+
+
 def _report(w: Workload) -> DataFrame:
     t = w.t
     return methods.method_report(
@@ -313,6 +321,7 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "prior_all_zero_series": lambda w: w.comparison.prior_flagged,
     "prior_edition_summary": lambda w: editions.prior_edition_summary(w.comparison.prior, w.t.taxonomy),
     "current_edition_summary": lambda w: editions.current_edition_summary(w.t.edition_cur, w.t.taxonomy, CUT_YEAR),
+    "distinct_sighting_sums": lambda w: editions.distinct_sighting_sums(w.t.edition_cur),
     "edition_summaries_compared": lambda w: w.comparison.summaries,
     "value_differs": lambda w: w.comparison.current,
     "value_difference_counts": lambda w: w.comparison.difference_counts,
@@ -337,6 +346,10 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "site_region_lowest": lambda w: regions.site_region(
         w.series.centroids, w.t.subregion, w.t.subregion_vertex, pick="min"
     ),
+    "regions_near_sites": lambda w: geo.polygons_within(
+        w.series.centroids, w.t.layer("subregion_vertex"), "site_id", "region_id", 3.0
+    ),
+    "projected_sites": _projected,
     "nearest_region": lambda w: w.wide(w.t.edition_cur).nearest,
     "wide_reporting_rate": lambda w: w.wide(w.assigned).wide(),
     "wide_mean_abundance": lambda w: w.wide(w.assigned).wide("monthly_mean_abundance"),

@@ -434,11 +434,15 @@ ORACLES: dict[str, str] = {
                  AS abundance_length
         FROM {o_data_by_year} GROUP BY ALL""",
     "prior_edition": "SELECT * EXCLUDE (site_id_current) FROM {o_prior}",
-    "prior_points": "SELECT * EXCLUDE (site_id_current), lon AS x, lat AS y FROM {o_prior}",
+    "prior_points": "SELECT * EXCLUDE (site_id_current), lon AS x, lat AS y, 4283 AS srid FROM {o_prior}",
     "prior_sites_attributed": "SELECT * FROM {o_prior}",
     "prior_all_zero_series": "SELECT * FROM {o_prior_flagged}",
     "prior_edition_summary": "SELECT * FROM {o_prior_summary}",
     "current_edition_summary": "SELECT * FROM {o_current_summary}",
+    "distinct_sighting_sums": """
+        SELECT taxon_id, CAST(sum(DISTINCT num_sightings) FILTER (WHERE survey_type_id = 1) AS BIGINT) AS num_sightings_2ha_sites,
+               CAST(sum(DISTINCT num_sightings) FILTER (WHERE survey_type_id = 2) AS BIGINT) AS num_sightings_500m_sites
+        FROM {edition_cur} GROUP BY taxon_id""",
     "edition_summaries_compared": """
         SELECT c.taxon_id, c.taxon_name, num_2ha_sites_prior, num_2ha_sites_current, num_surveys_2ha_sites_prior,
                num_surveys_2ha_sites_current, mean_monthly_rr_2ha_sites_prior, mean_monthly_rr_2ha_sites_current,
@@ -531,6 +535,22 @@ ORACLES: dict[str, str] = {
     "site_region_lowest": """
         SELECT * FROM {o_site_region} QUALIFY row_number() OVER (PARTITION BY site_id ORDER BY region_id) = 1""",
     "nearest_region": "SELECT * FROM {o_nearest}",
+    "regions_near_sites": """
+        SELECT site_id, region_id, sqrt(dx * dx + dy * dy) AS distance
+        FROM (SELECT site_id, region_id, CAST(abs(s.x - b.x) - least(abs(s.x - b.x), 2) AS DOUBLE) AS dx,
+                     CAST(abs(s.y - b.y) - least(abs(s.y - b.y), 2) AS DOUBLE) AS dy
+              FROM {o_site_centre} s, {o_region_box} b)
+        WHERE dx * dx + dy * dy <= 9""",
+    # by the isometric latitude q, a cone's radius is k * exp(-n q); the way back is the centroid itself
+    "projected_sites": """
+        WITH par AS (SELECT sqrt(2 / 298.257222101::DOUBLE - 1 / 298.257222101::DOUBLE ** 2) AS e, radians(-18) AS p1, radians(-36) AS p2),
+        line AS (SELECT e, ln(cos(p) / sqrt(1 - (e * sin(p)) ** 2)) AS m, ln(tan(pi() / 4 + p / 2)) - e * atanh(e * sin(p)) AS q, which
+                 FROM (SELECT e, unnest([p1, p2]) AS p, unnest([1, 2]) AS which FROM par)),
+        cone AS (SELECT a.e, (a.m - b.m) / (b.q - a.q) AS n, 6378137 * exp(a.m + n * a.q) / n AS k
+                 FROM line a JOIN line b ON a.which = 1 AND b.which = 2),
+        polar AS (SELECT site_id, x, y, n, k, k * exp(-n * (ln(tan(pi() / 4 + radians(y) / 2)) - e * atanh(e * sin(radians(y))))) AS radius, n * radians(x - 134) AS turn
+               FROM {o_site_centre}, cone)
+        SELECT site_id, round(radius * sin(turn), 2) AS east, round(k - radius * cos(turn), 2) AS north, x AS lon, y AS lat FROM polar""",
     "wide_reporting_rate": "SELECT * FROM {o_wide_rr}",
     "wide_mean_abundance": "SELECT * FROM {o_wide_abundance}",
     "wide_reporting_rate_filled": _filled("o_wide_cur_rr"),
@@ -702,6 +722,8 @@ DOUBLES: dict[str, str] = {
     "region_centroids": "x y",
     "site_region": "x y",
     "site_region_lowest": "x y",
+    "regions_near_sites": "distance",
+    "projected_sites": "east north lon lat",
     "nearest_region": "distance",
     "wide_reporting_rate": "region_centroid_longitude region_centroid_latitude 1995 1996 1997 1998 1999 2000 2001",
     "wide_mean_abundance": "region_centroid_longitude region_centroid_latitude 1995 1996 1997 1998 1999 2000 2001",
