@@ -256,8 +256,8 @@ def _by_region(w: Workload) -> DataFrame:
     return editions.rate_by_factor(w.pairs.join(located, "site_id", "left"), ["region_name", "search_type_id"])
 
 
-def _simplified(w: Workload) -> DataFrame:
-    ranges = taxa.dissolve_ranges(w.t.range_vertex_dense, w.t.taxon_range_link, w.t.taxonomy)
+def _simplified(w: Workload, outlines: str = "range_vertex_dense") -> DataFrame:
+    ranges = taxa.dissolve_ranges(w.t[outlines], w.t.taxon_range_link, w.t.taxonomy)
     return simplify_rings(ranges, taxa.RANGE_KEYS)
 
 
@@ -275,6 +275,7 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "merged_range_corners": lambda w: w.merged_ranges.select(*taxa.RANGE_KEYS, "x", "y").distinct(),
     "merged_range_measures": lambda w: overlay.outline_measures(w.merged_ranges, taxa.RANGE_KEYS),
     "simplified_ranges": _simplified,
+    "simplified_bent_ranges": lambda w: _simplified(w, "range_vertex_bent"),
     "site_centroids": lambda w: w.series.centroids,
     "sites_in_ranges": lambda w: w.series.sites_in_ranges,
     "sites_in_ranges_outlines": lambda w: taxa.sites_with_geometry(w.series.sites_in_ranges, w.t.site_vertex),
@@ -285,6 +286,14 @@ QUERIES: dict[str, Callable[[Workload], DataFrame]] = {
     "key_violations_taxon_ranges": lambda w: quality.unique_key_violations(
         w.series.ranges, ["taxon_id", "range_id", "part", "ring", "seq"]
     ),
+    # a taxon with two source ranges has two parts in a range class until they are merged
+    "key_violations_range_parts": lambda w: quality.unique_key_violations(
+        w.series.ranges.select("taxon_id", "range_id", "part").distinct(), ["taxon_id", "range_id"]
+    ),
+    # sites in several range classes of a taxon
+    "key_violations_data_by_month_taxon": lambda w: quality.unique_key_violations(
+        w.series.data_by_month, ["site_id", "taxon_id", "year", "month"]
+    ),
     "key_violations_surveys_by_month": lambda w: quality.unique_key_violations(
         w.series.surveys_by_month, ["site_id", "taxon_id", "year", "month"]
     ),

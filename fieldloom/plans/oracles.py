@@ -390,6 +390,17 @@ ORACLES: dict[str, str] = {
                v.ring, v.seq, v.x, v.y
         FROM {range_vertex} v JOIN {taxon_range_link} l ON v.range_taxon_id = l.range_taxon_id
         JOIN {taxonomy} t ON l.taxon_id = t.taxon_id WHERE t.focal IS NOT NULL""",
+    # bends above the tolerance stay; vertices are numbered anew, every second edge has one more
+    "simplified_bent_ranges": """
+        WITH kept AS (
+          SELECT range_taxon_id, range_id, part, ring, seq, x, y FROM {range_vertex}
+          UNION ALL
+          SELECT range_taxon_id, range_id, part, ring, (seq - 1) / 2 + 0.5 AS seq, x, y FROM {range_vertex_bent} WHERE seq % 4 = 3),
+        numbered AS (SELECT * REPLACE (CAST(row_number() OVER (PARTITION BY range_taxon_id, range_id, part, ring ORDER BY seq) AS INT) AS seq) FROM kept)
+        SELECT DISTINCT t.sp_id, l.taxon_id, v.range_id, CAST(v.range_taxon_id AS VARCHAR) || '/' || CAST(v.part AS VARCHAR) AS part,
+               v.ring, v.seq, v.x, v.y
+        FROM numbered v JOIN {taxon_range_link} l ON v.range_taxon_id = l.range_taxon_id
+        JOIN {taxonomy} t ON l.taxon_id = t.taxon_id WHERE t.focal IS NOT NULL""",
     "site_centroids": "SELECT * FROM {o_site_centre}",
     "sites_in_ranges": "SELECT * FROM {o_sites_in_ranges}",
     "sites_in_ranges_outlines": """
@@ -399,6 +410,10 @@ ORACLES: dict[str, str] = {
         SELECT l.taxon_id, v.range_id, CAST(v.range_taxon_id AS VARCHAR) || '/1' AS part, v.ring, v.seq, count(*) AS n
         FROM {range_vertex} v JOIN {taxon_range_link} l ON v.range_taxon_id = l.range_taxon_id
         JOIN {taxonomy} t ON l.taxon_id = t.taxon_id WHERE t.focal IS NOT NULL GROUP BY ALL HAVING count(*) > 1""",
+    "key_violations_range_parts": """
+        SELECT taxon_id, range_id, len(list(range_taxon_id)) AS n FROM {o_focal_range} GROUP BY ALL HAVING len(list(range_taxon_id)) > 1""",
+    "key_violations_data_by_month_taxon": """
+        SELECT * FROM (SELECT site_id, taxon_id, year, month, count(*) AS n FROM {o_surveys_by_month} GROUP BY ALL) WHERE n > 1""",
     "key_violations_surveys_by_month": _violations("o_surveys_by_month", "site_id, taxon_id, year, month"),
     "key_violations_data_by_month": _violations("o_data_by_month", "site_id, taxon_id, range_id, year, month"),
     "key_violations_method_profiles": """
@@ -681,6 +696,7 @@ ORACLES: dict[str, str] = {
 DOUBLES: dict[str, str] = {
     "taxon_ranges": "x y",
     "merged_range_corners": "x y",
+    "simplified_bent_ranges": "x y",
     "merged_range_measures": "area outline",
     "simplified_ranges": "x y",
     "site_centroids": "x y",

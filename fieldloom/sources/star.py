@@ -66,6 +66,14 @@ VIEWS: dict[str, str] = {
         SELECT a.range_taxon_id, a.range_id, a.part, a.ring, a.seq * 2 + 1 AS seq, (a.x + b.x) / 2 AS x, (a.y + b.y) / 2 AS y
         FROM {range_vertex} a JOIN {range_vertex} b
           ON a.range_taxon_id = b.range_taxon_id AND a.range_id = b.range_id AND a.seq + 1 = b.seq""",
+    # every edge with a bend in its middle: a quarter aside on odd edges, half of a thousandth on even ones
+    "range_vertex_bent": """
+        SELECT range_taxon_id, range_id, part, ring, seq * 2 AS seq, x, y FROM {range_vertex}
+        UNION ALL
+        SELECT a.range_taxon_id, a.range_id, a.part, a.ring, a.seq * 2 + 1 AS seq,
+               (a.x + b.x) / 2 + CASE WHEN a.seq % 2 = 1 THEN CAST(0.25 AS DOUBLE) ELSE CAST(0.0005 AS DOUBLE) END AS x, (a.y + b.y) / 2 AS y
+        FROM {range_vertex} a JOIN {range_vertex} b
+          ON a.range_taxon_id = b.range_taxon_id AND a.range_id = b.range_id AND a.seq + 1 = b.seq""",
     "site": """
         SELECT s_suppkey AS site_id, CAST(1 + s_suppkey % 2 AS INT) AS site_type,
                CASE WHEN s_suppkey % 4 = 0 THEN 'buffered' ELSE 'original' END AS site_permutation
@@ -88,7 +96,7 @@ VIEWS: dict[str, str] = {
                concat('u', substr(p_brand, 7), 'a') AS taxon_id, 3 AS response_variable_type_id,
                CASE WHEN l_suppkey % 7 = 0 THEN CAST(0 AS DOUBLE) ELSE
                  round(CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS DOUBLE) / count(*), 4) END AS value,
-               23 AS source_id, 1 AS unit_id, CAST(l_suppkey * 11 % 19 AS DOUBLE) AS lat,
+               CASE WHEN l_suppkey % 17 = 5 THEN 24 ELSE 23 END AS source_id, 1 AS unit_id, CAST(l_suppkey * 11 % 19 AS DOUBLE) AS lat,
                CAST(l_suppkey * 3 % 20 AS DOUBLE) AS lon, count(*) AS survey_count
         FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
         GROUP BY year(l_shipdate), l_suppkey, p_brand""",
@@ -117,7 +125,12 @@ VIEWS: dict[str, str] = {
                1 AS unit_type_id, 9 AS unit_id, CAST(p_partkey % 20 AS INT) AS source_id,
                CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE 1 END AS search_type_id,
                1 AS response_variable_type_id, 1 AS data_type, 1 AS experimental_design_type_id
-        FROM {part} WHERE p_partkey % 20 = 7""",
+        FROM {part} WHERE p_partkey % 20 = 7
+        UNION
+        SELECT concat('u', substr(p_brand, 7), 'a') AS taxon_id, CAST(p_size % 3 + 1 AS INT) AS unit_type_id,
+               CAST(p_size % 5 AS INT) AS unit_id, CAST(p_partkey % 4 AS INT) AS source_id, NULL AS search_type_id,
+               1 AS response_variable_type_id, 1 AS data_type, 1 AS experimental_design_type_id
+        FROM {part} WHERE p_partkey % 30 = 3""",
     "t1_site": """
         SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE s_name END AS name,
                CASE WHEN s_suppkey % 9 = 0 THEN NULL ELSE CAST(1 + s_suppkey % 2 AS INT) END AS search_type_id,
