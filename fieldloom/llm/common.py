@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -53,7 +54,37 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         conf.set(_CLEAN_UP, before) if before is not None else conf.unset(_CLEAN_UP)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._stage_path = path
+    return staged
+
+
+#: Folders of stages that were written and not removed, in order.
+_written: list[str] = []
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    if path in _written:
+        _written.remove(path)
+
+
+def discard(*stages: DataFrame) -> None:
+    """Remove stages that no later step reads."""
+    for df in stages:
+        _remove(df.sparkSession, df._stage_path)
+
+
+@contextmanager
+def step(spark: SparkSession):
+    """Remove the stages written inside, but for those that are handed to the function given."""
+    before, kept = len(_written), set()
+    yield lambda df: kept.add(df._stage_path) or df
+    for path in _written[before:]:
+        if path not in kept:
+            _remove(spark, path)
 
 
 def importable(spark: SparkSession) -> None:
@@ -75,7 +106,9 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def by_rows(process, schema: str):
-    """For ``mapInArrow``: ``process(id, bytes)`` yields tuples in the order of the schema's columns."""
+    """For ``mapInArrow``: ``process(id, bytes)`` yields tuples in the order of the schema's columns.
+
+    An id that is a struct comes as a dict."""
     import pyarrow as pa
     from pyspark.sql.types import _parse_datatype_string
 

@@ -175,29 +175,37 @@ def chosen_terms(docs: DataFrame, drawn: DataFrame, vocabulary: int = VOCABULARY
     return sorted(bytes(r["term"]) for r in best.select("term").collect())
 
 
-COUNTED = "doc_id long, terms array<int>, counts array<int>"
+COUNTED = "doc_id long, row long, terms array<int>, counts array<int>"
 
 
-def counted(docs: DataFrame, terms: list[bytes]) -> DataFrame:
-    """(doc_id, terms, counts): how often each row's whole text has each chosen feature."""
+def counted(docs: DataFrame, terms: list[bytes], row_col: str | None = None) -> DataFrame:
+    """(doc_id, row, terms, counts): how often each row's whole text has each chosen feature.
+
+    ``row`` is the column that tells rows of a doc_id apart, null if there is none.
+    """
     numbers = {t: i for i, t in enumerate(terms)}
+    row = F.col(f"`{row_col}`").cast("long") if row_col else F.lit(None).cast("long")
+    keyed = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row")).alias("key"), F.col("text"))
 
     def process(key, body):
         found = features(body)
         rows = sorted((numbers[t], found[t]) for t in found.keys() & numbers.keys())
-        yield key, [t for t, _ in rows], [n for _, n in rows]
+        yield key["doc_id"], key["row"], [t for t, _ in rows], [n for _, n in rows]
 
-    return texts(docs).mapInArrow(by_rows(process, COUNTED), COUNTED)
+    return texts(keyed, "key").mapInArrow(by_rows(process, COUNTED), COUNTED)
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary: int = VOCABULARY) -> tuple[BlockMaxIndex, DataFrame]:
+def fit(
+    docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary: int = VOCABULARY, row_col: str | None = None
+) -> tuple[BlockMaxIndex, DataFrame]:
     """The index, and the feature counts of every document, which it needed.
 
     Examples are at most ``examples`` labelled rows whose crc32(doc_id) mod 5 is not 0,
     drawn by hash.  The document frequencies of the features are counted over all
     documents.  Index and examples are bounded by the two parameters at any size of the
-    tables.  A doc_id with several labels is toxic if one of them says so; documents that
-    repeat a doc_id count each; null ids and labels are passed over.
+    tables.  A doc_id with several labels is toxic if one of them says so; of documents that
+    repeat a doc_id one is an example, the one whose features come first; null ids and
+    labels are passed over.
     """
     spark = docs.sparkSession
     importable(spark)
@@ -210,13 +218,14 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary
         "toxicity-examples",
     )
     terms = chosen_terms(docs, drawn, vocabulary)
-    counts = stage(counted(docs, terms), "toxicity-counts")
+    counts = stage(counted(docs, terms, row_col), "toxicity-counts")
     frequency = counts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).collect()
     df = {r["term"]: r["df"] for r in frequency}
     n_docs = counts.count()
     idf = np.array([math.log((1 + n_docs) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
-    rows = counts.join(F.broadcast(drawn), "doc_id").select("doc_id", "toxic", "terms", "counts").collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["terms"], r["counts"]))
+    one = F.min(F.struct("terms", "counts")).alias("one")
+    chosen = counts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic").agg(one)  # at most a row per drawn id
+    rows = sorted(chosen.select("doc_id", "toxic", "one.*").collect(), key=lambda r: r["doc_id"])
     labels_ = np.array([r["toxic"] for r in rows], dtype=np.int64)
     index = BlockMaxIndex(len(terms), idf, [r["doc_id"] for r in rows], labels_, float(labels_.mean()) if rows else 0.0)
     index.build([dict(zip(r["terms"], r["counts"], strict=True)) for r in rows])
@@ -233,11 +242,11 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary
     return index, counts
 
 
-SCHEMA = "doc_id long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>"
+SCHEMA = "doc_id long, row long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>"
 
 
 def score(counts: DataFrame, index: BlockMaxIndex, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """(doc_id, score, evidence) of every row of feature counts, against all examples.
+    """(doc_id, row, score, evidence) of every row of feature counts, against all examples.
 
     ``score`` is the calibrated share of the distance-weighted votes of the nearest
     examples; ``evidence`` lists them, nearest first, ties by doc_id.  A text without a
@@ -252,7 +261,7 @@ def score(counts: DataFrame, index: BlockMaxIndex, neighbours: int = NEIGHBOURS)
         index, memo = shared.value, {}
         for batch in batches:
             rows = []
-            for terms, tf in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for terms, tf in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True):
                 mark = (*terms, *tf)
                 if (known := memo.get(mark)) is None:
                     near = index.nearest(index.weights(dict(zip(terms, tf, strict=True))), neighbours)
@@ -264,25 +273,32 @@ def score(counts: DataFrame, index: BlockMaxIndex, neighbours: int = NEIGHBOURS)
                 rows.append(known)
             evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s for s, _ in rows], pa.float64()), pa.array([e for _, e in rows], evidence)],
-                names=["doc_id", "score", "evidence"],
+                [batch.column("doc_id"), batch.column("row"), pa.array([s for s, _ in rows], pa.float64()), pa.array([e for _, e in rows], evidence)],
+                names=["doc_id", "row", "score", "evidence"],
             )
 
-    return counts.mapInArrow(run, SCHEMA)
+    # counts are narrow and lie in few files: rows are dealt anew, so that the search has tasks enough
+    spark = counts.sparkSession
+    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    return counts.repartition(spread).mapInArrow(run, SCHEMA)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, row_col: str | None = None) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence): one row for each row of ``docs``.
 
+    With ``row_col``, a column of row ids, these come too, as ``row``: they tell rows apart
+    that share a doc_id, or have none.
+
     Null and empty texts get a score too (see ``score``); repeated rows are scored each; a
     null doc_id is not held out; an empty table gives none; without labels, or with one
     kind of them, no feature is chosen and every score is the prior.  Only doc_id and text
     of ``docs``, doc_id and toxic of ``labels`` are read.
     """
-    index, counts = fit(docs, labels)
+    index, counts = fit(docs, labels, row_col=row_col)
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     return score(counts, index).select(
         "doc_id",
+        *(["row"] if row_col else []),
         F.coalesce(remainder == 0, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),

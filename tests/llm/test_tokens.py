@@ -7,10 +7,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from fieldloom.llm import embeddings, exact_dedup, packing, pieces, queries, toxicity
+from fieldloom.llm import common, embeddings, exact_dedup, packing, pieces, queries, toxicity
 from fieldloom.llm.transducer import transducer
 from fieldloom.llm.wordpieces import encoder
 from tests.llm import brute
@@ -189,9 +190,42 @@ def test_pipeline_stages_keep_the_columns_and_take_odd_rows(spark, tables_dir, o
             assert out.columns == docs.columns and out.count() <= docs.count()
 
 
+def _rows(df):
+    return sorted((tuple(r[c] for c in ("doc_id", "text")) for r in df.select("doc_id", "text").collect()), key=str)
+
+
+def test_pipeline_decides_by_row(spark, tables_dir):
+    """Null and repeated ids: one row of each group stays, the others go, and no row goes for another one's text."""
+    a, b, c = ("one two three four five six seven", "eight nine ten eleven twelve thirteen", " ".join(f"w{i}" for i in range(60)))
+    near = c + " more"
+    given = [(None, a), (None, a), (None, b), (5, a), (5, a), (5, a), (5, near), (8, b), (8, b), (8, c), (None, None), (3, ""), (None, c)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in given], "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    assert _rows(stages["exact dedup"](spark, docs, tables_dir)) == sorted([(5, a), (8, b), (8, c), (5, near), (3, "")], key=str)
+    assert _rows(stages["n-gram jaccard join"](spark, docs, tables_dir)) == sorted(
+        [(5, a), (8, b), (5, near), (3, ""), (None, None)], key=str
+    )
+    # a toxic text does not take along, nor is saved by, another row of its id
+    words = [f"vile{i} filth{i}" for i in range(3)]
+    texts = [(i, f"{words[i % 3]} vile filth common{i % 7} words") for i in range(60)] + [(i, f"kind calm common{i % 7} words here") for i in range(60, 140)]
+    labels = spark.createDataFrame([(i, 1, int(i < 60)) for i in range(140)], "doc_id long, quality int, toxic int")
+    more = [(None, "vile filth again"), (None, "kind calm again"), (60, "vile filth vile"), (0, "kind calm words")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in texts + more], docs.schema)
+    rows = corpus_pipeline._numbered(docs)
+    scored = {(r.doc_id, r.text): r.predicted for r in toxicity.toxicity(rows, labels, corpus_pipeline.ROW).join(rows.select(corpus_pipeline.ROW, "text"), F.col("row") == F.col(corpus_pipeline.ROW)).collect()}
+    assert [scored[m] for m in more] == [1, 0, 1, 0]
+
+
+def test_stages_that_nothing_reads_are_removed(spark, tables_dir):
+    before = set(common._written)
+    out = corpus_pipeline.run(spark, tables_dir)
+    left = set(common._written) - before
+    assert len(left) == 1 and out._stage_path in left and out.count() > 0
+
+
 def test_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
+    assert numbers == list(range(1, 14)) and set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
 
 
 def test_exact_dedup_equals_sql(spark, tables_dir):
