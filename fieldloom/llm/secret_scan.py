@@ -7,6 +7,7 @@ import binascii
 import hashlib
 import re
 import zlib
+from array import array
 from itertools import accumulate, chain
 
 import numpy as np
@@ -30,6 +31,11 @@ _RUN = bytes(b in b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _SHORTEST_RUN = 16
 _URL = re.compile(rb"(?:%[0-9A-Fa-f]{2})+")
 _UNICODE = re.compile(rb"(?:\\u[0-9a-fA-F]{4}|\\U[0-9a-fA-F]{8}|\\x[0-9a-fA-F]{2})+")
+_URL_END = re.compile(rb"%([0-9A-Fa-f]{2})\Z")
+_UNICODE_END = re.compile(
+    rb"(?:\\u(d[89ab][0-9a-f]{2})\\u(d[c-f][0-9a-f]{2})|\\u((?!d[89a-f])[0-9a-f]{4})|\\U([0-9a-f]{8})|\\x([0-9a-f]{2}))\Z".replace(b"[0-9a-f]", b"[0-9a-fA-F]")
+    .replace(b"d[89ab]", b"[dD][89abAB]").replace(b"d[c-f]", b"[dD][c-fC-F]").replace(b"d[89a-f]", b"[dD][89a-fA-F]")
+)
 _ONE_UNICODE = re.compile(rb"\\u([0-9a-fA-F]{4})|\\U([0-9a-fA-F]{8})|\\x([0-9a-fA-F]{2})")
 _PADDING = re.compile(rb"={0,2}")
 _STANDARD = bytes.maketrans(b"-_", b"+/")
@@ -42,6 +48,9 @@ _SEPARATOR = re.compile(rb"[+/_-]")
 #: ASCII in UTF-16 of either byte order.
 _WIDE = (re.compile(rb"(?:[\t\n\r\x20-\x7e]\x00){6,}"), re.compile(rb"(?:\x00[\t\n\r\x20-\x7e]){6,}"))
 
+#: Bytes of a compressed layer's contents that are looked at whole, what larger pieces share, and bytes inflated at a time.
+WHOLE, OVERLAP, CHUNK = 8 << 20, 1 << 20, 1 << 16
+
 SCHEMA = "doc_id long, findings array<struct<kind:string,start:long,end:long,depth:int,layers:string>>"
 
 
@@ -77,37 +86,84 @@ def _packed(data: bytes) -> bool:
     return data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0)
 
 
-def _streams(data: bytes) -> bytes:
-    """What the compressed streams at the start of ``data`` hold, one after another, as far as they are sound."""
-    out = []
-    while _packed(data):
-        stream, fed = zlib.decompressobj(47), 0
+def _streams(source):
+    """What the compressed streams at the start of ``source`` hold, one after another, as far as they are sound.
+
+    ``source`` yields bytes, and so does this: never more than a chunk at a time.
+    """
+    source, held = iter(source), b""
+    while True:
+        while len(held) < 3 and (more := next(source, b"")):
+            held += more
+        if not _packed(held):
+            return
+        stream = zlib.decompressobj(47)
         try:
-            while fed < len(data) and not stream.eof:
-                out.append(stream.decompress(data[fed : fed + 4096]))
-                fed += 4096
+            while not stream.eof:
+                held = held or next(source, b"")
+                out = stream.decompress(held, CHUNK)
+                if not held and not out:
+                    return
+                held = stream.unconsumed_tail
+                if out:
+                    yield out
         except zlib.error:
-            break
-        if not stream.eof:
-            break
-        data = stream.unused_data + data[fed:]
-    return b"".join(out)
+            return
+        held = stream.unused_data
 
 
-def _inflated(data: bytes) -> tuple[bytes, int]:
-    """Compressed layers taken off until none is left or one repeats; how many there were."""
+def _contents(data: bytes):
+    """(bytes, layers): compressed layers taken off until none is left or one repeats.
+
+    Contents of more than WHOLE bytes come in pieces that overlap, however large they are:
+    a finding or layer within that is longer than the overlap may be met in parts.
+    """
     seen, layers = set(), 0
     while _packed(data):
         mark = hashlib.sha256(data).digest()
         if mark in seen:
             break
         seen.add(mark)
-        inner = _streams(data)
+        inner = bytearray()
+        for out in _streams([data[i : i + CHUNK] for i in range(0, len(data), CHUNK)]):
+            inner += out
+            if len(inner) > WHOLE:
+                yield from _pieces(data, layers)
+                return
         if not inner:
             break
-        data = inner
+        data = bytes(inner)
+        layers += 1
+    yield data, layers
+
+
+def _pieces(data: bytes, layers: int):
+    """The contents of large compressed layers: streams within streams are inflated side by side, a chunk at a time."""
+    chunks, heads = iter([data]), set()
+    while True:
+        head = bytearray()
+        for out in chunks:
+            head += out
+            if len(head) >= CHUNK:
+                break
+        mark = hashlib.sha256(head).digest()
+        chunks = chain([bytes(head)], chunks)
+        if not _packed(bytes(head[:3])) or mark in heads:
+            break
+        heads.add(mark)
+        chunks = _streams(chunks)
         layers += 1
-    return data, layers
+    held, last = bytearray(), None
+    for out in chunks:
+        held += out
+        if len(held) >= WHOLE:
+            piece = bytes(held)
+            # long stretches of the same bytes are looked at once
+            if (mark := hashlib.sha256(piece).digest()) != last:
+                yield piece, layers
+            last, held = mark, held[-OVERLAP:]
+    if held:
+        yield bytes(held), layers
 
 
 def _is_text(data: bytes) -> bool:
@@ -141,6 +197,59 @@ def _url_pieces(match):
         yield bytes([int(match.string[a + 1 : a + 3], 16)]), a, a + 3
 
 
+def _url_end(tail: bytes):
+    match = _URL_END.search(tail)
+    return match and (3, bytes([int(match[1], 16)]))
+
+
+def _unicode_end(tail: bytes):
+    match = _UNICODE_END.search(tail)
+    if not match:
+        return None
+    if match[1]:
+        return 12, chr(0x10000 + (int(match[1], 16) - 0xD800 << 10) + int(match[2], 16) - 0xDC00).encode()
+    code = int(match[3] or match[4] or match[5], 16)
+    return (len(match[0]), chr(code).encode()) if code < 0x110000 and not 0xD800 <= code < 0xE000 else None
+
+
+def _fully_decoded(body: bytes, starts, ends, mark: bytes, reach: int, complete):
+    """The layer with its escapes decoded until none is left, the spans of its bytes, and how many rounds that takes.
+
+    One pass: an escape is decoded as soon as its last character is there, and what it
+    gives may itself be part of the next one.  Escapes never overlap, so the order does
+    not matter.  ``mark`` begins an escape, ``reach`` is how far back an open one may begin.
+    """
+    out, froms, tos, rounds = bytearray(), array("q"), array("q"), array("q")
+    at, most = 0, 0
+    while at < len(body):
+        if out.find(mark, max(0, len(out) - reach)) < 0:
+            # nothing can happen before the next mark
+            stop = body.find(mark, at)
+            stop = len(body) if stop < 0 else stop + 1
+            out += body[at:stop]
+            froms.frombytes(np.ascontiguousarray(starts[at:stop], dtype=np.int64).tobytes())
+            tos.frombytes(np.ascontiguousarray(ends[at:stop], dtype=np.int64).tobytes())
+            rounds.frombytes(bytes(8 * (stop - at)))
+            at = stop
+            continue
+        out.append(body[at])
+        froms.append(int(starts[at]))
+        tos.append(int(ends[at]))
+        rounds.append(0)
+        at += 1
+        while done := complete(bytes(out[-12:])):
+            size, data = done
+            depth, first, last = max(rounds[-size:]) + 1, froms[-size], tos[-1]
+            most = max(most, depth)
+            del out[-size:], froms[-size:], tos[-size:], rounds[-size:]
+            out += data
+            for _ in data:
+                froms.append(first)
+                tos.append(last)
+                rounds.append(depth)
+    return bytes(out), np.frombuffer(froms, dtype=np.int64), np.frombuffer(tos, dtype=np.int64), most
+
+
 def _unicode_pieces(match):
     high = None
     for one in _ONE_UNICODE.finditer(match.string, match.start(), match.end()):
@@ -154,15 +263,27 @@ def _unicode_pieces(match):
             yield chr(code).encode(), one.start(), one.end()
 
 
-def _unwrapped(body: bytes, starts, ends, runs):
-    """The layers directly under one: (name, bytes, starts, ends)."""
-    if b"%" in body and _URL.search(body):
-        yield "url", *_replaced(body, starts, ends, _URL, _url_pieces)
-    if b"\\" in body and _UNICODE.search(body):
-        yield "unicode", *_replaced(body, starts, ends, _UNICODE, _unicode_pieces)
-    data, layers = _inflated(body)
-    if layers:
-        yield "compressed", data, np.full(len(data), starts[0]), np.full(len(data), ends[-1])
+#: (name, first character, pattern, pieces of a match, how far back an open one begins, the one that a tail completes)
+ESCAPES = (("url", b"%", _URL, _url_pieces, 2, _url_end), ("unicode", b"\\", _UNICODE, _unicode_pieces, 11, _unicode_end))
+
+
+def _unwrapped(body: bytes, starts, ends, runs, path: str = ""):
+    """The layers directly under one: (name, bytes, starts, ends).
+
+    Escapes of escapes are decoded once, and to their end in one pass; the layers between,
+    of which there may be as many as a third of the text's bytes, differ in escapes only.
+    """
+    for name, mark, pattern, pieces, reach, complete in ESCAPES:
+        if mark not in body or path.endswith(name) or not pattern.search(body):
+            continue
+        once = _replaced(body, starts, ends, pattern, pieces)
+        yield name, *once
+        if pattern.search(once[0]):
+            *whole, rounds = _fully_decoded(body, starts, ends, mark, reach, complete)
+            yield "/".join([name] * rounds) if rounds < 4 else f"{name}^{rounds}", *whole
+    for data, layers in _contents(body):
+        if layers:
+            yield "compressed", data, np.broadcast_to(starts[0], len(data)), np.broadcast_to(ends[-1], len(data))
     for a, b in runs:
         yield from _decoded(body, a, b, starts, ends)
     if b"\n" in body:
@@ -171,6 +292,10 @@ def _unwrapped(body: bytes, starts, ends, runs):
                 yield from _decoded(body, *match.span(), starts, ends)
 
 
+def _named(layers: int) -> str:
+    return "base64" + ("+compressed" * layers if layers < 4 else f"+compressed^{layers}")
+
+
 def _decoded(body: bytes, a: int, b: int, starts, ends):
     """The layers that the base64 characters from ``a`` to ``b`` hold in each of the four alignments.
 
@@ -197,11 +322,13 @@ def _decoded(body: bytes, a: int, b: int, starts, ends):
         except (binascii.Error, ValueError):
             continue
         if not shift:
-            inner, layers = _inflated(data)
-            if layers or _is_text(inner):
-                yield "base64" + "+compressed" * layers, inner, np.full(len(inner), starts[a]), np.full(len(inner), ends[padded - 1])
-                if not layers:
-                    continue
+            whole = False
+            for inner, layers in _contents(data):
+                if layers or _is_text(inner):
+                    yield _named(layers), inner, np.broadcast_to(starts[a], len(inner)), np.broadcast_to(ends[padded - 1], len(inner))
+                    whole = not layers
+            if whole:
+                continue
         inside = {(m - shift) // 4 * 3 for m in marks if m > shift and (m - shift) % 4 == 0}
         inside |= {m.start() for m in re.finditer(rb"\x1f\x8b\x08", data)} | ({0} if shift else set())
         packed = [first for first in sorted(inside) if _packed(data[first : first + 3])]
@@ -215,9 +342,10 @@ def _decoded(body: bytes, a: int, b: int, starts, ends):
         if worth:
             yield "base64", data, starts[places[head]], ends[places[np.minimum(head + 1, len(run) - 1)]]
         for first in packed:
-            inner, layers = _inflated(data[first:])
-            if layers:
-                yield "base64" + "+compressed" * layers, inner, np.full(len(inner), starts[places[head[first]]]), np.full(len(inner), ends[padded - 1])
+            for inner, layers in _contents(data[first:]):
+                if layers:
+                    froms = np.broadcast_to(starts[places[head[first]]], len(inner))
+                    yield _named(layers), inner, froms, np.broadcast_to(ends[padded - 1], len(inner))
 
 
 def _narrowed(body: bytes, starts, ends):
@@ -237,26 +365,33 @@ def find_secrets(body: bytes) -> list[tuple[str, int, int, int, str]]:
     of its own, until no layer gives a new one; a layer seen before at the same place is
     not entered again, so cycles end.  A finding in a layer has the span of the text that
     it was decoded from; one that repeats a span of its kind is listed once, with the
-    least depth.
+    least depth.  Contents of compressed layers are inflated in a stream and looked at in
+    pieces where they are large, so a small text that unfolds to gigabytes costs time, not memory.
     """
     runs = _runs(body)
     found = {(k, a, b): (0, "") for k, a, b in scan(body, runs)}
     if b"%" in body or b"\\" in body or runs or b"\n" in body or body[:2] in (b"\x1f\x8b",):
         here = np.arange(len(body) + 1)
-        work, seen = [(0, "", body, here[:-1], here[1:], runs)], set()
+        # a layer's own layers are made one at a time, so what is held is one layer for each step down
+        work, seen = [("", body, _unwrapped(body, here[:-1], here[1:], runs))], set()
         while work:
-            depth, path, layer, starts, ends, runs = work.pop()
-            if depth:
-                for kind, a, b in scan(layer, runs):
-                    found.setdefault((kind, int(starts[a]), int(ends[b - 1])), (depth, path))
-            inner = _unwrapped(layer, starts, ends, runs)
-            for name, data, froms, tos in chain(inner, _narrowed(layer, starts, ends)) if depth else inner:
-                if not len(data):
-                    continue
-                mark = hashlib.sha256(data).digest() + int(froms[0]).to_bytes(8, "big") + int(tos[-1]).to_bytes(8, "big")
-                if data != layer and mark not in seen:
-                    seen.add(mark)
-                    work.append((depth + 1, f"{path}/{name}", data, froms, tos, _runs(data)))
+            path, layer, inner = work[-1]
+            if (one := next(inner, None)) is None:
+                work.pop()
+                continue
+            name, data, froms, tos = one
+            if not len(data):
+                continue
+            mark = hashlib.sha256(data).digest() + int(froms[0]).to_bytes(8, "big") + int(tos[-1]).to_bytes(8, "big")
+            if data == layer or mark in seen:
+                continue
+            seen.add(mark)
+            own, depth, below = _runs(data), len(work), f"{path}/{name}"
+            for kind, a, b in scan(data, own):
+                key = (kind, int(froms[a]), int(tos[b - 1]))
+                if key not in found or depth < found[key][0]:
+                    found[key] = (depth, below)
+            work.append((below, data, chain(_unwrapped(data, froms, tos, own, below), _narrowed(data, froms, tos))))
     if not found:
         return []
     heads = np.cumsum((np.frombuffer(body, dtype=np.uint8) & 0xC0) != 0x80)
