@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+from operator import add
 
 import numpy as np
 
@@ -94,9 +95,14 @@ class Transducer:
         self.fits: dict[tuple[str, str], bool] = {}
         self.costs = {p: -model.scores[i] for p, i in self.ids.items()}
         self.histories: dict[str, tuple] = {}
+        self.sound: set[str] = set()  # pieces that come out of merging their own characters
         self.output = [self._output(i) for i in range(len(model.pieces))]
+        # a full table becomes the older one; what is asked for again comes back from it
         self.parts: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
+        self.older_runs: dict[str, bytes] = {}
+        self.older_fits: dict[tuple[str, str], bool] = {}
 
     def _history(self, piece: str) -> tuple[list[tuple[float, str, str]], bool]:
         """The merges of a piece's characters, best score first, the leftmost of equals.
@@ -119,6 +125,8 @@ class Transducer:
         known = steps, len(symbols) == 1
         if piece in self.ids:
             self.histories[piece] = known
+            if known[1]:
+                self.sound.add(piece)
         return known
 
     def _fit(self, last: str, piece: str) -> bool:
@@ -147,16 +155,19 @@ class Transducer:
         if not last:
             return 0.0
         if (fits := self.fits.get((last, piece))) is None:
+            if (fits := self.older_fits.get((last, piece))) is None:
+                fits = self._fit(last, piece)
             if len(self.fits) >= _MOST_KEPT:
-                self.fits.clear()
-            fits = self.fits[last, piece] = self._fit(last, piece)
+                self.older_fits, self.fits = self.fits, {}
+            self.fits[last, piece] = fits
         return 0.0 if fits else _NEVER
 
     def path(self, part: str) -> list[str]:
         """The pieces on the shortest path through one part."""
-        end, ids, endings = len(part), self.ids, self.endings
+        end, ids, endings, weigh = len(part), self.ids, self.endings, self._weight
+        merges, fits, sound = self.model.bpe, self.fits, self.sound
         # for each position the least weight of a path to it and the piece it ends with
-        best: list[tuple[float, str]] = [(0.0, "")] + [(_NEVER, "")] * end
+        weights, lasts = [0.0] + [_NEVER] * end, [""] * (end + 1)
         for j in range(1, end + 1):
             starts = []
             for i in range(j - 1, -1, -1):
@@ -165,17 +176,24 @@ class Transducer:
                     starts.append((i, piece))
                 if piece not in endings:
                     break
-            weight, last = _NEVER, ""
+            least, last = _NEVER, ""
             for i, piece in reversed(starts):
-                if best[i][0] < _NEVER and (total := best[i][0] + self._weight(best[i][1], piece)) < weight:
-                    weight, last = total, piece
-                    if not weight:
+                if (so_far := weights[i]) == _NEVER:
+                    continue
+                # arcs that were weighed before
+                if merges and (piece in sound) and (not i or fits.get((lasts[i], piece))):
+                    total = so_far
+                else:
+                    total = so_far + weigh(lasts[i], piece)
+                if total < least:
+                    least, last = total, piece
+                    if not least:
                         break  # no path weighs less
-            best[j] = (weight, last)
+            weights[j], lasts[j] = least, last
         pieces, at = [], end
         while at:
-            pieces.append(best[at][1])
-            at -= len(best[at][1])
+            pieces.append(lasts[at])
+            at -= len(lasts[at])
         return pieces[::-1]
 
     def _numbers(self, pieces: list[str]) -> bytes:
@@ -191,20 +209,26 @@ class Transducer:
 
     def _run(self, run: str) -> bytes:
         if (ids := self.runs.get(run)) is None:
-            ids = self._numbers(self.path(run))
+            if (ids := self.older_runs.get(run)) is None:
+                ids = self._numbers(self.path(run))
             if len(run) <= _LONGEST_KEPT:
                 if len(self.runs) >= _MOST_KEPT:
-                    self.runs.clear()
+                    self.older_runs, self.runs = self.runs, {}
                 self.runs[run] = ids
         return ids
 
     def _part(self, part: str) -> bytes:
         """A part's ids: those of its runs between characters that no piece joins."""
-        cuts = [0, *(i for i in range(1, len(part)) if part[i - 1 : i + 1] not in self.joined), len(part)]
-        ids = b"".join([self._run(part[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)])
+        if (ids := self.older_parts.get(part)) is None:
+            joined = self.joined
+            cuts = [0, *[i for i, pair in enumerate(map(add, part, part[1:]), 1) if pair not in joined], len(part)]
+            if len(cuts) == 2:
+                ids = self._numbers(self.path(part))
+            else:
+                ids = b"".join([self._run(part[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)])
         if len(part) <= _LONGEST_KEPT:
             if len(self.parts) >= _MOST_KEPT:
-                self.parts.clear()
+                self.older_parts, self.parts = self.parts, {}
             self.parts[part] = ids
         return ids
 
@@ -213,13 +237,12 @@ class Transducer:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian int32."""
-        out, known = [], self.parts.get
-        pending = ""
+        out, pending = [], ""
         for word in self.normalised(text).split(SPACE):
             # a word and the space marks before it
             if word:
                 part = pending + word
-                out.append(known(part) or self._part(part))
+                out.append(self.parts.get(part) or self._part(part))
                 pending = SPACE
             else:
                 pending += SPACE
