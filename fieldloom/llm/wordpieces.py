@@ -20,7 +20,7 @@ class WordEncoder:
 
     The tokenizer's pieces never span a blank or a line feed, so a text's ids are
     those of its parts between them.  Parts and their letters are kept in two bounded
-    dictionaries, emptied when full.
+    dictionaries; a full one becomes the older one, from which what is met again comes back.
     """
 
     def __init__(self, path: str):
@@ -30,35 +30,39 @@ class WordEncoder:
         self.type = "<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4"
         self.words: dict[str, bytes] = {"": b""}
         self.stems: dict[str, bytes] = {"": b""}
+        self.older_words: dict[str, bytes] = {}
+        self.older_stems: dict[str, bytes] = {}
 
     def _fresh(self, part: str) -> bytes:
         return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype=self.type).tobytes()
 
     def _stem(self, stem: str) -> bytes:
         if (ids := self.stems.get(stem)) is None:
-            if stem.isascii() and stem.isalpha():
+            if (ids := self.older_stems.get(stem)) is not None:
+                pass
+            elif stem.isascii() and stem.isalpha():
                 ids = np.array([t.id for t in self.tokenizer.model.tokenize(stem)], dtype=self.type).tobytes()
             else:
                 ids = self._fresh(stem)
             if len(stem) <= _LONGEST_KEPT:
                 if len(self.stems) >= _MOST_KEPT:
-                    self.stems = {"": b""}
+                    self.older_stems, self.stems = self.stems, {"": b""}
                 self.stems[stem] = ids
         return ids
 
     def _word(self, word: str) -> bytes:
-        plain = _PLAIN.fullmatch(word)
-        ids = self._stem(plain[1].lower()) + self._stem(plain[2]) if plain else self._fresh(word)
+        if (ids := self.older_words.get(word)) is None:
+            plain = _PLAIN.fullmatch(word)
+            ids = self._stem(plain[1].lower()) + self._stem(plain[2]) if plain else self._fresh(word)
         if len(word) <= _LONGEST_KEPT:
             if len(self.words) >= _MOST_KEPT:
-                self.words = {"": b""}
+                self.older_words, self.words = self.words, {"": b""}
             self.words[word] = ids
         return ids
 
     def ids(self, text: str) -> bytes:
-        known = self.words.get
         # an empty word is known as b"", so the test is against None
-        return b"".join([i if (i := known(w)) is not None else self._word(w) for w in text.replace("\n", " ").split(" ")])
+        return b"".join([i if (i := self.words.get(w)) is not None else self._word(w) for w in text.replace("\n", " ").split(" ")])
 
 
 def encoder(path: str) -> WordEncoder:
