@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -58,6 +60,25 @@ def test_lineage_is_cut_in_the_shared_folder(spark):
     assert "Scan ExistingRDD" in cut._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("folder", ["file:/mnt/shared/9b27", "hdfs://names/shared", "/mnt/shared"])
+def test_off_local_mode_any_named_folder_is_taken(folder):
+    context = SimpleNamespace(master="spark://driver:7077", getCheckpointDir=lambda: folder)
+    assert session.shared_folder(SimpleNamespace(sparkContext=context, conf={})) == folder
+
+
+def test_off_local_mode_a_folder_must_be_named():
+    context = SimpleNamespace(master="spark://driver:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="must name a folder"):
+        session.shared_folder(SimpleNamespace(sparkContext=context, conf={}))
+
+
+def test_stages_are_kept_off_local_mode_in_a_folder_with_a_scheme(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://driver:7077")
+    monkeypatch.setattr(spark.sparkContext, "getCheckpointDir", tmp_path.as_uri)
+    assert session.cut_lineage(spark.range(10)).count() == 10
+    assert session.shared_folder(spark) == tmp_path.as_uri()
+
+
 def test_a_repeated_key_is_refused_on_load(spark, tmp_path):
     path = tmp_path / "focal.csv"
     path.write_text("taxon_id,focal\nu1,1\nu1,2\n")
