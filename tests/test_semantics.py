@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldloom.constants import SurveyScope
 from fieldloom.operators import editions, export, methods, monthly, quality, regions, taxa, yearly
+from fieldloom.plans import catalog
 
 D = dt.date
 
@@ -38,6 +39,36 @@ def test_last_day_counts_to_its_end(spark):
     assert monthly.valid_surveys(survey).count() == 1
 
 
+# --- the prior edition ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("name", ["prior_edition", "prior_sites_attributed", "prior_all_zero_series", "rate_delta"])
+def test_the_prior_edition_holds_every_supplier(spark, tmp_path, name):
+    spark.createDataFrame(
+        [(i, i, i, 1, "R" if i % 2 else "N", 5.0, D(1997, 3, 1)) for i in range(1, 41)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_quantity double, l_shipdate date",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(
+        [(i, "Brand#11", "PROMO", 1) for i in range(1, 41)], "p_partkey long, p_brand string, p_type string, p_size int"
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(i, f"S{i}") for i in range(1, 41)], "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = [r["site_id"] for r in catalog.run(name, spark, str(tmp_path)).select("site_id").collect()]
+    if name == "rate_delta":
+        # pairs go by the current site at the old one's centroid
+        assert len({*found} & {5, 22, 39}) == 3
+    else:
+        assert sorted(found) == list(range(1, 41))
+
+
+def test_other_sources_of_the_prior_edition_are_left_out(spark):
+    raw = spark.createDataFrame(
+        [(1998, 1, 1, "u1a  ", 3, 0.12345, source, 1, 2.0, 3.0, 4) for source in (23, 24, None)],
+        "start_date_y int, site_id long, search_type_id int, taxon_id string, response_variable_type_id int, value double, "
+        "source_id int, unit_id int, lat double, lon double, survey_count long",
+    )
+    assert rows(editions.load_prior_edition(raw), "source_id", "taxon_id") == [(23, "u1a")]
+
+
 # --- monthly response variables ----------------------------------------------------
 
 SITE = "site_id long, site_type int, site_permutation string"
