@@ -42,6 +42,15 @@ PROFILE_COLUMNS: dict[str, tuple[str, object]] = {
 }
 METHOD_KEYS = ["taxon_id", "unit_id", "source_id", "search_type_id"]
 
+#: Tasks that sightings and their surveys are dealt to.  Each holds the distinct values of its
+#: share, five a row, so few tasks would mean much memory in each.
+SPREAD = 200
+
+
+def _with_surveys(sightings: DataFrame, surveys: DataFrame) -> DataFrame:
+    """Sightings with their survey, over a fixed number of tasks: the rows multiply after this join."""
+    return sightings.repartition(SPREAD, "survey_id").join(surveys.repartition(SPREAD, "survey_id"), "survey_id")
+
 
 def _profile(rows: DataFrame, taxon: DataFrame, data_type: int) -> DataFrame:
     """Counts and extremes per combination.
@@ -84,8 +93,8 @@ def method_profile_direct(
     surveys = known.select(
         F.col("id").alias("survey_id"), "source_id", "site_id", "start_date_y", "start_date_m"
     ).join(site.select(F.col("id").alias("site_id"), "search_type_id"), "site_id")
-    rows = sighting.select("survey_id", "taxon_id", "unit_id", "unit_type_id", "count").join(surveys, "survey_id")
-    return _profile(rows, taxon, 1)
+    sightings = sighting.select("survey_id", "taxon_id", "unit_id", "unit_type_id", "count")
+    return _profile(_with_surveys(sightings, surveys), taxon, 1)
 
 
 def method_profile_linked(
@@ -96,12 +105,10 @@ def method_profile_linked(
     surveys = known.select(
         F.col("id").alias("survey_id"), "source_id", "search_type_id", "site_id", "start_date_y", "start_date_m"
     )
-    rows = (
-        sighting.select(F.col("id").alias("sighting_id"), "survey_id", "unit_id", "unit_type_id", "count")
-        .join(taxon_sighting.select("sighting_id", "taxon_id"), "sighting_id")
-        .join(surveys, "survey_id")
+    sightings = sighting.select(F.col("id").alias("sighting_id"), "survey_id", "unit_id", "unit_type_id", "count").join(
+        taxon_sighting.select("sighting_id", "taxon_id"), "sighting_id"
     )
-    return _profile(rows, taxon, 2)
+    return _profile(_with_surveys(sightings, surveys), taxon, 2)
 
 
 def append_profiles(*profiles: DataFrame) -> DataFrame:

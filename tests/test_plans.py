@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from fieldloom.operators import geo, monthly
+from fieldloom.operators import geo, methods, monthly
 from fieldloom.plans import catalog
 from fieldloom.plans.catalog import Workload, published
 from fieldloom.sources.layers import open_layer
@@ -140,3 +140,11 @@ def test_a_stored_layer_is_opened_again(spark, stored, layered, no_broadcast):
     a, b = (sorted(map(tuple, geo.points_in_polygons(points, v, ["site_id"]).collect())) for v in (again, stored.site_vertex))
     assert a == b
     assert plan_of(geo.points_in_polygons(points, again, ["site_id"])).count("Exchange hashpartitioning(level") == 1
+
+
+@pytest.mark.parametrize("name", ["method_profile_direct", "method_profile_linked", "method_profiles_appended", "response_variable_classified"])
+def test_profiles_multiply_their_rows_over_many_tasks(spark, stored, no_broadcast, name):
+    """The rows that hold five values each are dealt to a fixed number of tasks, which no merging of small ones undoes."""
+    plan = plan_of(catalog.QUERIES[name](workload(stored)))
+    dealt = [line for line in plan.splitlines() if "hashpartitioning(survey_id" in line]
+    assert dealt and all(f", {methods.SPREAD})" in line and "REPARTITION_BY_NUM" in line for line in dealt), plan
