@@ -9,11 +9,16 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import _parse_datatype_string
 
 from fieldloom.llm.common import ALNUM_LOWER, by_rows, importable, stage, texts
 
-#: Labelled rows the classifier is fitted on at most, drawn by hash.
+#: Examples of an index at most, about; more of them are dealt to several, which every text is held against.
 EXAMPLES = 16_384
+#: Texts of different features that are held against an index in one task, at most, about.
+QUERIES = 20_000
 #: Features of the index at most; what a feature must show among the examples: seen in so many,
 #: toxic in at least this share of them, by a log-likelihood ratio of so much.
 VOCABULARY = 4096
@@ -26,8 +31,6 @@ NEIGHBOURS = 15
 BLOCK = 64
 #: What the votes count against: the share of toxic examples has this weight.
 PRIOR_WEIGHT = 0.5
-#: Results kept per worker task for texts with the same features.
-MEMO = 100_000
 
 
 def features(body: bytes) -> Counter[bytes]:
@@ -78,8 +81,6 @@ class BlockMaxIndex:
     toxic: np.ndarray
     prior: float
     block: int = BLOCK
-    slope: float = 1.0
-    shift: float = 0.0
     postings: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
     tops: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
@@ -135,33 +136,58 @@ class BlockMaxIndex:
             toxic += weight * float(self.toxic[i])
         return toxic / total
 
-    def calibrated(self, vote: float) -> float:
-        z = self.slope * math.log(max(vote, 1e-9) / max(1 - vote, 1e-9)) + self.shift
+
+@dataclass
+class Calibration:
+    """What votes count as: a logistic curve over their log odds."""
+
+    toxic: float
+    slope: float = 1.0
+    shift: float = 0.0
+
+    def vote(self, near: list[dict]) -> float:
+        """As :meth:`BlockMaxIndex.vote`, of neighbours from several indexes."""
+        total, toxic = PRIOR_WEIGHT, PRIOR_WEIGHT * self.toxic
+        for n in near:
+            weight = -n["far"] / (1 - min(-n["far"], 1.0) + 0.1)
+            total += weight
+            toxic += weight * n["toxic"]
+        return toxic / total
+
+    def score(self, near: list[dict]) -> float:
+        z = self.slope * log_odds(self.vote(near)) + self.shift
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
-    def calibrate(self, votes: np.ndarray) -> None:
-        """Logistic fit of the labels on the examples' own votes, each made without itself."""
-        x = np.log(np.clip(votes, 1e-9, 1) / np.clip(1 - votes, 1e-9, 1))
-        y = self.toxic.astype(float)
-        a, c = 1.0, 0.0
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(a * x + c, -30, 30)))
-            w = np.maximum(p * (1 - p), 1e-6)
-            # a little ridge keeps separable labels finite
-            h = np.array([[np.sum(w * x * x) + 1, np.sum(w * x)], [np.sum(w * x), np.sum(w) + 1]])
-            g = np.array([np.sum((y - p) * x) - (a - 1), np.sum(y - p) - c])
-            step = np.linalg.solve(h, g)
-            a, c = a + step[0], c + step[1]
-            if np.abs(step).max() < 1e-8:
-                break
-        if a > 0:
-            self.slope, self.shift = float(a), float(c)
 
+def log_odds(vote: float) -> float:
+    return math.log(max(vote, 1e-9) / max(1 - vote, 1e-9))
 
-def chosen_terms(docs: DataFrame, drawn: DataFrame, vocabulary: int = VOCABULARY) -> list[bytes]:
+
+def calibrate(votes: DataFrame) -> tuple[float, float]:
+    """Slope and shift of the logistic fit to (x, y, n): log odds of a vote, its label, how many there are.
+
+    Each of Newton's steps is one aggregate over all of them; a little ridge keeps separable labels finite.
+    """
+    a, c = 1.0, 0.0
+    for _ in range(50):
+        z = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.lit(a) * F.col("x") + F.lit(c)))
+        p = 1 / (1 + F.exp(-z))
+        w = F.greatest(p * (1 - p), F.lit(1e-6)) * F.col("n")
+        off = (F.col("y") - p) * F.col("n")
+        x = F.col("x")
+        sums = votes.agg(*[F.sum(v) for v in (w * x * x, w * x, w, off * x, off)]).first()
+        h = np.array([[sums[0] + 1, sums[1]], [sums[1], sums[2] + 1]])
+        step = np.linalg.solve(h, np.array([sums[3] - (a - 1), sums[4] - c]))
+        a, c = a + step[0], c + step[1]
+        if np.abs(step).max() < 1e-8:
+            break
+    return (float(a), float(c)) if a > 0 else (1.0, 0.0)
+
+
+def chosen_terms(docs: DataFrame, examples: DataFrame, vocabulary: int = VOCABULARY) -> list[bytes]:
     """The features that speak for toxic among the examples, at most ``vocabulary``: so they may go through the driver."""
-    bodies = texts(docs).join(F.broadcast(drawn), "doc_id").select("toxic", "body")  # drawn is bounded by EXAMPLES
-    total = drawn.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("k")).first()
+    bodies = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).join(examples, "doc_id").select("toxic", "body")
+    total = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("k")).first()
     big, toxic = float(total["n"]), float(total["k"])
     counts = bodies.mapInArrow(_statistics, "term binary, n long, k long").groupBy("term")
     seen = counts.agg(F.sum("n").alias("n"), F.sum("k").alias("k")).filter((F.col("n") >= SEEN_IN) & (F.col("k") >= PRECISION * F.col("n")))
@@ -195,92 +221,128 @@ def counted(docs: DataFrame, terms: list[bytes], row_col: str | None = None) ->
     return texts(keyed, "key").mapInArrow(by_rows(process, COUNTED), COUNTED)
 
 
+MARK = ["terms", "counts"]
+NEAR = "terms array<int>, counts array<int>, near array<struct<far:double,doc_id:long,toxic:int>>"
+
+
+def neighbours(marks: DataFrame, examples: DataFrame, idf: np.ndarray, k: int, size: int = EXAMPLES) -> DataFrame:
+    """(terms, counts, near): the ``k`` examples of largest cosine for each of ``marks``, ties by doc_id.
+
+    Of examples with the same features only the first ``k`` can be near anything.  These are
+    dealt to indexes of about ``size``, marks to slices; each slice meets each index in a task
+    of its own, and the best of all indexes are the result.
+    """
+    first = F.row_number().over(W.partitionBy(*MARK).orderBy("doc_id"))
+    kept = stage(examples.filter(F.size("terms") > 0).withColumn("place", first).filter(F.col("place") <= k).drop("place"), "toxicity-kept")
+    context = marks.sparkSession.sparkContext
+    n_marks = marks.count()
+    indexes = max(1, -(-kept.count() // size))
+    slices = max(-(-n_marks // QUERIES), min(4 * context.defaultParallelism, n_marks // 64 + 1))
+    shared = context.broadcast(idf)  # bounded by VOCABULARY
+    schema = to_arrow_schema(_parse_datatype_string(NEAR))
+
+    def meet(texts, held):
+        import pyarrow as pa
+
+        rows = sorted(held.select(["doc_id", "toxic", *MARK]).to_pylist(), key=lambda r: r["doc_id"])
+        labels = np.array([r["toxic"] for r in rows], dtype=np.int64)
+        index = BlockMaxIndex(len(shared.value), shared.value, [r["doc_id"] for r in rows], labels, 0.0)
+        index.build([dict(zip(r["terms"], r["counts"], strict=True)) for r in rows])
+        found = []
+        for r in texts.select(MARK).to_pylist():
+            near = index.nearest(index.weights(dict(zip(r["terms"], r["counts"], strict=True))), k)
+            found.append({**r, "near": [{"far": -c, "doc_id": index.ids[i], "toxic": int(index.toxic[i])} for c, i in near]})
+        return pa.Table.from_pylist(found, schema=schema)
+
+    by, tasks = ["index", "slice"], indexes * slices
+    dealt = lambda n: F.pmod(F.xxhash64(*MARK), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = marks.withColumn("slice", dealt(slices)).withColumn("index", every(indexes)).repartition(tasks, *by)
+    right = kept.withColumn("index", dealt(indexes)).withColumn("slice", every(slices)).repartition(tasks, *by)
+    met = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(meet, NEAR)
+    best = F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k)
+    return met.groupBy(*MARK).agg(best.alias("near"))
+
+
 def fit(
-    docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, vocabulary: int = VOCABULARY, row_col: str | None = None
-) -> tuple[BlockMaxIndex, DataFrame]:
-    """The index, and the feature counts of every document, which it needed.
-
-    Examples are at most ``examples`` labelled rows whose crc32(doc_id) mod 5 is not 0,
-    drawn by hash.  The document frequencies of the features are counted over all
-    documents.  Index and examples are bounded by the two parameters at any size of the
-    tables.  A doc_id with several labels is toxic if one of them says so; of documents that
-    repeat a doc_id one is an example, the one whose features come first; null ids and
-    labels are passed over.
+    docs: DataFrame, labels: DataFrame, size: int = EXAMPLES, vocabulary: int = VOCABULARY, row_col: str | None = None
+) -> tuple[Calibration, DataFrame]:
+    """The calibration, and (doc_id, row, near): every document with its nearest examples.
+
+    Examples are all labelled rows whose crc32(doc_id) mod 5 is not 0.  The document
+    frequencies of the features are counted over all documents.  A doc_id with several
+    labels is toxic if one of them says so; of documents that repeat a doc_id one is an
+    example, the one whose features come first; null ids and labels are passed over.
     """
     spark = docs.sparkSession
     importable(spark)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
-    drawn = stage(
+    labelled = stage(
         known.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        .join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples),
+        .join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi"),
         "toxicity-examples",
     )
-    terms = chosen_terms(docs, drawn, vocabulary)
+    terms = chosen_terms(docs, labelled, vocabulary)
     counts = stage(counted(docs, terms, row_col), "toxicity-counts")
     frequency = counts.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")).collect()
     df = {r["term"]: r["df"] for r in frequency}
     n_docs = counts.count()
     idf = np.array([math.log((1 + n_docs) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
-    one = F.min(F.struct("terms", "counts")).alias("one")
-    chosen = counts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "toxic").agg(one)  # at most a row per drawn id
-    rows = sorted(chosen.select("doc_id", "toxic", "one.*").collect(), key=lambda r: r["doc_id"])
-    labels_ = np.array([r["toxic"] for r in rows], dtype=np.int64)
-    index = BlockMaxIndex(len(terms), idf, [r["doc_id"] for r in rows], labels_, float(labels_.mean()) if rows else 0.0)
-    index.build([dict(zip(r["terms"], r["counts"], strict=True)) for r in rows])
-    if rows and 0 < labels_.sum() < len(rows):
-        # examples with the same features have the same neighbours; each then leaves itself out
-        memo: dict[tuple, list] = {}
-        votes = []
-        for i, r in enumerate(rows):
-            mark = (*r["terms"], *r["counts"])
-            if mark not in memo:
-                memo[mark] = index.nearest(index.weights(dict(zip(r["terms"], r["counts"], strict=True))), NEIGHBOURS + 1)
-            votes.append(index.vote([n for n in memo[mark] if n[1] != i][:NEIGHBOURS]))
-        index.calibrate(np.array(votes))
-    return index, counts
+    one = F.min(F.struct(*MARK)).alias("one")
+    examples = stage(
+        counts.join(labelled, "doc_id").groupBy("doc_id", "toxic").agg(one).select("doc_id", "toxic", "one.*"), "toxicity-marks"
+    )
+    total = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("k")).first()
+    marks = stage(counts.filter(F.size("terms") > 0).select(*MARK).distinct(), "toxicity-texts")
+    near = stage(neighbours(marks, examples, idf, NEIGHBOURS + 1, size), "toxicity-near")
+
+    def met(rows: DataFrame) -> DataFrame:
+        """Rows with their neighbours; those without a feature, however many, do not pass the join."""
+        bare = rows.filter(F.size("terms") == 0).withColumn("near", F.array().cast(near.schema["near"].dataType))
+        return rows.filter(F.size("terms") > 0).join(near, MARK).unionByName(bare).drop(*MARK)
+
+    curve = Calibration(total["k"] / total["n"] if total["n"] else 0.0)
+    if 0 < total["k"] < total["n"]:
+
+        def left_out(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                ids, found = batch.column("doc_id").to_pylist(), batch.column("near").to_pylist()
+                xs = [log_odds(curve.vote([n for n in near if n["doc_id"] != i][:NEIGHBOURS])) for i, near in zip(ids, found, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(xs, pa.float64()), batch.column("toxic")], names=["x", "y"])
+
+        votes = met(examples).mapInArrow(left_out, "x double, y int").groupBy("x", "y").agg(F.count("*").alias("n"))
+        curve.slope, curve.shift = calibrate(stage(votes, "toxicity-votes"))
+    return curve, met(counts)
 
 
 SCHEMA = "doc_id long, row long, score double, evidence array<struct<doc_id:long,cosine:double,toxic:int>>"
 
 
-def score(counts: DataFrame, index: BlockMaxIndex, neighbours: int = NEIGHBOURS) -> DataFrame:
-    """(doc_id, row, score, evidence) of every row of feature counts, against all examples.
+def score(met: DataFrame, curve: Calibration, neighbours: int = NEIGHBOURS) -> DataFrame:
+    """(doc_id, row, score, evidence) of every row, from its nearest examples.
 
     ``score`` is the calibrated share of the distance-weighted votes of the nearest
     examples; ``evidence`` lists them, nearest first, ties by doc_id.  A text without a
     feature of the index - null and empty ones too - has no neighbour and the calibrated
     prior for a score.
     """
-    shared = counts.sparkSession.sparkContext.broadcast(index)  # bounded by EXAMPLES and VOCABULARY
 
     def run(batches):
         import pyarrow as pa
 
-        index, memo = shared.value, {}
+        evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
         for batch in batches:
-            rows = []
-            for terms, tf in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                mark = (*terms, *tf)
-                if (known := memo.get(mark)) is None:
-                    near = index.nearest(index.weights(dict(zip(terms, tf, strict=True))), neighbours)
-                    found = [{"doc_id": index.ids[i], "cosine": c, "toxic": int(index.toxic[i])} for c, i in near]
-                    known = (index.calibrated(index.vote(near)), found)
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[mark] = known
-                rows.append(known)
-            evidence = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
+            near = [found[:neighbours] for found in batch.column("near").to_pylist()]
+            told = [[{"doc_id": n["doc_id"], "cosine": -n["far"], "toxic": n["toxic"]} for n in found] for found in near]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), pa.array([s for s, _ in rows], pa.float64()), pa.array([e for _, e in rows], evidence)],
+                [batch.column("doc_id"), batch.column("row"), pa.array([curve.score(n) for n in near], pa.float64()), pa.array(told, evidence)],
                 names=["doc_id", "row", "score", "evidence"],
             )
 
-    # counts are narrow and lie in few files: rows are dealt anew, so that the search has tasks enough
-    spark = counts.sparkSession
-    spread = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    return counts.repartition(spread).mapInArrow(run, SCHEMA)
+    return met.mapInArrow(run, SCHEMA)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, row_col: str | None = None) -> DataFrame:
@@ -294,9 +356,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, row_col: str | None = None) ->
     kind of them, no feature is chosen and every score is the prior.  Only doc_id and text
     of ``docs``, doc_id and toxic of ``labels`` are read.
     """
-    index, counts = fit(docs, labels, row_col=row_col)
+    curve, met = fit(docs, labels, row_col=row_col)
     remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
-    return score(counts, index).select(
+    return score(met, curve).select(
         "doc_id",
         *(["row"] if row_col else []),
         F.coalesce(remainder == 0, F.lit(False)).alias("held_out"),

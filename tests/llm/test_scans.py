@@ -13,6 +13,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fieldloom.llm import licenses, secret_scan, toxicity
 from tests.llm import brute
@@ -219,3 +220,30 @@ def test_toxicity_edges(spark, odd_docs, odd_rows, no_docs):
     none = labels.limit(0)
     assert {r.predicted for r in toxicity.toxicity(odd_docs, none).collect()} == {0}
     assert toxicity.toxicity(no_docs, labels).count() == 0
+
+
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """However few examples an index holds, all of them are learnt from: the results do not change."""
+    rng, vile = random.Random(5), ["scum", "vermin", "filth", "idiot", "moron", "trash"]
+    rows = [(i, " ".join(rng.choices(["field", "bird", "count", "river", "stone"], k=9) + rng.choices(vile, k=rng.randint(1, 5)) * (i % 3 == 0))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 == 0).cast("int").alias("toxic"))
+    whole, parts = ([*toxicity.score(*reversed(toxicity.fit(docs, labels, size))).orderBy("doc_id").collect()] for size in (1_000_000, 30))
+    assert [r.doc_id for r in whole] == [r.doc_id for r in parts] and len(whole) == docs.count()
+    assert all(abs(a.score - b.score) < 1e-9 for a, b in zip(whole, parts, strict=True))
+    learnt = labels.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).agg(F.mean("toxic")).first()[0]
+    assert abs(toxicity.fit(docs, labels, 30)[0].toxic - learnt) < 1e-12
+
+
+def test_neighbours_come_from_all_indexes(spark):
+    rng = np.random.default_rng(3)
+    examples = [(i, int(rng.integers(2)), sorted({*rng.integers(0, 12, 3).tolist()})) for i in range(120)]
+    table = spark.createDataFrame([(i, y, t, [1] * len(t)) for i, y, t in examples], "doc_id long, toxic int, terms array<int>, counts array<int>")
+    marks = table.select("terms", "counts").distinct()
+    one, many = (
+        {tuple(r.terms): [(round(n.far, 9), n.doc_id, n.toxic) for n in r.near] for r in toxicity.neighbours(marks, table, np.ones(12), 9, size).collect()}
+        for size in (1000, 7)
+    )
+    assert one.keys() == many.keys() and len(one) == marks.count()
+    # in the order of a sum, equal cosines may differ by a hair
+    assert all([f for f, _, _ in one[t]] == [f for f, _, _ in many[t]] for t in one)
