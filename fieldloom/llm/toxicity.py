@@ -7,7 +7,7 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -184,9 +184,25 @@ def calibrate(votes: DataFrame) -> tuple[float, float]:
     return (float(a), float(c)) if a > 0 else (1.0, 0.0)
 
 
+WORDS = "doc_id long, body binary"
+
+
+def _distinct_words(key, body: bytes):
+    """The words of a text, each once: they have the features of the text, and are less to shuffle."""
+    yield key, b" ".join(sorted(set(body.translate(ALNUM_LOWER).split())))
+
+
+def may_teach(doc_id: Column) -> Column:
+    """Whether labels of this id may be learnt."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0
+
+
 def chosen_terms(docs: DataFrame, examples: DataFrame, vocabulary: int = VOCABULARY) -> list[bytes]:
     """The features that speak for toxic among the examples, at most ``vocabulary``: so they may go through the driver."""
-    bodies = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).join(examples, "doc_id").select("toxic", "body")
+    able = texts(docs).withColumn("doc_id", F.col("doc_id").cast("long")).filter(may_teach(F.col("doc_id")))
+    # a merge join at any size: what is shuffled grows with the input, not by leaps
+    words = able.mapInArrow(by_rows(_distinct_words, WORDS), WORDS).join(examples.hint("merge"), "doc_id")
+    bodies = words.select("toxic", "body")
     total = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("k")).first()
     big, toxic = float(total["n"]), float(total["k"])
     counts = bodies.mapInArrow(_statistics, "term binary, n long, k long").groupBy("term")
@@ -278,7 +294,7 @@ def fit(
     importable(spark)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropna()
     labelled = stage(
-        known.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+        known.filter(may_teach(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
         .join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi"),
         "toxicity-examples",
