@@ -6,10 +6,12 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from fieldloom.llm import exact_dedup, jaccard, sharding, suffix_dedup, suffixes
+from fieldloom.llm.common import WordHasher
 from tests.llm import brute
 
 
@@ -211,3 +213,37 @@ def test_empty_tables(no_docs):
     assert jaccard.similar_texts(no_docs).count() == 0
     assert suffix_dedup.without_repeats(no_docs).count() == 0
     assert sharding.shard_documents(no_docs).count() == 0
+
+
+def _set_rows(bodies, num=85, den=100):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(bodies)), pa.int64()), pa.array(bodies, pa.binary())], names=["doc_id", "body"])
+    none = np.array([], dtype=np.uint64), np.array([], dtype=np.int64)
+    return pa.Table.from_batches(list(jaccard._sets(4, num, den, none)([batch]))).to_pylist()
+
+
+def test_profiles_and_parities_bound_the_difference_of_sets_and_tell_long_texts_apart():
+    rng = random.Random(3)
+    hasher = WordHasher(4)
+    for size in (5, 300, 1100, 4000, 12_000):
+        words = [str(rng.randrange(10**6)) for _ in range(size)]
+        near, longer = list(words), [*words, *map(str, range(size // 8 + 1))]
+        near[size // 2] = "other"
+        other = [str(rng.randrange(10**6)) for _ in range(size)]
+        bodies = [" ".join(w).encode() for w in (words, near, longer, other)]
+        rows, sets = _set_rows(bodies), [hasher.shingles(b) for b in bodies]
+        for i, j in ((0, 1), (0, 2), (1, 2), (0, 3), (2, 3)):
+            apart = len(np.setxor1d(sets[i], sets[j]))
+            bits = sum((a & (1 << 64) - 1 ^ b & (1 << 64) - 1).bit_count() for a, b in zip(rows[i]["odd"], rows[j]["odd"], strict=True))
+            assert bits <= apart and jaccard._apart(rows[i]["profile"], rows[j]["profile"]) <= apart
+        n, m, mine, theirs = rows[0]["n_shingles"], rows[3]["n_shingles"], rows[0]["profile"], rows[3]["profile"]
+        pair = pa.RecordBatch.from_pylist([{"x": 0, "p": 3, "n": n, "m": m, "mine": mine, "theirs": theirs}])
+        assert not sum(b.num_rows for b in jaccard._near_profiles(85, 100)([pair])), size
+
+
+def test_shingles_of_the_same_sets_are_one_region(spark):
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words), " ".join([*words, "x"]), " ".join([*words, "y", "z"]), "nothing like the others at all"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, *_, shared, _ = jaccard._grouped(docs, 4, 85, 100)
+    assert shared.groupBy("nid").count().agg(F.max("count")).first()[0] <= 4
+    assert sorted((r.doc_id, r.component_id) for r in rows.collect()) == [(0, 0), (1, 0), (2, 0), (3, 3)]
