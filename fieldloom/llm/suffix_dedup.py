@@ -20,17 +20,20 @@ GRAM = 32
 #: the strings of larger groups are spread by their digests instead, with the same result.
 BLOCK_BYTES = 1 << 20
 GROUP = 16_384
+#: Bytes of texts that are anchored at once, about, and texts whose spans are cut at once.
+ROW_BYTES = 1 << 17
+TEXTS = 64
 
 ANCHORS = "doc_id long, u long, h long, at long, back int, more int"
 CONTEXTS = "doc_id long, u long, h long, c binary, lo long, size int"
 
 
-def anchors(body: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(hash, first string, last string) for each anchor of a text.
+def anchors(body: bytes, length: int = LENGTH, gram: int = GRAM, begins: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(hash, place, first string, last string) for each anchor of a text, or of texts in a row that begin at ``begins``.
 
-    A string of ``length`` bytes is anchored at the leftmost of its grams of least hash, so
-    equal strings are anchored alike wherever they stand.  An anchor owns the strings that
-    start from its first to its last.
+    A string of ``length`` bytes is anchored at the leftmost of its grams of least hash, by the
+    upper 32 bits, so equal strings are anchored alike wherever they stand.  An anchor owns
+    the strings that start from its first to its last; no string reaches from one text into the next.
     """
     n = len(body)
     with np.errstate(over="ignore"):
@@ -43,19 +46,23 @@ def anchors(body: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
         hashes ^= hashes >> np.uint64(31)
         hashes *= np.uint64(0x9FB21C651E98DF25)
         hashes ^= hashes >> np.uint64(28)
-    span = length - gram + 1
-    least, place, size = hashes, np.arange(len(hashes)), 1
+    # the place stands in the lower bits, so the least is the leftmost of the least
+    low = np.uint64((1 << 32) - 1)
+    least, span, size = hashes & ~low | np.arange(len(hashes), dtype=np.uint64), length - gram + 1, 1
     while size < span:
         step = min(size, span - size)  # the last step overlaps what is already covered
-        first, second = least[:-step], least[step:]
-        left = first <= second
-        place = np.where(left, place[:-step], place[step:])
-        least = np.where(left, first, second)
+        least = np.minimum(least[:-step], least[step:])
         size += step
+    place = (least & low).astype(np.int64)
+    starts = np.arange(n - length + 1)
+    if begins is not None and len(begins) > 1:
+        own = np.ones(len(starts), dtype=bool)
+        own[begins[1:, None] - np.arange(1, length)] = False
+        place, starts = place[own], starts[own]
     changes = np.flatnonzero(np.diff(place)) + 1
     first = np.concatenate(([0], changes))
-    last = np.concatenate((changes - 1, [n - length]))
-    return hashes[place[first]].view(np.int64), place[first], first, last
+    at = place[first]
+    return hashes[at].view(np.int64), at, starts[first], starts[np.concatenate((changes - 1, [len(starts) - 1]))]
 
 
 _CODES: list[np.ndarray] = []
@@ -72,46 +79,70 @@ def _keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return texts(docs, id_col, text_col).withColumn("u", F.xxhash64("body")).select("doc_id", "u", "body")
 
 
+def _lengths(column) -> np.ndarray:
+    """Of the bytes or the list in each row; null counts as empty."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    count = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+    return pc.fill_null(count(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _anchored(batches):
     import pyarrow as pa
 
     for batch in batches:
-        for key, u, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            h, at, first, last = anchors(body)
-            n = len(h)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([key] * n, pa.int64()), pa.array([u] * n, pa.int64()), pa.array(h), pa.array(at),
-                    pa.array((at - first).astype(np.int32)), pa.array((last - first).astype(np.int32)),
-                ],
-                names=["doc_id", "u", "h", "at", "back", "more"],
-            )
-
+        if not batch.num_rows:
+            continue
+        ids, us, bodies = batch.columns
+        sizes = _lengths(bodies)
+        # texts in a row, about ROW_BYTES of them at once
+        ends = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // ROW_BYTES)) + 1
+        for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(sizes)], strict=True):
+            begins = np.cumsum(sizes[a:b]) - sizes[a:b]
+            h, at, first, last = anchors(b"".join(bodies.slice(a, b - a).to_pylist()), begins=begins)
+            own = np.searchsorted(begins, first, side="right") - 1
+            whose = pa.array(own + a)
+            columns = [ids.take(whose).cast(pa.int64()), us.take(whose), pa.array(h), pa.array(at - begins[own])]
+            more = [pa.array((at - first).astype(np.int32)), pa.array((last - first).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays([*columns, *more], names=["doc_id", "u", "h", "at", "back", "more"])
+
+
+def _stored(batches):
+    """A few texts at a time: doc_id and u of each of their spans, the columns of the spans, and their bytes."""
+    import pyarrow as pa
 
-def _stored(spans: list[dict], body: bytes):
-    for s in spans:
-        yield s, body[s["lo"] : s["lo"] + s["size"]]
+    for batch in batches:
+        for start in range(0, batch.num_rows, TEXTS):
+            part = batch.slice(start, TEXTS)
+            spans = part.column(3)
+            many = _lengths(spans)
+            flat = spans.flatten()
+            owner = np.repeat(np.arange(len(many)), many)
+            columns = {f.name: flat.field(i) for i, f in enumerate(flat.type)}
+            bodies, lo = part.column(2).to_pylist(), columns["lo"].to_pylist()
+            cuts = [bodies[o][a : a + n] for o, a, n in zip(owner.tolist(), lo, columns["size"].to_pylist(), strict=True)]
+            whose = pa.array(owner)
+            yield {"doc_id": part.column(0).take(whose).cast(pa.int64()), "u": part.column(1).take(whose), **columns}, cuts
 
 
 def _digested(batches):
     """Digests of the contexts of repeated anchors: the bytes of all strings an anchor owns."""
     import pyarrow as pa
 
-    for batch in batches:
-        for key, u, body, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            rows = [(key, u, s["h"], hashlib.blake2b(c, digest_size=16).digest(), s["lo"], s["size"]) for s, c in _stored(spans, body)]
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["doc_id", "u", "h", "c", "lo", "size"])
+    for columns, cuts in _stored(batches):
+        columns["c"] = pa.array([hashlib.blake2b(c, digest_size=16).digest() for c in cuts], pa.binary())
+        names = ["doc_id", "u", "h", "c", "lo", "size"]
+        yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
 
 def _cut(batches):
     import pyarrow as pa
 
-    for batch in batches:
-        for key, u, body, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            rows = [(key, u, s["h"], s["lo"], s["crowd"], c) for s, c in _stored(spans, body)]
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["doc_id", "u", "h", "lo", "crowd", "context"])
+    for columns, cuts in _stored(batches):
+        columns["context"] = pa.array(cuts, pa.binary())
+        names = ["doc_id", "u", "h", "lo", "crowd", "context"]
+        yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
 
 
 def _spans(rows: list[tuple], starts: np.ndarray, begins: np.ndarray, length: int):
@@ -173,29 +204,48 @@ def _strings(length: int):
     return run
 
 
+def _merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of spans that overlap or touch, ascending."""
+    order = np.argsort(lo)
+    lo, reach = lo[order], np.maximum.accumulate(hi[order])
+    first = np.flatnonzero(np.concatenate(([True], lo[1:] > reach[:-1])))
+    return lo[first], reach[np.concatenate((first[1:] - 1, [len(lo) - 1]))]
+
+
 def _kept(batches):
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) of each text and its repeated spans."""
     import pyarrow as pa
 
-    span = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), span)
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            rows = []
-            for key, body, spans in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns), strict=True):
-                merged: list[list[int]] = []
-                for s in sorted(spans or (), key=lambda s: (s["lo"], s["hi"])):
-                    if merged and s["lo"] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], s["hi"])
-                    else:
-                        merged.append([s["lo"], s["hi"]])
-                parts, free = [], 0
-                for lo, hi in merged:
-                    parts.append(body[free:lo])
-                    free = hi
-                kept = b"".join([*parts, body[free:]])
-                rows.append((key, len(body), len(body) - len(kept), len(merged), hashlib.sha256(kept).hexdigest(), [{"lo": a, "hi": b} for a, b in merged]))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
+        for start in range(0, batch.num_rows, 512):
+            part = batch.slice(start, 512)
+            bodies, spans = part.column(1).to_pylist(), part.column(2)
+            sizes, many = np.array([len(b) for b in bodies], dtype=np.int64), _lengths(spans)
+            # the texts side by side with a gap between two, so no run reaches into the next text
+            begins = np.cumsum(sizes + 1) - sizes - 1
+            shift = np.repeat(begins, many)
+            flat = spans.flatten()
+            lo, hi = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) + shift for i in range(2))
+            if len(lo):
+                lo, hi = _merged(lo, hi)
+            own = np.searchsorted(begins, lo, side="right") - 1
+            lo, hi = lo - begins[own], hi - begins[own]
+            runs = np.bincount(own, minlength=len(bodies))
+            ends = np.cumsum(runs)
+            removed, digests, los, his = np.zeros(len(bodies), dtype=np.int64), [], lo.tolist(), hi.tolist()
+            np.add.at(removed, own, hi - lo)
+            for body, n, end in zip(bodies, runs.tolist(), ends.tolist(), strict=True):
+                kept, free = hashlib.sha256(), 0
+                for i in range(end - n, end):
+                    kept.update(body[free : los[i]])
+                    free = his[i]
+                kept.update(body[free:])
+                digests.append(kept.hexdigest())
+            runs_of = pa.ListArray.from_arrays(
+                pa.array(np.concatenate(([0], ends)), pa.int32()), pa.StructArray.from_arrays([pa.array(lo), pa.array(hi)], names=["lo", "hi"])
+            )
+            columns = [part.column(0).cast(pa.int64()), pa.array(sizes), pa.array(removed), pa.array(runs), pa.array(digests, pa.string()), runs_of]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<lo:long,hi:long>>"

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-from numpy.lib.stride_tricks import sliding_window_view
 
 #: Ends a string of a block.  Bytes are raised by one, so no symbol is 0; valid UTF-8 stays below.
 STOP = 0xFF
@@ -26,22 +25,55 @@ def _types(text: np.ndarray) -> np.ndarray:
     return np.repeat(np.concatenate((rises, [False])), runs)
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
+def _places(keys: np.ndarray) -> np.ndarray:
+    """The place of each key in the order of the different ones, from 1."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    out = np.empty(len(keys), dtype=np.uint64)
+    out[order] = np.cumsum(np.concatenate(([True], ordered[1:] != ordered[:-1]))).astype(np.uint64)
+    return out
+
+
+def prefix_ranks(text: np.ndarray, depth: int) -> tuple[np.ndarray, int]:
+    """Ranks of all suffixes by their first ``size`` symbols, and ``size``: at most ``depth``, half of it at least.
+
+    Equal ranks mean equal symbols; 0 stands for what lies behind the end.  There is one
+    rank more for each place up to ``depth`` behind it.  A rank of three times the length is that of
+    three ranks side by side, as long as they fit into a word, else of two.
+    """
+    n, size = len(text), min(8, depth)
+    padded = np.concatenate((text, np.zeros(8, dtype=np.uint8))).astype(np.uint64)
+    keys = np.zeros(n, dtype=np.uint64)
+    for j in range(size):
+        keys = keys << np.uint64(8) | padded[j : j + n]
+    beyond = np.zeros(depth, dtype=np.uint64)
+    ranks = np.concatenate((_places(keys), beyond))
+    bits = np.uint64((n + 1).bit_length())
+    while 2 * size < depth:
+        times = 3 if 3 * size <= depth and 3 * int(bits) <= 64 else 2
+        keys = ranks[:n]
+        for j in range(1, times):
+            keys = keys << bits | ranks[j * size : j * size + n]
+        ranks = np.concatenate((_places(keys), beyond))
+        size *= times
+    return ranks, size
+
+
+def suffix_array(text: np.ndarray, depth: int, ranked: tuple[np.ndarray, int] | None = None) -> np.ndarray:
     """All suffixes in the order of their first ``depth`` symbols (more may count).
 
-    First stage: the suffixes smaller than their successors are sorted directly.  Second
+    First stage: the suffixes smaller than their successors are sorted directly, by the
+    ranks of the first and the last symbols of their prefixes.  Second
     stage: a scan of the buckets by first symbol, from the smallest on, induces the
     others: whoever precedes the next suffix in order and is larger than it is the next
     in its own bucket.  A bucket is scanned as a whole, its runs of one symbol in rounds.
     """
     n = len(text)
     small = _types(text)
-    width = -(-depth // 8) * 8
-    padded = np.concatenate((text, np.zeros(width, dtype=np.uint8)))
     direct = np.flatnonzero(small)
     if len(direct):
-        keys = np.ascontiguousarray(sliding_window_view(padded, width)[direct]).view(">u8")
-        direct = direct[np.lexsort(keys.astype(np.uint64).T[::-1])]
+        ranks, size = ranked or prefix_ranks(text, depth)
+        direct = direct[np.argsort(ranks[direct] << np.uint64(32) | ranks[direct + (depth - size)])]
     first = text[direct]
     ends = np.searchsorted(first, np.arange(257))  # direct is in order of its first symbols
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -72,42 +104,27 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     return np.concatenate(order)
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """Length of the common prefix of each suffix and the one before it in order, at most ``depth``; 0 for the first.
+def repeated_starts(text: np.ndarray, depth: int) -> np.ndarray:
+    """Starts of the strings of ``depth`` symbols that also start earlier in the block, ascending.
 
-    Strings end at STOP: what follows it does not count.
+    Neighbours in order share a string where their prefixes agree.  Strings end at STOP: what
+    reaches over one does not count.
     """
     n = len(text)
-    words = np.zeros(n + depth + 8, dtype=np.uint64)
-    padded = np.concatenate((text, np.full(depth + 16, STOP, dtype=np.uint8))).astype(np.uint64)
-    for j in range(8):
-        words |= padded[j : j + len(words)] << np.uint64(56 - 8 * j)
-    stops = np.append(np.flatnonzero(text == STOP), n)
-    room = stops[np.searchsorted(stops, np.arange(n))] - np.arange(n)
-    lengths = np.zeros(len(order), dtype=np.int64)
-    left = np.arange(1, len(order))
-    for at in range(0, depth, 8):
-        differ = words[order[left] + at] ^ words[order[left - 1] + at]
-        # whole equal bytes at the head of the word
-        top = np.zeros(len(left), dtype=np.int64)
-        for j in range(1, 9):
-            top += (differ >> np.uint64(64 - 8 * j)) == 0
-        lengths[left] = at + top
-        left = left[top == 8]
-        if not len(left):
-            break
-    lengths[1:] = np.minimum(lengths[1:], np.minimum(room[order[1:]], room[order[:-1]]))
-    return np.minimum(lengths, depth)
-
-
-def repeated_starts(text: np.ndarray, depth: int) -> np.ndarray:
-    """Starts of the strings of ``depth`` symbols that also start earlier in the block, ascending."""
-    if len(text) <= depth:
+    if n <= depth:
         return np.empty(0, dtype=np.int64)
-    order = suffix_array(text, depth)
-    same = common_prefixes(text, order, depth) >= depth
-    heads = np.flatnonzero(~same)
+    ranks, size = ranked = prefix_ranks(text, depth)
+    order = suffix_array(text, depth, ranked)
+    stops = np.append(np.flatnonzero(text == STOP), n)
+    ends = np.repeat(stops, np.diff(np.concatenate(([-1], stops))))[:n]
+    order = order[ends[order] - order >= depth]
+    if not len(order):
+        return order
+    head, tail = ranks[order], ranks[order + (depth - size)]
+    same = (head[1:] == head[:-1]) & (tail[1:] == tail[:-1])
+    heads = np.flatnonzero(np.concatenate(([True], ~same)))
     least = np.minimum.reduceat(order, heads)
-    size = np.diff(np.concatenate((heads, [len(order)])))
-    later = order > np.repeat(least, size)
-    return np.sort(order[later])
+    later = np.zeros(n, dtype=bool)
+    later[order] = True
+    later[least] = False
+    return np.flatnonzero(later)

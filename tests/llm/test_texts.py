@@ -149,6 +149,26 @@ def test_anchors_own_each_string_once():
     assert ((at >= last) & (at + 32 <= first + 100)).all()
 
 
+def test_anchors_of_texts_in_a_row_are_those_of_each():
+    rng = np.random.default_rng(1)
+    bodies = [bytes(rng.integers(97, 100, n).astype(np.uint8)) for n in (100, 101, 700, 250, 100)] + [b"z" * 400]
+    begins = np.cumsum([0, *map(len, bodies[:-1])])
+    want = [(h, at + b, first + b, last + b) for b, body in zip(begins, bodies, strict=True) for h, at, first, last in zip(*suffix_dedup.anchors(body), strict=True)]
+    assert list(zip(*suffix_dedup.anchors(b"".join(bodies), begins=begins), strict=True)) == want
+
+
+def test_ranks_of_prefixes():
+    """Equal ranks of the first and of the last symbols: equal prefixes; the ranks order them."""
+    rng = np.random.default_rng(2)
+    for depth in (1, 7, 8, 9, 24, 25, 100):
+        text = np.concatenate([rng.integers(1, 3, 300), np.tile(rng.integers(1, 4, 60), 6)]).astype(np.uint8)
+        ranks, size = suffixes.prefix_ranks(text, depth)
+        assert size <= depth <= 2 * size or size == depth
+        keys = [bytes(text[i : i + depth]) for i in range(len(text))]
+        pairs = [(ranks[i], ranks[i + depth - size]) for i in range(len(text))]
+        assert [sorted(set(keys)).index(k) for k in keys] == [sorted(set(pairs)).index(p) for p in pairs]
+
+
 def _law(rows, shards):
     counts = [sum(r.shard == s for r in rows) for s in range(shards)]
     assert max(counts) - min(counts) <= 1
