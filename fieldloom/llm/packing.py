@@ -155,7 +155,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, end: in
     placed = rests.join(places, "rest", "left").withColumn(
         "place", F.expr("get(filter(places, p -> p.lo <= rank and rank < p.hi), 0)")
     )
-    placed = stage(placed.select("nid", "n", "rest", "rank", "place"), "places")
+    placed = stage(placed.select("nid", "n", "rest", "rank", "place"), "places", n_rows)
     start = F.col("n") - F.col("rest")
     fitted = placed.filter("place is not null").select(
         "nid",

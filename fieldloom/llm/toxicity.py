@@ -29,6 +29,8 @@ SIGNIFICANT = 15.0
 BEGINNINGS = (4, 6, 8)
 NEIGHBOURS = 15
 BLOCK = 64
+#: Texts of a file of those with their nearest examples.
+NEAR_ROWS = 2000
 #: What the votes count against: the share of toxic examples has this weight.
 PRIOR_WEIGHT = 0.5
 
@@ -249,7 +251,7 @@ def neighbours(marks: DataFrame, examples: DataFrame, idf: np.ndarray, k: int, s
     of its own, and the best of all indexes are the result.
     """
     first = F.row_number().over(W.partitionBy(*MARK).orderBy("doc_id"))
-    kept = stage(examples.filter(F.size("terms") > 0).withColumn("place", first).filter(F.col("place") <= k).drop("place"), "toxicity-kept")
+    kept = stage(examples.filter(F.size("terms") > 0).withColumn("place", first).filter(F.col("place") <= k).drop("place"), "toxicity-kept", examples.count())
     context = marks.sparkSession.sparkContext
     n_marks = marks.count()
     indexes = max(1, -(-kept.count() // size))
@@ -307,11 +309,11 @@ def fit(
     idf = np.array([math.log((1 + n_docs) / (1 + df.get(i, 0))) + 1 for i in range(len(terms))])
     one = F.min(F.struct(*MARK)).alias("one")
     examples = stage(
-        counts.join(labelled, "doc_id").groupBy("doc_id", "toxic").agg(one).select("doc_id", "toxic", "one.*"), "toxicity-marks"
+        counts.join(labelled, "doc_id").groupBy("doc_id", "toxic").agg(one).select("doc_id", "toxic", "one.*"), "toxicity-marks", n_docs
     )
     total = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("k")).first()
-    marks = stage(counts.filter(F.size("terms") > 0).select(*MARK).distinct(), "toxicity-texts")
-    near = stage(neighbours(marks, examples, idf, NEIGHBOURS + 1, size), "toxicity-near")
+    marks = stage(counts.filter(F.size("terms") > 0).select(*MARK).distinct(), "toxicity-texts", n_docs)
+    near = stage(neighbours(marks, examples, idf, NEIGHBOURS + 1, size), "toxicity-near", marks.count(), NEAR_ROWS)
 
     def met(rows: DataFrame) -> DataFrame:
         """Rows with their neighbours; those without a feature, however many, do not pass the join."""
@@ -330,7 +332,7 @@ def fit(
                 yield pa.RecordBatch.from_arrays([pa.array(xs, pa.float64()), batch.column("toxic")], names=["x", "y"])
 
         votes = met(examples).mapInArrow(left_out, "x double, y int").groupBy("x", "y").agg(F.count("*").alias("n"))
-        curve.slope, curve.shift = calibrate(stage(votes, "toxicity-votes"))
+        curve.slope, curve.shift = calibrate(stage(votes, "toxicity-votes", total["n"]))
     return curve, met(counts)
 
 

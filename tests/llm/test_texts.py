@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fieldloom.llm import exact_dedup, jaccard, sharding, suffix_dedup, suffixes
+from fieldloom.llm import common, components, exact_dedup, jaccard, sharding, suffix_dedup, suffixes
 from fieldloom.llm.common import WordHasher
 from tests.llm import brute
 
@@ -149,6 +149,27 @@ def test_anchors_own_each_string_once():
     assert ((at >= last) & (at + 32 <= first + 100)).all()
 
 
+def test_a_stage_of_few_rows_has_few_files(spark):
+    """Every file of a local folder costs processes of the executor that count with its memory."""
+    rows = spark.range(0, 5000, 1, 50)
+    files = lambda df: len(df.inputFiles())
+    assert files(common.stage(rows, "many")) == 50
+    few = common.stage(rows, "few", 5000)
+    assert files(few) == 1 and few.distinct().count() == 5000
+    some = common.stage(rows, "some", 5000, 1000)
+    assert files(some) == 6 and some.distinct().count() == 5000
+    assert common.stage(rows.filter("id < 0"), "none", 0).count() == 0
+
+
+def test_links_that_become_few_have_few_files(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "stage", lambda *a: written.append(common.stage(*a)) or written[-1])
+    links = spark.range(0, 2000, 1, 40).selectExpr("id AS a", "id + 1 AS b").filter("a % 10 <> 9").repartition(40)
+    found = {r.node: r.component for r in components.components(links, rows=1800).collect()}
+    assert found == {i: i - i % 10 for i in range(2000)}
+    assert len(written) > 1 and max(len(w.inputFiles()) for w in written) == 1
+
+
 def test_anchors_of_texts_in_a_row_are_those_of_each():
     rng = np.random.default_rng(1)
     bodies = [bytes(rng.integers(97, 100, n).astype(np.uint8)) for n in (100, 101, 700, 250, 100)] + [b"z" * 400]
