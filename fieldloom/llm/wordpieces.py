@@ -10,7 +10,7 @@ import numpy as np
 #: lower-case letters followed by those of the punctuation, whatever stands around it.
 _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 _LONGEST_KEPT = 64
-_MOST_KEPT = 100_000
+_MOST_KEPT = 200_000
 
 _ENCODERS: dict[str, WordEncoder] = {}
 

@@ -161,6 +161,22 @@ def test_a_stage_of_few_rows_has_few_files(spark):
     assert common.stage(rows.filter("id < 0"), "none", 0).count() == 0
 
 
+def test_workers_get_few_whole_texts_at_a_time(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    try:
+        for own, want in ((None, common.BATCH_ROWS), ("77", 77)):
+            spark.conf.set(key, own) if own else spark.conf.unset(key)
+            common.importable(spark)
+            assert max(r.n for r in spark.range(0, 3000, 1, 1).mapInArrow(sizes, "n long").collect()) == want
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
 def test_links_that_become_few_have_few_files(spark, monkeypatch):
     written = []
     monkeypatch.setattr(components, "stage", lambda *a: written.append(common.stage(*a)) or written[-1])
