@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from fieldloom.llm import common, embeddings, exact_dedup, packing, pieces, queries, toxicity
+from fieldloom.llm import common, embeddings, exact_dedup, packing, pieces, queries, toxicity, wordpieces
 from fieldloom.llm.transducer import transducer
 from fieldloom.llm.wordpieces import encoder
 from tests.llm import brute
@@ -55,6 +55,35 @@ def test_word_encoder_gives_the_ids_of_the_library():
         assert np.frombuffer(own.ids(text), dtype=own.type).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_word_encoder_meets_every_letter_and_sign():
+    library = tokenizers.Tokenizer.from_file(packing.tokenizer_path())
+    own = encoder(packing.tokenizer_path())
+    rng = random.Random(4)
+    letters = [chr(c) for c in range(256) if chr(c).isalpha()]
+    signs = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 12)) + rng.choices(signs, k=rng.randint(0, 4))) for _ in range(5000)]
+    odd = ["<|endoftext|>$", "a<|endoftext|>", "b<|", "<|ENDOFTEXT|>", "x''", "it's'", "J\u030c,", "e\u0301!", "_", "a_", "$$$", "ªº", "µ"]
+    for text in [*words, *odd, " ".join(words)]:
+        assert np.frombuffer(own.ids(text), dtype=own.type).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_of_letters_and_signs_take_no_whole_run_of_the_tokenizer(monkeypatch):
+    own = wordpieces.WordEncoder(packing.tokenizer_path())
+    whole, fresh = [], own._fresh
+    monkeypatch.setattr(own, "_fresh", lambda part: whole.append(part) or fresh(part))
+    own.ids("Été, été. ÉTÉ*** the*** größe%%% the of, größe\nthe%%%")
+    assert sorted(whole) == ["%%%", "***", ",", "."]
+
+
+def test_full_tables_of_words_change_no_ids(monkeypatch):
+    library = tokenizers.Tokenizer.from_file(packing.tokenizer_path())
+    monkeypatch.setattr(wordpieces, "_MOST_KEPT", 7)
+    own = wordpieces.WordEncoder(packing.tokenizer_path())
+    for text in [*_texts(random.Random(5), 500), "The the, THE. été Été, a b c d e f g h i j The été"]:
+        assert np.frombuffer(own.ids(text), dtype=own.type).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(own.known) <= 7 and len(own.older) <= 7
+
+
 def _check_packing(rows, texts, window=4096):
     """``texts``: the multiset of all texts by doc_id."""
     library = tokenizers.Tokenizer.from_file(packing.tokenizer_path())
