@@ -304,3 +304,14 @@ def test_shingles_of_the_same_sets_are_one_region(spark):
     rows, *_, shared, _ = jaccard._grouped(docs, 4, 85, 100)
     assert shared.groupBy("nid").count().agg(F.max("count")).first()[0] <= 4
     assert sorted((r.doc_id, r.component_id) for r in rows.collect()) == [(0, 0), (1, 0), (2, 0), (3, 3)]
+
+
+def test_common_shingles_are_counted_over_all_documents(spark):
+    """Every shingle of more texts than a sample would take, and none is left out for being rare."""
+    n = 25_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit("the words of every text "), F.col("id").cast("string")).alias("text"))
+    tables = jaccard._common(docs, 4)
+    assert [int(t.sum()) for t in tables] == [3 * n, 3 * n]
+    held = lambda text: min(int(t[c][0]) for t, c in zip(tables, jaccard._classes(WordHasher(4).shingles(text)), strict=True))
+    assert n <= held(b"the words of every") < n + 20 and n <= held(b"words of every text") < n + 20
+    assert all(1 <= held(b"of every text %d" % i) < 20 for i in (0, 17, n - 1))
