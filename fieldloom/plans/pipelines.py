@@ -133,7 +133,7 @@ class SeriesBuild:
         places = self._kept_places
         surveys = monthly.surveys_per_site(i.survey, i.survey_point, places, replace(self.scope, survey_types=None))
         sightings = monthly.sightings_per_site(
-            i.survey, i.sighting, i.survey_point, places, self.focal_species, self.scope
+            i.survey, i.sighting, i.survey_point, places, self.focal_species, self.scope, self.sites_in_ranges
         )
         counted = self.keep("surveys_per_site", surveys)
         return yearly.data_by_year_from_counts(counted, sightings, self.sites_in_ranges, i.site, self.strict)

@@ -148,3 +148,27 @@ def test_profiles_multiply_their_rows_over_many_tasks(spark, stored, no_broadcas
     plan = plan_of(catalog.QUERIES[name](workload(stored)))
     dealt = [line for line in plan.splitlines() if "hashpartitioning(survey_id" in line]
     assert dealt and all(f", {methods.SPREAD})" in line and "REPARTITION_BY_NUM" in line for line in dealt), plan
+
+
+def test_sightings_are_not_shuffled_once_they_are_repeated(stored, no_broadcast):
+    """The sites of a species meet the places first; the last join repeats a sighting, and nothing sorts it out after that."""
+    w = workload(stored)
+    for frame in (w.series.sightings_in_sites("line"), catalog.QUERIES["sightings_in_sites"](w)):
+        lines = plan_of(frame).splitlines()
+        last = next(i for i, line in enumerate(lines) if "SortMergeJoin" in line)
+        assert all(key in lines[last].split("], [")[0] for key in ("x#", "y#", "site_type#", "sp_id#")) and "Inner" in lines[last], lines[last]
+        assert not any("Exchange" in line for line in lines[:last])
+
+
+@pytest.mark.parametrize("name", ["data_by_year", "data_by_month", "sightings_by_month"])
+def test_months_go_to_their_sites_as_one_row(stored, no_broadcast, name):
+    plan = plan_of(catalog.QUERIES[name](workload(stored)))
+    by_site = [line for line in plan.splitlines() if "Exchange hashpartitioning(site_id" in line and "sp_id" in line]
+    assert any("REPARTITION_BY_COL" in line for line in by_site) and "collect_list" in plan, by_site
+    assert not any("hashpartitioning(year" in line and "site_type" in line and "sp_id" in line for line in plan.splitlines())
+
+
+def test_rows_of_a_profile_are_told_apart_where_their_sites_meet(stored, no_broadcast):
+    plan = plan_of(catalog.QUERIES["method_profiles_appended"](workload(stored)))
+    salted = [line for line in plan.splitlines() if "Exchange" in line and "salt#" in line]
+    assert len(salted) == 2 and all("REPARTITION_BY_NUM" in line for line in salted), salted

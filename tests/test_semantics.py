@@ -488,3 +488,73 @@ def test_months_of_unknown_date(spark):
         "survey_id_count", "site_id_count", "n_count_values", "min_count", "max_count", "n_months", "n_years",
     )
     assert got == [(4, 1, 2, 2.0, 5.0, 2, 1)]
+
+
+def test_sightings_of_repeated_surveys_points_and_sites_are_told_each(spark):
+    """Keys that repeat multiply as in a plain join; a null type, point or species meets nothing."""
+    day = "2000-05-05"
+    survey = spark.createDataFrame(
+        [(1, day, 10, 1, 1), (1, day, 11, 1, 1), (2, day, 10, 2, 1), (3, day, 12, None, 1), (4, day, None, 1, 1)],
+        "id long, start_date string, survey_point_id long, survey_type_id int, source_id int",
+    )
+    points = spark.createDataFrame([(10, 0.0, 0.0), (10, 1.0, 0.0), (11, 0.0, 0.0), (12, 0.0, 0.0)], "id long, x double, y double")
+    places = spark.createDataFrame(
+        [(0.0, 0.0, 7, 1), (0.0, 0.0, 7, 1), (0.0, 0.0, 8, 1), (1.0, 0.0, 8, 1), (0.0, 0.0, 9, 2), (0.0, 0.0, 9, None)],
+        "x double, y double, site_id long, site_type int",
+    )
+    located = spark.createDataFrame(
+        [(7, 1, 5, "a", 1), (7, 1, 5, "a", 2), (8, 1, 5, "b", 1), (9, 2, 5, "a", 1), (8, 1, 6, "c", 1)],
+        "site_id long, site_type int, sp_id int, taxon_id string, range_id int",
+    )
+    sighting = spark.createDataFrame(
+        [(100, 1, 5, 2), (101, 1, 6, None), (101, 1, 6, None), (102, 2, 5, 1), (103, 3, 5, 1), (104, 4, 5, 1), (105, 1, None, 1), (106, 2, 6, 1)],
+        "id long, survey_id long, species_id int, individual_count int",
+    )
+    scope = SurveyScope("2000-01-01", "2000-12-31", (3,), None)
+    surveys, at, over = ([tuple(r) for r in d.collect()] for d in (survey, points, places))
+    inside = {(r.site_id, r.site_type, r.sp_id) for r in located.collect()}
+    want = list(
+        (i, s, sp, n, site)
+        for i, s, sp, n in map(tuple, sighting.collect()) for sid, _, point, kind, _ in surveys if sid == s
+        for pid, x, y in at if pid == point for px, py, site, type_ in over
+        if (px, py) == (x, y) and kind == type_ and (site, type_, sp) in inside
+    )
+    got = monthly.sightings_in_sites(survey, sighting, points, places, located, [5, 6], scope)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str) and len(want) > 8
+    counted = {}
+    for _, _, sp, n, site in want:
+        a = counted.setdefault((site, sp), [0, 0, None])
+        a[0] += 1
+        a[1] += n is None
+        a[2] = a[2] if n is None else (a[2] or 0) + n
+    whole = monthly.sightings_per_site(survey, sighting, points, places, [5, 6], scope)
+    ranged = monthly.sightings_per_site(survey, sighting, points, places, [5, 6], scope, located)
+    rows = {(r.site_id, r.sp_id): [r.num_sightings, r.num_po_sightings, r.sum_of_count] for r in ranged.collect()}
+    assert rows == counted
+    assert {k: v for k, v in ((((r.site_id, r.sp_id)), [r.num_sightings, r.num_po_sightings, r.sum_of_count]) for r in whole.collect()) if k in rows} == rows
+    assert whole.count() > ranged.count()
+    per_site = {(r.site_id, r.site_type): r.num_surveys for r in monthly.surveys_per_site(survey, points, places, scope).collect()}
+    assert per_site == {(7, 1): 4, (8, 1): 3, (9, 2): 1}
+
+
+def test_profiles_of_repeated_surveys_and_null_parts(spark):
+    """A survey id that repeats with other sites counts once, as do sites, months, years and counts; nulls do not count."""
+    surveys = [(1, 1, 10, 2000, 1), (1, 1, 11, 2000, None), (2, 1, 10, 2001, 1), (3, 1, None, None, 4), (4, None, 10, 2000, 1), (5, 1, 12, 2000, 0)]
+    survey = spark.createDataFrame(surveys, "id long, source_id int, site_id long, start_date_y int, start_date_m int")
+    survey = survey.withColumn("search_type_id", F.lit(None).cast("int"))
+    sighting = spark.createDataFrame(
+        [(1, 1, 1, None, 2.0), (2, 1, 1, None, None), (3, 2, 1, None, 2.0), (4, 3, 1, None, 3.0), (5, 3, 1, 1, None), (6, 4, 1, 1, 1.0), (7, 5, 1, None, 0.0), (8, 5, 1, None, -0.0)],
+        "id long, survey_id long, unit_id int, unit_type_id int, count double",
+    )
+    link = spark.createDataFrame([(i, "a") for i in range(1, 9)] + [(2, "b")], "sighting_id long, taxon_id string")
+    taxon = spark.createDataFrame([("a", 1), ("b", None)], "id string, max_status_id int")
+    source = spark.createDataFrame([(1,)], "id int")
+    rows = methods.method_profile_linked(source, survey, sighting, link, taxon).collect()
+    got = {
+        (r.taxon_id, r.unit_type_id): (r.survey_id_count, r.site_id_count, r.n_months, r.n_years, r.n_count_values, r.min_count, r.max_count) for r in rows
+    }
+    assert got == {
+        ("a", None): (4, 3, 3, 2, 3, 0.0, 3.0),
+        ("a", 1): (1, 0, 0, 0, 0, None, None),
+        ("b", None): (1, 2, 2, 1, 0, None, None),
+    }
