@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from fieldloom.constants import (
     CLASSIFIED_UNIT_TYPE,
@@ -42,9 +43,11 @@ PROFILE_COLUMNS: dict[str, tuple[str, object]] = {
 }
 METHOD_KEYS = ["taxon_id", "unit_id", "source_id", "search_type_id"]
 
-#: Tasks that sightings and their surveys are dealt to.  Each holds the distinct values of its
-#: share, five a row, so few tasks would mean much memory in each.
+#: Tasks that sightings and their surveys are dealt to, and their combinations after that.  Each holds
+#: the distinct values of its share, four a row, so few tasks would mean much memory in each.
 SPREAD = 200
+#: Places that the rows of a combination are dealt to.
+SALTS = 16
 
 
 def _with_surveys(sightings: DataFrame, surveys: DataFrame) -> DataFrame:
@@ -55,28 +58,41 @@ def _with_surveys(sightings: DataFrame, surveys: DataFrame) -> DataFrame:
 def _profile(rows: DataFrame, taxon: DataFrame, data_type: int) -> DataFrame:
     """Counts and extremes per combination.
 
-    Every row tells its survey, site, month, year and count as tagged values; these are
-    made distinct per combination before anything is counted.  So the raw join is read
-    once, repeated values fall away before the shuffle, and a combination with a third
-    of all rows spreads over the tasks by its values.  An unknown month counts as month 0
-    of its year, an unknown year or count not at all.
+    Rows come dealt by survey, so the first one of each survey and combination is marked
+    where it is, and surveys are counted by their marks.  Each row is then shuffled once, as it
+    is, to one of SALTS places of its combination, by its site.  There every row tells its
+    site, month, year and count as tagged values, made distinct per combination: sites meet
+    nowhere else, and of the others, which repeat, one row for each value goes on.  So the raw join is read
+    once, and a combination with a third of all rows spreads over several tasks.  An unknown month
+    counts as month 0 of its year, an unknown year or count not at all.
     """
     combination = ["taxon_id", "unit_id", "unit_type_id", "source_id", "search_type_id"]
+    of_survey = W.partitionBy(*combination, "survey_id").orderBy("survey_id")
+    dealt = (
+        rows.withColumn("new_survey", (F.row_number().over(of_survey) == 1) & F.col("survey_id").isNotNull())
+        .select(*combination, "new_survey", "site_id", "start_date_y", "start_date_m", "count", F.pmod(F.xxhash64("site_id"), F.lit(SALTS)).alias("salt"))
+        .repartition(SPREAD, *combination, "salt")
+    )
     ids = {
-        "survey_id_count": F.col("survey_id"),
         "site_id_count": F.col("site_id"),
         "n_months": F.col("start_date_y") * 100 + F.coalesce(F.col("start_date_m"), F.lit(0)),
         "n_years": F.col("start_date_y"),
     }
-    told = [F.struct(F.lit(name).alias("tag"), value.cast("long").alias("id"), F.lit(None).cast(rows.schema["count"].dataType).alias("count"))
+    unknown = F.lit(None).cast(rows.schema["count"].dataType)
+    told = [F.struct(F.lit(name).alias("tag"), value.cast("long").alias("id"), unknown.alias("count"), (F.col("new_survey") & F.lit(name == "n_years")).cast("long").alias("surveys"))
             for name, value in ids.items()]
-    told.append(F.struct(F.lit("count").alias("tag"), F.lit(None).cast("long").alias("id"), F.col("count")))
-    values = rows.select(*combination, F.explode(F.array(*told)).alias("v")).select(*combination, "v.*").distinct()
+    told.append(F.struct(F.lit("count").alias("tag"), F.lit(None).cast("long").alias("id"), F.col("count"), F.lit(0).cast("long").alias("surveys")))
+    by_tag = [*combination, "salt", "tag", "id", "count"]
+    here = dealt.select(*combination, "salt", F.inline(F.array(*told))).groupBy(*by_tag).agg(F.sum("surveys").alias("surveys"))
+    is_site = F.col("tag") == "site_id_count"
+    values = here.groupBy(*combination, "tag", F.when(~is_site, F.col("id")).alias("id"), "count").agg(
+        F.sum("surveys").alias("surveys"), F.count(F.when(is_site, F.col("id"))).alias("sites")
+    )
     statuses = taxon.select(F.col("id").alias("taxon_id"), "max_status_id")
     return (
         values.groupBy(*combination)
         .agg(
-            *[F.count(F.when(F.col("tag") == name, F.col("id"))).alias(name) for name in ("survey_id_count", "site_id_count")],
+            F.sum("surveys").alias("survey_id_count"), F.sum("sites").alias("site_id_count"),
             F.count("count").alias("n_count_values"), F.min("count").alias("min_count"), F.max("count").alias("max_count"),
             *[F.count(F.when(F.col("tag") == name, F.col("id"))).alias(name) for name in ("n_months", "n_years")],
         )
