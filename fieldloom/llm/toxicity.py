@@ -29,6 +29,8 @@ SIGNIFICANT = 15.0
 BEGINNINGS = (4, 6, 8)
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks that are looked into before the others are held against what they gave.
+FIRST = 2
 #: Texts of a file of those with their nearest examples.
 NEAR_ROWS = 2000
 #: What the votes count against: the share of toxic examples has this weight.
@@ -73,6 +75,15 @@ def _statistics(batches):
         yield made()
 
 
+def _largest(scores: np.ndarray, at: np.ndarray, k: int) -> list[tuple[float, int]]:
+    """The ``k`` largest scores with their positions, ties by position."""
+    if len(scores) > k:
+        kept = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        scores, at = scores[kept], at[kept]
+    order = np.lexsort((at, -scores))[:k]
+    return list(zip(scores[order].tolist(), at[order].tolist(), strict=True))
+
+
 @dataclass
 class BlockMaxIndex:
     """Postings of the examples by feature, in blocks of examples with the largest weight of each block."""
@@ -108,26 +119,43 @@ class BlockMaxIndex:
     def nearest(self, query: dict[int, float], k: int) -> list[tuple[float, int]]:
         """The ``k`` examples of largest cosine over 0, ties by position: exact.
 
-        Blocks come in the order of their bounds; the search ends when the next bound is
-        below the k-th cosine found.
+        Blocks come in the order of their bounds: the first few give k cosines, and of the
+        others only those whose bound is not below the k-th of these are looked into.
         """
         if not query:
             return []
         terms = list(query)
         bounds = np.array([query[t] for t in terms]) @ self.tops[terms]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
+        blocks = np.argsort(-bounds, kind="stable")[: np.count_nonzero(bounds > 0)]
+        found = self._scored(query, blocks[:FIRST])
+        best, rest = _largest(*found, k), blocks[FIRST:]
+        if len(best) == k:
             # a hair of slack: a bound and a cosine are sums in different orders
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] * (1 + 1e-9) < best[-1][0]):
-                break
-            scores = np.zeros(self.block)
-            for t in terms:
-                at, weight, starts = self.postings[t]
-                lo, hi = starts[b], starts[b + 1]
-                scores[at[lo:hi] - b * self.block] += query[t] * weight[lo:hi]
-            found = [(float(scores[i]), b * self.block + int(i)) for i in np.flatnonzero(scores)]
-            best = sorted([*best, *found], key=lambda r: (-r[0], r[1]))[:k]
-        return best
+            rest = rest[bounds[rest] * (1 + 1e-9) >= best[-1][0]]
+        if not len(rest):
+            return best
+        return _largest(*map(np.concatenate, zip(found, self._scored(query, rest), strict=True)), k)
+
+    def _scored(self, query: dict[int, float], blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Cosines over 0 of the examples in ``blocks``, and their positions; a feature's weights add up in the query's order."""
+        scores = np.zeros(self.tops.shape[1] * self.block)
+        if len(blocks) <= FIRST:
+            for b in blocks.tolist():
+                for t in query:
+                    at, weight, starts = self.postings[t]
+                    lo, hi = starts[b], starts[b + 1]
+                    scores[at[lo:hi]] += query[t] * weight[lo:hi]
+            at = np.flatnonzero(scores)
+        else:
+            # so many blocks are read faster with those between them
+            for t in query:
+                at, weight, _ = self.postings[t]
+                scores[at] += query[t] * weight
+            wanted = np.zeros(self.tops.shape[1], dtype=bool)
+            wanted[blocks] = True
+            at = np.flatnonzero(scores)
+            at = at[wanted[at // self.block]]
+        return scores[at], at
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Share of toxic votes, each weighed by the inverse of its distance; the prior stands in where few are near."""

@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import random
 import re
+import sys
 import time
 import urllib.parse
 import zlib
@@ -203,6 +204,31 @@ def test_nearest_examples_are_exact():
         assert np.allclose([-c for c, _ in near], want) and all(abs(cosine[j] - c) < 1e-9 for c, j in near)
 
 
+def test_an_index_is_not_searched_block_by_block():
+    """The calls of a search do not grow with the blocks that may hold a near example."""
+    rng, calls = np.random.default_rng(8), {}
+    for size in (1000, 8000):
+        index = toxicity.BlockMaxIndex(40, np.ones(40), list(range(size)), np.zeros(size), 0.5)
+        rows = [{int(t): int(rng.integers(1, 9)) for t in rng.choice(40, 10, replace=False)} for _ in range(size)]
+        index.build(rows)
+        queries = [index.weights({int(t): 1 for t in rng.choice(40, 10, replace=False)}) for _ in range(20)]
+        seen = []
+        sys.setprofile(lambda frame, event, arg: seen.append(event) if event in ("call", "c_call") else None)
+        try:
+            found = [index.nearest(q, 16) for q in queries]
+        finally:
+            sys.setprofile(None)
+        calls[size] = len(seen)
+        dense = np.zeros((size, 40))
+        for i, counts in enumerate(rows):
+            for t, w in index.weights(counts).items():
+                dense[i, t] = w
+        for query, near in zip(queries, found, strict=True):
+            want = sorted((dense @ [query.get(t, 0) for t in range(40)]).tolist(), reverse=True)[:16]
+            assert np.allclose([c for c, _ in near], want) and near == sorted(near, key=lambda r: (-r[0], r[1]))
+    assert calls[8000] < 2 * calls[1000], calls
+
+
 def test_toxicity_held_out(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
